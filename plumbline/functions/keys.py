@@ -71,9 +71,11 @@ def missing_keys(fact: DataFrame, column: str, dim: DataFrame, key: str) -> Data
 
 
 def orphan_count(fact: DataFrame, fk: ForeignKey, dim: DataFrame) -> DataFrame:
-    """One row ``orphans``; shuffles one row per distinct key and task."""
-    return missing_keys(fact, fk.column, dim, fk.key).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("orphans"))
+    """One row (n, orphans); shuffles one row per distinct key and task, never whole fact rows."""
+    used = fact.groupBy(F.col(fk.column).alias("used_key")).agg(F.count(F.lit(1)).alias("rows"))
+    return (used.join(key_set(dim, fk.key), F.col("used_key") == F.col("ref_key"), "left")
+            .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
+                 F.coalesce(F.sum(F.when(F.col("ref_key").isNull(), F.col("rows"))), F.lit(0)).alias("orphans")))
 
 
 def with_orphan_flags(fact: DataFrame, keys: list[ForeignKey], dims: Mapping[str, DataFrame],

@@ -20,8 +20,6 @@ from plumbline.operators.checks import Check, Suite
 GROUP_KINDS = {"unique", "compound_unique", "duplicate_key", "one_current_row", "has_current_row", "distinct_ratio",
                "dominance"}
 COLUMN_KINDS = {"between", "length_between", "in_set", "distinct_in_set", "matches"}
-# Checks whose verdict is one yes/no over the whole table.
-VERDICT_KINDS = {"row_count", "column_order", "boolean_share", "distinct_ratio"}
 
 
 # --- row-local predicates ------------------------------------------------------------------------------------------
@@ -79,30 +77,44 @@ def is_row_local(check: Check) -> bool:
 
 # --- result rows ---------------------------------------------------------------------------------------------------
 
-def _row(suite: Suite, check: Check, evaluated: Column, unexpected: Column, observed: Column | None = None) -> Column:
-    text = lambda value: F.lit(value).cast("string")
-    return F.struct(
-        F.lit(suite.table).alias("table_name"), F.lit(check.no).alias("check_no"),
-        F.lit(check.kind).alias("check_type"), F.lit(check.column_name).alias("column_name"),
-        F.lit(check.dimension).alias("dimension"), text(check.issue_id).alias("issue_id"),
-        text(check.rule_id).alias("rule_id"), text(check.severity).alias("severity"),
-        text(check.predicted).alias("predicted"), F.lit(float(check.mostly)).alias("mostly"),
-        evaluated.cast("bigint").alias("evaluated_count"), unexpected.cast("bigint").alias("unexpected_count"),
-        (observed.cast("string") if observed is not None else text(None)).alias("observed_value"))
+def _text(value) -> str:
+    """A Python value as a SQL string literal, NULL for None."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _unfold(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*rows)))
+def _row(suite: Suite, check: Check, evaluated: str, unexpected: str, observed: str = "null") -> str:
+    """One result row as SQL text over the columns of a one-row aggregate: metadata literals plus three values."""
+    fields = {
+        "table_name": _text(suite.table), "check_no": str(check.no), "check_type": _text(check.kind),
+        "column_name": _text(check.column_name), "dimension": _text(check.dimension),
+        "issue_id": _text(check.issue_id), "rule_id": _text(check.rule_id), "severity": _text(check.severity),
+        "predicted": _text(check.predicted), "mostly": f"{float(check.mostly)!r}D",
+        "evaluated_count": f"cast({evaluated} as bigint)", "unexpected_count": f"cast({unexpected} as bigint)",
+        "observed_value": f"cast({observed} as string)"}
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def _unfold(one_row: DataFrame, rows: list[str]) -> DataFrame:
+    """A one-row aggregate as one row per check."""
+    return one_row.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _unless_in(value: str, check: Check) -> str:
+    """1 when a ratio lies outside its band, 0 inside or when there is nothing to judge."""
+    return f"if({value} not between {check.args['min']!r}D and {check.args['max']!r}D, 1, 0)"
 
 
 def with_status(results: DataFrame) -> DataFrame:
     """Share of unexpected rows and the verdict. The tolerance is compared in decimals, so a boundary passes."""
-    evaluated, unexpected = F.col("evaluated_count"), F.col("unexpected_count")
-    needed = F.col("mostly").cast("decimal(9,8)") * F.coalesce(evaluated, F.lit(0)).cast("decimal(20,0)")
-    passed = F.when(evaluated.isNull() | (F.col("mostly") == 1.0), unexpected == 0).otherwise(
-        (evaluated - unexpected).cast("decimal(20,0)") >= needed)
-    share = F.when(evaluated > 0, F.round(unexpected * F.lit(100.0) / F.nullif(evaluated, F.lit(0)), 6))
-    return results.withColumns({"unexpected_pct": share, "status": F.when(passed, "PASS").otherwise("FAIL")})
+    return results.selectExpr(
+        "*",
+        "round(unexpected_count * 100D / nullif(evaluated_count, 0), 6) as unexpected_pct",
+        """case when evaluated_count is null or mostly = 1 then if(unexpected_count = 0, 'PASS', 'FAIL')
+                when cast(evaluated_count - unexpected_count as decimal(20,0))
+                     >= cast(mostly as decimal(9,8)) * cast(evaluated_count as decimal(20,0)) then 'PASS'
+                else 'FAIL' end as status""")
 
 
 # --- the parts of a suite ------------------------------------------------------------------------------------------
@@ -112,32 +124,34 @@ def _fused(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[str,
     aggregates: dict[str, Column] = {"n": F.count(F.lit(1))}
     rows = []
     for check in checks:
-        total, broken = F.col("n"), f"u{check.no}"
+        total, broken, column = "n", f"u{check.no}", check.column_name
         if check.kind == "row_count":
-            bad = ~F.col("n").between(check.args["min"], check.args["max"])
-            rows.append(_row(suite, check, F.lit(1), bad.cast("int"), F.col("n")))
-            continue
-        if check.kind == "column_order":
-            bad = int(df.columns != list(check.args["names"]))
-            rows.append(_row(suite, check, F.lit(1), F.lit(bad), F.lit(",".join(df.columns))))
+            rows.append(_row(suite, check, "1", f"if(n between {check.args['min']} and {check.args['max']}, 0, 1)", "n"))
             continue
         if check.kind == "boolean_share":
-            aggregates[broken] = F.count_if(F.col(check.columns[0]))
-            share = F.col(broken).cast("double") / F.nullif(F.col("n"), F.lit(0)).cast("double")
-            bad = F.coalesce(~share.between(check.args["min"], check.args["max"]), F.lit(False))
-            rows.append(_row(suite, check, F.lit(1), bad.cast("int"), F.round(share, 6)))
+            aggregates[broken] = F.count_if(F.col(column))
+            share = f"double({broken}) / nullif(double(n), 0D)"
+            rows.append(_row(suite, check, "1", _unless_in(share, check), f"round({share}, 6)"))
             continue
         if check.kind == "references":
-            aggregates[broken] = F.count_if(flags[check.columns[0]])
+            aggregates[broken] = F.count_if(flags[column])
         else:
             aggregates[broken] = F.count_if(violation(check, df, as_of, nulls))
         if check.kind in COLUMN_KINDS and nulls == "ignore":
-            total = F.col(f"c_{check.columns[0]}")
-            aggregates[f"c_{check.columns[0]}"] = F.count(check.columns[0])
-        rows.append(_row(suite, check, total, F.col(broken)))
+            total = f"c_{column}"
+            if total not in aggregates:
+                aggregates[total] = F.count(column)
+        rows.append(_row(suite, check, total, broken))
     return _unfold(df.agg(*[expr.alias(name) for name, expr in aggregates.items()]), rows)
 
 
+def _column_order(df: DataFrame, suite: Suite, checks: list[Check]) -> DataFrame:
+    """Schema drift: decided from metadata, no table is read."""
+    found = ",".join(df.columns)
+    return _unfold(df.sparkSession.range(1),
+                   [_row(suite, c, "1", str(int(df.columns != list(c.args["names"]))), _text(found)) for c in checks])
+
+
 def group_sizes(df: DataFrame, keys: Iterable[str], flag: str | None = None) -> DataFrame:
     """Rows per key, combined on the map side, so a hot key adds one row per task to the shuffle."""
     sizes = [F.count(F.lit(1)).alias("n")]
@@ -150,36 +164,33 @@ def _grouped(df: DataFrame, suite: Suite, keys: tuple[str, ...], checks: list[Ch
     """All checks over one key set from one grouping."""
     flag = next((c.args["flag"] for c in checks if "flag" in c.args), None)
     groups = group_sizes(df, keys, flag)
-    any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    all_null = reduce(Column.__and__, [F.col(k).isNull() for k in keys])
-    repeated = F.col("n") > 1
-    rows_in = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-    aggregates, rows = {}, []
+    any_null = " or ".join(f"{k} is null" for k in keys)
+    all_null = " and ".join(f"{k} is null" for k in keys)
+    rows_where = "coalesce(sum(n) filter (where {}), 0)".format
+    # kind -> (evaluated, unexpected), both over the groups
+    measures = {
+        "unique": (rows_where(f"not ({any_null})"), rows_where(f"not ({any_null}) and n > 1")),
+        "compound_unique": (rows_where(f"not ({all_null})"), rows_where(f"not ({all_null}) and n > 1")),
+        "duplicate_key": ("count(1)", "count_if(n > 1)"),
+        "one_current_row": ("count_if(n_current > 0)", "count_if(n_current > 1)"),
+        "has_current_row": ("count(1)", "count_if(n_current = 0)"),
+        "distinct_ratio": (rows_where(f"not ({any_null})"), f"count_if(not ({any_null}))"),
+        "dominance": ("count(1)", "count_if(double(n) / double(total) > {share!r}D)"),
+    }
+    aggregates, rows = [], []
     for check in checks:
         evaluated, broken = f"e{check.no}", f"u{check.no}"
-        if check.kind == "unique":
-            aggregates[evaluated], aggregates[broken] = rows_in(~any_null), rows_in(~any_null & repeated)
-        elif check.kind == "compound_unique":
-            aggregates[evaluated], aggregates[broken] = rows_in(~all_null), rows_in(~all_null & repeated)
-        elif check.kind == "duplicate_key":
-            aggregates[evaluated], aggregates[broken] = F.count(F.lit(1)), F.count_if(repeated)
-        elif check.kind == "one_current_row":
-            aggregates[evaluated] = F.count_if(F.col("n_current") > 0)
-            aggregates[broken] = F.count_if(F.col("n_current") > 1)
-        elif check.kind == "has_current_row":
-            aggregates[evaluated], aggregates[broken] = F.count(F.lit(1)), F.count_if(F.col("n_current") == 0)
-        elif check.kind == "dominance":
+        if check.kind == "dominance":
             total = groups.agg(F.sum("n").alias("total")).scalar()
-            too_big = F.col("n").cast("double") / F.nullif(total, F.lit(0)).cast("double") > check.args["share"]
-            aggregates[evaluated], aggregates[broken] = F.count(F.lit(1)), F.count_if(too_big)
-        elif check.kind == "distinct_ratio":
-            aggregates[evaluated], aggregates[broken] = rows_in(~any_null), F.count_if(~any_null)
-            ratio = F.col(broken).cast("double") / F.nullif(F.col(evaluated), F.lit(0)).cast("double")
-            bad = F.coalesce(~ratio.between(check.args["min"], check.args["max"]), F.lit(False))
-            rows.append(_row(suite, check, F.lit(1), bad.cast("int"), F.round(ratio, 6)))
-            continue
-        rows.append(_row(suite, check, F.col(evaluated), F.col(broken)))
-    return _unfold(groups.agg(*[expr.alias(name) for name, expr in aggregates.items()]), rows)
+            groups = groups.withColumn("total", total)
+        first, second = measures[check.kind]
+        aggregates += [F.expr(first).alias(evaluated), F.expr(second.format(**check.args)).alias(broken)]
+        if check.kind == "distinct_ratio":
+            ratio = f"double({broken}) / nullif(double({evaluated}), 0D)"
+            rows.append(_row(suite, check, "1", _unless_in(ratio, check), f"round({ratio}, 6)"))
+        else:
+            rows.append(_row(suite, check, evaluated, broken))
+    return _unfold(groups.agg(*aggregates), rows)
 
 
 def run_query(query: str, df: DataFrame, refs: Mapping[str, DataFrame] | None = None, as_of=None) -> DataFrame:
@@ -191,7 +202,7 @@ def run_query(query: str, df: DataFrame, refs: Mapping[str, DataFrame] | None =
 
 def _queried(df: DataFrame, suite: Suite, check: Check, refs, as_of) -> DataFrame:
     found = run_query(check.args["query"], df, refs, as_of).agg(F.count(F.lit(1)).alias("u"))
-    return _unfold(found, [_row(suite, check, F.lit(None), F.col("u"))])
+    return _unfold(found, [_row(suite, check, "null", "u")])
 
 
 # --- entry points --------------------------------------------------------------------------------------------------
@@ -217,15 +228,16 @@ def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None =
             flags[fk.column] = F.col(flag)
 
     parts: list[DataFrame] = []
-    one_scan = [c for c in suite.checks if is_row_local(c) or c.kind in ("row_count", "column_order", "boolean_share")
-                or (c.kind == "references" and c.columns[0] in small)]
+    one_scan = [c for c in suite.checks if is_row_local(c) or c.kind in ("row_count", "boolean_share")
+                or (c.kind == "references" and c.column_name in small)]
     if one_scan:
-        # The schema checks must see the table itself, so the flags are dropped from the column list.
-        parts.append(_fused_on(scan, df, suite, one_scan, flags, as_of, nulls))
+        parts.append(_fused(scan, suite, one_scan, flags, as_of, nulls))
+    schema_checks = [c for c in suite.checks if c.kind == "column_order"]
+    if schema_checks:
+        parts.append(_column_order(df, suite, schema_checks))
     for fk_check, fk in zip(fks, foreign):
         if fk.column not in small:
-            lost = K.orphan_count(df, fk, refs[fk.table]).withColumn("rows", F.lit(None).cast("bigint"))
-            parts.append(_unfold(lost, [_row(suite, fk_check, F.col("rows"), F.col("orphans"))]))
+            parts.append(_unfold(K.orphan_count(df, fk, refs[fk.table]), [_row(suite, fk_check, "n", "orphans")]))
     by_keys: dict[tuple, list[Check]] = {}
     for check in suite.checks:
         if check.kind in GROUP_KINDS:
@@ -236,23 +248,6 @@ def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None =
     return with_status(reduce(DataFrame.unionByName, parts))
 
 
-def _fused_on(scan: DataFrame, df: DataFrame, suite: Suite, checks: list[Check], flags, as_of, nulls) -> DataFrame:
-    fixed = [c for c in checks if c.kind == "column_order"]
-    rest = [c for c in checks if c.kind != "column_order"]
-    if not fixed:
-        return _fused(scan, suite, rest, flags, as_of, nulls)
-    if not rest:
-        one = df.sparkSession.range(1)
-        return _unfold(one, [_order_row(df, suite, c) for c in fixed])
-    fused = _fused(scan, suite, rest, flags, as_of, nulls)
-    return fused.unionByName(_unfold(df.sparkSession.range(1), [_order_row(df, suite, c) for c in fixed]))
-
-
-def _order_row(df: DataFrame, suite: Suite, check: Check) -> Column:
-    bad = int(df.columns != list(check.args["names"]))
-    return _row(suite, check, F.lit(1), F.lit(bad), F.lit(",".join(df.columns)))
-
-
 def validate_all(tables: Mapping[str, DataFrame], suites: Mapping[str, Suite], *, only: str | None = None,
                  as_of=None, nulls: str = "ignore") -> DataFrame:
     """Results of every suite (or of one table), in one DataFrame."""
