@@ -17,7 +17,7 @@ from plumbline.operators.validate import is_row_local, validate, violation
 from plumbline.session import durable
 
 # Sentinels and replacements used by the repairs.
-OPT_OUT_EMAIL = "optout@retailco.internal"
+OPT_OUT_EMAIL = "optout@example.com"
 EMAIL_SENTINELS = ("n/a", "N/A", "na", "NA", "")
 
 
