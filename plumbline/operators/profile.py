@@ -13,9 +13,9 @@ def total() -> Column:
     return F.count(F.lit(1)).alias("total_rows")
 
 
-def peek(df: DataFrame, key: str, n: int = 10) -> DataFrame:
+def peek(df: DataFrame, *keys: str, n: int = 10) -> DataFrame:
     """All columns of the first rows in key order."""
-    return df.orderBy(key).limit(n)
+    return df.orderBy(*keys).limit(n)
 
 
 def distinct_count(df: DataFrame, names: Mapping[str, Iterable[str]], extra: Iterable[Column] = ()) -> DataFrame:
