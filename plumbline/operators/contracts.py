@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.keys import ForeignKey
 from plumbline.operators import anomaly, checks as C, integrity, scores
 from plumbline.operators.checks import Check, Suite
-from plumbline.operators.validate import validate
+from plumbline.operators.validate import validate, violation
 
 
 @dataclass(frozen=True)
@@ -244,7 +245,7 @@ def rule_report(tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
 
 
 def _level(table: str, level: str, measured: DataFrame, required: str) -> DataFrame:
-    needed = float(required.rstrip("%")) / 100
+    needed = float(Decimal(required.rstrip("%")) / 100)
     return measured.select(F.lit(table).alias("table_name"), F.lit(level).alias("service_level"),
                            F.col("score").alias("measured"), F.lit(needed).alias("required"),
                            F.when(F.col("score") >= needed, "MET").otherwise("MISSED").alias("status"))
@@ -286,9 +287,7 @@ def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract
 
 
 def _row_accuracy(df: DataFrame, rules: list[Check]) -> DataFrame:
-    from plumbline.operators.validate import violation
-
-    return scores._passing(df, [violation(r, df) for r in rules])
+    return scores.passing(df, [violation(r, df) for r in rules])
 
 
 def _hours(threshold: str) -> int:

@@ -200,7 +200,7 @@ def completeness(df: DataFrame, required: Iterable[str]) -> DataFrame:
         "score", share(F.col("filled"), F.col("expected")).cast("double"))
 
 
-def _passing(df: DataFrame, broken: Iterable[Column]) -> DataFrame:
+def passing(df: DataFrame, broken: Iterable[Column]) -> DataFrame:
     """Rows that break none of the predicates over all rows; an unknown predicate does not count against a row."""
     any_broken = reduce(Column.__or__, [F.coalesce(b, F.lit(False)) for b in broken])
     return df.agg(F.count_if(~any_broken).alias("passing"), F.count(F.lit(1)).alias("rows")).withColumn(
@@ -208,12 +208,12 @@ def _passing(df: DataFrame, broken: Iterable[Column]) -> DataFrame:
 
 
 def accuracy(sales: DataFrame) -> DataFrame:
-    return _passing(sales, [P.revenue_gap() > F.lit(P.CENT), P.profit_gap() > F.lit(P.CENT)])
+    return passing(sales, [P.revenue_gap() > F.lit(P.CENT), P.profit_gap() > F.lit(P.CENT)])
 
 
 def consistency(tables: Mapping[str, DataFrame], keys=RELATIONSHIPS) -> DataFrame:
     flagged, flags = K.with_orphan_flags(tables["fact_sales"], list(keys), tables)
-    return _passing(flagged, flags.values())
+    return passing(flagged, flags.values())
 
 
 def uniqueness(df: DataFrame, key: str) -> DataFrame:
@@ -225,7 +225,7 @@ def uniqueness(df: DataFrame, key: str) -> DataFrame:
 def validity(df: DataFrame, checks: Iterable[Check], as_of=None) -> DataFrame:
     """Rows that pass ALL format, range and list checks."""
     chosen = [c for c in checks if is_row_local(c) and c.kind != "not_null" and c.dimension == "Validity"]
-    return _passing(df, [violation(c, df, as_of) for c in chosen])
+    return passing(df, [violation(c, df, as_of) for c in chosen])
 
 
 def load_punctuality(log: DataFrame, deadline_hour: int = 6) -> DataFrame:
