@@ -68,6 +68,9 @@ SELECT customer_key, customer_id, effective_date, CASE WHEN old THEN {CLOSED} EL
     "R7_clean_fact": totals(f"NOT ({ORPHAN})"),
     "R7_quarantined_orphans": with_star(
         f"SELECT * REPLACE ({MONEY}), DATE '{AS_OF}' AS quarantined_at FROM x_fact_sales WHERE {ORPHAN}"),
+    "R7_routed_in_one_pass": with_star(f"""
+SELECT CASE WHEN {ORPHAN} THEN 'orphan' ELSE 'clean' END AS side, store_key, count(*) AS rows,
+  CAST(sum(net_revenue) AS DOUBLE) AS net_revenue FROM x_fact_sales GROUP BY 1, 2"""),
     "R7_rows_conserved": with_star("SELECT count(*) AS rows_in, count(*) AS rows_out FROM x_fact_sales"),
     "R8_sales_kept": totals("NOT coalesce(quantity < 1, false)"),
     "R8_returns_moved": totals("quantity < 1"),

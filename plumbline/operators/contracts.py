@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions import keys as K
 from plumbline.functions.keys import ForeignKey
 from plumbline.operators import anomaly, checks as C, integrity, scores
 from plumbline.operators.checks import Check, Suite
@@ -244,32 +245,69 @@ def rule_report(tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
         F.when(F.count_if(F.col("status") == "FAIL") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
+def _need(percentage: str) -> float:
+    return float(Decimal(percentage.rstrip("%")) / 100)
+
+
 def _level(table: str, level: str, measured: DataFrame, required: str) -> DataFrame:
-    needed = float(Decimal(required.rstrip("%")) / 100)
-    return measured.select(F.lit(table).alias("table_name"), F.lit(level).alias("service_level"),
-                           F.col("score").alias("measured"), F.lit(needed).alias("required"),
-                           F.when(F.col("score") >= needed, "MET").otherwise("MISSED").alias("status"))
+    return _judged(measured.select(F.lit(table).alias("table_name"), F.lit(level).alias("service_level"),
+                                   F.col("score").alias("measured"), F.lit(_need(required)).alias("required")))
 
 
-def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract], log: DataFrame | None = None,
-                   as_of: str | None = None) -> DataFrame:
-    """Measured against required share for every percentage level, plus freshness where a load log is given."""
-    parts = []
+def _judged(levels: DataFrame) -> DataFrame:
+    return levels.withColumn("status", F.when(F.col("measured") >= F.col("required"), "MET").otherwise("MISSED"))
+
+
+def _row_levels(tables: Mapping[str, DataFrame], table: str, contracts: list[Contract]) -> DataFrame | None:
+    """Completeness, accuracy and integrity levels of one table from ONE scan and one aggregate."""
+    df, wanted, aggregates = tables[table], [], {"n": F.count(F.lit(1))}
+    if any(level in c.servicelevels for c in contracts for level in INTEGRITY_LEVELS):
+        df, flags = K.with_orphan_flags(df, list(integrity.RELATIONSHIPS), tables)
+        aggregates["linked"] = F.count_if(~reduce(lambda a, b: a | b, flags.values()))
     for c in contracts:
         for level, spec in c.servicelevels.items():
-            share = spec.get("percentage")
             if level == "completeness" and c.table:
-                parts.append(_level(c.table, level, scores.completeness(tables[c.table], c.required_columns()), share))
+                names = c.required_columns()
+                aggregates["filled"] = reduce(lambda a, b: a + b, [F.count(n) for n in names])
+                wanted.append((level, spec, "filled", f"n * {len(names)}"))
             elif level == "accuracy":
-                rules = [k for k in compile_suite(c).checks if k.kind in ("row_rule", "matches")
-                         and (k.kind == "row_rule" or k.mostly < 1)]
-                parts.append(_level(c.table, level, _row_accuracy(tables[c.table], rules), share))
-            elif level == "uniqueness":
+                rules = [k for k in compile_suite(c).checks
+                         if k.kind == "row_rule" or (k.kind == "matches" and k.mostly < 1)]
+                broken = reduce(lambda a, b: a | b, [F.coalesce(violation(r, df), F.lit(False)) for r in rules])
+                aggregates["accurate"] = F.count_if(~broken)
+                wanted.append((level, spec, "accurate", "n"))
+            elif level in INTEGRITY_LEVELS:
+                wanted.append((level, spec, "linked", "n"))
+    if not wanted:
+        return None
+    rows = ", ".join(f"named_struct('service_level', '{level}', 'part', {part}, 'whole', {whole}, "
+                     f"'required', {_need(spec['percentage'])!r}D)" for level, spec, part, whole in wanted)
+    long = df.agg(*[e.alias(name) for name, e in aggregates.items()]).selectExpr(f"inline(array({rows}))")
+    return _judged(long.select(F.lit(table).alias("table_name"), "service_level",
+                               scores.share(F.col("part"), F.col("whole")).cast("double").alias("measured"),
+                               "required"))
+
+
+INTEGRITY_LEVELS = ("consistency", "referential_integrity")
+
+
+def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract], log: DataFrame | None = None,
+                   as_of: str | None = None, policy_table: str = "fact_sales") -> DataFrame:
+    """Measured against required share for every level, plus freshness and punctuality where a load log is given.
+
+    A policy contract without a table of its own is judged on ``policy_table``.
+    """
+    contracts, parts = list(contracts), []
+    by_table: dict[str, list[Contract]] = {}
+    for c in contracts:
+        by_table.setdefault(c.table or policy_table, []).append(c)
+    parts += [p for p in (_row_levels(tables, t, listed) for t, listed in by_table.items()) if p is not None]
+    for c in contracts:
+        for level, spec in c.servicelevels.items():
+            share = spec.get("percentage")
+            if level == "uniqueness":
                 key = next(f.name for f in c.fields if f.primary)
                 parts.append(_level(c.table, level, scores.uniqueness(tables[c.table], key), share))
-            elif level in ("consistency", "referential_integrity"):
-                name = c.table or "fact_sales"
-                parts.append(_level(name, level, scores.consistency(tables), share))
             elif level == "volume":
                 days = anomaly.daily_limits(tables[c.table], spec["minimum_daily_rows"])
                 score = days.agg(F.avg(F.when(F.col("status") != "BELOW_MINIMUM", 1.0).otherwise(0.0)).alias("score"))
@@ -286,10 +324,6 @@ def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract
     return reduce(DataFrame.unionByName, parts)
 
 
-def _row_accuracy(df: DataFrame, rules: list[Check]) -> DataFrame:
-    return scores.passing(df, [violation(r, df) for r in rules])
-
-
 def _hours(threshold: str) -> int:
     """A duration such as 24h or 7d in hours."""
     return int(threshold[:-1]) * {"h": 1, "d": 24}[threshold[-1]]

@@ -117,10 +117,11 @@ def negative_quantity(sales: DataFrame, rows: int = RETURN_ROWS) -> DataFrame:
 
 def inject(tables: Mapping[str, DataFrame], as_of: dt.date) -> Warehouse:
     """The warehouse with all eight defects."""
-    customers = segment_typo(sentinel_email(duplicate_current(null_email(tables["dim_customer"]), as_of)))
-    products = cost_over_price(zero_price(tables["dim_product"]))
-    sales = negative_quantity(orphan_rows(tables["fact_sales"]))
-    return Warehouse(tables).replaced(dim_customer=customers, dim_product=products, fact_sales=sales)
+    return Warehouse(tables).replaced(
+        dim_customer=lambda: segment_typo(sentinel_email(duplicate_current(null_email(tables["dim_customer"]),
+                                                                           as_of))),
+        dim_product=lambda: cost_over_price(zero_price(tables["dim_product"])),
+        fact_sales=lambda: negative_quantity(orphan_rows(tables["fact_sales"])))
 
 
 # --- audit ---------------------------------------------------------------------------------------------------------

@@ -83,6 +83,23 @@ def split_orphans(fact: DataFrame, key: ForeignKey, tables: Mapping[str, DataFra
     return clean.select(*fact.columns), orphans.select(*fact.columns)
 
 
+def write_split(df: DataFrame, condition: Column, path: str) -> tuple[DataFrame, DataFrame]:
+    """(kept, moved) written in one pass over the input, one folder each, and read back from there."""
+    spark = df.sparkSession
+    df.withColumn("moved", F.coalesce(condition, F.lit(False))).write.mode("overwrite").partitionBy("moved").parquet(path)
+    stored = spark.read.schema(df.withColumn("moved", F.lit(False)).schema).parquet(path)
+    return stored.where(~F.col("moved")).drop("moved"), stored.where("moved").drop("moved")
+
+
+def route_orphans(fact: DataFrame, key: ForeignKey, tables: Mapping[str, DataFrame],
+                  path: str) -> tuple[DataFrame, DataFrame]:
+    """``split_orphans`` for large facts: the fact is read once and both sides are stored."""
+    flagged, flags = K.with_orphan_flags(fact, [key], tables)
+    condition = flags[key.column]
+    clean, orphans = write_split(flagged.select(*fact.columns, condition.alias("orphan")), F.col("orphan"), path)
+    return clean.drop("orphan"), orphans.drop("orphan")
+
+
 def split_returns(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split(fact, F.col("quantity") < 1)
 

@@ -59,6 +59,15 @@ def conserved(spark, sf_dir):
     return repair.conserved(w["fact_sales"], repair.split_returns(clean) + (orphans,))
 
 
+def routed(spark, sf_dir):
+    """Both sides of the orphan split, written in one pass."""
+    w = mirror(spark, sf_dir)
+    sides = repair.route_orphans(w["fact_sales"], CUSTOMER, w, new_table_path(spark, "fact_split"))
+    return reduce(DataFrame.unionAll, [
+        totals(df).select(F.lit(name).alias("side"), "store_key", "rows", "net_revenue")
+        for name, df in zip(("clean", "orphan"), sides)])
+
+
 def returns(side: int):
     return lambda spark, sf_dir: totals(repair.split_returns(mirror(spark, sf_dir)["fact_sales"])[side])
 
@@ -119,6 +128,7 @@ QUERIES = {
     "R6_backfill_price": backfill,
     "R7_clean_fact": split_by_key(0),
     "R7_quarantined_orphans": split_by_key(1),
+    "R7_routed_in_one_pass": routed,
     "R7_rows_conserved": conserved,
     "R8_sales_kept": returns(0),
     "R8_returns_moved": returns(1),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,13 +11,19 @@ from plumbline.sources.schemas import WAREHOUSE, schema
 
 
 class Warehouse(Mapping[str, DataFrame]):
-    """Named tables of one warehouse. Tables are lazy; nothing is read until a job runs."""
+    """Named tables of one warehouse: DataFrames, or functions that build them when first asked for."""
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
-        self._tables = dict(tables)
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        self._tables = dict(tables.parts() if isinstance(tables, Warehouse) else tables)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._tables[name]
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
+
+    def parts(self) -> dict[str, DataFrame | Callable[[], DataFrame]]:
+        return dict(self._tables)
 
     def __iter__(self):
         return iter(self._tables)
@@ -25,7 +31,7 @@ class Warehouse(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._tables)
 
-    def replaced(self, **tables: DataFrame) -> "Warehouse":
+    def replaced(self, **tables: DataFrame | Callable[[], DataFrame]) -> "Warehouse":
         """The same warehouse with some tables swapped; the original stays as it is."""
         return Warehouse({**self._tables, **tables})
 
@@ -35,7 +41,7 @@ class Warehouse(Mapping[str, DataFrame]):
 
     def register_views(self) -> None:
         """Make every table reachable from ``spark.sql`` under its plain name."""
-        for name, df in self._tables.items():
+        for name, df in self.items():
             df.createOrReplaceTempView(name)
 
     def snapshot(self, spark: SparkSession, path: str) -> "Warehouse":
@@ -43,10 +49,10 @@ class Warehouse(Mapping[str, DataFrame]):
 
         Defects and repairs work on the copy, so the source cannot change under them.
         """
-        for name, df in self._tables.items():
+        for name, df in self.items():
             df.write.mode("overwrite").parquet(os.path.join(path, name))
         return Warehouse({name: spark.read.schema(df.schema).parquet(os.path.join(path, name))
-                          for name, df in self._tables.items()})
+                          for name, df in self.items()})
 
 
 def from_parquet(spark: SparkSession, root: str, names: Iterable[str] = WAREHOUSE) -> Warehouse:
