@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.star import score, with_star
+from oracle.star import mean, score, with_star
 from plumbline.plans.suites import consolidated
 
 NOW = "2024-01-20 07:30:00"
@@ -115,7 +115,7 @@ FROM load_log l WHERE load_date = (SELECT max(load_date) FROM load_log m WHERE m
     "H8_daily_limits": limits("daily_load", 100, 600),
     "H8_daily_limits_sales": limits("dated_sales", 50000, 500000),
     "H9_score_trends": with_star(trends(
-        f"SELECT load_date, round(avg({score('(total - fail)', 'total')}), 8) AS score FROM ({daily_runs(CHECKS)}) "
+        f"SELECT load_date, {mean(score('(total - fail)', 'total'))} AS score FROM ({daily_runs(CHECKS)}) "
         "GROUP BY load_date")),
     "H9_score_trends_per_feed": with_star(trends(
         "SELECT event_type, load_date, least(round(count(*) / 60e0, 6), 1e0) AS score FROM daily_load "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracle.anomalies import SHORT, daily_runs, r
 from oracle.defects import PROFIT_BAD, REV_BAD
 from oracle.checks import SUMMARY
-from oracle.star import AS_OF, pct, score, with_star
+from oracle.star import AS_OF, mean, pct, score, with_star
 from oracle.suites import broken, results
 from plumbline.plans.contracts import TABLES
 from plumbline.plans.suites import consolidated
@@ -21,11 +21,11 @@ SELECT DATE '{AS_OF}' AS load_date, table_name, dimension, evaluated_count AS to
 FROM results"""
 DAILY = f"""
 SELECT load_date, 'fact_sales' AS table_name, dimension,
-  round(avg({score('(total - fail)', 'total')}), 8) AS avg_score, CAST(sum(total - fail) AS BIGINT) AS total_pass,
+  {mean(score('(total - fail)', 'total'))} AS avg_score, CAST(sum(total - fail) AS BIGINT) AS total_pass,
   CAST(sum(fail) AS BIGINT) AS total_fail, CASE WHEN sum(fail) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status
 FROM ({HISTORY}) GROUP BY load_date, dimension"""
 DAILY_MIRROR = f"""
-SELECT load_date, table_name, dimension, round(avg(metric_value), 8) AS avg_score,
+SELECT load_date, table_name, dimension, {mean('metric_value')} AS avg_score,
   CAST(sum(total - fail) AS BIGINT) AS total_pass, CAST(sum(fail) AS BIGINT) AS total_fail,
   CASE WHEN sum(fail) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status
 FROM ({RUNS}) GROUP BY load_date, table_name, dimension"""
@@ -59,7 +59,7 @@ def passing(conditions: list[str], table: str) -> str:
 METRICS = f"""
 SELECT q.load_date, s AS overall_quality_score, s - max(s) OVER (ORDER BY q.load_date ROWS BETWEEN 3 PRECEDING AND
     3 PRECEDING) AS score_3day_trend, row_count AS daily_row_count, a7, orphans
-FROM (SELECT load_date, round(avg({score('(total - fail)', 'total')}), 8) AS s FROM ({HISTORY}) GROUP BY load_date) q
+FROM (SELECT load_date, {mean(score('(total - fail)', 'total'))} AS s FROM ({HISTORY}) GROUP BY load_date) q
 JOIN (SELECT load_date, row_count, {r(f'avg(row_count) OVER (ORDER BY load_date {SHORT})', 6)} AS a7 FROM
   (SELECT load_date, count(*) AS row_count FROM dated_sales GROUP BY load_date)) v ON q.load_date = v.load_date
 JOIN (SELECT load_date, count(*) FILTER (WHERE customer_key NOT IN (SELECT customer_key FROM dim_customer)) AS orphans
@@ -74,16 +74,16 @@ ORACLE = {
     "K2_table_scorecard": with_star(f"""
 SELECT table_name, {', '.join(f"max(CASE WHEN dimension = '{d}' THEN avg_score END) AS {d.lower()}" for d in
                               ('Completeness', 'Accuracy', 'Consistency', 'Uniqueness', 'Validity'))},
-  round(avg(avg_score), 8) AS overall_score FROM ({DAILY_MIRROR}) GROUP BY table_name""", CHECKED),
+  round(avg(avg_score), 10) AS overall_score FROM ({DAILY_MIRROR}) GROUP BY table_name""", CHECKED),
     "K3_trend": with_star(f"""
-SELECT load_date, round(avg(avg_score), 6) AS overall,
-  round(avg(avg_score) FILTER (WHERE dimension = 'Validity'), 6) AS validity,
-  round(avg(avg_score) FILTER (WHERE dimension = 'Consistency'), 6) AS consistency, 0.995e0 AS target_line
+SELECT load_date, round(avg(avg_score), 10) AS overall,
+  round(avg(avg_score) FILTER (WHERE dimension = 'Validity'), 10) AS validity,
+  round(avg(avg_score) FILTER (WHERE dimension = 'Consistency'), 10) AS consistency, 0.995e0 AS target_line
 FROM ({DAILY}) WHERE load_date >= DATE '2001-08-01' - INTERVAL 30 DAY GROUP BY load_date"""),
     "K4_active_issues": with_star(f"""
 SELECT severity, count(*) AS issue_count, string_agg(issue_id, ',' ORDER BY issue_id) AS issue_ids FROM {OPEN}
 GROUP BY severity""", CHECKED),
-    "K6_overall_score": with_star(f"SELECT dimension, round(avg(metric_value), 6) AS score FROM ({RUNS}) "
+    "K6_overall_score": with_star(f"SELECT dimension, {mean('metric_value')} AS score FROM ({RUNS}) "
                                   "GROUP BY ROLLUP (dimension)", CHECKED),
     "K6_hours_since_last_run": with_star(
         "SELECT round(date_sub('minute', max(load_timestamp), TIMESTAMP '2024-02-01 00:00:00') / 60e0, 4) "
@@ -114,9 +114,9 @@ FROM (SELECT min(ts) FILTER (WHERE event_type = 'error') AS injected_at,
   FROM events GROUP BY user_id, CAST(ts AS DATE)) WHERE errors > 0""",
     "K14_summary": with_star(SUMMARY, {"results": results(SUITES.values())}),
     "K15_against_target": with_star(f"""
-SELECT dimension, score, {TARGET} AS target, round(score - {TARGET}, 6) + CAST(0 AS DOUBLE) AS gap,
+SELECT dimension, score, {TARGET} AS target, round(score - {TARGET}, 8) + CAST(0 AS DOUBLE) AS gap,
   CASE WHEN score >= {TARGET} THEN 'ON_TARGET' ELSE 'BELOW_TARGET' END AS status
-FROM (SELECT dimension, round(avg(metric_value), 6) AS score FROM ({RUNS}) GROUP BY dimension)""", CHECKED),
+FROM (SELECT dimension, {mean('metric_value')} AS score FROM ({RUNS}) GROUP BY dimension)""", CHECKED),
     "K16_issue_catalogue": with_star(f"""
 SELECT issue_id, tab AS table_name, cols AS columns, dim AS dimension, i.severity AS severity, rule, threshold,
   unexpected_count AS volume, unexpected_pct AS volume_pct, status

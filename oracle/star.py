@@ -137,3 +137,9 @@ def score(part: str, whole: str) -> str:
     """Share rounded half up to four decimals; 1 for an empty whole."""
     return (f"coalesce(CAST((CAST({part} AS HUGEINT) * 20000 + {whole}) // nullif(CAST({whole} AS HUGEINT) * 2, 0) "
             f"AS DOUBLE) / 10000, 1.0)")
+
+
+def mean(score_expr: str) -> str:
+    """Mean of scores with four decimals, rounded half up to eight, in whole numbers."""
+    return (f"CAST((sum(CAST(round(({score_expr}) * 10000) AS HUGEINT)) * 20000 + count(*)) // (count(*) * 2) AS DOUBLE)"
+            " / 100000000")

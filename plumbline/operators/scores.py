@@ -64,10 +64,15 @@ def daily_runs(df: DataFrame, suite: Suite, day: str = "load_date", as_of=None)
                        F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
+def mean_score(column: str = "metric_value") -> Column:
+    """Mean of exact decimal scores, rounded half up to eight decimals."""
+    return F.round(F.avg(column), 8).cast("double")
+
+
 def daily_scores(runs: DataFrame) -> DataFrame:
     """Average score, passes, failures and status per day, table and dimension."""
     return runs.groupBy("load_date", "table_name", "dimension").agg(
-        F.round(F.avg("metric_value"), 8).cast("double").alias("avg_score"), F.sum("pass_count").alias("total_pass"),
+        mean_score().alias("avg_score"), F.sum("pass_count").alias("total_pass"),
         F.sum("fail_count").alias("total_fail"),
         F.when(F.sum("fail_count") == 0, "PASS").otherwise("FAIL").alias("overall_status"))
 
@@ -81,23 +86,23 @@ def table_scorecard(scores: DataFrame, load_date: str) -> DataFrame:
     today = scores.where(F.col("load_date") == F.lit(load_date).cast("date"))
     return (today.groupBy("table_name")
             .agg(*[F.max(F.when(F.col("dimension") == d, F.col("avg_score"))).alias(d.lower()) for d in SCORECARD],
-                 P.rounded(F.avg("avg_score"), 8).alias("overall_score"))
+                 P.rounded(F.avg("avg_score"), 10).alias("overall_score"))
             .orderBy("overall_score", "table_name"))
 
 
 def trend(scores: DataFrame, as_of: str, days: int = 30, target: float = TARGET) -> DataFrame:
     """Overall, validity and consistency score of the last days, with the target."""
-    only = lambda d: P.rounded(F.avg(F.when(F.col("dimension") == d, F.col("avg_score"))), 6)
+    only = lambda d: P.rounded(F.avg(F.when(F.col("dimension") == d, F.col("avg_score"))), 10)
     return (scores.where(F.col("load_date") >= F.date_sub(P.as_date(as_of), days))
             .groupBy("load_date")
-            .agg(P.rounded(F.avg("avg_score"), 6).alias("overall"), only("Validity").alias("validity"),
+            .agg(P.rounded(F.avg("avg_score"), 10).alias("overall"), only("Validity").alias("validity"),
                  only("Consistency").alias("consistency"))
             .withColumn("target_line", F.lit(target)).orderBy("load_date"))
 
 
 def overall(runs: DataFrame) -> DataFrame:
     """Score per dimension and over all of them (dimension NULL)."""
-    return runs.rollup("dimension").agg(P.rounded(F.avg("metric_value").cast("double"), 6).alias("score"))
+    return runs.rollup("dimension").agg(mean_score().alias("score"))
 
 
 def hours_since_last_run(history: DataFrame, as_of: str, column: str = "run_ts") -> DataFrame:
@@ -183,9 +188,8 @@ TARGETS = {"Completeness": 1.0, "Accuracy": 0.995, "Consistency": 1.0, "Uniquene
 def against_target(runs: DataFrame) -> DataFrame:
     """Score, target, gap and status per dimension."""
     target = F.create_map(*[F.lit(v) for item in TARGETS.items() for v in item])[F.col("dimension")]
-    score = F.avg("metric_value").cast("double")
-    return (runs.groupBy("dimension").agg(P.rounded(score, 6).alias("score"))
-            .select("dimension", "score", target.alias("target"), P.rounded(F.col("score") - target, 6).alias("gap"),
+    return (runs.groupBy("dimension").agg(mean_score().alias("score"))
+            .select("dimension", "score", target.alias("target"), P.rounded(F.col("score") - target, 8).alias("gap"),
                     F.when(F.col("score") >= target, "ON_TARGET").otherwise("BELOW_TARGET").alias("status")))
 
 

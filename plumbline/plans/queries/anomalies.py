@@ -28,7 +28,7 @@ def daily_quality(spark, sf_dir):
     """Mean score of the fact per day."""
     runs = scores.daily_runs(sales(spark, sf_dir), consolidated()["fact_sales"].subset(kinds=["between",
                                                                                               "revenue_identity"]))
-    return runs.groupBy("load_date").agg(F.round(F.avg("metric_value"), 8).cast("double").alias("score"))
+    return runs.groupBy("load_date").agg(scores.mean_score().alias("score"))
 
 
 def trends(spark, sf_dir):

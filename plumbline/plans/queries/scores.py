@@ -49,7 +49,7 @@ def alert_metrics(spark, sf_dir):
     """One metric row per load day, from the daily quality and volume of the fact."""
     fact = sales(spark, sf_dir)
     quality = history(spark, sf_dir).groupBy("load_date").agg(
-        F.round(F.avg("metric_value"), 8).cast("double").alias("overall_quality_score"))
+        scores.mean_score().alias("overall_quality_score"))
     trend = anomaly.score_trends(quality, score="overall_quality_score")
     volume = anomaly.volume_bands(fact).select("load_date", F.col("row_count").alias("daily_row_count"),
                                                "rolling_7d_avg")

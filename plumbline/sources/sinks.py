@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def moment(at: dt.datetime) -> Column:
+    """A wall-clock time in the session's time zone, whatever the zone of the driver process."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def write_run(results: DataFrame, path: str, run_id: str, run_ts: dt.datetime, load_date: dt.date) -> None:
     """Store the results of one run; storing the same run again replaces it.
 
     The run is its own partition, so a repeated write overwrites exactly the rows of that run.
     """
-    (results.withColumn("run_ts", F.lit(run_ts))
+    (results.withColumn("run_ts", moment(run_ts))
      .withColumn("load_date", F.lit(load_date))
      .withColumn("run_id", F.lit(run_id))
      .coalesce(1)
@@ -29,7 +33,7 @@ def append_by_date(df: DataFrame, path: str, date_column: str = "load_date") ->
 
 def quarantine(rows: DataFrame, path: str, as_of: dt.datetime) -> None:
     """Keep rejected rows, whole, with the time they were set aside. Creates the table on first use."""
-    rows.withColumn("quarantined_at", F.lit(as_of)).write.mode("append").parquet(path)
+    rows.withColumn("quarantined_at", moment(as_of)).write.mode("append").parquet(path)
 
 
 def empty_like(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -41,7 +45,3 @@ def empty_like(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def path_of(root: str, table: str) -> str:
-    return os.path.join(root, table)
