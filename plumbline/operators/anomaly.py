@@ -117,9 +117,8 @@ def freshness_sla(log: DataFrame, table: str, as_of: str, deadline_hour: int = 6
     kind = log.schema["load_timestamp"].dataType
     now = F.lit(as_of).cast(kind)
     deadline = (F.to_date(now).cast(kind) + F.expr(f"interval {deadline_hour} hours"))
-    last = F.max("load_timestamp")
     return (log.where((F.col("table_name") == table) & (F.col("load_date") == F.to_date(now)))
-            .agg(F.max(F.to_date(now)).alias("seen"), last.alias("last"))
+            .agg(F.max("load_timestamp").alias("last"))
             .select(F.to_date(now).alias("check_date"), _hours(now, F.col("last")).alias("hours_since_load"),
                     F.when(F.col("last") < deadline, "SLA_MET").otherwise("SLA_BREACH").alias("sla_status")))
 

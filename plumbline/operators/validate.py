@@ -7,10 +7,11 @@ Checks that need groups share one shuffle per key set. Every part yields a few r
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.functions import keys as K
@@ -119,8 +120,9 @@ def with_status(results: DataFrame) -> DataFrame:
 
 # --- the parts of a suite ------------------------------------------------------------------------------------------
 
-def _fused(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[str, Column], as_of, nulls) -> DataFrame:
-    """All row-local checks of the suite in one aggregate over one scan."""
+def _one_scan(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[str, Column], as_of,
+              nulls: str) -> tuple[list[Column], list[str]]:
+    """The aggregates of all row-local checks, and the result rows over them."""
     aggregates: dict[str, Column] = {"n": F.count(F.lit(1))}
     rows = []
     for check in checks:
@@ -142,13 +144,13 @@ def _fused(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[str,
             if total not in aggregates:
                 aggregates[total] = F.count(column)
         rows.append(_row(suite, check, total, broken))
-    return _unfold(df.agg(*[expr.alias(name) for name, expr in aggregates.items()]), rows)
+    return [expr.alias(name) for name, expr in aggregates.items()], rows
 
 
 def _column_order(df: DataFrame, suite: Suite, checks: list[Check]) -> DataFrame:
     """Schema drift: decided from metadata, no table is read."""
     found = ",".join(df.columns)
-    return _unfold(df.sparkSession.range(1),
+    return _unfold(df.sparkSession.range(0, 1, 1, 1),
                    [_row(suite, c, "1", str(int(df.columns != list(c.args["names"]))), _text(found)) for c in checks])
 
 
@@ -231,7 +233,8 @@ def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None =
     one_scan = [c for c in suite.checks if is_row_local(c) or c.kind in ("row_count", "boolean_share")
                 or (c.kind == "references" and c.column_name in small)]
     if one_scan:
-        parts.append(_fused(scan, suite, one_scan, flags, as_of, nulls))
+        aggregates, rows = _one_scan(scan, suite, one_scan, flags, as_of, nulls)
+        parts.append(_unfold(scan.agg(*aggregates), rows))
     schema_checks = [c for c in suite.checks if c.kind == "column_order"]
     if schema_checks:
         parts.append(_column_order(df, suite, schema_checks))
@@ -256,6 +259,28 @@ def validate_all(tables: Mapping[str, DataFrame], suites: Mapping[str, Suite], *
                   [validate(tables[s.table], s, tables, as_of=as_of, nulls=nulls) for s in chosen])
 
 
+def validate_on_write(df: DataFrame, suite: Suite, *, as_of=None,
+                      nulls: str = "ignore") -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """Run the row-local checks of a suite while the table is being written, without a scan of their own.
+
+    Returns the table to write, and a function that gives the results once the write is done::
+
+        loaded, results = validate_on_write(staged, suite)
+        loaded.write.parquet(path)
+        results().show()
+    """
+    checks = [c for c in suite.checks if is_row_local(c) or c.kind in ("row_count", "boolean_share")]
+    aggregates, rows = _one_scan(df, suite, checks, {}, as_of, nulls)
+    seen = Observation(f"{suite.name}_{uuid.uuid4().hex}")
+
+    def results() -> DataFrame:
+        counts = seen.get
+        schema = ", ".join(f"`{name}` bigint" for name in counts)
+        return with_status(_unfold(df.sparkSession.createDataFrame([tuple(counts.values())], schema), rows))
+
+    return df.observe(seen, *aggregates), results
+
+
 def violating_rows(df: DataFrame, check: Check, refs: Mapping[str, DataFrame] | None = None, *, as_of=None,
                    hide: Iterable[str] = ()) -> DataFrame:
     """The rows that break a check (for key checks: the rows of the offending groups), without the hidden columns."""

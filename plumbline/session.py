@@ -26,6 +26,7 @@ def local_session(cores: int | str = 8, app: str = "plumbline", extra: dict | No
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores if str(cores).isdigit() else 8))
     )
     for key, value in {**SETTINGS, **(extra or {})}.items():

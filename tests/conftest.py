@@ -69,6 +69,17 @@ def star(spark):
     return clean_star(spark)
 
 
+@pytest.fixture(scope="session")
+def mirror_results(spark, star):
+    """Results of the full suites on the star with all defects, computed once."""
+    from plumbline.operators.defects import inject
+    from plumbline.operators.validate import validate_all
+    from plumbline.plans.suites import consolidated
+
+    results = validate_all(inject(star, "2026-04-29"), consolidated(), as_of="2026-04-29")
+    return spark.createDataFrame(results.collect(), results.schema)
+
+
 @pytest.fixture(scope="session")
 def small_star(spark):
     return clean_star(spark, 5_000)

@@ -84,12 +84,11 @@ def test_sentinels_and_status(spark):
         "optout": 4, "active": 1, "unknown": 1}
 
 
-def test_gate(star):
-    results = validate_all(defects.inject(star, AS_OF), consolidated(), as_of=AS_OF)
-    got = {r.table_name: r.decision for r in repair.gate(results).collect()}
+def test_gate(mirror_results):
+    got = {r.table_name: r.decision for r in repair.gate(mirror_results).collect()}
     assert got == {"dim_customer": "block", "dim_product": "block", "dim_store": "promote", "dim_date": "promote",
                    "fact_sales": "quarantine"}
-    assert repair.load_decision(repair.gate(results)).first().decision == "block"
+    assert repair.load_decision(repair.gate(mirror_results)).first().decision == "block"
 
 
 def test_quarantine_keeps_every_row_with_its_reasons(star):

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from plumbline.operators import defects, integrity, investigate, profile, scores
-from plumbline.operators.validate import validate, validate_all
+from plumbline.operators.validate import validate
 from plumbline.plans.suites import consolidated
 from plumbline.sources import sinks
 from plumbline.sources.registry import from_parquet
@@ -15,9 +15,8 @@ from plumbline.streaming.micro_batch import validate_stream
 AS_OF = dt.date(2026, 4, 29)
 
 
-def test_summary_adds_up(star):
-    rows = {r.table_name: r for r in scores.summary(
-        validate_all(defects.inject(star, AS_OF), consolidated(), as_of=AS_OF)).collect()}
+def test_summary_adds_up(mirror_results):
+    rows = {r.table_name: r for r in scores.summary(mirror_results).collect()}
     assert (rows["TOTAL"].total, rows["TOTAL"].failed) == (125, 11)
     assert (rows["dim_customer"].failed, rows["dim_product"].failed, rows["fact_sales"].failed) == (5, 2, 4)
     assert rows["dim_store"].pass_rate == rows["dim_date"].pass_rate == 100.0
@@ -29,9 +28,8 @@ def test_scores_are_exact_and_rounded_half_up(spark):
     assert got == [0.125, 1.0, 0.6667]
 
 
-def test_issue_list_is_ordered_by_gravity(star):
-    results = validate_all(defects.inject(star, AS_OF), consolidated(), as_of=AS_OF)
-    rows = scores.active_issues(scores.open_issues(results)).collect()
+def test_issue_list_is_ordered_by_gravity(mirror_results):
+    rows = scores.active_issues(scores.open_issues(mirror_results)).collect()
     assert [(r.severity, r.issue_ids) for r in rows] == [
         ("CRITICAL", ["DQ-002", "DQ-007"]), ("HIGH", ["DQ-001", "DQ-003", "DQ-005", "DQ-008"]),
         ("MEDIUM", ["DQ-004", "DQ-006"])]

@@ -8,7 +8,7 @@ from plumbline.functions import keys as K
 from plumbline.operators import checks as C
 from plumbline.operators import defects
 from plumbline.operators.checks import Suite
-from plumbline.operators.validate import sample_unexpected, validate, validate_all
+from plumbline.operators.validate import sample_unexpected, validate, validate_all, validate_on_write
 from plumbline.plans.suites import consolidated, modular
 
 AS_OF = dt.date(2026, 4, 29)
@@ -36,8 +36,8 @@ def test_clean_star_modular_differs_only_in_the_id_prefix(star):
     assert set(failed(validate_all(star, modular(), as_of=AS_OF))) == {("dim_product", "id_format", "product_id")}
 
 
-def test_injected_defects_fail_exactly_where_predicted(star):
-    found = failed(validate_all(defects.inject(star, AS_OF), consolidated(), as_of=AS_OF))
+def test_injected_defects_fail_exactly_where_predicted(mirror_results):
+    found = failed(mirror_results)
     assert found == {
         ("dim_customer", "not_null", "email"): 300,
         ("dim_customer", "one_current_row", "customer_id"): 10,
@@ -65,10 +65,9 @@ def test_defect_audit(star):
     assert {r.defect: r.rows for r in rows} == {**{d.name: d.expected for d in defects.DEFECTS}, "D6": 25}
 
 
-def test_all_defects_are_detected_and_none_is_missed(star):
-    results = validate_all(defects.inject(star, AS_OF), consolidated(), as_of=AS_OF)
-    assert defects.detection_rate(results).first().detection_rate == 100.0
-    outcomes = {r.outcome for r in defects.outcome(results).select("outcome").distinct().collect()}
+def test_all_defects_are_detected_and_none_is_missed(mirror_results):
+    assert defects.detection_rate(mirror_results).first().detection_rate == 100.0
+    outcomes = {r.outcome for r in defects.outcome(mirror_results).select("outcome").distinct().collect()}
     assert outcomes == {"MATCH", "UNPREDICTED_FAIL"}  # the two identities broken by the injected quantities
 
 
@@ -203,3 +202,14 @@ def test_large_dimension_is_never_broadcast_by_hint(star):
     text = plan(K.orphan_count(star["fact_sales"], key, star["dim_customer"]))
     assert "strategy=broadcast" not in text
     assert "Aggregate [customer_key" in text  # rows are reduced to keys before the join
+
+
+def test_checks_during_a_write_agree_with_a_separate_run(spark, star, tmp_path):
+    sales = defects.inject(star, AS_OF)["fact_sales"]
+    suite = consolidated()["fact_sales"]
+    loaded, results = validate_on_write(sales, suite)
+    loaded.write.parquet(str(tmp_path / "fact"))
+    during = {r.check_no: (r.evaluated_count, r.unexpected_count, r.status) for r in results().collect()}
+    after = {r.check_no: (r.evaluated_count, r.unexpected_count, r.status)
+             for r in validate(sales, suite.subset(numbers=during)).collect()}
+    assert during == after and len(during) > 15
