@@ -28,7 +28,8 @@ ORACLE = {
     "A3_head": with_star("SELECT * FROM dim_customer ORDER BY customer_key LIMIT 5"),
     "A4_snapshot": SIZES,
     "A6_validation_runs_sink": with_star(
-        f"SELECT DATE '{AS_OF}' AS load_date, table_name, dimension, count(*) AS metrics, "
+        f"SELECT CAST(2 AS BIGINT) AS run_id, '06:30' AS run_time, DATE '{AS_OF}' AS load_date, table_name, dimension, "
+        "count(*) AS metrics, "
         "CAST(sum(least(unexpected_count, evaluated_count)) AS BIGINT) AS fail_count FROM results "
         "GROUP BY table_name, dimension", {"results": results([consolidated()["dim_product"]])}),
     "A7_quarantine_table": with_star(f"""

@@ -14,6 +14,7 @@ from plumbline.functions import predicates as P
 from plumbline.operators.checks import Check, Suite
 from plumbline.operators.integrity import RELATIONSHIPS
 from plumbline.operators.validate import COLUMN_KINDS, is_row_local, violation
+from plumbline.sources.schemas import schema
 
 TARGET = 0.995
 
@@ -27,16 +28,18 @@ def share(part: Column, whole: Column) -> Column:
                       F.lit(1)).cast("decimal(8,4)")
 
 
-def runs_of(results: DataFrame, load_date: dt.date | str) -> DataFrame:
-    """Check results as rows of the run history."""
+def runs_of(results: DataFrame, load_date: dt.date | str, run_id: int = 1, run_ts: str | None = None) -> DataFrame:
+    """Check results as rows of the run history, in its declared columns."""
     total = F.coalesce("evaluated_count", "unexpected_count")
     failed = F.least("unexpected_count", total)
     issues = F.when(F.col("issue_id").isNotNull(), F.array("issue_id")).otherwise(F.array().cast("array<string>"))
-    return results.select(
-        F.lit(str(load_date)).cast("date").alias("load_date"), "table_name", "dimension",
-        F.concat_ws(":", "check_type", "column_name").alias("metric_name"),
-        share(total - failed, total).alias("metric_value"), (total - failed).alias("pass_count"),
-        failed.alias("fail_count"), total.alias("total_count"), "status", issues.alias("issue_ids"))
+    fields = {
+        "run_id": F.lit(run_id), "run_timestamp": F.lit(run_ts or str(load_date)), "table_name": F.col("table_name"),
+        "dimension": F.col("dimension"), "metric_name": F.concat_ws(":", "check_type", "column_name"),
+        "metric_value": share(total - failed, total), "pass_count": total - failed, "fail_count": failed,
+        "total_count": total, "status": F.col("status"), "issue_ids": issues, "load_date": F.lit(str(load_date))}
+    declared = schema("validation_runs")
+    return results.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in declared.fields])
 
 
 def daily_runs(df: DataFrame, suite: Suite, day: str = "load_date", as_of=None) -> DataFrame:

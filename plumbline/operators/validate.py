@@ -136,9 +136,9 @@ def _one_scan(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[s
             rows.append(_row(suite, check, "1", _unless_in(share, check), f"round({share}, 6)"))
             continue
         if check.kind == "references":
-            aggregates[broken] = F.count_if(flags[column])
+            aggregates[broken] = F.count(F.when(flags[column], 1))
         else:
-            aggregates[broken] = F.count_if(violation(check, df, as_of, nulls))
+            aggregates[broken] = F.count(F.when(violation(check, df, as_of, nulls), 1))
         if check.kind in COLUMN_KINDS and nulls == "ignore":
             total = f"c_{column}"
             if total not in aggregates:

@@ -52,10 +52,11 @@ def run_history(spark, sf_dir):
     """Two days of results appended; reading one day prunes to its partition."""
     results = validate(star(spark, sf_dir)["dim_product"], consolidated()["dim_product"], as_of=AS_OF)
     path = new_table_path(spark, "validation_runs")
-    for day in ("2026-04-28", "2026-04-29"):
-        sinks.append_by_date(runs_of(results, day), path)
+    for run, day in enumerate(("2026-04-28", "2026-04-29"), 1):
+        sinks.append_by_date(runs_of(results, day, run, f"{day} 06:30:00"), path)
     return (sinks.read_history(spark, path).where(F.col("load_date") == F.lit(AS_OF).cast("date"))
-            .groupBy("load_date", "table_name", "dimension")
+            .groupBy("run_id", "load_date", F.date_format("run_timestamp", "HH:mm").alias("run_time"), "table_name",
+                     "dimension")
             .agg(F.count(F.lit(1)).alias("metrics"), F.sum("fail_count").alias("fail_count")))
 
 

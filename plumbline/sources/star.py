@@ -35,7 +35,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _money(cents: str) -> str:
-    return f"cast(cast(floor({cents}) as decimal(10,0)) * cast(0.01 as decimal(3,2)) as decimal(12,2))"
+    return _cents(f"floor({cents})", 12)
+
+
+def _cents(cents: str, precision: int) -> str:
+    """Whole cents as a decimal amount."""
+    return f"cast(cast({cents} as decimal({precision},0)) * cast(0.01 as decimal(3,2)) as decimal({precision},2))"
 
 
 def _id(prefix: str, key: str, width: int) -> str:
@@ -115,12 +120,16 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fact_sales plus ``load_date`` as a 15th column for the daily series."""
+    """fact_sales plus ``load_date`` as a 15th column for the daily series.
+
+    All arithmetic is done in whole cents; each measure becomes a decimal once, at the end.
+    """
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    price, cost = _money("l_extendedprice * 100 / l_quantity"), _money("l_extendedprice * 50 / l_quantity")
-    discount = _money("l_extendedprice * 100 * l_discount")
-    return (read(spark, sf_dir, "lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "cast(l_quantity as int) as sold",
+        "floor(l_extendedprice * 100 / l_quantity) as price", "floor(l_extendedprice * 50 / l_quantity) as cost",
+        "floor(l_extendedprice * 100 * l_discount) as discount", "floor(l_extendedprice * 100 * l_tax) as tax")
+    return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .selectExpr(
                 "l_orderkey * 10 + l_linenumber as sales_key",
                 DAY_KEY.format("o_orderdate") + " as date_key",
@@ -130,12 +139,12 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _id("ORD-", "l_orderkey", 8) + " as order_id",
                 "l_linenumber as order_line_num",
                 "cast(case when l_orderkey % 500 = 4 then -1 else l_quantity end as int) as quantity",
-                f"{price} as unit_price",
-                f"{cost} as unit_cost",
-                f"{discount} as discount_amount",
-                f"cast(cast(l_quantity as int) * {price} - {discount} as decimal(14,2)) as net_revenue",
-                f"cast(cast(l_quantity as int) * ({price} - {cost}) - {discount} as decimal(14,2)) as gross_profit",
-                _money("l_extendedprice * 100 * l_tax") + " as tax_amount",
+                _cents("price", 12) + " as unit_price",
+                _cents("cost", 12) + " as unit_cost",
+                _cents("discount", 12) + " as discount_amount",
+                _cents("sold * price - discount", 14) + " as net_revenue",
+                _cents("sold * (price - cost) - discount", 14) + " as gross_profit",
+                _cents("tax", 12) + " as tax_amount",
                 "cast(o_orderdate as date) as load_date"))
 
 

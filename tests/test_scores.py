@@ -9,7 +9,7 @@ from plumbline.operators.validate import validate
 from plumbline.plans.suites import consolidated
 from plumbline.sources import sinks
 from plumbline.sources.registry import from_parquet
-from plumbline.sources.schemas import columns
+from plumbline.sources.schemas import columns, schema
 from plumbline.streaming.micro_batch import validate_stream
 
 AS_OF = dt.date(2026, 4, 29)
@@ -53,6 +53,15 @@ def test_repeated_run_replaces_itself(spark, star, tmp_path):
         "a": 23, "b": 23}
 
 
+def test_history_rows_have_the_declared_columns(mirror_results):
+    rows = scores.runs_of(mirror_results, AS_OF, 7, "2026-04-29 06:30:00")
+    assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in schema("validation_runs")]
+    row = rows.where("metric_name = 'not_null:email'").first()
+    assert (row.run_id, row.pass_count, row.fail_count, row.total_count, row.issue_ids) == (
+        7, 9_710, 300, 10_010, ["DQ-001"])
+    assert float(row.metric_value) == 0.97
+
+
 def test_snapshot_is_independent(spark, small_star, tmp_path):
     copy = small_star.snapshot(spark, str(tmp_path / "mirror"))
     assert copy["fact_sales"].count() == 5_000
