@@ -100,7 +100,9 @@ def with_orphan_flags(fact: DataFrame, keys: list[ForeignKey], dims: Mapping[str
                 fact = mark_missing(fact, fk.column, lost, flag).withColumn(
                     flag, F.col(fk.column).isNull() | ~F.col(flag))
             else:
-                known = key_set(dim, fk.key).select(F.col("ref_key").alias(f"{flag}_key"))
+                # Stored first: adaptive execution splits hot keys only between two plain shuffles, and an
+                # aggregate on the other side would hide its one.
+                known = durable(key_set(dim, fk.key).select(F.col("ref_key").alias(f"{flag}_key")))
                 fact = (fact.join(known, F.col(fk.column) == F.col(f"{flag}_key"), "left")
                         .withColumn(flag, F.col(f"{flag}_key").isNull()).drop(f"{flag}_key"))
         flags[fk.column] = F.col(flag)

@@ -213,3 +213,25 @@ def test_checks_during_a_write_agree_with_a_separate_run(spark, star, tmp_path):
     after = {r.check_no: (r.evaluated_count, r.unexpected_count, r.status)
              for r in validate(sales, suite.subset(numbers=during)).collect()}
     assert during == after and len(during) > 15
+
+
+def test_last_resort_join_splits_the_hot_key(spark):
+    fact = spark.range(0, 300_000, 1, 8).selectExpr("id", "if(id % 3 = 0, 7, id) as k", "repeat('x', 50) as payload")
+    dim = spark.range(0, 250_000).selectExpr("id as k")
+    tuned = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    for name, value in tuned.items():
+        spark.conf.set(name, value)
+    try:
+        flagged, flags = K.with_orphan_flags(fact, [K.ForeignKey("k", "dim", "k")], {"dim": dim}, 0)
+        # whole rows pass through, as they do into a quarantine table
+        out = flagged.select("id", "payload", flags["k"].alias("orphan"))
+        rows = out.collect()
+        assert len(rows) == 300_000
+        assert sum(r.orphan for r in rows) == sum(1 for i in range(250_000, 300_000) if i % 3)
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in tuned:
+            spark.conf.unset(name)
