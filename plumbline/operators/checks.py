@@ -206,11 +206,13 @@ EXPECTATION_TYPES = {
 def spark_sql_text(query: str, schema: str = "warehouse") -> str:
     """A PostgreSQL row check as Spark SQL text: other tables become placeholders, ``~`` becomes RLIKE.
 
-    ``CURRENT_DATE`` becomes ``{as_of}`` so that a run can be repeated for a past day.
+    ``FLOAT`` has eight bytes there and four in Spark. ``CURRENT_DATE`` becomes ``{as_of}`` so that a run can be
+    repeated for a past day.
     """
     query = re.sub(rf"\b{schema}\.(\w+)", r"{\1}", query)
     query = re.sub(r"\$'", r"\\\\z'", query)
     query = query.replace(" !~ ", " NOT RLIKE ").replace(" ~ ", " RLIKE ")
+    query = re.sub(r"\bAS FLOAT\b", "AS DOUBLE", query)
     return re.sub(r"\bCURRENT_DATE\b", "{as_of}", query)
 
 

@@ -1,11 +1,15 @@
 """Registry, catalog access, shared folder, and derived inputs."""
 
+import json
+
 import pytest
 
-from plumbline import session
+from plumbline import session, validate_all
+from plumbline.plans.suites import consolidated
 from plumbline.sources import events
 from plumbline.sources.registry import Warehouse, from_catalog
 from plumbline.sources.schemas import TABLES, columns, schema
+from plumbline.sources.suite_store import load_project, load_suites, save_suites
 
 
 def test_tables_are_built_when_asked_for(spark):
@@ -46,6 +50,43 @@ def test_shared_folder_is_the_named_one(spark):
     assert first != second and first.startswith(folder)
 
 
+def test_suites_on_disk(tmp_path):
+    save_suites(tmp_path, consolidated())
+    save_suites(tmp_path, consolidated())
+    assert load_suites(tmp_path) == consolidated()
+
+
+def test_stored_project_runs_as_it_is(spark, small_star, tmp_path):
+    """Checks written for PostgreSQL by another tool, with the pairing of suite and table in a file of its own."""
+    sql = lambda text, **meta: {"type": "unexpected_rows_expectation", "kwargs": {"unexpected_rows_query": text},
+                                "meta": meta}
+    suites = {
+        "calendar": [sql("SELECT date_key FROM {batch} WHERE EXTRACT(YEAR FROM full_date)::INT <> year_number + 1"),
+                     sql("SELECT 1 AS x FROM (SELECT CAST(COUNT(*) FILTER (WHERE is_weekend = TRUE) AS FLOAT) "
+                         "/ NULLIF(COUNT(*), 0) AS w FROM {batch}) r WHERE r.w NOT BETWEEN 0.25 AND 0.32"),
+                     sql("SELECT date_key FROM {batch} WHERE full_date > CURRENT_DATE")],
+        "stores": [sql("SELECT store_key FROM {batch} WHERE store_id !~ '^STR[0-9]+$'"),
+                   sql("SELECT region FROM (SELECT region, CAST(COUNT(*) AS FLOAT) / NULLIF(SUM(COUNT(*)) OVER (), 0) "
+                       "AS share FROM {batch} GROUP BY region) t WHERE share > 0.2", dimension="Validity"),
+                   {"type": "expect_column_values_to_be_between", "kwargs": {
+                       "column": "opening_date", "min_value": "1990-01-01", "max_value": "2030-12-31"}}],
+        "sales": [sql("SELECT f.sales_key FROM {batch} f LEFT JOIN warehouse.dim_store s ON f.store_key = s.store_key "
+                      "WHERE s.store_key IS NULL", dimension="Consistency", issue_id="X-1", predicted="FAIL"),
+                  sql("SELECT sales_key FROM {batch} WHERE ABS(net_revenue - (quantity * unit_price)) > 0.01")],
+    }
+    for folder in ("expectations", "validation_definitions"):
+        (tmp_path / folder).mkdir()
+    for (name, checks), table in zip(suites.items(), ("dim_date", "dim_store", "fact_sales")):
+        (tmp_path / "expectations" / f"{name}.json").write_text(json.dumps({"name": name, "expectations": checks}))
+        (tmp_path / "validation_definitions" / f"v_{name}.json").write_text(json.dumps(
+            {"suite": {"name": name}, "data": {"asset": {"name": table}, "batch_definition": {"name": "whole"}}}))
+    w = small_star.replaced(dim_store=small_star["dim_store"].where("store_key > 2"))
+    got = {(r.table_name, r.check_no): r.unexpected_count
+           for r in validate_all(w, load_project(tmp_path), as_of="2024-06-30").collect()}
+    assert got == {("dim_date", 1): 366, ("dim_date", 2): 0, ("dim_date", 3): 184, ("dim_store", 1): 0,
+                   ("dim_store", 2): 4, ("dim_store", 3): 0, ("fact_sales", 1): 50, ("fact_sales", 2): 5000}
+
+
 def test_a_cluster_must_name_its_folder():
     class Context:
         master = "yarn"
