@@ -1,4 +1,4 @@
-"""Column expressions shared by checks, profiles, defects and repairs. All are built-in and run inside code generation."""
+"""Column expressions shared by checks, profiles, defects and repairs; all built-in, inside code generation."""
 
 from __future__ import annotations
 
@@ -76,7 +76,3 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 def rounded(value: Column, digits: int) -> Column:
     """Rounded double without a negative zero."""
     return F.round(value, digits).cast("double") + F.lit(0.0)
-
-
-def hit_count(condition: Column) -> Column:
-    return F.count_if(condition)

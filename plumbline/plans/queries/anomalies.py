@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import anomaly, scores
 from plumbline.plans.suites import consolidated
 from plumbline.sources.events import daily_load, load_log
-from plumbline.sources.star import sales, star
+from plumbline.sources.star import sales
 
 NOW = "2024-01-20 07:30:00"
 

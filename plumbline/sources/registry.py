@@ -79,3 +79,14 @@ def from_jdbc(spark: SparkSession, url: str, database: str, names: Iterable[str]
             reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts)
         tables[name] = reader.load()
     return Warehouse(tables)
+
+
+def save_bucketed(df: DataFrame, table: str, keys: Iterable[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Store a large table bucketed by the key its checks group by.
+
+    Uniqueness and duplicate checks on these keys, and joins with a table bucketed alike, then need no shuffle.
+    """
+    keys = list(keys)
+    writer = df.write.mode("overwrite").bucketBy(buckets, *keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -4,10 +4,10 @@ import json
 
 import pytest
 
-from plumbline import session, validate_all
+from plumbline import session, validate, validate_all
 from plumbline.plans.suites import consolidated
 from plumbline.sources import events
-from plumbline.sources.registry import Warehouse, from_catalog
+from plumbline.sources.registry import Warehouse, from_catalog, save_bucketed
 from plumbline.sources.schemas import TABLES, columns, schema
 from plumbline.sources.suite_store import load_project, load_suites, save_suites
 
@@ -32,6 +32,18 @@ def test_catalog_tables(spark, small_star):
     assert w.head("dim_store", 2, "store_key").count() == 2
 
 
+def test_bucketed_table_needs_no_shuffle_for_its_key(spark, small_star, tmp_path):
+    sales = save_bucketed(small_star["fact_sales"], "bucketed_sales", ["order_id", "order_line_num"], 4,
+                          str(tmp_path / "sales"))
+    try:
+        suite = consolidated()["fact_sales"].subset(kinds=["duplicate_key"])
+        assert validate(sales, suite).first().unexpected_count == 0
+        text = validate(sales, suite)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in text
+    finally:
+        spark.sql("DROP TABLE bucketed_sales")
+
+
 def test_views(spark, small_star):
     small_star.register_views()
     assert spark.sql("select count(*) from fact_sales join dim_store using (store_key)").first()[0] == 5_000
