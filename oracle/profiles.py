@@ -159,3 +159,24 @@ SELECT CAST(d AS DATE) AS missing_date
 FROM (SELECT unnest(generate_series((SELECT min(full_date) FROM dim_date), (SELECT max(full_date) FROM dim_date),
   INTERVAL 1 DAY)) AS d) WHERE CAST(d AS DATE) NOT IN (SELECT full_date FROM dim_date)"""),
 }
+
+
+def together(table: str, *names: str) -> str:
+    """Single-row profiles side by side, each still a statement of its own."""
+    bodies = [ORACLE[n][ORACLE[n].index("SELECT", ORACLE[n].rindex("\nSELECT")):] for n in names]
+    counts = ", ".join(f"count(*) - count({c}) AS null_{c}" for c in columns(table))
+    listed = [f"SELECT count(*) AS total_rows, {counts} FROM {table}"] + bodies
+    known = "SELECT * EXCLUDE ({})".format
+    parts = [f"({listed[0]}) p0"]
+    for i, body in enumerate(listed[1:], 1):
+        doubled = [c for c in ("total_rows", "null_email") if f"AS {c}" in body]
+        parts.append(f"({known(', '.join(doubled)) if doubled else 'SELECT *'} FROM ({body})) p{i}")
+    return with_star("SELECT * FROM " + ", ".join(parts))
+
+
+ORACLE.update({
+    "P4_whole_profile_dim_customer": together("dim_customer", "P8_email_classes", "P9_date_sanity"),
+    "P4_whole_profile_dim_product": together("dim_product", "P11_price_validity"),
+    "P4_whole_profile_dim_store": together("dim_store", "P12_opening_dates"),
+    "P4_whole_profile_fact_sales": together("fact_sales", "P18_measure_validity", "P19_arithmetic"),
+})

@@ -50,9 +50,13 @@ def composite_distinct(sales: DataFrame) -> DataFrame:
                                   "distinct_order_lines": ["order_id", "order_line_num"]})
 
 
+def null_aggregates(columns: Iterable[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
+
+
 def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """One wide row with the NULLs of every column."""
-    return df.agg(total(), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns or df.columns])
+    return df.agg(total(), *null_aggregates(columns or df.columns))
 
 
 def null_rates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -77,39 +81,53 @@ def by_size(counts: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("row_count"))
 
 
-def email_classes(customers: DataFrame) -> DataFrame:
+def email_aggregates() -> list[Column]:
     email = F.col("email")
     valid = email.rlike(P.anchored(P.EMAIL))
-    return customers.agg(
-        total(), F.count_if(email.isNull()).alias("null_email"), F.count_if(email == "").alias("empty_email"),
-        F.count_if(valid).alias("valid_email_format"),
-        F.count_if((email != "") & ~valid).alias("invalid_email_format"))
+    return [F.count_if(email == "").alias("empty_email"), F.count_if(valid).alias("valid_email_format"),
+            F.count_if((email != "") & ~valid).alias("invalid_email_format")]
 
 
-def date_sanity(customers: DataFrame, as_of) -> DataFrame:
+def email_classes(customers: DataFrame) -> DataFrame:
+    return customers.agg(total(), *null_aggregates(["email"]), *email_aggregates())
+
+
+def date_aggregates(as_of) -> list[Column]:
     start, end = F.col("effective_date"), F.col("expiry_date")
-    return customers.agg(
+    return [
         F.min(start).alias("earliest_effective"), F.max(start).alias("latest_effective"),
         F.min(end).alias("earliest_expiry"), F.max(end).alias("latest_expiry"),
         F.count_if(start > P.as_date(as_of)).alias("future_effective_count"),
-        F.count_if(end < start).alias("expiry_before_effective"))
+        F.count_if(end < start).alias("expiry_before_effective")]
 
 
-def price_validity(products: DataFrame) -> DataFrame:
+def date_sanity(customers: DataFrame, as_of) -> DataFrame:
+    return customers.agg(*date_aggregates(as_of))
+
+
+def price_aggregates() -> list[Column]:
     price, cost = F.col("list_price"), F.col("cost_price")
-    return products.agg(
-        total(), F.count_if(price <= 0).alias("list_price_zero_or_negative"),
+    return [
+        F.count_if(price <= 0).alias("list_price_zero_or_negative"),
         F.count_if(cost <= 0).alias("cost_price_zero_or_negative"), F.count_if(cost > price).alias("cost_exceeds_list"),
         F.min(price).alias("min_list_price"), F.max(price).alias("max_list_price"),
         F.min(cost).alias("min_cost_price"), F.max(cost).alias("max_cost_price"),
         F.round(F.avg(price), 2).cast("decimal(14,2)").alias("avg_list_price"),
-        F.round(F.avg(cost), 2).cast("decimal(14,2)").alias("avg_cost_price"))
+        F.round(F.avg(cost), 2).cast("decimal(14,2)").alias("avg_cost_price")]
 
 
-def opening_dates(stores: DataFrame, as_of) -> DataFrame:
+def price_validity(products: DataFrame) -> DataFrame:
+    return products.agg(total(), *price_aggregates())
+
+
+def opening_aggregates(as_of) -> list[Column]:
     opened, today = F.col("opening_date"), P.as_date(as_of)
-    return stores.agg(F.min(opened).alias("earliest_opening"), F.max(opened).alias("latest_opening"),
-                      F.count_if(opened > today).alias("future_opening_count"), F.max(today).alias("today"))
+    return [F.min(opened).alias("earliest_opening"), F.max(opened).alias("latest_opening"),
+            F.count_if(opened > today).alias("future_opening_count"), F.max(today).alias("today")]
+
+
+def opening_dates(stores: DataFrame, as_of) -> DataFrame:
+    return stores.agg(*opening_aggregates(as_of))
 
 
 def calendar_coverage(days: DataFrame) -> DataFrame:
@@ -139,19 +157,34 @@ def duplicate_sample(df: DataFrame, keys: list[str], limit: int = 20) -> DataFra
             .orderBy(*keys).limit(limit))
 
 
-def measure_validity(sales: DataFrame) -> DataFrame:
+def measure_aggregates() -> list[Column]:
     bad = {"qty_zero_or_neg": "quantity <= 0", "qty_above_10000": "quantity > 10000",
            "price_zero_or_neg": "unit_price <= 0", "cost_negative": "unit_cost < 0",
            "discount_negative": "discount_amount < 0", "revenue_negative": "net_revenue < 0"}
     ranges = {"qty": "quantity", "price": "unit_price", "revenue": "net_revenue"}
-    return sales.agg(total(), *[F.count_if(F.expr(rule)).alias(name) for name, rule in bad.items()],
-                     *[f(c).alias(f"{label}_{n}") for n, c in ranges.items() for label, f in (("min", F.min),
-                                                                                           ("max", F.max))])
+    return ([F.count_if(F.expr(rule)).alias(name) for name, rule in bad.items()]
+            + [f(c).alias(f"{label}_{n}") for n, c in ranges.items() for label, f in (("min", F.min), ("max", F.max))])
+
+
+def measure_validity(sales: DataFrame) -> DataFrame:
+    return sales.agg(total(), *measure_aggregates())
+
+
+def arithmetic_aggregates() -> list[Column]:
+    return [F.count_if(P.revenue_gap() > F.lit(P.CENT)).alias("revenue_inconsistent"),
+            F.count_if(P.profit_gap() > F.lit(P.CENT)).alias("gross_profit_inconsistent")]
 
 
 def arithmetic(sales: DataFrame) -> DataFrame:
-    return sales.agg(total(), F.count_if(P.revenue_gap() > F.lit(P.CENT)).alias("revenue_inconsistent"),
-                     F.count_if(P.profit_gap() > F.lit(P.CENT)).alias("gross_profit_inconsistent"))
+    return sales.agg(total(), *arithmetic_aggregates())
+
+
+def whole_profile(df: DataFrame, table: str, as_of=None) -> DataFrame:
+    """Every single-row profile of a table at once: one scan instead of one per profile."""
+    own = {"dim_customer": lambda: email_aggregates() + date_aggregates(as_of), "dim_product": price_aggregates,
+           "dim_store": lambda: opening_aggregates(as_of),
+           "fact_sales": lambda: measure_aggregates() + arithmetic_aggregates()}
+    return df.agg(total(), *null_aggregates(df.columns), *own.get(table, list)())
 
 
 def probe(df: DataFrame, name: str, condition: str) -> DataFrame:

@@ -43,6 +43,8 @@ QUERIES = {
     "P4_null_counts_dim_product": on("dim_product", profile.null_counts),
     "P4_null_counts_dim_store": on("dim_store", profile.null_counts),
     "P4_null_counts_fact_sales": on("fact_sales", profile.null_counts),
+    **{f"P4_whole_profile_{t}": on(t, (lambda name: lambda df: profile.whole_profile(df, name, AS_OF))(t))
+       for t in ("dim_customer", "dim_product", "dim_store", "fact_sales")},
     "P5_null_rates": on("dim_customer", lambda t: profile.null_rates(t, ["email", "customer_segment"])),
     "P6_distribution_pct": on("dim_customer", lambda t: profile.by_size(
         profile.distribution(t, "customer_segment", pct=True))),
