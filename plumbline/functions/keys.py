@@ -33,6 +33,11 @@ class ForeignKey:
     def name(self) -> str:
         return f"{self.source} -> {self.table}"
 
+    @property
+    def flag(self) -> str:
+        """Name of the column that marks rows without a match; one table may be referenced by several columns."""
+        return f"missing_{self.column}_{self.table}"
+
 
 def key_set(dim: DataFrame, key: str) -> DataFrame:
     """Distinct non-null keys; a duplicated dimension key must not multiply fact rows."""
@@ -54,7 +59,8 @@ def small_enough(tables: Mapping[str, tuple[DataFrame, str]], limit: int = BROAD
 
 
 def small_foreign_keys(keys: list[ForeignKey], dims: Mapping[str, DataFrame], limit: int = BROADCAST_BYTES) -> set[str]:
-    return small_enough({k.column: (dims[k.table], k.key) for k in keys}, limit)
+    """Flags of the foreign keys whose dimension may be broadcast."""
+    return small_enough({k.flag: (dims[k.table], k.key) for k in keys}, limit)
 
 
 def mark_missing(fact: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
@@ -80,7 +86,7 @@ def orphan_count(fact: DataFrame, fk: ForeignKey, dim: DataFrame) -> DataFrame:
 
 def with_orphan_flags(fact: DataFrame, keys: list[ForeignKey], dims: Mapping[str, DataFrame],
                       limit: int = BROADCAST_BYTES) -> tuple[DataFrame, dict[str, Column]]:
-    """The fact with one boolean per foreign key, and the columns that hold them.
+    """The fact with one boolean per foreign key, and those columns by ``ForeignKey.flag``.
 
     Small dimension: broadcast its keys. Large dimension: find the missing keys first and broadcast those, if they are
     few. Only a large dimension with a large set of missing keys leads to a shuffled join, whose hot keys adaptive
@@ -89,9 +95,8 @@ def with_orphan_flags(fact: DataFrame, keys: list[ForeignKey], dims: Mapping[str
     small = small_foreign_keys(keys, dims, limit)
     flags: dict[str, Column] = {}
     for fk in keys:
-        flag = f"missing_{fk.column}"
-        dim = dims[fk.table]
-        if fk.column in small:
+        flag, dim = fk.flag, dims[fk.table]
+        if flag in small:
             fact = mark_missing(fact, fk.column, key_set(dim, fk.key), flag)
         else:
             lost = durable(missing_keys(fact, fk.column, dim, fk.key).select(F.col("used_key").alias("ref_key"))
@@ -105,5 +110,5 @@ def with_orphan_flags(fact: DataFrame, keys: list[ForeignKey], dims: Mapping[str
                 known = durable(key_set(dim, fk.key).select(F.col("ref_key").alias(f"{flag}_key")))
                 fact = (fact.join(known, F.col(fk.column) == F.col(f"{flag}_key"), "left")
                         .withColumn(flag, F.col(f"{flag}_key").isNull()).drop(f"{flag}_key"))
-        flags[fk.column] = F.col(flag)
+        flags[flag] = F.col(flag)
     return fact, flags

@@ -25,24 +25,28 @@ def orphan_report(tables: Mapping[str, DataFrame], keys=RELATIONSHIPS,
                   broadcast_bytes: int = K.BROADCAST_BYTES) -> DataFrame:
     """check_name, rule_id, orphan_count, status for every foreign key.
 
-    Keys of small dimensions are looked up in one scan of the fact; the others are counted per distinct key first.
+    Keys of small dimensions are looked up in one scan of each referring table; the others are counted per distinct
+    key first.
     """
-    fact = tables[keys[0].source]
-    small = K.small_foreign_keys(list(keys), tables, broadcast_bytes)
-    near = [k for k in keys if k.column in small]
+    keys = list(keys)
+    small = K.small_foreign_keys(keys, tables, broadcast_bytes)
+    names = [k.name for k in keys]
+    label = {k: k.name if names.count(k.name) == 1 else f"{k.source}.{k.column} -> {k.table}" for k in keys}
     parts = []
-    if near:
-        flagged, flags = fact, []
-        for fk in near:
-            flag = f"missing_{fk.column}"
-            flagged = K.mark_missing(flagged, fk.column, K.key_set(tables[fk.table], fk.key), flag)
-            flags.append(F.count_if(flag).alias(fk.name))
-        wide = flagged.agg(*flags)
-        parts.append(wide.unpivot([], wide.columns, "check_name", "orphan_count"))
-    parts += [K.orphan_count(fact, k, tables[k.table]).select(F.lit(k.name).alias("check_name"),
-                                                             F.col("orphans").alias("orphan_count"))
-              for k in keys if k.column not in small]
-    rule = F.create_map(*[F.lit(v) for k in keys for v in (k.name, k.rule_id or "")])
+    for source in dict.fromkeys(k.source for k in keys):
+        near = [k for k in keys if k.source == source and k.flag in small]
+        flagged = tables[source]
+        for k in near:
+            flagged = K.mark_missing(flagged, k.column, K.key_set(tables[k.table], k.key), k.flag)
+        if near:
+            wide = flagged.agg(*[F.count(F.when(F.col(k.flag), 1)).alias(k.flag) for k in near])
+            named = F.create_map(*[F.lit(v) for k in near for v in (k.flag, label[k])])
+            parts.append(wide.unpivot([], wide.columns, "flag", "orphan_count").select(
+                named[F.col("flag")].alias("check_name"), "orphan_count"))
+    parts += [K.orphan_count(tables[k.source], k, tables[k.table]).select(
+        F.lit(label[k]).alias("check_name"), F.col("orphans").alias("orphan_count"))
+        for k in keys if k.flag not in small]
+    rule = F.create_map(*[F.lit(v) for k in keys for v in (label[k], k.rule_id or "")])
     return reduce(DataFrame.unionByName, parts).select(
         "check_name", rule[F.col("check_name")].alias("rule_id"), F.col("orphan_count").cast("bigint"),
         F.when(F.col("orphan_count") == 0, "PASS").otherwise("FAIL").alias("status"))
@@ -57,7 +61,7 @@ def scorecard(tables: Mapping[str, DataFrame], keys=RELATIONSHIPS) -> DataFrame:
     flagged, flags = K.with_orphan_flags(tables["fact_sales"], list(keys), tables)
     broken = F.coalesce(P.revenue_gap() > F.lit(P.CENT), F.lit(False))
     dirty = reduce(Column.__or__, [*flags.values(), broken])
-    names = {k.column: f"orphan_{k.table.removeprefix('dim_')}" for k in keys}
+    names = {k.flag: f"orphan_{k.table.removeprefix('dim_')}" for k in keys}
     counted = flagged.agg(F.count(F.lit(1)).alias("fact_rows"),
                           *[F.count_if(flag).alias(names[c]) for c, flag in flags.items()],
                           F.count_if(broken).alias("revenue_broken"), F.count_if(~dirty).alias("clean_rows"))

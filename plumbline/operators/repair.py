@@ -13,7 +13,7 @@ from plumbline.functions import keys as K
 from plumbline.functions import predicates as P
 from plumbline.functions.keys import ForeignKey
 from plumbline.operators.checks import Check, Suite
-from plumbline.operators.validate import is_row_local, validate, violation
+from plumbline.operators.validate import foreign_key, is_row_local, validate, violation
 from plumbline.session import durable
 
 # Sentinels and replacements used by the repairs.
@@ -79,7 +79,7 @@ def split(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
 def split_orphans(fact: DataFrame, key: ForeignKey, tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(clean, orphans) for one foreign key."""
     flagged, flags = K.with_orphan_flags(fact, [key], tables)
-    clean, orphans = split(flagged, flags[key.column])
+    clean, orphans = split(flagged, flags[key.flag])
     return clean.select(*fact.columns), orphans.select(*fact.columns)
 
 
@@ -95,7 +95,7 @@ def route_orphans(fact: DataFrame, key: ForeignKey, tables: Mapping[str, DataFra
                   path: str) -> tuple[DataFrame, DataFrame]:
     """``split_orphans`` for large facts: the fact is read once and both sides are stored."""
     flagged, flags = K.with_orphan_flags(fact, [key], tables)
-    condition = flags[key.column]
+    condition = flags[key.flag]
     clean, orphans = write_split(flagged.select(*fact.columns, condition.alias("orphan")), F.col("orphan"), path)
     return clean.drop("orphan"), orphans.drop("orphan")
 
@@ -163,11 +163,11 @@ def load_decision(gated: DataFrame) -> DataFrame:
 def tag_violations(df: DataFrame, checks: Iterable[Check], refs: Mapping[str, DataFrame], as_of=None) -> DataFrame:
     """The table with ``violations``: names of the row checks and foreign keys each row breaks, from one scan."""
     checks = [c for c in checks if is_row_local(c) or c.kind == "references"]
-    foreign = [ForeignKey(c.columns[0], c.args["table"], c.args["key"]) for c in checks if c.kind == "references"]
+    foreign = [foreign_key(c) for c in checks if c.kind == "references"]
     flagged, flags = K.with_orphan_flags(df, foreign, refs)
     names = []
     for check in checks:
-        broken = flags[check.columns[0]] if check.kind == "references" else violation(check, df, as_of)
+        broken = flags[foreign_key(check).flag] if check.kind == "references" else violation(check, df, as_of)
         names.append(F.when(broken, f"{check.kind}:{check.column_name}"))
     return flagged.withColumn("violations", F.array_compact(F.array(*names))).select(*df.columns, "violations")
 

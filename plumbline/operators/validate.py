@@ -76,6 +76,10 @@ def is_row_local(check: Check) -> bool:
     return check.kind in ROW_PREDICATES
 
 
+def foreign_key(check: Check) -> K.ForeignKey:
+    return K.ForeignKey(check.columns[0], check.args["table"], check.args["key"])
+
+
 # --- result rows ---------------------------------------------------------------------------------------------------
 
 def _text(value) -> str:
@@ -136,7 +140,7 @@ def _one_scan(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[s
             rows.append(_row(suite, check, "1", _unless_in(share, check), f"round({share}, 6)"))
             continue
         if check.kind == "references":
-            aggregates[broken] = F.count(F.when(flags[column], 1))
+            aggregates[broken] = F.count(F.when(flags[foreign_key(check).flag], 1))
         else:
             aggregates[broken] = F.count(F.when(violation(check, df, as_of, nulls), 1))
         if check.kind in COLUMN_KINDS and nulls == "ignore":
@@ -220,26 +224,25 @@ def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None =
     if not suite.checks:
         raise ValueError(f"suite {suite.name} has no checks")
     fks = [c for c in suite.checks if c.kind == "references"]
-    foreign = [K.ForeignKey(c.columns[0], c.args["table"], c.args["key"]) for c in fks]
-    small = K.small_foreign_keys(foreign, refs or {}, broadcast_bytes)
+    small = K.small_foreign_keys([foreign_key(c) for c in fks], refs or {}, broadcast_bytes)
     scan, flags = df, {}
-    for fk in foreign:
-        if fk.column in small:
-            flag = f"missing_{fk.column}"
-            scan = K.mark_missing(scan, fk.column, K.key_set(refs[fk.table], fk.key), flag)
-            flags[fk.column] = F.col(flag)
+    for fk in map(foreign_key, fks):
+        if fk.flag in small and fk.flag not in flags:
+            scan = K.mark_missing(scan, fk.column, K.key_set(refs[fk.table], fk.key), fk.flag)
+            flags[fk.flag] = F.col(fk.flag)
 
     parts: list[DataFrame] = []
     one_scan = [c for c in suite.checks if is_row_local(c) or c.kind in ("row_count", "boolean_share")
-                or (c.kind == "references" and c.column_name in small)]
+                or (c.kind == "references" and foreign_key(c).flag in small)]
     if one_scan:
         aggregates, rows = _one_scan(scan, suite, one_scan, flags, as_of, nulls)
         parts.append(_unfold(scan.agg(*aggregates), rows + _column_order(df, suite)))
     elif _column_order(df, suite):
         parts.append(_unfold(df.sparkSession.range(0, 1, 1, 1), _column_order(df, suite)))
-    for fk_check, fk in zip(fks, foreign):
-        if fk.column not in small:
-            parts.append(_unfold(K.orphan_count(df, fk, refs[fk.table]), [_row(suite, fk_check, "n", "orphans")]))
+    for check in fks:
+        fk = foreign_key(check)
+        if fk.flag not in small:
+            parts.append(_unfold(K.orphan_count(df, fk, refs[fk.table]), [_row(suite, check, "n", "orphans")]))
     by_keys: dict[tuple, list[Check]] = {}
     for check in suite.checks:
         if check.kind in GROUP_KINDS:
@@ -286,13 +289,15 @@ def violating_rows(df: DataFrame, check: Check, refs: Mapping[str, DataFrame] |
     if is_row_local(check):
         rows = df.where(violation(check, df, as_of))
     elif check.kind == "references":
-        fk = K.ForeignKey(check.columns[0], check.args["table"], check.args["key"])
+        fk = foreign_key(check)
         flagged, flags = K.with_orphan_flags(df, [fk], refs or {})
-        rows = flagged.where(flags[fk.column]).select(*df.columns)
+        rows = flagged.where(flags[fk.flag]).select(*df.columns)
     elif check.kind == "unexpected_rows":
         rows = run_query(check.args["query"], df, refs, as_of)
     elif check.kind in ("unique", "compound_unique", "duplicate_key"):
-        rows = group_sizes(df, check.columns).where("n > 1").withColumnRenamed("n", "dup_count")
+        known = [F.col(c).isNotNull() for c in check.columns]
+        counted = df if check.kind == "duplicate_key" else df.where(reduce(Column.__or__, known))
+        rows = group_sizes(counted, check.columns).where("n > 1").withColumnRenamed("n", "dup_count")
     elif check.kind == "one_current_row":
         rows = (group_sizes(df, check.columns, check.args["flag"]).where("n_current > 1")
                 .select(*check.columns, F.col("n_current").alias("current_row_count")))

@@ -41,8 +41,9 @@ def integrity_by_day(spark, sf_dir):
     """Orphan customers per load day; zero days included."""
     w = star(spark, sf_dir)
     fact = sales(spark, sf_dir)
-    flagged, flags = K.with_orphan_flags(fact, [k for k in RELATIONSHIPS if k.table == "dim_customer"], w)
-    return flagged.groupBy("load_date").agg(F.count_if(flags["customer_key"]).alias("orphan_record_count"))
+    customer = next(k for k in RELATIONSHIPS if k.table == "dim_customer")
+    flagged, flags = K.with_orphan_flags(fact, [customer], w)
+    return flagged.groupBy("load_date").agg(F.count_if(flags[customer.flag]).alias("orphan_record_count"))
 
 
 def alert_metrics(spark, sf_dir):

@@ -8,7 +8,9 @@ from plumbline.functions import keys as K
 from plumbline.operators import checks as C
 from plumbline.operators import defects
 from plumbline.operators.checks import Suite
-from plumbline.operators.validate import sample_unexpected, validate, validate_all, validate_on_write
+from plumbline.operators.integrity import orphan_report
+from plumbline.operators.validate import (sample_unexpected, validate, validate_all, validate_on_write,
+                                          violating_rows)
 from plumbline.plans.suites import consolidated, modular
 
 AS_OF = dt.date(2026, 4, 29)
@@ -136,7 +138,7 @@ def test_orphan_flags_agree_on_all_three_ways(spark, monkeypatch):
     def count(limit):
         flagged, flags = K.with_orphan_flags(fact, key, {"dim": dim}, limit)
         assert flagged.count() == 1000
-        return flagged.where(flags["k"]).count()
+        return flagged.where(flags["missing_k_dim"]).count()
 
     small = count(K.BROADCAST_BYTES)
     few_missing = count(10_000)   # the dimension is too large, the missing keys are not
@@ -144,6 +146,26 @@ def test_orphan_flags_agree_on_all_three_ways(spark, monkeypatch):
     assert small == few_missing == neither == 400 + 60 + 90
 
 
+def test_several_keys_into_one_table_and_several_tables(spark):
+    a = spark.createDataFrame([(1, 9), (2, 1), (8, 9)], "ordered int, shipped int")
+    b = spark.createDataFrame([(7,), (1,)], "day int")
+    tables = {"a": a, "b": b, "days": spark.createDataFrame([(1,), (2,)], "k int")}
+    keys = [K.ForeignKey("ordered", "days", "k", "R1", source="a"), K.ForeignKey("shipped", "days", "k", "R2", source="a"),
+            K.ForeignKey("day", "days", "k", "R3", source="b")]
+    for limit in (K.BROADCAST_BYTES, 0):
+        rows = {r.check_name: (r.rule_id, r.orphan_count) for r in orphan_report(tables, keys, limit).collect()}
+        assert rows == {"a.ordered -> days": ("R1", 1), "a.shipped -> days": ("R2", 2), "b -> days": ("R3", 1)}
+    flagged, flags = K.with_orphan_flags(a, keys[:2], tables)
+    assert flagged.where(flags[keys[0].flag] & flags[keys[1].flag]).count() == 1
+
+
+def test_offending_groups_leave_out_unknown_keys(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,), (None,)], "k int")
+    groups = violating_rows(df, C.unique("k")).collect()
+    assert [(r.k, r.dup_count) for r in groups] == [(1, 2)]
+    assert violating_rows(df, C.duplicate_key("k")).count() == 2
+
+
 def test_custom_sql_sees_other_tables_and_the_day(star):
     suite = Suite("s", "dim_store", (
         C.unexpected_rows("SELECT * FROM {batch} WHERE opening_date > {as_of}"),
@@ -227,7 +249,7 @@ def test_last_resort_join_splits_the_hot_key(spark):
     try:
         flagged, flags = K.with_orphan_flags(fact, [K.ForeignKey("k", "dim", "k")], {"dim": dim}, 0)
         # whole rows pass through, as they do into a quarantine table
-        out = flagged.select("id", "payload", flags["k"].alias("orphan"))
+        out = flagged.select("id", "payload", flags["missing_k_dim"].alias("orphan"))
         rows = out.collect()
         assert len(rows) == 300_000
         assert sum(r.orphan for r in rows) == sum(1 for i in range(250_000, 300_000) if i % 3)
