@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, packing, simhash, toxicity
+from plumbline.llm import mixing, packing, simhash, toxicity, url_rules, winnowing
 from plumbline.llm.common import remainder, table
 
 
@@ -37,6 +37,36 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+         ("org", "/fr/", "allow")]  # fixed values of the contract
+
+URL_SQL = """
+with parsed as (
+    select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+    from pages),
+pages2 as (
+    select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+    from parsed),
+rules(rule_host, rule_path, rule_verdict) as (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                             ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow'))
+select page_id, host, path,
+       (select rule_host || rule_path from rules
+        where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        order by length(rule_host || rule_path) desc limit 1) as rule,
+       coalesce((select rule_verdict from rules
+                 where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+                 order by length(rule_host || rule_path) desc limit 1), 'allow') as verdict
+from pages2
+"""
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -47,6 +77,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -56,9 +90,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_mixing": op3_mixing,
+    "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
     "op8_packing": op8_packing,
+    "op9_winnowing": op9_winnowing,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_url_rules": URL_SQL}
