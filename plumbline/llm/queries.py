@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, packing, simhash, toxicity, url_rules, winnowing
+from plumbline.llm import brown, mixing, packing, simhash, toxicity, url_rules, winnowing
 from plumbline.llm.common import remainder, table
 
 
@@ -72,6 +72,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    model, vocab = brown.train(docs.where(~held_out).select("text"))
+    return brown.score(docs, model, vocab).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary()).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -92,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
+    "op6_brown": op6_brown,
     "op8_packing": op8_packing,
     "op9_winnowing": op9_winnowing,
     "pipeline": pipeline,
