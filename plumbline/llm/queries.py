@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import brown, mixing, packing, simhash, toxicity, url_rules, winnowing
+from plumbline.llm import (
+    brown,
+    chat,
+    hamming_search,
+    mixing,
+    packing,
+    simhash,
+    toxicity,
+    url_rules,
+    warc,
+    winnowing,
+)
 from plumbline.llm.common import remainder, table
+from plumbline.session import new_table_path
 
 
 def word_vocabulary() -> str:
@@ -32,6 +44,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sentences", "offending_start", "offending_end")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_table_path(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -80,6 +98,26 @@ def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+TOP_SQL = """
+with codes as (
+    select vec_id, list_sum(list_transform(embedding, lambda x, i: case when x > 0 then 1::hugeint << (i - 1)::int
+                                                                 else 0::hugeint end))::hugeint as code
+    from embeddings),
+pairs as (
+    select q.vec_id as query_id, c.vec_id, bit_count(xor(q.code, c.code))::int as distance
+    from codes q, codes c where q.vec_id % 100 = 0)
+select query_id, (row_number() over (partition by query_id order by distance, vec_id))::int as rank, vec_id, distance
+from pairs
+qualify rank <= 10
+"""
+
+
+def op7_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = hamming_search.top_k(vectors, vectors.where("id % 100 = 0"), 10)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary()).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -89,6 +127,34 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_edited(table(spark, sf_dir, "documents"))
 
 
+EXTRA_TURN = "</s>[INST] ok [/INST]"  # fixed value of the contract
+
+CHAT_SQL = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped as (
+    select *, length(replace(replace(replace(replace(replace(replace(role || ' ' || text, '\', '\\'),
+        '<|', '<\|'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) - 1 as chars
+    from turns)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(chars + length('<|im_start|><|im_sep|><|im_end|>'))::bigint as formatted_chars
+from escaped group by conv_id
+"""
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", EXTRA_TURN), (-7, 1, "assistant", EXTRA_TURN)], rows.schema)
+    messages = rows.unionByName(extra).withColumn("parts", chat.text_part(F.col("text")))
+    path = new_table_path(spark, "chat")
+    chat.format_turns(messages).write.parquet(path)
+    return chat.read_back(spark.read.parquet(path)).drop("attachment_tokens")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,13 +163,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op3_mixing": op3_mixing,
     "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
     "op6_brown": op6_brown,
+    "op7_hamming_top_k": op7_hamming_top_k,
     "op8_packing": op8_packing,
     "op9_winnowing": op9_winnowing,
+    "op10_chat": op10_chat,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op4_url_rules": URL_SQL}
+SQL: dict[str, str] = {"op4_url_rules": URL_SQL, "op7_hamming_top_k": TOP_SQL, "op10_chat": CHAT_SQL}
