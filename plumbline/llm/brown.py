@@ -160,7 +160,8 @@ def _gain(pairs: np.ndarray, right: np.ndarray, left: np.ndarray, own: float) ->
     same = np.diagonal(pairs)
     change = (rows.sum(1) - np.diagonal(rows)) + (columns.sum(0) - np.diagonal(columns))
     change += _xlogx(same + right + left + own) - _xlogx(same)
-    out, into = pairs.sum(1), pairs.sum(0)
+    # The word's neighbours add to the totals of their own classes wherever it goes.
+    out, into = pairs.sum(1) + left, pairs.sum(0) + right
     change -= _xlogx(out + right.sum() + own) - _xlogx(out)
     return change - (_xlogx(into + left.sum() + own) - _xlogx(into))
 
@@ -279,7 +280,7 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, Dat
     # What is in a class by form: all words of the form, less those that got a class of their own.
     own = np.array([form(w) for w in words])
     seen -= np.bincount(own[~by_form], weights=counts[~by_form], minlength=FORMS)
-    types -= np.bincount(own[~by_form], minlength=FORMS)
+    types -= np.bincount(own[~by_form], weights=counts[~by_form] > 0, minlength=FORMS)
     form_total = np.log10(seen + types + 1)
     emission = np.where(by_form, np.log10(counts + 1) - form_total[np.maximum(group - end - 1, 0)],
                         np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(in_cluster[group], 1)))

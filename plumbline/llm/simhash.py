@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import null_safe_key
 from plumbline.session import durable
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
@@ -154,24 +155,35 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = MA
 
 
 def with_components(prints: DataFrame, radius: int = MAX_BITS) -> DataFrame:
-    """The rows (doc_id, fp, ...) with ``component_id``, the smallest doc_id within reach."""
+    """The rows (doc_id, fp, ...) with ``component_id``, the smallest doc_id within reach, and ``root``, a fingerprint
+    that names the component."""
     values = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(link_forest(values.select("fp"), radius))
     placed = values.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     # Stored, so that the join below has two plain sides and adaptive execution can split a hot fingerprint.
-    lookup = durable(placed.select("fp", "root").join(named, "root").select("fp", "component_id"))
+    lookup = durable(placed.select("fp", "root").join(named, "root").select("fp", "root", "component_id"))
     return prints.join(lookup, "fp")
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
     """One document of each component, the one with its smallest id, in the columns of the input.
 
-    Rows without an id stand in only for components that have no id at all; rows equal in id keep the least text.
+    A component without any id keeps the row with the smallest text hash. Of rows equal in id the same rule holds; of
+    rows equal in id and text, the one with the smallest hash of all its columns stays.
     """
-    found = near_duplicates(docs, size, radius)
-    wanted = durable(found.groupBy("component_id").agg(F.min("fp").alias("any_fp"))
-                     .select("component_id").where("component_id is not null"))
-    kept = docs.join(wanted, docs["doc_id"] == wanted["component_id"], "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    mark = F.xxhash64("text").alias("__mark__")
+    prints = durable(docs.select("doc_id", mark, fingerprinter(size)(F.col("text")).alias("fp")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__mark__"))).alias("m")
+    chosen = durable(with_components(prints, radius).groupBy(*_component_key()).agg(first)
+                     .select(null_safe_key(F.col("m.doc_id")).alias("__id__"), F.col("m.__mark__").alias("__mark__")))
+    rows = docs.select(null_safe_key(F.col("doc_id")).alias("__id__"), mark, F.struct("*").alias("__row__"),
+                       F.xxhash64("*").alias("__all__"))
+    return (rows.join(chosen, ["__id__", "__mark__"], "left_semi").groupBy("__id__", "__mark__")
+            .agg(F.min_by("__row__", "__all__").alias("__row__")).select("__row__.*"))
+
+
+def _component_key():
+    """The component, told apart by its root fingerprint where it has no id."""
+    return F.coalesce(F.col("component_id"), F.col("root")).alias("c"), F.col("component_id").isNull().alias("nameless")
