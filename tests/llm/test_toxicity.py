@@ -41,17 +41,17 @@ def test_edge_rows(spark):
     odd = spark.createDataFrame([(None, None, 1.0), (1, "", 2.0), (1, "", 2.0), (2, "...", 3.0), (3, "You grolb now", 1.0),
                                  (4, "calm " * 60_000, 1.0)], "doc_id long, text string, score double")
     found = [r["toxicity"]["score"] for r in toxicity.score_documents(odd, model).collect()]
-    assert found[:3] == [0.0, 0.0, 0.0] and found[3] < 0.1 and found[4] >= 0.7 and 0 <= found[5] < 0.7
+    assert found[:3] == [0.0, 0.0, 0.0] and found[3] == 0.0 and found[4] >= 0.7 and found[5] == 0.0
     assert toxicity.keep_clean(odd, model).columns == odd.columns
     assert toxicity.score_documents(odd.where("false"), model).count() == 0
 
 
-@pytest.mark.parametrize("label, expected", [(None, 0.0), (0, 0.0), (1, 1.0)])
-def test_without_both_classes(spark, label, expected):
+@pytest.mark.parametrize("label", [None, 0, 1])
+def test_without_both_classes(spark, label):
     df = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, label)], "doc_id long, label int")
     model = toxicity.train(df, labels)
-    assert abs(toxicity.score_documents(df, model).first()["toxicity"]["score"] - expected) < 1e-9
+    assert toxicity.score_documents(df, model).first()["toxicity"]["score"] == 0.0
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not present")
