@@ -6,8 +6,8 @@ being one of the choices. Windows that are full leave at once. What is still ope
 than ``open_limit`` windows are open, which bounds memory) is cut anew: its tokens fill windows without a gap, and the
 last ones get lengths that are powers of two, which need no padding.
 
-The vocabulary file is a parameter, read once per task. A word cache keeps the token ids of each word: this tokenizer
-treats words between white space apart, so the ids of a text are those of its words.
+The vocabulary file is a parameter, read once per Python worker. A word cache keeps the token ids of each word: this
+tokenizer treats words between white space apart, so the ids of a text are those of its words.
 
 Defined cases: NULL or empty text is the end token alone. Repeated rows and ids are packed as often as they occur. An
 empty table gives no rows. A document of any length is taken in one pass and given out in windows.
@@ -15,6 +15,7 @@ empty table gives no rows. A document of any length is taken in one pass and giv
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -25,33 +26,71 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 WINDOW, END_ID, OPEN_LIMIT = 2048, 1, 4096
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_PARTS = 400_000, 1_000_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
 
 
 class WordIds(dict):
-    """Word (bytes) -> its token ids as little-endian unsigned 32-bit; bounded."""
+    """Word (bytes) -> its token ids as little-endian unsigned 32-bit.
 
-    def __init__(self, vocabulary: str, limit: int = CACHE_WORDS):
+    Two bounded caches: words as they stand, and, below it, lower-case letters and runs of punctuation. The tokenizer
+    lower-cases and cuts a word between letters and other signs, so for plain Latin letters with punctuation after them
+    the ids are those of both parts. Any other word goes to the tokenizer whole.
+    """
+
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#%()|-]*)")
+
+    def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.limit = Tokenizer.from_file(vocabulary), limit
+        self.tokenizer, self.parts = Tokenizer.from_file(vocabulary), {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
+        text = word.decode("utf-8", "replace")
+        plain = self.PLAIN.fullmatch(text)
+        if plain:
+            letters, signs = plain.groups()
+            value = self._part(letters.lower()) + (self._part(signs) if signs else b"")
+        else:
+            value = self._ids(text)
+        if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        value = np.array(ids, "<u4").tobytes()
         if len(word) <= 256:
             self[word] = value
         return value
 
+    def _part(self, text: str) -> bytes:
+        value = self.parts.get(text)
+        if value is None:
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts.clear()
+            value = self._ids(text)
+            if len(text) <= 256:
+                self.parts[text] = value
+        return value
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def text(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "replace").split()))
 
 
+def word_ids(vocabulary: str) -> WordIds:
+    """The caches of this Python process: a worker keeps them from task to task."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("plumbline_word_ids", types.ModuleType("plumbline_word_ids"))
+    if not hasattr(kept, "by_file"):
+        kept.by_file = {}
+    if vocabulary not in kept.by_file:
+        kept.by_file[vocabulary] = WordIds(vocabulary)
+    return kept.by_file[vocabulary]
+
+
 @dataclass
 class Packer:
     """Packs items (key, token ids as bytes) one by one and calls ``emit`` for every placed piece."""
@@ -142,7 +181,7 @@ class Packer:
 def _pack_partition(vocabulary: str, window: int, open_limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        words, end = WordIds(vocabulary), np.array([END_ID], "<u4").tobytes()
+        words, end = word_ids(vocabulary), np.array([END_ID], "<u4").tobytes()
         packer = Packer(lambda key, start, ids, total, seq, offset, length: rows.append(
             (key, start, len(ids) // 4, zlib.crc32(ids), total, seq, offset, length)),
             TaskContext.get().partitionId() << 40, window, open_limit)
