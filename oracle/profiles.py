@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from oracle.star import AS_OF, pct, with_star
-from oracle.tables import ORPHANS
-from plumbline.sources.schemas import columns
+from oracle.tables import ORPHANS, columns
 
 EMAIL = "'^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$'"
 BROKEN = "abs(net_revenue - (quantity * unit_price - discount_amount)) > 0.01"
@@ -54,12 +53,14 @@ ORACLE = {
     "P2_scd2_shape": with_star("""
 SELECT count(*) AS total_rows, count(DISTINCT customer_key) AS distinct_customer_keys,
   count(DISTINCT customer_id) AS distinct_customer_ids,
-  count(DISTINCT customer_id || '|' || CAST(effective_date AS VARCHAR)) AS distinct_scd2_keys,
+  count(DISTINCT (customer_id, effective_date)) FILTER (WHERE customer_id IS NOT NULL AND effective_date IS NOT NULL)
+    AS distinct_scd2_keys,
   count(*) FILTER (WHERE is_current) AS current_rows, count(*) FILTER (WHERE NOT is_current) AS historical_rows
 FROM dim_customer"""),
     "P3_distinct_composite_key": with_star("""
 SELECT count(*) AS total_rows, count(DISTINCT sales_key) AS distinct_sales_keys,
-  count(DISTINCT order_id || '|' || CAST(order_line_num AS VARCHAR)) AS distinct_order_lines FROM fact_sales"""),
+  count(DISTINCT (order_id, order_line_num)) FILTER (WHERE order_id IS NOT NULL AND order_line_num IS NOT NULL)
+    AS distinct_order_lines FROM fact_sales"""),
     "P4_null_counts_dim_customer": nulls("dim_customer"),
     "P4_null_counts_dim_product": nulls("dim_product"),
     "P4_null_counts_dim_store": nulls("dim_store"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from oracle.data import FULL
 from oracle.defects import PROFIT_BAD, REV_BAD, f64
 from oracle.star import AS_OF, with_star
 from oracle.suites import results
-from plumbline.plans.suites import consolidated
 
 OPT_OUT = "optout@example.com"
 SENTINELS = "('n/a', 'N/A', 'na', 'NA', '')"
@@ -43,7 +43,7 @@ SELECT table_name, failed, critical_failed,
        WHEN critical_failed > 0 THEN 'quarantine' ELSE 'promote_with_alert' END AS decision
 FROM (SELECT table_name, count(*) FILTER (WHERE status = 'FAIL') AS failed,
   count(*) FILTER (WHERE status = 'FAIL' AND {CRITICAL}) AS critical_failed FROM results GROUP BY table_name)"""
-CHECKED = {"results": results(consolidated().values(), "x_")}
+CHECKED = {"results": results(FULL.values(), "x_")}
 LOST = {c: f"{c} NOT IN (SELECT {c} FROM x_{t})" for c, t in (
     ("customer_key", "dim_customer"), ("product_key", "dim_product"), ("store_key", "dim_store"),
     ("date_key", "dim_date"))}
@@ -51,7 +51,7 @@ TAGS = ", ".join([f"CASE WHEN {cond} THEN 'references:{c}' END" for c, cond in L
                  + [f"CASE WHEN {REV_BAD} THEN 'revenue_identity:net_revenue' END",
                     f"CASE WHEN {PROFIT_BAD} THEN 'profit_identity:gross_profit' END"])
 BAD = " OR ".join(f"coalesce({c}, false)" for c in (*LOST.values(), REV_BAD, PROFIT_BAD))
-ISSUE_SUITES = [s.subset(issues=[f"DQ-00{n}" for n in range(1, 9)]) for t, s in consolidated().items()
+ISSUE_SUITES = [s.only(lambda c: c.issue_id in [f"DQ-00{n}" for n in range(1, 9)]) for t, s in FULL.items()
                 if t in ("dim_customer", "dim_product", "fact_sales")]
 
 ORACLE = {

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from oracle.anomalies import SHORT, daily_runs, r
+from oracle.data import FIELDS, FULL as SUITES
 from oracle.defects import PROFIT_BAD, REV_BAD
 from oracle.checks import SUMMARY
 from oracle.star import AS_OF, mean, pct, score, with_star
 from oracle.suites import broken, results
-from plumbline.plans.contracts import TABLES
-from plumbline.plans.suites import consolidated
 
-SUITES = consolidated()
 CHECKED = {"results": results(SUITES.values(), "x_")}
 ROW_KINDS = {"not_null", "between", "length_between", "in_set", "revenue_identity", "profit_identity"}
 HISTORY = daily_runs([c for c in SUITES["fact_sales"].checks if c.kind in ROW_KINDS])
@@ -44,29 +42,38 @@ CATALOGUE = "(VALUES " + ", ".join(f"('{i[0]}', '{i[1]}', '{i[2]}', '{i[3]}', '{
 OPEN = f"(SELECT DISTINCT issue_id FROM results WHERE status = 'FAIL' AND issue_id IS NOT NULL) JOIN {CATALOGUE} USING (issue_id)"
 TARGET = ("CASE dimension WHEN 'Completeness' THEN 1e0 WHEN 'Consistency' THEN 1e0 WHEN 'Uniqueness' THEN 1e0 "
           "ELSE 0.995e0 END")
-REQUIRED = [*TABLES[0].required_columns(), "email"]
-VALIDITY = [c for c in SUITES["fact_sales"].checks if c.kind in ROW_KINDS - {"not_null"} and c.dimension == "Validity"]
+REQUIRED = {t: [f.name for f in fields if f.required] + ["email"] * (t == "dim_customer") for t, fields in FIELDS.items()}
+KEY = {t: next(f.name for f in fields if f.primary) for t, fields in FIELDS.items()}
+ONE_ROW = ROW_KINDS - {"not_null"} | {"distinct_in_set", "matches", "id_format", "date_order", "open_row_sentinel", "margin",
+                                      "not_future", "month_matches", "year_matches", "row_rule"}
+VALIDITY = {t: [c for c in s.checks if c.kind in ONE_ROW and c.dimension == "Validity"] for t, s in SUITES.items()}
 KEYS = (("customer_key", "dim_customer"), ("product_key", "dim_product"), ("store_key", "dim_store"),
         ("date_key", "dim_date"))
 
 
-def passing(conditions: list[str], table: str) -> str:
+def passing(conditions: list[str], table: str, lead: str = "") -> str:
+    return with_star(passing_rows(conditions, table, lead))
+
+
+def passing_rows(conditions: list[str], table: str, lead: str = "") -> str:
     bad = " OR ".join(f"coalesce({c}, false)" for c in conditions)
-    return with_star(f"SELECT good AS passing, n AS rows, {score('good', 'n')} AS score FROM "
-                     f"(SELECT count(*) FILTER (WHERE NOT ({bad})) AS good, count(*) AS n FROM {table})")
+    return (f"SELECT {lead}good AS passing, n AS rows, {score('good', 'n')} AS score FROM "
+            f"(SELECT count(*) FILTER (WHERE NOT ({bad})) AS good, count(*) AS n FROM {table})")
 
 
 METRICS = f"""
 SELECT q.load_date, s AS overall_quality_score, s - max(s) OVER (ORDER BY q.load_date ROWS BETWEEN 3 PRECEDING AND
-    3 PRECEDING) AS score_3day_trend, row_count AS daily_row_count, a7, orphans
+    3 PRECEDING) AS score_3day_trend, row_count AS daily_row_count, a7, orphans,
+  coalesce(date_diff('day', lag(q.load_date) OVER (ORDER BY q.load_date), q.load_date) * 24, 0) AS age
 FROM (SELECT load_date, {mean(score('(total - fail)', 'total'))} AS s FROM ({HISTORY}) GROUP BY load_date) q
 JOIN (SELECT load_date, row_count, {r(f'avg(row_count) OVER (ORDER BY load_date {SHORT})', 6)} AS a7 FROM
   (SELECT load_date, count(*) AS row_count FROM dated_sales GROUP BY load_date)) v ON q.load_date = v.load_date
 JOIN (SELECT load_date, count(*) FILTER (WHERE customer_key NOT IN (SELECT customer_key FROM dim_customer)) AS orphans
   FROM dated_sales GROUP BY load_date) o ON q.load_date = o.load_date"""
 RULES = [("ALT-001", "critical", "overall_quality_score < 0.95"), ("ALT-002", "critical", "orphans > 0"),
-         ("ALT-003", "high", "false"), ("ALT-004", "high", "daily_row_count < a7 * 0.5"),
-         ("ALT-005", "medium", "score_3day_trend < -0.01"), ("ALT-006", "critical", "false")]
+         ("ALT-003", "high", "age > 24"), ("ALT-004", "high", "daily_row_count < a7 * 0.5"),
+         ("ALT-005", "medium", "score_3day_trend < -0.01"), ("ALT-006", "critical", "(SELECT count(*) FROM (SELECT customer_id FROM x_dim_customer GROUP BY customer_id "
+          "HAVING count(*) FILTER (WHERE is_current) > 1)) > 0")]
 
 ORACLE = {
     "K1_daily_scores": with_star(DAILY),
@@ -88,21 +95,28 @@ GROUP BY severity""", CHECKED),
     "K6_hours_since_last_run": with_star(
         "SELECT round(date_sub('minute', max(load_timestamp), TIMESTAMP '2024-02-01 00:00:00') / 60e0, 4) "
         "AS hours_since_last_run FROM load_log"),
-    "K7_completeness": with_star(
-        f"SELECT filled, expected, {score('filled', 'expected')} AS score FROM (SELECT "
-        f"{' + '.join(f'count({c})' for c in REQUIRED)} AS filled, count(*) * {len(REQUIRED)} AS expected "
-        "FROM x_dim_customer)"),
+    "K7_completeness": with_star(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, filled, expected, {score('filled', 'expected')} AS score FROM (SELECT "
+        f"{' + '.join(f'count({c})' for c in names)} AS filled, count(*) * {len(names)} AS expected FROM x_{t})"
+        for t, names in REQUIRED.items())),
     "K8_accuracy": passing([REV_BAD, PROFIT_BAD], "x_fact_sales"),
     "K9_consistency": passing([f"{c} NOT IN (SELECT {c} FROM x_{t})" for c, t in KEYS], "x_fact_sales"),
-    "K10_uniqueness": with_star(
-        f"SELECT d AS distinct_keys, n AS rows, {score('d', 'n')} AS score FROM "
-        "(SELECT count(DISTINCT sales_key) AS d, count(*) AS n FROM x_fact_sales)"),
-    "K11_validity": passing([broken(c) for c in VALIDITY], "x_fact_sales"),
+    "K10_uniqueness": with_star(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, d AS distinct_keys, n AS rows, {score('d', 'n')} AS score FROM "
+        f"(SELECT count(DISTINCT {k}) AS d, count(*) AS n FROM x_{t})" for t, k in KEY.items())),
+    "K11_validity": with_star(" UNION ALL ".join(
+        passing_rows([broken(c) for c in checks], f"x_{t}", f"'{t}' AS table_name, ")
+        for t, checks in VALIDITY.items())),
     "K12_timeliness": with_star(f"""
-SELECT table_name, n AS loads, early AS on_time, {pct('early', 'n')} AS timeliness_pct,
-  {pct('(n - early)', 'n')} AS breach_pct
-FROM (SELECT table_name, count(*) AS n, count(*) FILTER (WHERE load_timestamp < CAST(load_date AS TIMESTAMP)
-  + INTERVAL 6 HOUR) AS early FROM load_log GROUP BY table_name)"""),
+SELECT t AS table_name, e AS expected, n AS loads, early AS on_time, {pct('early', 'e')} AS timeliness_pct,
+  {pct('(e - early)', 'e')} AS breach_pct
+FROM (SELECT t, CAST(any_value(due) AS BIGINT) AS e, count(load_timestamp) AS n,
+    count(*) FILTER (WHERE load_timestamp < CAST(load_date AS TIMESTAMP) + INTERVAL 6 HOUR) AS early
+  FROM (VALUES ('fact_sales', 46, 'd'), ('dim_customer', 46, 'd'), ('dim_product', 46, 'd'), ('dim_store', 7, 'w'),
+      ('dim_date', 0, 'y')) s(t, due, every)
+  LEFT JOIN load_log ON table_name = t AND load_date BETWEEN DATE '2024-01-01' AND DATE '2024-02-15'
+    AND (every = 'd' OR every = 'w' AND isodow(load_date) = 1)
+  GROUP BY t)"""),
     "K13_response_times": """
 SELECT count(*) AS incidents, round(avg(date_sub('second', injected_at, alerted_at) / 3600e0), 4) AS mttd_hours,
   round(avg(date_sub('second', alerted_at, resolved_at) / 3600e0), 4) AS mttr_hours,
@@ -119,22 +133,40 @@ SELECT dimension, score, {TARGET} AS target, round(score - {TARGET}, 8) + CAST(0
 FROM (SELECT dimension, {mean('metric_value')} AS score FROM ({RUNS}) GROUP BY dimension)""", CHECKED),
     "K16_issue_catalogue": with_star(f"""
 SELECT issue_id, tab AS table_name, cols AS columns, dim AS dimension, i.severity AS severity, rule, threshold,
-  unexpected_count AS volume, unexpected_pct AS volume_pct, status
-FROM (SELECT issue_id, unexpected_count, unexpected_pct, status, row_number() OVER (PARTITION BY issue_id ORDER BY check_no) AS rn FROM results
-  WHERE issue_id IS NOT NULL) JOIN {CATALOGUE} USING (issue_id) WHERE rn = 1""", CHECKED),
+  checks, failed_checks, volume, volume_pct, CASE WHEN failed_checks > 0 THEN 'FAIL' ELSE 'PASS' END AS status
+FROM (SELECT issue_id, count(*) AS checks, count(*) FILTER (WHERE status = 'FAIL') AS failed_checks,
+    max(unexpected_count) AS volume, max(unexpected_pct) AS volume_pct
+  FROM results WHERE issue_id IS NOT NULL GROUP BY issue_id) JOIN {CATALOGUE} USING (issue_id)""", CHECKED),
     "K17_alerts": with_star(" UNION ALL ".join(
         f"SELECT '{a}' AS alert_id, '{sev}' AS severity, count(*) AS evaluations, "
         f"count(*) FILTER (WHERE {cond}) AS triggered FROM metrics" for a, sev, cond in RULES), {"metrics": METRICS}),
     "K17_alert_cooldown": with_star("""
-SELECT alert_id, CAST(load_timestamp AS DATE) AS evaluated_on, triggered, triggered AND cooling AS suppressed,
-  triggered AND NOT cooling AS fired
-FROM (SELECT a.alert_id, load_timestamp,
-    CASE a.alert_id WHEN 'ALT-003' THEN hour(load_timestamp) + 13 > 24 WHEN 'ALT-006' THEN true ELSE false END
-      AS triggered, a.alert_id = 'ALT-003' AS cooling
-  FROM load_log, (VALUES ('ALT-001'), ('ALT-002'), ('ALT-003'), ('ALT-004'), ('ALT-005'), ('ALT-006')) a(alert_id)
-  WHERE table_name = 'fact_sales')"""),
+SELECT alert_id, CAST(tm AS DATE) AS evaluated_on, count(*) AS evaluations, count(*) FILTER (WHERE hit) AS triggered,
+  count(*) FILTER (WHERE hit AND NOT fresh) AS suppressed, count(*) FILTER (WHERE hit AND fresh) AS fired
+FROM (WITH RECURSIVE loads AS (SELECT load_timestamp AS tm, count(*) AS tables, min(load_date) AS d FROM load_log GROUP BY 1),
+    metrics AS (SELECT *, coalesce(date_sub('second', lag(tm) OVER (ORDER BY tm), tm) / 3600e0 * 10, 0) AS age FROM loads),
+    judged AS (SELECT a, cool, tm, CASE a WHEN 'ALT-001' THEN day(d) % 3 = 0 WHEN 'ALT-002' THEN day(d) % 2 > 0
+          WHEN 'ALT-003' THEN age > 24 WHEN 'ALT-004' THEN tables < 2 WHEN 'ALT-005' THEN true ELSE hour(tm) < 12 END AS hit
+      FROM metrics, (VALUES ('ALT-001', 60), ('ALT-002', 0), ('ALT-003', 120), ('ALT-004', 60), ('ALT-005', 1440),
+        ('ALT-006', 0)) r(a, cool)),
+    timeline AS (SELECT a, cool, tm, row_number() OVER (PARTITION BY a ORDER BY tm) AS rn,
+        (SELECT max(CAST(d AS TIMESTAMP) - INTERVAL 1 HOUR) FROM loads
+         WHERE day(d) % 10 = 0 AND CAST(d AS TIMESTAMP) - INTERVAL 1 HOUR <= j.tm) AS sent
+      FROM judged j WHERE hit),
+    fold AS (
+      SELECT a, rn, tm, sent IS NULL OR date_sub('second', sent, tm) >= cool * 60 AS fresh,
+        CASE WHEN sent IS NULL OR date_sub('second', sent, tm) >= cool * 60 THEN tm ELSE sent END AS latest
+      FROM timeline WHERE rn = 1
+      UNION ALL
+      SELECT t.a, t.rn, t.tm, date_sub('second', greatest(f.latest, t.sent), t.tm) >= t.cool * 60,
+        CASE WHEN date_sub('second', greatest(f.latest, t.sent), t.tm) >= t.cool * 60 THEN t.tm
+          ELSE greatest(f.latest, t.sent) END
+      FROM fold f JOIN timeline t ON t.a = f.a AND t.rn = f.rn + 1)
+  SELECT j.a AS alert_id, j.tm AS tm, hit, coalesce(fresh, false) AS fresh FROM judged j LEFT JOIN fold f
+    ON f.a = j.a AND f.tm = j.tm)
+GROUP BY alert_id, evaluated_on"""),
     "K18_failures_by_severity": with_star(f"""
-SELECT severity, count(*) AS failed_checks, count(DISTINCT issue_id) AS issues
-FROM (SELECT issue_id FROM results WHERE status = 'FAIL' AND issue_id IS NOT NULL) JOIN {CATALOGUE} USING (issue_id)
-GROUP BY severity""", CHECKED),
+SELECT coalesce(i.severity, upper(r.severity), 'UNCLASSIFIED') AS severity, count(*) AS failed_checks,
+  count(DISTINCT r.issue_id) AS issues
+FROM results r LEFT JOIN {CATALOGUE} ON r.issue_id = i.issue_id WHERE status = 'FAIL' GROUP BY 1""", CHECKED),
 }

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from oracle.data import CONTRACT, FIELDS, FULL
 from oracle.star import AS_OF, with_star
 from oracle.suites import results
-from plumbline.operators.contracts import compile_suite
-from plumbline.plans.contracts import TABLES
-from plumbline.plans.suites import consolidated
-from plumbline.sources.schemas import WAREHOUSE, columns
+
+WAREHOUSE = ("dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales")
+
+
+def columns(table: str) -> list[str]:
+    return [f.name for f in FIELDS[table]]
+
+
 
 SIZES = with_star(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(columns(t))} AS column_count FROM {t}"
@@ -31,7 +36,7 @@ ORACLE = {
         f"SELECT CAST(2 AS BIGINT) AS run_id, '06:30' AS run_time, DATE '{AS_OF}' AS load_date, table_name, dimension, "
         "count(*) AS metrics, "
         "CAST(sum(least(unexpected_count, evaluated_count)) AS BIGINT) AS fail_count FROM results "
-        "GROUP BY table_name, dimension", {"results": results([consolidated()["dim_product"]])}),
+        "GROUP BY table_name, dimension", {"results": results([FULL["dim_product"]])}),
     "A7_quarantine_table": with_star(f"""
 SELECT customer_key, DATE '{AS_OF}' AS quarantined_on, count(*) AS rows, CAST(sum(net_revenue) AS DOUBLE) AS net_revenue
 FROM fact_sales WHERE customer_key NOT IN (SELECT customer_key FROM dim_customer) GROUP BY customer_key"""),
@@ -41,8 +46,8 @@ SELECT false AS generated, count(*) AS rows, max(sales_key) AS max_sales_key, ma
 UNION ALL SELECT true, count(*), max(900000000000 + g), max('ORD-ORPHAN-' || lpad(CAST(g AS VARCHAR), 4, '0')),
   CAST(sum(195.00) AS DOUBLE) FROM range(1, 51) t(g)"""),
     "A9_contract_source": with_star(" UNION ALL ".join(
-        f"SELECT '{c.table}' AS table_name, {len(c.fields)} AS fields, {len(compile_suite(c).checks)} AS checks, "
-        f"count(*) AS row_count FROM {c.table}" for c in TABLES)),
+        f"SELECT '{t}' AS table_name, {len(fields)} AS fields, {len(CONTRACT[t].checks)} AS checks, "
+        f"count(*) AS row_count FROM {t}" for t, fields in FIELDS.items())),
     "A10_integrity_history": with_star(f"""
 SELECT check_date, CAST(4 AS BIGINT) AS checks, CAST((SELECT sum(orphan_count) FROM ({ORPHANS})) AS BIGINT) AS orphans
 FROM (VALUES (DATE '2026-04-28'), (DATE '2026-04-29')) d(check_date)"""),

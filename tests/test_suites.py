@@ -12,6 +12,41 @@ def test_sizes():
     assert [len(s.checks) for s in modular().values()] == [28, 21, 20, 20, 25]
 
 
+def test_every_check_equals_its_literal_row():
+    """Kind, columns, bounds, tolerance, dimension, issue and severity of both suites, the contracts and the rules."""
+    from oracle import data
+    from plumbline.operators.contracts import rule_suites
+    from plumbline.plans.queries.contracts import SUITES
+
+    for suites, literal in ((consolidated(), data.FULL), (modular(), data.SPLIT), (SUITES, data.CONTRACT),
+                            (rule_suites(), data.RULES)):
+        assert list(suites) == list(literal)
+        for table, suite in suites.items():
+            own = [json.loads(json.dumps([c.no, c.kind, c.columns, c.args, c.mostly, c.dimension, c.issue_id, c.predicted,
+                                          c.rule_id, c.severity], default=str)) for c in suite.checks]
+            rows = [json.loads(json.dumps([c.no, c.kind, c.columns, c.args, c.mostly, c.dimension, c.issue_id, c.predicted,
+                                           c.rule_id, c.severity])) for c in literal[table].checks]
+            assert own == rows
+
+
+def test_contract_fields_equal_their_literal_rows():
+    from oracle import data
+    from plumbline.plans.contracts import TABLES
+
+    for c in TABLES:
+        assert [(f.name, f.type, f.name in c.required_columns(), f.name in c.pii_columns(), bool(f.primary))
+                for f in c.fields] == [(f.name, f.type, f.required, f.pii, f.primary) for f in data.FIELDS[c.table]]
+
+
+def test_the_oracle_imports_nothing_from_the_engine():
+    import glob
+    import os
+
+    folder = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "oracle")
+    files = glob.glob(os.path.join(folder, "**", "*.py"), recursive=True)
+    assert len(files) > 8 and not any("plumbline" in open(f, encoding="utf-8").read() for f in files)
+
+
 def test_predicted_failures_cover_all_issues():
     found = {c.issue_id for s in consolidated().values() for c in s.checks if c.predicted == "FAIL"}
     assert found == {f"DQ-00{n}" for n in range(1, 9)}
