@@ -37,6 +37,8 @@ def bound(value, as_of=None, data_type: str = "") -> Column:
     """A bound of a range check: number, ISO date, or the word ``today``."""
     if value == "today":
         return as_date(as_of)
+    if isinstance(value, str) and data_type == "string":
+        return F.lit(value)
     if isinstance(value, str):
         return F.lit(value).cast(data_type if data_type in ("date", "timestamp", "timestamp_ntz") else "date")
     return literal(value)
@@ -45,6 +47,8 @@ def bound(value, as_of=None, data_type: str = "") -> Column:
 def outside(value: Column, low: Column | None, high: Column | None) -> Column:
     """True when a non-null value lies outside the inclusive range; NULL for NULL."""
     tests = ([value < low] if low is not None else []) + ([value > high] if high is not None else [])
+    if not tests:
+        return F.lit(False)
     result = tests[0]
     for test in tests[1:]:
         result = result | test

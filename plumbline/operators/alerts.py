@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,24 +33,41 @@ def evaluate(metrics: DataFrame, rules: Iterable[AlertRule] = RULES, log: DataFr
              at: str = "evaluated_at") -> DataFrame:
     """One row per metric row and rule: triggered, suppressed (still cooling down), fired.
 
-    ``log`` holds (alert_id, fired_at) of alerts sent before. The last one sent before each evaluation is found by a
-    window per alert over evaluations and log entries, a few per day, never by pairing them all. A cool-down of 0
-    fires every time.
+    ``log`` holds (alert_id, fired_at) of alerts sent before; only entries younger than the longest cool-down, counted
+    from the first evaluation, are read. An alert that fires in this run suppresses later ones of the run as well: per
+    alert, the time it last fired is carried through its triggered evaluations in order, which are a few per day. A
+    cool-down of 0 fires every time.
     """
+    rules = list(rules)
     rows = [f"named_struct('alert_id', '{r.alert_id}', 'name', '{r.name}', 'severity', '{r.severity}', "
             f"'cooldown_minutes', {r.cooldown_minutes}, 'triggered', coalesce({r.condition}, false))" for r in rules]
     judged = metrics.selectExpr(at, f"inline(array({', '.join(rows)}))")
-    if log is None:
-        return judged.withColumns({"suppressed": F.lit(False), "fired": F.col("triggered")})
-    sent = log.select("alert_id", F.col("fired_at").alias(at), F.col("fired_at"))
-    timeline = judged.withColumn("fired_at", F.lit(None).cast(log.schema["fired_at"].dataType)).unionByName(
-        sent, allowMissingColumns=True)
-    # Entries with the time of an evaluation were sent before it.
-    before = Window.partitionBy("alert_id").orderBy(at, F.col("fired_at").isNull()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cooling = (F.timestamp_diff("SECOND", F.col("last_fired"), F.col(at)) < F.col("cooldown_minutes") * 60)
-    return (timeline.withColumn("last_fired", F.last("fired_at", ignorenulls=True).over(before))
-            .where(F.col("triggered").isNotNull())
-            .withColumn("suppressed", F.col("triggered") & F.coalesce(cooling, F.lit(False)))
-            .withColumn("fired", F.col("triggered") & ~F.col("suppressed"))
-            .drop("fired_at", "last_fired"))
+    kind = metrics.schema[at].dataType
+    shape = f"array<struct<at: {kind.simpleString()}, last: {kind.simpleString()}>>"
+    hits = judged.where("triggered").groupBy("alert_id", "cooldown_minutes").agg(
+        F.array_sort(F.collect_set(F.col(at))).alias("times"))
+    if log is not None:
+        longest = max(r.cooldown_minutes for r in rules)
+        since = metrics.agg((F.min(at) - F.make_dt_interval(mins=F.lit(longest))).alias("since")).scalar()
+        sent = log.where(F.col("fired_at") >= since).groupBy("alert_id").agg(
+            F.array_sort(F.collect_set(F.col("fired_at").cast(kind))).alias("sent"))
+        hits = hits.join(sent, "alert_id", "left")
+    else:
+        hits = hits.withColumn("sent", F.lit(None))
+    known = F.coalesce(F.col("sent").cast(f"array<{kind.simpleString()}>"), F.array().cast(f"array<{kind.simpleString()}>"))
+
+    def step(done, now):
+        """Appends (evaluation, the time that counts as last fired after it)."""
+        before = F.array_max(F.filter(known, lambda t: t <= now))  # sent at that very time: before it
+        last = F.greatest(F.element_at(F.concat(F.array(F.struct(now.alias("at"), F.lit(None).cast(kind).alias("last"))),
+                                                done), -1)["last"], before)
+        cooling = F.coalesce(F.timestamp_diff("SECOND", last, now) < F.col("cooldown_minutes") * 60, F.lit(False))
+        return F.concat(done, F.array(F.struct(now.alias("at"), F.when(cooling, last).otherwise(now).alias("last"))))
+
+    fold = F.aggregate("times", F.array().cast(shape), step)
+    fired = hits.select("alert_id", F.explode(fold).alias("f")).select(
+        "alert_id", F.col("f.at").alias(at), (F.col("f.last") == F.col("f.at")).alias("_new"))
+    return (judged.join(fired, ["alert_id", at], "left")
+            .withColumn("fired", F.col("triggered") & F.coalesce("_new", F.lit(False)))
+            .withColumn("suppressed", F.col("triggered") & ~F.col("fired"))
+            .select(at, "alert_id", "name", "severity", "cooldown_minutes", "triggered", "suppressed", "fired"))

@@ -132,27 +132,73 @@ def freshness_age(log: DataFrame, as_of: str, max_age: dict[str, int] = MAX_AGE_
     """Age of the newest load per table against its allowance; a table never loaded is stale."""
     kind = log.schema["load_timestamp"].dataType
     now = F.lit(as_of).cast(kind)
-    allowance = F.create_map(*[F.lit(v) for item in max_age.items() for v in item])
+    expected = log.sparkSession.createDataFrame(list(max_age.items()), "table_name string, max_age_hours bigint")
     age = _hours(now, F.col("last"))
-    return (log.groupBy("table_name").agg(F.max("load_timestamp").alias("last"))
-            .select("table_name", age.alias("age_hours"),
-                    allowance[F.col("table_name")].cast("bigint").alias("max_age_hours"),
-                    F.when(age <= allowance[F.col("table_name")], "FRESH").otherwise("STALE").alias("status")))
+    newest = log.groupBy("table_name").agg(F.max("load_timestamp").alias("last"))
+    return (expected.join(newest, "table_name", "left")
+            .select("table_name", age.alias("age_hours"), "max_age_hours",
+                    F.when(age <= F.col("max_age_hours"), "FRESH").otherwise("STALE").alias("status")))
 
 
-# Delivery deadline (hour of the load day) of the daily tables.
-DEADLINE_HOUR = {"fact_sales": 6, "dim_customer": 6, "dim_product": 6, "dim_store": 6, "dim_date": 6}
+# How often each table is due (daily, on Mondays, on the last day of the year) and until which hour.
+SCHEDULE = {"fact_sales": ("daily", 6), "dim_customer": ("daily", 6), "dim_product": ("daily", 6),
+            "dim_store": ("weekly", 6), "dim_date": ("annual", 6)}
 
 
-def timeliness(log: DataFrame, deadline: dict[str, int] = DEADLINE_HOUR) -> DataFrame:
-    """Newest load per table, its delay against the deadline in minutes (negative: early), and the status."""
-    due = F.create_map(*[F.lit(v) for item in deadline.items() for v in item])
-    newest = log.groupBy("table_name").agg(F.max(F.struct("load_date", "load_timestamp")).alias("l"))
-    start = F.col("l.load_date").cast(log.schema["load_timestamp"].dataType)
-    minutes = F.timestamp_diff("MINUTE", start, F.col("l.load_timestamp")) - due[F.col("table_name")] * 60
-    return newest.select("table_name", F.col("l.load_date").alias("last_load_date"),
-                         minutes.cast("bigint").alias("delay_minutes"),
-                         F.when(minutes < 0, "ON_TIME").otherwise("LATE").alias("status"))
+def _schedule(spark, schedule: dict[str, tuple[str, int]]) -> DataFrame:
+    return spark.createDataFrame([(t, every, hour) for t, (every, hour) in schedule.items()],
+                                 "table_name string, every string, deadline_hour int")
+
+
+def _due_on(day, every):
+    """Whether a load is due on a day."""
+    return (F.when(every == "weekly", F.weekday(day) == 0)
+            .when(every == "annual", (F.month(day) == 12) & (F.day(day) == 31)).otherwise(True))
+
+
+def expected_loads(log: DataFrame, first: str, last: str, schedule: dict[str, tuple[str, int]] = SCHEDULE) -> DataFrame:
+    """(table_name, due_date, deadline_hour, load_timestamp): every load due between two days, and the first one of that
+    day's loads, NULL if there was none."""
+    spark = log.sparkSession
+    days = _schedule(spark, schedule).select("*", F.explode(F.sequence(
+        F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("due_date"))
+    earliest = log.groupBy("table_name", F.col("load_date").alias("due_date")).agg(
+        F.min("load_timestamp").alias("load_timestamp"))
+    return (days.where(_due_on(F.col("due_date"), F.col("every")))
+            .join(earliest, ["table_name", "due_date"], "left")
+            .select("table_name", "due_date", "deadline_hour", "load_timestamp"))
+
+
+def timeliness(log: DataFrame, as_of: str, schedule: dict[str, tuple[str, int]] = SCHEDULE) -> DataFrame:
+    """Per expected table: its newest load up to ``as_of``, the last day a load was due by then, the delay against that
+    day's deadline in minutes (negative: early), and ON_TIME, LATE, MISSING (due, not there yet) or NEVER_LOADED.
+
+    A load of the due day or later counts; the delay of a missing load runs until ``as_of``.
+    """
+    spark = log.sparkSession
+    now = F.lit(as_of).cast(log.schema["load_timestamp"].dataType)
+    day = F.to_date(now)
+    passed = now >= _at_hour(day, F.col("deadline_hour"), now)
+    today = F.when(passed, day).otherwise(F.date_sub(day, 1))  # the last day whose deadline is over
+    due = (F.when(F.col("every") == "weekly", F.date_sub(today, F.weekday(today)))
+           .when(F.col("every") == "annual", F.when((F.month(today) == 12) & (F.day(today) == 31), today)
+                 .otherwise(F.date_sub(F.trunc(today, "year"), 1)))
+           .otherwise(today))
+    plan = _schedule(spark, schedule).withColumn("due_date", due)
+    seen = log.where(F.col("load_timestamp") <= now).join(F.broadcast(plan), "table_name").groupBy("table_name").agg(
+        F.max("load_date").alias("last_load_date"),
+        F.min(F.when(F.col("load_date") >= F.col("due_date"), F.col("load_timestamp"))).alias("landed"))
+    deadline = _at_hour(F.col("due_date"), F.col("deadline_hour"), now)
+    minutes = F.timestamp_diff("MINUTE", deadline, F.coalesce("landed", now))
+    return plan.join(seen, "table_name", "left").select(
+        "table_name", "due_date", "last_load_date", minutes.cast("bigint").alias("delay_minutes"),
+        F.when(F.col("last_load_date").isNull(), "NEVER_LOADED").when(F.col("landed").isNull(), "MISSING")
+        .when(F.col("landed") < deadline, "ON_TIME").otherwise("LATE").alias("status"))
+
+
+def _at_hour(day, hour, like):
+    """That hour of a day, in the timestamp type of ``like``."""
+    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
 
 
 # --- trends --------------------------------------------------------------------------------------------------------

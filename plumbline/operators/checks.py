@@ -26,6 +26,7 @@ class Check:
     rule_id: str | None = None
     severity: str | None = None
     description: str | None = None
+    rationale: str | None = None
     no: int = 0
 
     @property
@@ -68,7 +69,7 @@ class Suite:
 
 # --- constructors, one per kind ------------------------------------------------------------------------------------
 
-def row_count(low: int, high: int, **meta) -> Check:
+def row_count(low: int | None = None, high: int | None = None, **meta) -> Check:
     return Check("row_count", (), {"min": low, "max": high}, **meta)
 
 
@@ -88,7 +89,7 @@ def compound_unique(*columns: str, **meta) -> Check:
     return Check("compound_unique", columns, {}, dimension="Uniqueness", **meta)
 
 
-def distinct_ratio(column: str, low: float, high: float, **meta) -> Check:
+def distinct_ratio(column: str, low: float | None = None, high: float | None = None, **meta) -> Check:
     return Check("distinct_ratio", (column,), {"min": low, "max": high}, dimension="Uniqueness", **meta)
 
 
@@ -186,13 +187,13 @@ def unexpected_rows(query: str, **meta) -> Check:
 
 # Public expectation type names and the constructor each one maps to.
 EXPECTATION_TYPES = {
-    "expect_table_row_count_to_be_between": lambda k: row_count(k["min_value"], k["max_value"]),
+    "expect_table_row_count_to_be_between": lambda k: row_count(k.get("min_value"), k.get("max_value")),
     "expect_table_columns_to_match_ordered_list": lambda k: column_order(*k["column_list"]),
     "expect_column_values_to_not_be_null": lambda k: not_null(k["column"]),
     "expect_column_values_to_be_unique": lambda k: unique(k["column"]),
     "expect_compound_columns_to_be_unique": lambda k: compound_unique(*k["column_list"]),
     "expect_column_proportion_of_unique_values_to_be_between":
-        lambda k: distinct_ratio(k["column"], k["min_value"], k["max_value"]),
+        lambda k: distinct_ratio(k["column"], k.get("min_value"), k.get("max_value")),
     "expect_column_values_to_be_between": lambda k: between(k["column"], k.get("min_value"), k.get("max_value")),
     "expect_column_value_lengths_to_be_between":
         lambda k: length_between(k["column"], k.get("min_value"), k.get("max_value")),
@@ -225,5 +226,5 @@ def from_expectations(raw: dict, table: str | None = None) -> Suite:
         checks.append(replace(
             check, mostly=doc["kwargs"].get("mostly", 1.0), dimension=meta.get("dimension", check.dimension),
             issue_id=meta.get("issue_id"), predicted="FAIL" if str(predicted).startswith("FAIL") else predicted,
-            description=doc.get("description") or doc["kwargs"].get("description")))
+            description=doc.get("description") or doc["kwargs"].get("description"), rationale=meta.get("rationale")))
     return Suite(raw["name"], table or raw["name"].removesuffix("_suite"), tuple(checks))

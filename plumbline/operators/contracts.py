@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
@@ -10,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.functions import keys as K
 from plumbline.functions.keys import ForeignKey
@@ -118,7 +120,7 @@ CONSTRAINTS = {
     "enum": lambda f, c: C.in_set(f.name, c["values"]),
     "cross_field": lambda f, c: C.row_rule(f.name, c["rule"], severity=c.get("severity")),
     "consistency": lambda f, c: C.row_rule(f.name, c["rule"], "Consistency"),
-    "formula": lambda f, c: C.row_rule(f.name, c["rule"]),
+    "formula": lambda f, c: C.row_rule(f.name, c["rule"], severity="critical"),
     "referential_integrity": lambda f, c: C.references(f.name, *_reference(c["references"]), severity="critical"),
     "compound_unique": lambda f, c: C.compound_unique(*c["columns"]),
 }
@@ -170,9 +172,13 @@ def type_fits(declared: str, actual: str) -> bool:
     return actual in TYPES.get(declared, {declared.replace(" ", "")})
 
 
-def type_report(df: DataFrame, contract: Contract) -> DataFrame:
-    """column_name, declared_type, max_length, conforms. Text lengths come from one aggregate; types from the schema."""
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+def type_report(df: DataFrame, contract: Contract, stored: StructType | None = None) -> DataFrame:
+    """column_name, declared_type, max_length, conforms. Text lengths come from one aggregate.
+
+    Types come from ``stored``, the schema of the files, where it is given: a table read with its declared schema always
+    has the declared types.
+    """
+    actual = {f.name: f.dataType.simpleString() for f in (stored or df.schema).fields}
     limits = {f.name: declared_length(f.type) for f in contract.fields}
     texts = [n for n, limit in limits.items() if limit is not None and actual.get(n) == "string"]
     lengths = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.max(F.length(n)).alias(n) for n in texts])
@@ -261,30 +267,44 @@ def _judged(levels: DataFrame) -> DataFrame:
 def _row_levels(tables: Mapping[str, DataFrame], table: str, contracts: list[Contract]) -> DataFrame | None:
     """Completeness, accuracy and integrity levels of one table from ONE scan and one aggregate."""
     df, wanted, aggregates = tables[table], [], {"n": F.count(F.lit(1))}
-    if any(level in c.servicelevels for c in contracts for level in INTEGRITY_LEVELS):
-        df, flags = K.with_orphan_flags(df, list(integrity.RELATIONSHIPS), tables)
+    own = [k for k in integrity.RELATIONSHIPS if k.source == table]
+    if own and any(level in INTEGRITY_LEVELS or spec.get("no_orphans") for c in contracts
+                   for level, spec in c.servicelevels.items()):
+        df, flags = K.with_orphan_flags(df, own, tables)
         aggregates["linked"] = F.count_if(~reduce(lambda a, b: a | b, flags.values()))
     for c in contracts:
         for level, spec in c.servicelevels.items():
             if level == "completeness" and c.table:
                 names = c.required_columns()
                 aggregates["filled"] = reduce(lambda a, b: a + b, [F.count(n) for n in names])
-                wanted.append((level, spec, "filled", f"n * {len(names)}"))
+                also = ("null", "null")
+                if spec.get("no_orphans"):
+                    also = ("linked", "n")
+                if spec.get("no_gaps_in"):
+                    day = spec["no_gaps_in"]
+                    aggregates["days"] = F.count_distinct(F.col(day))
+                    aggregates["span"] = F.date_diff(F.max(day), F.min(day)) + 1
+                    also = ("days", "span")
+                wanted.append((level, spec, "filled", f"n * {len(names)}", *also))
             elif level == "accuracy":
                 rules = [k for k in compile_suite(c).checks
                          if k.kind == "row_rule" or (k.kind == "matches" and k.mostly < 1)]
-                broken = reduce(lambda a, b: a | b, [F.coalesce(violation(r, df), F.lit(False)) for r in rules])
+                broken = reduce(lambda a, b: a | b, [F.coalesce(violation(r, df), F.lit(False)) for r in rules] + [
+                    F.coalesce(~F.expr(rule), F.lit(False)) for rule in spec.get("rules", [])])
                 aggregates["accurate"] = F.count_if(~broken)
-                wanted.append((level, spec, "accurate", "n"))
-            elif level in INTEGRITY_LEVELS:
-                wanted.append((level, spec, "linked", "n"))
+                wanted.append((level, spec, "accurate", "n", "null", "null"))
+            elif level in INTEGRITY_LEVELS and own:
+                wanted.append((level, spec, "linked", "n", "null", "null"))
     if not wanted:
         return None
-    rows = ", ".join(f"named_struct('service_level', '{level}', 'part', {part}, 'whole', {whole}, "
-                     f"'required', {_need(spec['percentage'])!r}D)" for level, spec, part, whole in wanted)
+    rows = ", ".join(
+        f"named_struct('service_level', '{level}', 'part', bigint({part}), 'whole', bigint({whole}), 'part2', "
+        f"bigint({part2}), 'whole2', bigint({whole2}), 'required', {_need(spec['percentage'])!r}D)"
+        for level, spec, part, whole, part2, whole2 in wanted)
     long = df.agg(*[e.alias(name) for name, e in aggregates.items()]).selectExpr(f"inline(array({rows}))")
     return _judged(long.select(F.lit(table).alias("table_name"), "service_level",
-                               scores.share(F.col("part"), F.col("whole")).cast("double").alias("measured"),
+                               F.least(scores.share(F.col("part"), F.col("whole")).cast("double"),
+                                       scores.share(F.col("part2"), F.col("whole2")).cast("double")).alias("measured"),
                                "required"))
 
 
@@ -295,7 +315,8 @@ def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract
                    as_of: str | None = None, policy_table: str = "fact_sales") -> DataFrame:
     """Measured against required share for every level, plus freshness and punctuality where a load log is given.
 
-    A policy contract without a table of its own is judged on ``policy_table``.
+    A level that states two conditions is as good as the worse one. Punctuality is judged over the 30 days before
+    ``as_of``; a table that never loaded misses both levels. A policy contract without a table of its own is judged on ``policy_table``.
     """
     contracts, parts = list(contracts), []
     by_table: dict[str, list[Contract]] = {}
@@ -307,13 +328,24 @@ def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract
             share = spec.get("percentage")
             if level == "uniqueness":
                 key = next(f.name for f in c.fields if f.primary)
-                parts.append(_level(c.table, level, scores.uniqueness(tables[c.table], key), share))
+                measured = scores.uniqueness(tables[c.table], key)
+                if "one_current_row" in spec:
+                    names = spec["one_current_row"]
+                    current = (tables[c.table].groupBy(names["key"]).agg(F.count_if(names["flag"]).alias("n"))
+                               .agg(scores.share(F.count_if(F.col("n") <= 1), F.count(F.lit(1))).cast("double").alias("s")))
+                    measured = measured.withColumn("score", F.least("score", current.scalar()))
+                parts.append(_level(c.table, level, measured, share))
             elif level == "volume":
-                days = anomaly.daily_limits(tables[c.table], spec["minimum_daily_rows"])
-                score = days.agg(F.avg(F.when(F.col("status") != "BELOW_MINIMUM", 1.0).otherwise(0.0)).alias("score"))
+                days = anomaly.volume_bands(tables[c.table])
+                count, enough = F.col("row_count"), spec.get("minimum_share_of_average", 0)
+                inside = (count >= spec["minimum_daily_rows"]) & (count <= spec.get("maximum_daily_rows", 1 << 62)) & (
+                    F.coalesce(count >= F.col("rolling_7d_avg") * enough, F.lit(True)))
+                score = days.agg(F.avg(F.when(inside, 1.0).otherwise(0.0)).alias("score"))
                 parts.append(_level(c.table, level, score, "100%"))
             elif level == "availability" and log is not None:
-                on_time = scores.load_punctuality(log.where(F.col("table_name") == c.table))
+                last = dt.date.fromisoformat(as_of[:10]) - dt.timedelta(days=1)
+                on_time = scores.load_punctuality(log, str(last - dt.timedelta(days=29)), str(last),
+                                                  {c.table: anomaly.SCHEDULE.get(c.table, ("daily", 6))})
                 parts.append(_level(c.table, level, on_time.select((F.col("timeliness_pct") / 100).alias("score")),
                                     share))
             elif level == "freshness" and log is not None:

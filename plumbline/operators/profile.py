@@ -8,28 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import predicates as P
+from plumbline.operators.validate import quoted
+
 
 def total() -> Column:
     return F.count(F.lit(1)).alias("total_rows")
 
 
 def peek(df: DataFrame, *keys: str, n: int = 10) -> DataFrame:
-    """All columns of the first rows in key order."""
-    return df.orderBy(*keys).limit(n)
+    """All columns of the first rows in key order; without keys, of any rows, which reads no more than it needs."""
+    return df.orderBy(*keys).limit(n) if keys else df.limit(n)
 
 
 def distinct_count(df: DataFrame, names: Mapping[str, Iterable[str]], extra: Iterable[Column] = ()) -> DataFrame:
     """Row count, distinct counts and further aggregates in one row.
 
-    Several distinct counts in one aggregate make Spark copy every row once per count, so each key set is counted by
-    its own grouping (one pre-combined row per key and task) and the one-row results are put side by side.
+    One scan: Spark copies the key columns once per distinct count and combines equal keys before the shuffle.
     """
-    base = df.agg(total(), *extra)
-    for name, columns in names.items():
-        columns = list(columns)
-        known = df.where(" and ".join(f"{c} is not null" for c in columns)).select(*columns).distinct()
-        base = base.withColumn(name, known.agg(F.count(F.lit(1)).alias("n")).scalar())
-    return base
+    counts = [F.count_distinct(*[F.col(quoted(c)) for c in columns]).alias(name) for name, columns in names.items()]
+    return df.agg(total(), *extra, *counts)
 
 
 def scd2_shape(customers: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from plumbline.functions import keys as K
 from plumbline.functions import predicates as P
 from plumbline.functions.keys import ForeignKey
 from plumbline.operators.checks import Check, Suite
-from plumbline.operators.validate import foreign_key, is_row_local, validate, violation
+from plumbline.operators.validate import ROW_PREDICATES, foreign_key, is_row_local, validate, violation
 from plumbline.session import durable
 
 # Sentinels and replacements used by the repairs.
@@ -131,25 +131,41 @@ def route_by_type(fact: DataFrame, path: str) -> None:
 
 # --- promotion gate ------------------------------------------------------------------------------------------------
 
-# Failed checks of these kinds are critical on a fact table.
+# Failed checks of these kinds are critical on a fact table, as are all of severity critical.
 CRITICAL_KINDS = ("references", "revenue_identity", "profit_identity")
 
 
+def is_critical(check: Check) -> bool:
+    return check.kind in CRITICAL_KINDS or check.severity == "critical"
+
+
+def _critical_result() -> Column:
+    """``is_critical`` of the check of a result row."""
+    return F.col("check_type").isin(*CRITICAL_KINDS) | F.coalesce(F.col("severity") == "critical", F.lit(False))
+
+
+def by_rows(check: Check) -> bool:
+    """Whether single rows can be told to break the check."""
+    return is_row_local(check) or check.kind == "references"
+
+
 def gate(results: DataFrame) -> DataFrame:
     """table_name, failed, critical_failed, decision.
 
-    A failed dimension blocks the load. A fact with critical failures has those rows quarantined; other failures only
-    raise an alert.
+    A failed dimension blocks the load. A fact with critical failures has those rows quarantined; critical failures that
+    no single row shows (of key checks, row counts or custom SQL) block it, and so does any check that was not run.
+    Other failures only raise an alert.
     """
-    failed = F.col("status") == "FAIL"
-    critical = failed & (F.col("check_type").isin(*CRITICAL_KINDS)
-                         | F.coalesce(F.col("severity") == "critical", F.lit(False)))
-    decision = (F.when(F.col("failed") == 0, "promote")
-                .when(F.col("table_name").startswith("dim_"), "block")
+    failed = F.col("status") != "PASS"
+    critical = failed & _critical_result()
+    whole = critical & ~F.col("check_type").isin(*ROW_PREDICATES, "references")
+    stop = F.col("table_name").startswith("dim_") | (F.col("not_run") > 0) | (F.col("critical_whole") > 0)
+    decision = (F.when(F.col("failed") == 0, "promote").when(stop, "block")
                 .when(F.col("critical_failed") > 0, "quarantine").otherwise("promote_with_alert"))
     return (results.groupBy("table_name")
-            .agg(F.count_if(failed).alias("failed"), F.count_if(critical).alias("critical_failed"))
-            .withColumn("decision", decision))
+            .agg(F.count_if(failed).alias("failed"), F.count_if(critical).alias("critical_failed"),
+                 F.count_if(F.col("status") == "NOT_RUN").alias("not_run"), F.count_if(whole).alias("critical_whole"))
+            .withColumn("decision", decision).drop("not_run", "critical_whole"))
 
 
 def load_decision(gated: DataFrame) -> DataFrame:
@@ -162,7 +178,7 @@ def load_decision(gated: DataFrame) -> DataFrame:
 
 def tag_violations(df: DataFrame, checks: Iterable[Check], refs: Mapping[str, DataFrame], as_of=None) -> DataFrame:
     """The table with ``violations``: names of the row checks and foreign keys each row breaks, from one scan."""
-    checks = [c for c in checks if is_row_local(c) or c.kind == "references"]
+    checks = [c for c in checks if by_rows(c)]
     foreign = [foreign_key(c) for c in checks if c.kind == "references"]
     flagged, flags = K.with_orphan_flags(df, foreign, refs)
     names = []
@@ -172,10 +188,17 @@ def tag_violations(df: DataFrame, checks: Iterable[Check], refs: Mapping[str, Da
     return flagged.withColumn("violations", F.array_compact(F.array(*names))).select(*df.columns, "violations")
 
 
-def quarantine_critical(fact: DataFrame, suite: Suite, refs: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(promoted, quarantined): rows that break a critical check are set aside with the reasons."""
-    tagged = tag_violations(fact, suite.subset(kinds=CRITICAL_KINDS).checks, refs)
-    return (tagged.where(F.size("violations") == 0).drop("violations"), tagged.where(F.size("violations") > 0))
+def quarantine_critical(fact: DataFrame, suite: Suite, refs: Mapping[str, DataFrame], path: str | None = None,
+                        as_of=None) -> tuple[DataFrame, DataFrame]:
+    """(promoted, quarantined): rows that break a critical check are set aside with the reasons.
+
+    Given a path, both sides are written there in one pass over the fact and read back; without it, each side scans the
+    fact when it is used.
+    """
+    tagged = tag_violations(fact, [c for c in suite.checks if is_critical(c)], refs, as_of)
+    broken = F.size("violations") > 0
+    promoted, quarantined = split(tagged, broken) if path is None else write_split(tagged, broken, path)
+    return promoted.drop("violations"), quarantined
 
 
 def recheck(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame], issues: Iterable[str], **options) -> DataFrame:
@@ -186,18 +209,27 @@ def recheck(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame], issues:
 def rows_changed(before: DataFrame, after: DataFrame, key: str, columns: Iterable[str]) -> DataFrame:
     """Audit of a repair: changed rows per column.
 
-    Counts (key, value) on both sides and takes the surplus after the repair. Counts combine on the map side and no
+    One short row (key, a hash of each value, sign) enters the shuffle per table row. Rows that are equal on both sides
+    cancel out on the way; of the rest, values per key and column that are there more often after the repair count. No
     rows are paired, so a repeated or hot key costs nothing extra.
     """
     columns = list(columns)
 
-    def values(df: DataFrame, sign: int) -> DataFrame:
-        texts = df.select(key, *[F.col(c).cast("string").alias(c) for c in columns])
-        return texts.unpivot([key], columns, "column_name", "value").withColumn("sign", F.lit(sign))
+    def hashed(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(key, *[F.xxhash64(F.col(c).cast("string")).alias(c) for c in columns], F.lit(sign).alias("sign"))
 
-    surplus = (values(after, 1).unionAll(values(before, -1)).groupBy("column_name", key, "value")
+    differing = (hashed(after, 1).unionAll(hashed(before, -1)).groupBy(key, *columns).agg(F.sum("sign").alias("sign"))
+                 .where("sign <> 0"))
+    surplus = (differing.unpivot([key, "sign"], columns, "column_name", "value").groupBy("column_name", key, "value")
                .agg(F.sum("sign").alias("surplus")))
-    return surplus.groupBy("column_name").agg(F.sum(F.greatest("surplus", F.lit(0))).alias("rows_changed"))
+    counted = surplus.groupBy("column_name").agg(F.sum(F.greatest("surplus", F.lit(0))).alias("rows_changed"))
+    names = df_of_names(before, columns)
+    return names.join(counted, "column_name", "left").select(
+        "column_name", F.coalesce("rows_changed", F.lit(0)).cast("bigint").alias("rows_changed"))
+
+
+def df_of_names(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
 
 
 def repair_customers(customers: DataFrame, as_of) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import keys as K
 from plumbline.functions import predicates as P
+from plumbline.operators import anomaly
 from plumbline.operators.checks import Check, Suite
 from plumbline.operators.integrity import RELATIONSHIPS
 from plumbline.operators.validate import COLUMN_KINDS, is_row_local, violation
@@ -135,14 +136,18 @@ def _issue(field: int) -> Column:
 
 
 def issue_catalogue(results: DataFrame) -> DataFrame:
-    """Known issues with the volume and share found by their first check."""
-    first = results.where(F.col("issue_id").isNotNull()).groupBy("issue_id").agg(
-        F.min_by(F.struct("unexpected_count", "unexpected_pct", "status"), "check_no").alias("r"))
-    return first.select(
+    """Known issues over all their checks: how many there are and fail, the largest volume and share any of them found.
+
+    An issue passes when all its checks do.
+    """
+    missed = F.count_if(F.col("status") != "PASS")
+    found = results.where(F.col("issue_id").isNotNull()).groupBy("issue_id").agg(
+        F.count(F.lit(1)).alias("checks"), missed.alias("failed_checks"), F.max("unexpected_count").alias("volume"),
+        F.max("unexpected_pct").alias("volume_pct"), F.when(missed > 0, "FAIL").otherwise("PASS").alias("status"))
+    return found.select(
         "issue_id", _issue(1).alias("table_name"), _issue(2).alias("columns"), _issue(3).alias("dimension"),
-        _issue(4).alias("severity"), _issue(5).alias("rule"), _issue(6).alias("threshold"),
-        F.col("r.unexpected_count").alias("volume"), F.col("r.unexpected_pct").alias("volume_pct"),
-        F.col("r.status").alias("status"))
+        _issue(4).alias("severity"), _issue(5).alias("rule"), _issue(6).alias("threshold"), "checks", "failed_checks",
+        "volume", "volume_pct", "status")
 
 
 def open_issues(results: DataFrame) -> DataFrame:
@@ -164,10 +169,10 @@ def active_issues(issues: DataFrame) -> DataFrame:
 
 
 def failures_by_severity(results: DataFrame) -> DataFrame:
-    """Failed checks per severity of their issue."""
-    return (results.where((F.col("status") == "FAIL") & F.col("issue_id").isNotNull())
-            .groupBy(_issue(4).alias("severity")).agg(F.count(F.lit(1)).alias("failed_checks"),
-                                                      F.countDistinct("issue_id").alias("issues")))
+    """Failed checks per severity: that of their issue, else their own, else UNCLASSIFIED. No failed check is left out."""
+    severity = F.coalesce(_issue(4), F.upper("severity"), F.lit("UNCLASSIFIED"))
+    return (results.where(F.col("status") != "PASS").groupBy(severity.alias("severity"))
+            .agg(F.count(F.lit(1)).alias("failed_checks"), F.countDistinct("issue_id").alias("issues")))
 
 
 # --- summaries -----------------------------------------------------------------------------------------------------
@@ -235,15 +240,22 @@ def validity(df: DataFrame, checks: Iterable[Check], as_of=None) -> DataFrame:
     return passing(df, [violation(c, df, as_of) for c in chosen])
 
 
-def load_punctuality(log: DataFrame, deadline_hour: int = 6) -> DataFrame:
-    """On-time loads over all loads, and the breach rate, per table."""
-    start = F.col("load_date").cast(log.schema["load_timestamp"].dataType)
-    on_time = F.timestamp_diff("SECOND", start, F.col("load_timestamp")) < deadline_hour * 3600
-    loads = F.count(F.lit(1))
-    return log.groupBy("table_name").agg(
-        loads.alias("loads"), F.count_if(on_time).alias("on_time"),
-        P.percent(F.count_if(on_time), loads).alias("timeliness_pct"),
-        P.percent(F.count_if(~on_time), loads).alias("breach_pct"))
+def load_punctuality(log: DataFrame, first: str, last: str,
+                     schedule: dict[str, tuple[str, int]] = anomaly.SCHEDULE) -> DataFrame:
+    """On-time loads over the loads expected between two days, and the breach rate, per table of the schedule.
+
+    A load that did not happen is a breach; a table without a load in the period has 0 %, one with nothing due NULL.
+    """
+    due = anomaly.expected_loads(log, first, last, schedule)
+    start = F.col("due_date").cast("timestamp_ntz")
+    on_time = F.coalesce(F.timestamp_diff("SECOND", start, F.col("load_timestamp")) < F.col("deadline_hour") * 3600,
+                         F.lit(False))
+    judged = due.groupBy("table_name").agg(F.count(F.lit(1)).alias("expected"), F.count("load_timestamp").alias("loads"),
+                                           F.count_if(on_time).alias("on_time"))
+    tables = log.sparkSession.createDataFrame([(t,) for t in schedule], "table_name string")
+    counted = tables.join(judged, "table_name", "left").na.fill(0, ["expected", "loads", "on_time"])
+    return counted.select("*", P.percent(F.col("on_time"), F.col("expected")).alias("timeliness_pct"),
+                          P.percent(F.col("expected") - F.col("on_time"), F.col("expected")).alias("breach_pct"))
 
 
 def response_times(incidents: DataFrame) -> DataFrame:

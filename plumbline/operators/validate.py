@@ -1,18 +1,22 @@
 """Run a suite over a table.
 
-Checks that look at one row at a time, and foreign keys into small dimensions, share ONE scan and one aggregate.
-Checks that need groups share one shuffle per key set. Every part yields a few rows; only those are combined.
+Checks that look at one row at a time, and foreign keys into small dimensions, share one scan and one aggregate.
+Checks that need groups share a second scan, of their key columns only: several key sets are grouping sets of it. Every
+part yields a few rows; only those are combined.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.functions import keys as K
 from plumbline.functions import predicates as P
@@ -25,39 +29,43 @@ COLUMN_KINDS = {"between", "length_between", "in_set", "distinct_in_set", "match
 
 # --- row-local predicates ------------------------------------------------------------------------------------------
 
+def _col(check: Check, at: int = 0) -> Column:
+    return F.col(quoted(check.columns[at]))
+
+
 def _range(check: Check, df: DataFrame, as_of) -> Column:
     column = check.columns[0]
     data_type = df.schema[column].dataType.simpleString()
     low, high = (None if check.args.get(k) is None else P.bound(check.args[k], as_of, data_type)
                  for k in ("min", "max"))
-    return P.outside(F.col(column), low, high)
+    return P.outside(_col(check), low, high)
 
 
 def _length(check: Check, df: DataFrame, as_of) -> Column:
     low, high = (None if check.args.get(k) is None else F.lit(check.args[k]) for k in ("min", "max"))
-    return P.outside(F.length(check.columns[0]), low, high)
+    return P.outside(F.length(_col(check)), low, high)
 
 
 def _margin(check: Check, df: DataFrame, as_of) -> Column:
-    cost, price = (F.col(c) for c in check.columns)
+    cost, price = _col(check, 0), _col(check, 1)
     return (cost >= price) & (price > 0) if check.args["guarded"] else cost > price
 
 
 ROW_PREDICATES: dict[str, Callable[[Check, DataFrame, object], Column]] = {
-    "not_null": lambda c, df, as_of: F.col(c.columns[0]).isNull(),
+    "not_null": lambda c, df, as_of: _col(c).isNull(),
     "between": _range,
     "length_between": _length,
-    "in_set": lambda c, df, as_of: ~F.col(c.columns[0]).isin(c.args["values"]),
-    "distinct_in_set": lambda c, df, as_of: ~F.col(c.columns[0]).isin(c.args["values"]),
-    "matches": lambda c, df, as_of: ~F.col(c.columns[0]).rlike(P.anchored(c.args["regex"])),
-    "id_format": lambda c, df, as_of: ~F.col(c.columns[0]).rlike(P.anchored(f"^{c.args['prefix']}[0-9]+$")),
-    "date_order": lambda c, df, as_of: F.col(c.columns[1]) < F.col(c.columns[0]),
-    "open_row_sentinel": lambda c, df, as_of: F.col(c.columns[0])
-    & (F.col(c.columns[1]) != F.lit(c.args["sentinel"]).cast("date")),
+    "in_set": lambda c, df, as_of: ~_col(c).isin(c.args["values"]),
+    "distinct_in_set": lambda c, df, as_of: ~_col(c).isin(c.args["values"]),
+    "matches": lambda c, df, as_of: ~_col(c).rlike(P.anchored(c.args["regex"])),
+    "id_format": lambda c, df, as_of: ~_col(c).rlike(P.anchored(f"^{c.args['prefix']}[0-9]+$")),
+    "date_order": lambda c, df, as_of: _col(c, 1) < _col(c),
+    "open_row_sentinel": lambda c, df, as_of: _col(c)
+    & (_col(c, 1) != F.lit(c.args["sentinel"]).cast("date")),
     "margin": _margin,
-    "not_future": lambda c, df, as_of: F.col(c.columns[0]) > P.as_date(as_of),
-    "month_matches": lambda c, df, as_of: F.month(c.columns[0]) != F.col(c.columns[1]),
-    "year_matches": lambda c, df, as_of: F.year(c.columns[0]) != F.col(c.columns[1]),
+    "not_future": lambda c, df, as_of: _col(c) > P.as_date(as_of),
+    "month_matches": lambda c, df, as_of: F.month(_col(c)) != _col(c, 1),
+    "year_matches": lambda c, df, as_of: F.year(_col(c)) != _col(c, 1),
     "revenue_identity": lambda c, df, as_of: P.revenue_gap() > F.lit(P.CENT),
     "profit_identity": lambda c, df, as_of: P.profit_gap() > F.lit(P.CENT),
     "row_rule": lambda c, df, as_of: ~F.expr(c.args["rule"]),
@@ -106,9 +114,16 @@ def _unfold(one_row: DataFrame, rows: list[str]) -> DataFrame:
     return one_row.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _unless_in(value: str, check: Check) -> str:
-    """1 when a ratio lies outside its band, 0 inside or when there is nothing to judge."""
-    return f"if({value} not between {check.args['min']!r}D and {check.args['max']!r}D, 1, 0)"
+def _unless_in(value: str, check: Check, number: Callable[[object], str] = "{!r}D".format) -> str:
+    """1 when a value lies outside its band, 0 inside or when there is nothing to judge. Either bound may be missing."""
+    tests = [f"{value} {sign} {number(check.args[end])}" for end, sign in (("min", "<"), ("max", ">"))
+             if check.args.get(end) is not None]
+    return f"if({' or '.join(tests) or 'false'}, 1, 0)"
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def with_status(results: DataFrame) -> DataFrame:
@@ -116,7 +131,8 @@ def with_status(results: DataFrame) -> DataFrame:
     return results.selectExpr(
         "*",
         "round(unexpected_count * 100D / nullif(evaluated_count, 0), 6) as unexpected_pct",
-        """case when evaluated_count is null or mostly = 1 then if(unexpected_count = 0, 'PASS', 'FAIL')
+        """case when unexpected_count is null then 'NOT_RUN'
+                when evaluated_count is null or mostly = 1 then if(unexpected_count = 0, 'PASS', 'FAIL')
                 when cast(evaluated_count - unexpected_count as decimal(20,0))
                      >= cast(mostly as decimal(9,8)) * cast(evaluated_count as decimal(20,0)) then 'PASS'
                 else 'FAIL' end as status""")
@@ -132,10 +148,10 @@ def _one_scan(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[s
     for check in checks:
         total, broken, column = "n", f"u{check.no}", check.column_name
         if check.kind == "row_count":
-            rows.append(_row(suite, check, "1", f"if(n between {check.args['min']} and {check.args['max']}, 0, 1)", "n"))
+            rows.append(_row(suite, check, "1", _unless_in("n", check, str), "n"))
             continue
         if check.kind == "boolean_share":
-            aggregates[broken] = F.count_if(F.col(column))
+            aggregates[broken] = F.count_if(F.col(quoted(column)))
             share = f"double({broken}) / nullif(double(n), 0D)"
             rows.append(_row(suite, check, "1", _unless_in(share, check), f"round({share}, 6)"))
             continue
@@ -146,15 +162,16 @@ def _one_scan(df: DataFrame, suite: Suite, checks: list[Check], flags: Mapping[s
         if check.kind in COLUMN_KINDS and nulls == "ignore":
             total = f"c_{column}"
             if total not in aggregates:
-                aggregates[total] = F.count(column)
-        rows.append(_row(suite, check, total, broken))
+                aggregates[total] = F.count(F.col(quoted(column)))
+        rows.append(_row(suite, check, quoted(total), broken))
     return [expr.alias(name) for name, expr in aggregates.items()], rows
 
 
-def _column_order(df: DataFrame, suite: Suite) -> list[str]:
-    """Schema drift: decided from metadata, no column is read for it."""
-    found = _text(",".join(df.columns))
-    return [_row(suite, c, "1", str(int(df.columns != list(c.args["names"]))), found)
+def _column_order(df: DataFrame, suite: Suite, stored: StructType | None = None) -> list[str]:
+    """Schema drift: decided from metadata, no column is read for it. The files' own schema goes before the frame's."""
+    names = (stored or df.schema).fieldNames()
+    found = _text(",".join(names))
+    return [_row(suite, c, "1", str(int(names != list(c.args["names"]))), found)
             for c in suite.checks if c.kind == "column_order"]
 
 
@@ -162,35 +179,37 @@ def group_sizes(df: DataFrame, keys: Iterable[str], flag: str | None = None) ->
     """Rows per key, combined on the map side, so a hot key adds one row per task to the shuffle."""
     sizes = [F.count(F.lit(1)).alias("n")]
     if flag:
-        sizes.append(F.count_if(F.col(flag)).alias("n_current"))
-    return df.groupBy(*keys).agg(*sizes)
-
-
-def _grouped(df: DataFrame, suite: Suite, keys: tuple[str, ...], checks: list[Check]) -> DataFrame:
-    """All checks over one key set from one grouping."""
-    flag = next((c.args["flag"] for c in checks if "flag" in c.args), None)
-    groups = group_sizes(df, keys, flag)
-    any_null = " or ".join(f"{k} is null" for k in keys)
-    all_null = " and ".join(f"{k} is null" for k in keys)
-    rows_where = "coalesce(sum(n) filter (where {}), 0)".format
-    # kind -> (evaluated, unexpected), both over the groups
-    measures = {
-        "unique": (rows_where(f"not ({any_null})"), rows_where(f"not ({any_null}) and n > 1")),
-        "compound_unique": (rows_where(f"not ({all_null})"), rows_where(f"not ({all_null}) and n > 1")),
-        "duplicate_key": ("count(1)", "count_if(n > 1)"),
-        "one_current_row": ("count_if(n_current > 0)", "count_if(n_current > 1)"),
-        "has_current_row": ("count(1)", "count_if(n_current = 0)"),
-        "distinct_ratio": (rows_where(f"not ({any_null})"), f"count_if(not ({any_null}))"),
-        "dominance": ("count(1)", "count_if(double(n) / double(total) > {share!r}D)"),
-    }
+        sizes.append(F.count_if(F.col(quoted(flag))).alias("n_current"))
+    return df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(*sizes)
+
+
+def _grouped(df: DataFrame, suite: Suite, by_keys: Mapping[tuple[str, ...], list[Check]]) -> DataFrame:
+    """All checks over key sets. One set is grouped plainly, so that a table bucketed by it needs no shuffle; several
+    are grouping sets of one scan, whose groups combine on the map side and carry nothing but counts."""
+    names = list(dict.fromkeys(c for keys in by_keys for c in keys))
+    flags = list(dict.fromkeys(c.args["flag"] for checks in by_keys.values() for c in checks if "flag" in c.args))
+    key = {c: f"_k{i}" for i, c in enumerate(names)}
+    current = {f: f"n_current{i}" for i, f in enumerate(flags)}
+    sizes = [F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"_{n}")).alias(n) for n in current.values()]]
+    narrow = df.select(*[F.col(quoted(c)).alias(k) for c, k in key.items()],
+                       *[F.col(quoted(f)).alias(f"_{n}") for f, n in current.items()])
+    if len(by_keys) == 1:
+        groups = narrow.groupBy(*key.values()).agg(*sizes).withColumn("set", F.lit(0))
+        number = {keys: 0 for keys in by_keys}
+    else:
+        number = {keys: sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in keys) for keys in by_keys}
+        sets = {n: [F.col(key[c]) for c in keys] for keys, n in number.items()}  # equal sets once
+        groups = narrow.groupingSets(list(sets.values()), *map(F.col, key.values())).agg(
+            F.grouping_id().alias("set"), *sizes)
+    checks = [(keys, c) for keys, listed in by_keys.items() for c in listed]
+    if any(c.kind == "dominance" for _, c in checks):
+        total = df.agg(F.count(F.lit(1)).alias("total")).scalar()  # reads no column
+        groups = groups.withColumn("total", total)
     aggregates, rows = [], []
-    for check in checks:
+    for keys, check in checks:
         evaluated, broken = f"e{check.no}", f"u{check.no}"
-        if check.kind == "dominance":
-            total = groups.agg(F.sum("n").alias("total")).scalar()
-            groups = groups.withColumn("total", total)
-        first, second = measures[check.kind]
-        aggregates += [F.expr(first).alias(evaluated), F.expr(second.format(**check.args)).alias(broken)]
+        first, second = _group_measures(check, number[keys], [key[c] for c in keys], current)
+        aggregates += [F.expr(first).alias(evaluated), F.expr(second).alias(broken)]
         if check.kind == "distinct_ratio":
             ratio = f"double({broken}) / nullif(double({evaluated}), 0D)"
             rows.append(_row(suite, check, "1", _unless_in(ratio, check), f"round({ratio}, 6)"))
@@ -199,11 +218,41 @@ def _grouped(df: DataFrame, suite: Suite, keys: tuple[str, ...], checks: list[Ch
     return _unfold(groups.agg(*aggregates), rows)
 
 
+def _group_measures(check: Check, number: int, keys: list[str], current: Mapping[str, str]) -> tuple[str, str]:
+    """(evaluated, unexpected) of a check, as SQL over the groups of key set ``number``."""
+    here = f"set = {number}"
+    some_null = " or ".join(f"{k} is null" for k in keys)
+    no_key = " and ".join(f"{k} is null" for k in keys)
+
+    def rows_where(condition: str) -> str:
+        return f"coalesce(sum(n) filter (where {here} and {condition}), 0)"
+
+    def groups_where(condition: str = "true") -> str:
+        return f"count_if({here} and {condition})"
+
+    flagged = current.get(check.args.get("flag"))
+    return {
+        "unique": lambda: (rows_where(f"not ({some_null})"), rows_where(f"not ({some_null}) and n > 1")),
+        "compound_unique": lambda: (rows_where(f"not ({no_key})"), rows_where(f"not ({no_key}) and n > 1")),
+        "duplicate_key": lambda: (groups_where(), groups_where("n > 1")),
+        "one_current_row": lambda: (groups_where(f"{flagged} > 0"), groups_where(f"{flagged} > 1")),
+        "has_current_row": lambda: (groups_where(), groups_where(f"{flagged} = 0")),
+        "distinct_ratio": lambda: (rows_where(f"not ({some_null})"), groups_where(f"not ({some_null})")),
+        "dominance": lambda: (groups_where(),
+                              groups_where(f"double(n) / double(total) > {check.args.get('share')!r}D")),
+    }[check.kind]()
+
+
 def run_query(query: str, df: DataFrame, refs: Mapping[str, DataFrame] | None = None, as_of=None) -> DataFrame:
-    """Rows returned by a custom check: Spark SQL over ``{batch}``, ``{table}`` and ``{as_of}``."""
+    """Rows returned by a custom check: Spark SQL over ``{batch}``, ``{table}`` and ``{as_of}``.
+
+    All other braces, such as those of a regular expression, are passed on as they are.
+    """
     today = "current_date()" if as_of is None else f"DATE'{as_of}'"
-    tables = {name: t for name, t in (refs or {}).items() if "{" + name + "}" in query}
-    return df.sparkSession.sql(query.replace("{as_of}", today), batch=df, **tables)
+    query = query.replace("{as_of}", today)
+    tables = {"batch": df, **{name: t for name, t in (refs or {}).items() if "{" + name + "}" in query}}
+    escaped = re.sub(r"\{(\w+)\}|[{}]", lambda m: m[0] if m[1] in tables else re.sub("[{}]", r"\g<0>\g<0>", m[0]), query)
+    return df.sparkSession.sql(escaped, **tables)
 
 
 def _queried(df: DataFrame, suite: Suite, check: Check, refs, as_of) -> DataFrame:
@@ -214,12 +263,13 @@ def _queried(df: DataFrame, suite: Suite, check: Check, refs, as_of) -> DataFram
 # --- entry points --------------------------------------------------------------------------------------------------
 
 def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None = None, *,
-             as_of: dt.date | str | None = None, nulls: str = "ignore",
-             broadcast_bytes: int = K.BROADCAST_BYTES) -> DataFrame:
+             as_of: dt.date | str | None = None, nulls: str = "ignore", broadcast_bytes: int = K.BROADCAST_BYTES,
+             stored: StructType | None = None) -> DataFrame:
     """One row per check: counts, share and PASS/FAIL.
 
     ``refs`` holds the tables foreign keys and custom queries refer to. ``nulls="unexpected"`` counts NULL as a
-    violation in column checks; by default only the not-null check looks at NULL.
+    violation in column checks; by default only the not-null check looks at NULL. ``stored`` is the schema of the files
+    behind a table that was read with a declared one; the column order is judged on it.
     """
     if not suite.checks:
         raise ValueError(f"suite {suite.name} has no checks")
@@ -236,9 +286,9 @@ def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None =
                 or (c.kind == "references" and foreign_key(c).flag in small)]
     if one_scan:
         aggregates, rows = _one_scan(scan, suite, one_scan, flags, as_of, nulls)
-        parts.append(_unfold(scan.agg(*aggregates), rows + _column_order(df, suite)))
+        parts.append(_unfold(scan.agg(*aggregates), rows + _column_order(df, suite, stored)))
     elif _column_order(df, suite):
-        parts.append(_unfold(df.sparkSession.range(0, 1, 1, 1), _column_order(df, suite)))
+        parts.append(_unfold(df.sparkSession.range(0, 1, 1, 1), _column_order(df, suite, stored)))
     for check in fks:
         fk = foreign_key(check)
         if fk.flag not in small:
@@ -249,7 +299,8 @@ def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None =
             by_keys.setdefault(check.columns, []).append(check)
         elif check.kind == "unexpected_rows":
             parts.append(_queried(df, suite, check, refs, as_of))
-    parts.extend(_grouped(df, suite, keys, checks) for keys, checks in by_keys.items())
+    if by_keys:
+        parts.append(_grouped(df, suite, by_keys))
     return with_status(reduce(DataFrame.unionByName, parts))
 
 
@@ -258,27 +309,40 @@ def validate_all(tables: Mapping[str, DataFrame], suites: Mapping[str, Suite], *
     """Results of every suite (or of one table), in one DataFrame."""
     chosen = [s for name, s in suites.items() if only in (None, name)]
     return reduce(DataFrame.unionByName,
-                  [validate(tables[s.table], s, tables, as_of=as_of, nulls=nulls) for s in chosen])
+                  [validate(tables[s.table], s, tables, as_of=as_of, nulls=nulls,
+                            stored=getattr(tables, "stored", {}).get(s.table)) for s in chosen])
 
 
 def validate_on_write(df: DataFrame, suite: Suite, *, as_of=None,
-                      nulls: str = "ignore") -> tuple[DataFrame, Callable[[], DataFrame]]:
+                      nulls: str = "ignore") -> tuple[DataFrame, Callable[..., DataFrame]]:
     """Run the row-local checks of a suite while the table is being written, without a scan of their own.
 
     Returns the table to write, and a function that gives the results once the write is done::
 
         loaded, results = validate_on_write(staged, suite)
         loaded.write.parquet(path)
-        results().show()
+        results(spark.read.parquet(path), refs).show()
+
+    Given the written table, the results hold every check: those that need groups, other tables or SQL run on it.
+    Without it they are reported as NOT_RUN, which a promotion gate takes as not passed.
     """
-    checks = [c for c in suite.checks if is_row_local(c) or c.kind in ("row_count", "boolean_share")]
+    rest = [c for c in suite.checks if not (is_row_local(c) or c.kind in ("row_count", "boolean_share", "column_order"))]
+    checks = [c for c in suite.checks if c not in rest and c.kind != "column_order"]
     aggregates, rows = _one_scan(df, suite, checks, {}, as_of, nulls)
     seen = Observation(f"{suite.name}_{uuid.uuid4().hex}")
 
-    def results() -> DataFrame:
+    def results(written: DataFrame | None = None, refs: Mapping[str, DataFrame] | None = None) -> DataFrame:
         counts = seen.get
-        schema = ", ".join(f"`{name}` bigint" for name in counts)
-        return with_status(_unfold(df.sparkSession.createDataFrame([tuple(counts.values())], schema), rows))
+        schema = ", ".join(f"{quoted(name)} bigint" for name in counts)
+        one_row = df.sparkSession.createDataFrame([tuple(counts.values())], schema)
+        found = rows + _column_order(df, suite)
+        if rest and written is None:
+            found = found + [_row(suite, c, "null", "null") for c in rest]
+        done = with_status(_unfold(one_row, found)) if found else None
+        if rest and written is not None:
+            later = validate(written, replace(suite, checks=tuple(rest)), refs, as_of=as_of, nulls=nulls)
+            done = done.unionByName(later) if done is not None else later
+        return done
 
     return df.observe(seen, *aggregates), results
 
@@ -313,6 +377,14 @@ def sample_unexpected(df: DataFrame, check: Check, refs=None, *, limit: int = 20
     return (rows.orderBy(*order_by) if order_by else rows).limit(limit)
 
 
+def annotated(results: DataFrame, suites: Iterable[Suite]) -> DataFrame:
+    """Results with the description and rationale of each check; one short row per check is joined."""
+    texts = [(s.table, c.no, c.description, c.rationale) for s in suites for c in s.checks]
+    known = results.sparkSession.createDataFrame(
+        texts, "table_name string, check_no int, description string, rationale string")
+    return results.join(F.broadcast(known), ["table_name", "check_no"], "left")
+
+
 def ordered(results: DataFrame) -> DataFrame:
     """Results in suite order. They are a few hundred rows, so one partition is enough."""
     return results.repartition(1).sortWithinPartitions("table_name", "check_no")

@@ -59,7 +59,7 @@ CUSTOMER = Contract(
         _field("is_current", "boolean", _one_of(BOOLEANS))),
     servicelevels={"availability": {"percentage": "99.9%"}, "freshness": {"threshold": "24h"},
                    "completeness": {"percentage": "100%"}, "accuracy": {"percentage": "99%"},
-                   "uniqueness": {"percentage": "100%"}},
+                   "uniqueness": {"percentage": "100%", "one_current_row": {"key": "customer_id", "flag": "is_current"}}},
     rules=(_rule("R-001", "Completeness", "critical"), _rule("R-002", "Completeness", "high"),
            _rule("R-003", "Validity", "high"), _rule("R-004", "Validity", "high"),
            _rule("R-005", "Uniqueness", "critical")))
@@ -75,7 +75,7 @@ PRODUCT = Contract(
                {"type": "cross_field", "rule": "cost_price < list_price", "severity": "high"}, required=False),
         _field("is_active", "boolean", _one_of(BOOLEANS))),
     servicelevels={"freshness": {"threshold": "7d"}, "completeness": {"percentage": "100%"},
-                   "accuracy": {"percentage": "99%"}},
+                   "accuracy": {"percentage": "99%", "rules": ["NOT is_active OR list_price > 0"]}},
     rules=(_rule("R-006", "Validity", "high"), _rule("R-007", "Accuracy", "medium")))
 
 STORE = Contract(
@@ -101,7 +101,8 @@ DATE = Contract(
         _field("day_of_week", "smallint", _span(1, 7)),
         _field("day_name", "varchar(10)", _one_of(DAYS)),
         _field("is_weekend", "boolean"), _field("is_holiday", "boolean")),
-    servicelevels={"freshness": {"threshold": "365d"}, "completeness": {"percentage": "100%"}})
+    servicelevels={"freshness": {"threshold": "365d"},
+                   "completeness": {"percentage": "100%", "no_gaps_in": "full_date"}})
 
 SALES = Contract(
     _name("fact_sales"), "fact_sales", fields=(
@@ -125,8 +126,9 @@ SALES = Contract(
                 "rule": "ABS(gross_profit - (net_revenue - quantity * unit_cost)) <= 0.01"}, required=False),
         _field("tax_amount", "decimal(12,2)", _span(0, 100_000), required=False)),
     servicelevels={"availability": {"percentage": "99.5%"}, "freshness": {"threshold": "24h"},
-                   "completeness": {"percentage": "99.9%"}, "accuracy": {"percentage": "99.5%"},
-                   "consistency": {"percentage": "100%"}, "volume": {"minimum_daily_rows": 50_000}},
+                   "completeness": {"percentage": "99.9%", "no_orphans": True}, "accuracy": {"percentage": "99.5%"},
+                   "consistency": {"percentage": "100%"},
+                   "volume": {"minimum_daily_rows": 50_000, "maximum_daily_rows": 500_000, "minimum_share_of_average": 0.5}},
     rules=(_rule("R-008", "Consistency", "critical"), _rule("R-009", "Consistency", "critical"),
            _rule("R-010", "Consistency", "critical"), _rule("R-011", "Consistency", "critical"),
            _rule("R-012", "Validity", "high"), _rule("R-013", "Accuracy", "high"),

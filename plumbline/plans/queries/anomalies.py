@@ -55,7 +55,10 @@ QUERIES = {
     "H5_freshness_sla": on_log(lambda t: anomaly.freshness_sla(t, "fact_sales", NOW)),
     "H5_freshness_sla_nothing_loaded": on_log(lambda t: anomaly.freshness_sla(t, "fact_sales", "2024-03-01 07:30:00")),
     "H6_freshness_age": on_log(lambda t: anomaly.freshness_age(t, "2024-02-02 12:00:00")),
-    "H7_timeliness": on_log(anomaly.timeliness),
+    "H6_freshness_never_loaded": on_log(lambda t: anomaly.freshness_age(t.where("table_name <> 'dim_store'"),
+                                                                        "2024-02-02 12:00:00")),
+    "H7_timeliness": on_log(lambda t: anomaly.timeliness(t, "2024-01-20 05:30:00")),
+    "H7_timeliness_stale": on_log(lambda t: anomaly.timeliness(t.where("table_name <> 'dim_date'"), "2024-03-05 07:30:00")),
     "H8_daily_limits": on_load(lambda t: anomaly.daily_limits(t, 100, 600)),
     "H8_daily_limits_sales": on_sales(anomaly.daily_limits),
     "H9_score_trends": trends,

@@ -15,7 +15,7 @@ from plumbline.operators.validate import sample_unexpected, validate, validate_a
 from plumbline.plans.queries import AS_OF
 from plumbline.plans.suites import consolidated, modular
 from plumbline.session import new_table_path
-from plumbline.sources.registry import Warehouse
+from plumbline.sources.registry import Warehouse, from_parquet
 from plumbline.sources.sinks import write_run
 from plumbline.sources.star import star
 
@@ -91,6 +91,19 @@ def suite_store(spark, sf_dir) -> DataFrame:
         "table_name", "check_no", "check_type", "column_name", "issue_id", "unexpected_count", "status")
 
 
+def stored_warehouse(spark, sf_dir):
+    """The star written to files and read back, so that the files' own schemas are known."""
+    path = new_table_path(spark, "warehouse")
+    star(spark, sf_dir).snapshot(spark, path)
+    return from_parquet(spark, path)
+
+
+def stored_order(spark, sf_dir) -> DataFrame:
+    """Column order of the stored tables, beside their row counts."""
+    suites = by_kind(FULL, "column_order", "row_count")
+    return validate_all(stored_warehouse(spark, sf_dir), suites, as_of=AS_OF).select(*BRIEF)
+
+
 def nulls_unexpected(spark, sf_dir) -> DataFrame:
     suite = FULL["dim_customer"].subset(kinds=["matches"])
     return validate(star(spark, sf_dir)["dim_customer"], suite, nulls="unexpected").select(*BRIEF)
@@ -137,7 +150,7 @@ def ad_hoc(spark, sf_dir) -> DataFrame:
 
 QUERIES = {
     "E1_row_count": run(by_kind(FULL, "row_count")),
-    "E2_column_order": run(by_kind(FULL, "column_order")),
+    "E2_column_order": stored_order,
     "E3_not_null": run(by_kind(FULL, "not_null")),
     "E4_unique": run(by_kind(FULL, "unique")),
     "E5_compound_unique": run(by_kind(FULL, "compound_unique")),

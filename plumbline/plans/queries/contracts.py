@@ -12,7 +12,7 @@ from plumbline.operators.defects import inject
 from plumbline.operators.validate import sample_unexpected, validate_all
 from plumbline.plans.contracts import ALL, CUSTOMER, INTEGRITY, SALES, TABLES
 from plumbline.plans.queries import AS_OF
-from plumbline.plans.queries.checks import BRIEF, by_kind, run
+from plumbline.plans.queries.checks import BRIEF, by_kind, run, stored_warehouse
 from plumbline.sources.events import load_log
 from plumbline.sources.star import dated_star, sales, star
 
@@ -39,8 +39,8 @@ def rules(*columns: str) -> dict[str, Suite]:
 
 
 def types(spark, sf_dir):
-    w = star(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [contracts.type_report(w[c.table], c) for c in TABLES])
+    w = stored_warehouse(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [contracts.type_report(w[c.table], c, w.stored[c.table]) for c in TABLES])
 
 
 def service_levels(spark, sf_dir):

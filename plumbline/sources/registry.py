@@ -6,15 +6,22 @@ import os
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from plumbline.sources.schemas import WAREHOUSE, schema
 
 
 class Warehouse(Mapping[str, DataFrame]):
-    """Named tables of one warehouse: DataFrames, or functions that build them when first asked for."""
+    """Named tables of one warehouse: DataFrames, or functions that build them when first asked for.
 
-    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    ``stored`` has the schemas of the files below, where they are known; a table read with its declared schema does not
+    show them.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 stored: Mapping[str, StructType] | None = None):
         self._tables = dict(tables.parts() if isinstance(tables, Warehouse) else tables)
+        self.stored = dict(stored or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         table = self._tables[name]
@@ -33,7 +40,7 @@ class Warehouse(Mapping[str, DataFrame]):
 
     def replaced(self, **tables: DataFrame | Callable[[], DataFrame]) -> "Warehouse":
         """The same warehouse with some tables swapped; the original stays as it is."""
-        return Warehouse({**self._tables, **tables})
+        return Warehouse({**self._tables, **tables}, {n: s for n, s in self.stored.items() if n not in tables})
 
     def head(self, name: str, n: int = 5, order_by: str | None = None) -> DataFrame:
         df = self[name]
@@ -56,8 +63,39 @@ class Warehouse(Mapping[str, DataFrame]):
 
 
 def from_parquet(spark: SparkSession, root: str, names: Iterable[str] = WAREHOUSE) -> Warehouse:
-    """Tables stored as ``root/<name>``, read with their declared schemas."""
-    return Warehouse({n: spark.read.schema(schema(n)).parquet(os.path.join(root, n)) for n in names})
+    """Tables stored as ``root/<name>``, read with their declared schemas; their files' schemas are kept beside them."""
+    paths = {n: os.path.join(root, n) for n in names}
+    return Warehouse({n: spark.read.schema(schema(n)).parquet(p) for n, p in paths.items()},
+                     {n: stored_schema(spark, p) for n, p in paths.items()})
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """What the file footers say, columns of all files together. Spark reads footers only, in a job of its own."""
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
+def schema_drift(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Every column that is declared or stored: its two places and types, and OK, MISSING, EXTRA, MOVED or RETYPED.
+
+    Columns are MOVED when the order of those in both differs, so that one missing column does not mark all after it.
+    """
+    rows = []
+    for table, stored in warehouse.stored.items():
+        declared = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(schema(table), 1)}
+        found = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(stored, 1)}
+        order = [n for n in found if n in declared]
+        place = {n: i for i, n in enumerate(order)}
+        for name in [*declared, *[n for n in found if n not in declared]]:
+            there, here = declared.get(name, (None, None)), found.get(name, (None, None))
+            if here[0] is None or there[0] is None:
+                status = "MISSING" if here[0] is None else "EXTRA"
+            elif there[1] != here[1]:
+                status = "RETYPED"
+            else:
+                status = "OK" if [n for n in declared if n in place].index(name) == place[name] else "MOVED"
+            rows.append((table, name, there[0], here[0], there[1], here[1], status))
+    return spark.createDataFrame(rows, "table_name string, column_name string, declared_position int, "
+                                       "stored_position int, declared_type string, stored_type string, status string")
 
 
 def from_catalog(spark: SparkSession, database: str, names: Iterable[str] = WAREHOUSE) -> Warehouse:

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from plumbline.operators import alerts, anomaly
+from plumbline.operators import alerts, anomaly, scores
 
 
 def volumes(spark, counts, start="2024-01-01"):
@@ -93,6 +93,49 @@ def test_alert_rules_and_cooldown(spark):
                      "ALT-006": False}
 
 
+def test_cooldown_covers_alerts_of_the_same_run(spark):
+    at = dt.datetime(2024, 1, 1, 6, 30)
+    times = [at + dt.timedelta(minutes=m) for m in (0, 30, 59, 60, 90, 121)]
+    metrics = spark.createDataFrame([(t, 0.9, 0, 0, 100, 100.0, 0.0, 0) for t in times], METRICS)
+
+    def fired(log):
+        rows = alerts.evaluate(metrics, log=log).where("alert_id = 'ALT-001'").collect()
+        assert all(r.triggered and r.suppressed != r.fired for r in rows)
+        return [int((r.evaluated_at - at).total_seconds() // 60) for r in sorted(rows) if r.fired]
+
+    log = spark.createDataFrame([("ALT-001", at - dt.timedelta(minutes=20)), ("ALT-001", at - dt.timedelta(days=30))],
+                                "alert_id string, fired_at timestamp")
+    assert fired(None) == [0, 60, 121] and fired(log) == [59, 121] and fired(log.limit(0)) == [0, 60, 121]
+
+
+LOG = "table_name string, load_timestamp timestamp_ntz, load_date date"
+
+
+def _log(spark, *loads):
+    parse = dt.datetime.fromisoformat
+    return spark.createDataFrame([(t, parse(ts), parse(ts).date()) for t, ts in loads], LOG)
+
+
+def test_never_loaded_stale_and_missing(spark):
+    log = _log(spark, ("fact_sales", "2023-01-01 05:00:00"), ("dim_customer", "2024-01-10 05:30:00"),
+               ("dim_product", "2024-01-10 06:30:00"), ("dim_store", "2024-01-08 04:00:00"), ("dim_customer", "2024-01-09 07:00:00"))
+    rows = {r.table_name: (r.status, r.delay_minutes) for r in anomaly.timeliness(log, "2024-01-10 08:00:00").collect()}
+    assert rows == {"fact_sales": ("MISSING", 120), "dim_customer": ("ON_TIME", -30), "dim_product": ("LATE", 30),
+                    "dim_store": ("ON_TIME", -120), "dim_date": ("NEVER_LOADED", rows["dim_date"][1])}
+    age = {r.table_name: r.status for r in anomaly.freshness_age(log, "2024-01-10 08:00:00").collect()}
+    assert age == {"fact_sales": "STALE", "dim_customer": "FRESH", "dim_product": "FRESH", "dim_store": "FRESH",
+                   "dim_date": "STALE"}
+
+
+def test_expected_loads(spark):
+    log = _log(spark, ("fact_sales", "2024-01-02 05:00:00"), ("fact_sales", "2024-01-05 07:00:00"),
+               ("dim_store", "2024-01-08 05:00:00"))
+    rows = {r.table_name: (r.expected, r.loads, r.on_time, r.timeliness_pct)
+            for r in scores.load_punctuality(log, "2024-01-01", "2024-01-10").collect()}
+    assert rows == {"fact_sales": (10, 2, 1, 10.0), "dim_customer": (10, 0, 0, 0.0), "dim_product": (10, 0, 0, 0.0),
+                    "dim_store": (2, 1, 1, 50.0), "dim_date": (0, 0, 0, None)}
+
+
 def test_unknown_metric_does_not_fire(spark):
     metrics = spark.createDataFrame([(dt.datetime(2024, 1, 1), None, None, None, None, None, None, None)], METRICS)
     assert not any(r.fired for r in alerts.evaluate(metrics).collect())

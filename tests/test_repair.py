@@ -4,9 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from plumbline.operators import checks as C
 from plumbline.operators import defects, repair
+from plumbline.operators.checks import Suite
 from plumbline.operators.integrity import RELATIONSHIPS
-from plumbline.operators.validate import validate_all
+from plumbline.operators.validate import validate, validate_all
 from plumbline.plans.suites import consolidated
 
 AS_OF = dt.date(2026, 4, 29)
@@ -100,6 +102,27 @@ def test_quarantine_keeps_every_row_with_its_reasons(star):
                        ("revenue_identity:net_revenue", "profit_identity:gross_profit"): 100}
 
 
+def test_gate_and_split_agree_on_what_is_critical(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5), (2, -1), (3, None)], "k int, v int")
+    suite = Suite("s", "fact_x", (C.between("v", 0, None, severity="critical"), C.not_null("v")))
+    assert repair.gate(validate(df, suite)).first().decision == "quarantine"
+    for path in (None, str(tmp_path / "split")):
+        good, bad = repair.quarantine_critical(df, suite, {}, path)
+        assert sorted(r.k for r in good.collect()) == [1, 3] and [r.k for r in bad.collect()] == [2]
+        assert good.columns == ["k", "v"]
+    whole = Suite("s", "fact_x", (C.unique("v", severity="critical"),))
+    twice = spark.createDataFrame([(1, 5), (2, 5)], "k int, v int")
+    assert repair.gate(validate(twice, whole)).first().decision == "block"
+
+
+def test_stored_split_reads_the_fact_once(spark, star, tmp_path):
+    good, bad = repair.quarantine_critical(star["fact_sales"].limit(2000), consolidated()["fact_sales"], star,
+                                           str(tmp_path / "split"))
+    for side in (good, bad):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "Join" not in plan
+
+
 def test_audit_counts_changes_per_column(star):
     before = defects.inject(star, AS_OF)["dim_customer"]
     changes = repair.rows_changed(before, repair.repair_customers(before, AS_OF), "customer_key",

@@ -7,11 +7,36 @@ import pytest
 from plumbline import session, validate, validate_all
 from plumbline.plans.suites import consolidated
 from plumbline.sources import events
-from plumbline.sources.registry import Warehouse, from_catalog, save_bucketed
+from plumbline.sources.registry import Warehouse, from_catalog, from_parquet, save_bucketed, schema_drift
 from plumbline.sources.schemas import TABLES, columns, schema
 from plumbline.sources.suite_store import load_project, load_suites, save_suites
 
 
+def test_drift_of_stored_files(spark, small_star, tmp_path):
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path / "w")
+    small_star.snapshot(spark, root)
+    store = small_star["dim_store"]
+    moved = ["store_id", "store_key", "store_name", "city", "region", "store_type", "opening_date"]  # state is gone
+    (store.select(*moved).withColumn("store_key", F.col("store_key").cast("int")).withColumnRenamed("city", "town")
+     .withColumn("extra", F.lit(1)).write.mode("overwrite").parquet(f"{root}/dim_store"))
+    warehouse = from_parquet(spark, root)
+    found = {(r.table_name, r.column_name): r.status for r in schema_drift(spark, warehouse).collect()}
+    assert {k: v for k, v in found.items() if v != "OK"} == {
+        ("dim_store", "state"): "MISSING", ("dim_store", "city"): "MISSING", ("dim_store", "town"): "EXTRA",
+        ("dim_store", "extra"): "EXTRA", ("dim_store", "store_key"): "RETYPED", ("dim_store", "store_id"): "MOVED"}
+    results = validate_all(warehouse, {t: s.subset(kinds=["column_order"]) for t, s in consolidated().items()
+                                       if s.subset(kinds=["column_order"]).checks})
+    assert {r.table_name for r in results.where("status = 'FAIL'").collect()} == {"dim_store"}
+    from plumbline.operators.contracts import type_report
+    from plumbline.plans.contracts import TABLES
+
+    contract = next(c for c in TABLES if c.table == "dim_store")
+    report = type_report(warehouse["dim_store"], contract, warehouse.stored["dim_store"])
+    assert {r.column_name for r in report.where("not conforms").collect()} >= {"store_key", "state", "city"}
+
+
 def test_tables_are_built_when_asked_for(spark):
     built = []
 

@@ -6,10 +6,10 @@ import pytest
 
 from plumbline.functions import keys as K
 from plumbline.operators import checks as C
-from plumbline.operators import defects
+from plumbline.operators import defects, repair
 from plumbline.operators.checks import Suite
 from plumbline.operators.integrity import orphan_report
-from plumbline.operators.validate import (sample_unexpected, validate, validate_all, validate_on_write,
+from plumbline.operators.validate import (annotated, sample_unexpected, validate, validate_all, validate_on_write,
                                           violating_rows)
 from plumbline.plans.suites import consolidated, modular
 
@@ -231,7 +231,8 @@ def test_checks_during_a_write_agree_with_a_separate_run(spark, star, tmp_path):
     suite = consolidated()["fact_sales"]
     loaded, results = validate_on_write(sales, suite)
     loaded.write.parquet(str(tmp_path / "fact"))
-    during = {r.check_no: (r.evaluated_count, r.unexpected_count, r.status) for r in results().collect()}
+    during = {r.check_no: (r.evaluated_count, r.unexpected_count, r.status) for r in results().collect()
+              if r.status != "NOT_RUN"}
     after = {r.check_no: (r.evaluated_count, r.unexpected_count, r.status)
              for r in validate(sales, suite.subset(numbers=during)).collect()}
     assert during == after and len(during) > 15
@@ -257,3 +258,60 @@ def test_last_resort_join_splits_the_hot_key(spark):
     finally:
         for name in tuned:
             spark.conf.unset(name)
+
+
+def test_unrun_checks_have_a_row_and_stop_the_gate(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string")
+    suite = Suite("s", "fact_x", (C.not_null("k"), C.unique("k"), C.unique("v"), C.column_order("k", "v")))
+    loaded, results = validate_on_write(df, suite)
+    path = str(tmp_path / "t")
+    loaded.write.parquet(path)
+    assert {r.check_no: r.status for r in results().collect()} == {1: "PASS", 2: "NOT_RUN", 3: "NOT_RUN", 4: "PASS"}
+    assert repair.gate(results()).first().decision == "block"
+    done = results(spark.read.parquet(path))
+    assert {r.check_no: r.status for r in done.collect()} == {1: "PASS", 2: "PASS", 3: "FAIL", 4: "PASS"}
+    only_keys = Suite("s", "fact_x", (C.unique("k"),))
+    loaded, results = validate_on_write(df, only_keys)
+    loaded.write.parquet(str(tmp_path / "u"))
+    assert [r.status for r in results().collect()] == ["NOT_RUN"]
+
+
+def test_custom_sql_keeps_other_braces(spark):
+    df = spark.createDataFrame([("AB",), ("ABC",), ("a}{b",)], "s string")
+    for pattern, bad in (("^[A-Z]{2}$", 2), ("[A-Z]{2,}", 1), ("^[^{}]+$", 1)):
+        suite = Suite("s", "t", (C.unexpected_rows(f"SELECT * FROM {{batch}} WHERE NOT s RLIKE '{pattern}'"),))
+        assert validate(df, suite).first().unexpected_count == bad
+
+
+def test_one_sided_bounds_and_quoted_names(spark):
+    df = spark.createDataFrame([(1, "b", True), (1, "d", False), (None, "f", False)], "`a b` int, `t.x` string, `is on` boolean")
+    suite = Suite("s", "t", (
+        C.row_count(low=3), C.row_count(high=2), C.distinct_ratio("a b", low=0.6), C.distinct_ratio("a b", high=0.6),
+        C.between("t.x", "c", None), C.between("t.x", None, "c"), C.unique("a b"), C.compound_unique("a b", "t.x"),
+        C.one_current_row("t.x", flag="is on"), C.boolean_share("is on", 0.5, 1.0), C.not_null("a b")))
+    got = {r.check_no: (r.unexpected_count, r.status) for r in validate(df, suite).collect()}
+    assert got == {1: (0, "PASS"), 2: (1, "FAIL"), 3: (1, "FAIL"), 4: (0, "PASS"), 5: (1, "FAIL"), 6: (2, "FAIL"),
+                   7: (2, "FAIL"), 8: (0, "PASS"), 9: (0, "PASS"), 10: (1, "FAIL"), 11: (1, "FAIL")}
+
+
+def test_all_key_sets_share_one_scan(spark, star, tmp_path):
+    path = str(tmp_path / "fact")
+    star["fact_sales"].limit(1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    suite = Suite("s", "fact_sales", (
+        C.not_null("order_id"), C.unique("sales_key"), C.duplicate_key("order_id", "order_line_num"),
+        C.compound_unique("order_line_num", "order_id"), C.distinct_ratio("customer_key", 0.0, 1.0), C.unique("order_id")))
+    results = validate(df, suite)
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # one for rows, one for all keys
+    got = {r.check_no: r.unexpected_count for r in results.collect()}
+    assert (got[2], got[3], got[4]) == (0, 0, 0) and got[6] == 1000 - df.groupBy("order_id").count().where("count = 1").count()
+
+
+def test_metadata_reaches_results_and_files(spark):
+    raw = {"name": "t_suite", "expectations": [{"type": "expect_column_values_to_not_be_null", "kwargs": {"column": "k"},
+                                               "meta": {"rationale": "keys join", "description": "x"}, "description": "k is set"}]}
+    suite = Suite.from_json(Suite.from_json(__import__("json").dumps(raw)).to_json())
+    assert (suite.checks[0].rationale, suite.checks[0].description) == ("keys join", "k is set")
+    row = annotated(validate(spark.range(1).toDF("k"), suite), [suite]).first()
+    assert (row.rationale, row.description) == ("keys join", "k is set")
