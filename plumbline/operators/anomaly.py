@@ -79,8 +79,14 @@ def daily_revenue(sales: DataFrame, day: str = "date_key", measure: str = "net_r
 
 
 def revenue_flags(sales: DataFrame, day: str = "date_key", measure: str = "net_revenue",
-                  last: int | None = 10) -> DataFrame:
-    """Daily revenue against its 30-day average, 3-sigma rule; the last days only, if asked."""
+                  last: int | None = 10, since=None) -> DataFrame:
+    """Daily revenue against its 30-day average, 3-sigma rule; the last days only, if asked.
+
+    ``since``, in the form of the day column, limits what is read (the filter reaches the scan); the first 30 days from
+    there on have shorter averages.
+    """
+    if since is not None:
+        sales = sales.where(F.col(day) >= F.lit(since))
     window = days_before(day, LONG_FRAME)
     stats = daily_revenue(sales, day, measure).withColumns({
         "avg_30": F.avg("total_revenue").over(window), "std_30": F.stddev_samp("total_revenue").over(window)})

@@ -38,9 +38,10 @@ def expire_duplicates(customers: DataFrame, as_of: dt.date | str, business_key:
     """Keep the latest current row per business key and close the others on the day before ``as_of``.
 
     The latest row is a maximum, combined on the map side, and not a window: a key with very many rows never sits in
-    one task. Only keys with several current rows are joined back. A row is never closed before it began.
+    one task. Only keys with several current rows are joined back. A row is never closed before it began. Rows equal in
+    date and key are told apart by a hash of all their columns; rows equal in everything stay as they are together.
     """
-    rank = F.struct("effective_date", "customer_key")
+    rank = F.struct(F.col("effective_date"), F.col("customer_key"), F.xxhash64("*").alias("tie"))
     latest = durable(
         customers.where("is_current").groupBy(F.col(business_key).alias("ref_key"))
         .agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("latest")).where("n > 1").drop("n"))
@@ -58,16 +59,13 @@ def expire_duplicates(customers: DataFrame, as_of: dt.date | str, business_key:
 def backfill_price(products: DataFrame, reference: DataFrame) -> DataFrame:
     """Take the standard price where the list price is not positive.
 
-    The reference is reduced to one price per product, so a repeated reference row cannot multiply products. Products
-    with a price do not take part in the join.
+    The reference is reduced to one price per product, so a repeated reference row cannot multiply products. One left
+    join: products are read once, and those with a price match nothing.
     """
-    unpriced = F.coalesce(F.col("list_price") <= 0, F.lit(False))
-    price = reference.groupBy("product_id").agg(F.max("standard_price").alias("standard_price"))
+    price = reference.groupBy(F.col("product_id").alias("_id")).agg(F.max("standard_price").alias("_price"))
     data_type = products.schema["list_price"].dataType
-    fixed = (products.where(unpriced).join(price, "product_id", "left")
-             .withColumn("list_price", F.coalesce("standard_price", "list_price").cast(data_type))
-             .select(*products.columns))
-    return products.where(~unpriced).unionByName(fixed)
+    joined = products.join(price, (F.col("product_id") == F.col("_id")) & (F.col("list_price") <= 0), "left")
+    return joined.withColumn("list_price", F.coalesce("_price", "list_price").cast(data_type)).select(*products.columns)
 
 
 def split(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:

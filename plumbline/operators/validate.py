@@ -348,8 +348,13 @@ def validate_on_write(df: DataFrame, suite: Suite, *, as_of=None,
 
 
 def violating_rows(df: DataFrame, check: Check, refs: Mapping[str, DataFrame] | None = None, *, as_of=None,
-                   hide: Iterable[str] = ()) -> DataFrame:
-    """The rows that break a check (for key checks: the rows of the offending groups), without the hidden columns."""
+                   hide: Iterable[str] | None = None) -> DataFrame:
+    """The rows that break a check (for key checks: the offending groups), without the hidden columns.
+
+    Unless told otherwise, columns with a classification in their metadata are hidden.
+    """
+    if hide is None:
+        hide = [f.name for f in df.schema.fields if f.metadata.get("classification")]
     if is_row_local(check):
         rows = df.where(violation(check, df, as_of))
     elif check.kind == "references":
@@ -371,7 +376,7 @@ def violating_rows(df: DataFrame, check: Check, refs: Mapping[str, DataFrame] |
 
 
 def sample_unexpected(df: DataFrame, check: Check, refs=None, *, limit: int = 20, order_by: Iterable[str] = (),
-                      as_of=None, hide: Iterable[str] = ()) -> DataFrame:
+                      as_of=None, hide: Iterable[str] | None = None) -> DataFrame:
     """A few violating rows as evidence."""
     rows = violating_rows(df, check, refs, as_of=as_of, hide=hide)
     return (rows.orderBy(*order_by) if order_by else rows).limit(limit)
