@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 SEGMENT = 16
 VALUES = 1 << SEGMENT
-BLOCK_ROWS, QUERY_ROWS = 1 << 18, 1 << 14
+BLOCK_ROWS, QUERY_ROWS = 1 << 14, 1 << 10
 
 
 def sign_code(vector: Column, words: int) -> Column:
