@@ -2,18 +2,17 @@
 
 A sentence has p = sigmoid(bias + sum of its word weights), or 0 without a weighted word, so that length alone never
 makes a text toxic; a document combines its sentences by noisy-or, P = 1 - prod(1 - p) = 1 - exp(-sum softplus(z)).
-The weights are fitted to document labels through that formula; the
-sentence probabilities then point at the offending sentences.
+The weights are fitted to document labels through that formula; the sentence probabilities then point at the offending
+sentences.
 
 Training takes a bounded sample of labelled rows (``sample_rows``, by hash of the id; texts over ``sample_words`` words
 do not take part in the fit). Words, and beginnings of words, that occur more in its toxic documents than chance
-allows get a weight; of all other words the driver sees nothing.
-Scoring reads every whole text and broadcasts the few words with a weight.
+allows get a weight; of all other words the driver sees nothing. Scoring reads every whole text and broadcasts the few
+words with a weight.
 
 Defined cases: NULL or empty text has no sentence and scores 0.0. A label row with NULL label or NULL id is ignored;
-several labels of one id count as their maximum. Without both classes among the training rows every score is
-0.0. Repeated rows are scored alike. Other columns are untouched; an
-existing column with the name of the result is replaced.
+several labels of one id count as their maximum. Without both classes among the training rows every score is 0.0.
+Repeated rows are scored alike. Other columns are untouched; an existing column with the name of the result is replaced.
 """
 
 from __future__ import annotations
