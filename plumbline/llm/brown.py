@@ -6,8 +6,8 @@ words, up to ``assigned``, get one exchange step each from their own neighbours.
 their form, so that any word, seen or not, has a class without a lookup.
 
 All counts (words, word pairs, neighbours, class pairs) are taken over all training texts. The vocabulary grows with the
-corpus and stays a distributed table; only the ``head`` most frequent words (of at most 64 bytes) are broadcast. Rarer
-words of a document go, counted, through one join with the vocabulary.
+corpus and stays a distributed table; only the most frequent words (``head`` at most, of at most 64 bytes) are
+broadcast. Rarer words of a document go, counted, through one join with the vocabulary.
 
 Smoothing: class transitions back off to class frequencies with weight ``backoff``; in a class by form, words count one
 more than seen and one share is kept for the unseen.
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.session import new_table_path
@@ -39,9 +39,9 @@ CHUNK = 500_000  # tokens whose pairs are counted at once
 
 @dataclass(frozen=True)
 class Settings:
-    head: int = 262_144
-    assigned: int = 16_384
-    clustered: int = 1_024
+    head: int = 131_072
+    assigned: int = 4_096
+    clustered: int = 512
     classes: int = 64
     passes: int = 8
     backoff: float = 20.0
@@ -141,9 +141,10 @@ def count_cells(texts: DataFrame, words: bytes, size: int, cells: int,
             part = hit[at:at + (1 << 18)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["cell", "n"])
 
-    rows = texts.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(cells, np.int64)
-    sums[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    for part in rows.to_batches():
+        sums[part.column(0).to_numpy(zero_copy_only=False)] = part.column(1).to_numpy(zero_copy_only=False)
     return sums
 
 
@@ -222,8 +223,7 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, Dat
     """The model of a one-column frame of texts, and the vocabulary table (word, c)."""
     vocab = vocabulary(texts)
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = (vocab.where((F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 0))
-           .orderBy(F.desc("c"), "word").limit(settings.head - 1).toPandas())
+    top = most_frequent(vocab.where((F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 0)), settings.head - 1)
     ends = vocab.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     # The end token is word 0.
     words = [END, *map(bytes, top["word"])]
@@ -287,6 +287,19 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, Dat
     return Model(packed, counts, group, end, transition, emission, form_total, int(total), int(distinct)), vocab
 
 
+def most_frequent(vocab: DataFrame, size: int):
+    """At most ``size`` words with their counts, most frequent first.
+
+    All words down to the least count with which they still fit: that count comes from a histogram of the counts, so
+    that no task has to sort or send more than its share of the words.
+    """
+    falling = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0)  # one row per distinct count
+    histogram = vocab.groupBy("c").agg(F.count(F.lit(1)).alias("n")).withColumn("words", F.sum("n").over(falling))
+    least = histogram.where(F.col("words") <= size).agg(F.min("c")).first()[0]
+    found = vocab.where(F.col("c") >= least) if least is not None else vocab.limit(0)
+    return found.select("word", "c").toPandas().sort_values(["c", "word"], ascending=[False, True])
+
+
 def _forms(vocab: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of each form, over the whole vocabulary; the end token counts as its form would."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
