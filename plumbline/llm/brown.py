@@ -2,15 +2,18 @@
 
 Exchange clustering gives the ``clustered`` most frequent words their classes: word after word moves to the class that
 raises the mutual information of adjacent classes most, until a pass moves nothing or ``passes`` are done. The next
-words, up to ``assigned``, get one exchange step each from their own neighbours. All rarer words share a few classes by
-their form, so that any word, seen or not, has a class without a lookup.
+words, up to ``assigned``, get one exchange step each from their neighbours among those. All other words of the training
+texts get the same step from their neighbours among the assigned: what stands next to a word is a distributed table, so
+this grows with the vocabulary. Only words that were never seen share a few classes by their form.
 
 All counts (words, word pairs, neighbours, class pairs) are taken over all training texts. The vocabulary grows with the
 corpus and stays a distributed table; only the most frequent words (``head`` at most, of at most 64 bytes) are
-broadcast. Rarer words of a document go, counted, through one join with the vocabulary.
+broadcast. A class has two halves, its words of the head and its rarer ones. Rarer words of a document go, with their
+places, through one join that brings their class and count.
 
-Smoothing: class transitions back off to class frequencies with weight ``backoff``; in a class by form, words count one
-more than seen and one share is kept for the unseen.
+Smoothing: class transitions back off to class frequencies with weight ``backoff``. A rarer word that occurs once counts
+a second time as a word of its form, since it would be unseen without that text. A class by form spreads over the rarer
+words of the form, counted one more than seen, and one share for the unseen; only that share is used.
 
 Defined cases: NULL text counts as empty, which is the end token alone. Without training texts every word is unseen.
 Repeated rows are scored each on their own; NULL ids count as the empty text in the split.
@@ -20,10 +23,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,13 +39,15 @@ FORMS = 8
 LONGEST = 64  # bytes of a broadcast word
 FLUSH = 600_000  # distinct words a task holds before it gives them out
 CHUNK = 500_000  # tokens whose pairs are counted at once
+CELLS = 2_000_000  # neighbour counts a task holds before it gives them out
+TOTALS = b" "  # no word is a space
 
 
 @dataclass(frozen=True)
 class Settings:
-    head: int = 131_072
-    assigned: int = 4_096
-    clustered: int = 512
+    head: int = 262_144
+    assigned: int = 16_384
+    clustered: int = 1_024
     classes: int = 64
     passes: int = 8
     backoff: float = 20.0
@@ -204,33 +210,191 @@ def exchange(counts: np.ndarray, start: np.ndarray, free: int, classes: int, pas
     return group
 
 
+# Rarer words ---------------------------------------------------------------------------------------------------------
+
+class Growing(dict):
+    """Word -> its number; a new word gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+def _neighbours(words: bytes, near: np.ndarray, wide: int):
+    """Texts to (word, cells, ns): per word without a class, how often each class comes after it (cell: the class) and
+    before it (cell: ``wide`` + the class). ``near`` has the classes of ``words``, and last that of all others. The row
+    of TOTALS has the pairs of classes."""
+    names, types = ["word", "cells", "ns"], [pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = words.split(b"\n")
+        size, total = len(listed), np.zeros(wide * wide, np.int64)
+        numbers, kept = Growing(zip(listed, range(size))), []
+        before: list[int] = []
+        now: list[int] = []
+
+        def add() -> None:
+            a, b = np.array(before, np.int64), np.array(now, np.int64)
+            one, two = near[np.minimum(a, size)], near[np.minimum(b, size)]
+            total[:] += np.bincount(one * wide + two, minlength=wide * wide)
+            codes = np.concatenate([((a - size) * 2 * wide + two)[a >= size], ((b - size) * 2 * wide + wide + one)[b >= size]])
+            kept.append(np.unique(codes, return_counts=True))
+            before.clear()
+            now.clear()
+
+        def given() -> Iterator[pa.RecordBatch]:
+            codes, at = np.unique(np.concatenate([c for c, _ in kept]), return_inverse=True)
+            ns = np.bincount(at, weights=np.concatenate([n for _, n in kept]), minlength=len(codes)).astype(np.int64)
+            word, starts = np.unique(codes // (2 * wide), return_index=True)
+            found, ends = pa.array(list(numbers)[size:], pa.binary()), np.append(starts, len(codes))
+            for i in range(0, len(word), 50_000):
+                part = slice(ends[i], ends[min(i + 50_000, len(word))])
+                offsets = pa.array((ends[i:i + 50_001] - ends[i]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    found.take(pa.array(word[i:i + 50_000])),
+                    pa.ListArray.from_arrays(offsets, pa.array((codes[part] % (2 * wide)).astype(np.int16))),
+                    pa.ListArray.from_arrays(offsets, pa.array(ns[part]))], names=names)
+            kept.clear()
+            numbers.clear()
+            numbers.update(zip(listed, range(size)))
+
+        for batch in batches:
+            for text in batch.column(0):
+                found = list(map(numbers.__getitem__, tokens(text.as_py())))
+                before.append(0)
+                before.extend(found[:-1])
+                now.extend(found)
+                if len(now) >= CHUNK or len(numbers) >= FLUSH:
+                    add()
+                    if len(numbers) >= FLUSH or sum(len(c) for c, _ in kept) >= CELLS:
+                        yield from given()
+        if now:
+            add()
+        if kept:
+            yield from given()
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([TOTALS], pa.binary()), pa.array([hit.tolist()], types[1]),
+                                          pa.array([total[hit].tolist()], types[2])], names=names)
+    return run
+
+
+def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray, classes: int) -> np.ndarray:
+    """The class with the largest ``_gain`` for each of the words 0, 1, ..., from the neighbour counts that are not zero.
+
+    ``cell[i]`` is a class after the word, or ``len(pairs)`` + a class before it; ``word`` ascends.
+    """
+    wide, many = len(pairs), int(word[-1]) + 1 if len(word) else 0
+    dense = np.zeros((many, 2 * wide))
+    np.add.at(dense, (word, cell), n)
+    word, cell = np.nonzero(dense)
+    n = dense[word, cell]
+    right, left = dense[:, :wide], dense[:, wide:]
+    # Change of what is in the class of the neighbour, without the diagonal.
+    both = np.concatenate([pairs[:classes, :], pairs[:, :classes].T], 1).T  # a row per cell
+    part = _xlogx(both[cell] + n[:, None]) - _xlogx(both)[cell]
+    own = cell % wide
+    inside = np.flatnonzero(own < classes)
+    part[inside, own[inside]] = 0.0
+    gain = np.add.reduceat(part, np.searchsorted(word, np.arange(many)), 0) if many else np.zeros((0, classes))
+    same = np.diagonal(pairs)[:classes]
+    gain += _xlogx(same + right[:, :classes] + left[:, :classes]) - _xlogx(same)
+    out, into = pairs.sum(1)[:classes] + left[:, :classes], pairs.sum(0)[:classes] + right[:, :classes]
+    gain -= _xlogx(out + right.sum(1, keepdims=True)) - _xlogx(out)
+    gain -= _xlogx(into + left.sum(1, keepdims=True)) - _xlogx(into)
+    return np.argmax(gain, 1)
+
+
+def _assign(pairs: np.ndarray, classes: int):
+    """Rows (word, cells, ns) in order of the word to (word, c, class, form)."""
+    wide = len(pairs)
+
+    def judged(rows: pa.Table) -> pa.RecordBatch:
+        words = rows.column(0).combine_chunks()
+        new = np.append(True, pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))
+        lengths = rows.column(1).combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+        word = np.repeat(np.cumsum(new) - 1, lengths)
+        cell = rows.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        n = rows.column(2).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        kinds = words.filter(pa.array(new))
+        counts = np.bincount(word, weights=n * (cell < wide), minlength=len(kinds)).astype(np.int64)
+        # Words that occur once with the same neighbours are one case.
+        alone = np.bincount(word, weights=np.where(cell < wide, cell * wide, cell - wide), minlength=len(kinds)).astype(np.int64)
+        key = np.where(counts == 1, alone, wide * wide + np.arange(len(kinds)))
+        _, first, case = np.unique(key, return_index=True, return_inverse=True)
+        found = np.zeros(len(kinds), np.int64)
+        chosen = np.sort(first)
+        place = np.full(len(kinds), -1)
+        for i in range(0, len(chosen), 2_000):
+            some = chosen[i:i + 2_000]
+            place[:] = -1
+            place[some] = np.arange(len(some))
+            take = place[word] >= 0
+            found[some] = best_classes(pairs, place[word[take]], cell[take], n[take], classes)
+        forms = [form(w) for w in kinds.to_pylist()]
+        return pa.RecordBatch.from_arrays([kinds, pa.array(counts), pa.array(found[first][case].astype(np.int32)),
+                                           pa.array(forms, pa.int32())], names=["word", "c", "class", "form"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            # The last word may go on in the next batch.
+            same = pc.equal(rows.column(0), rows.column(0)[-1]).to_numpy()
+            at = int(np.argmax(same))
+            if at:
+                yield judged(rows.slice(0, at))
+            held = rows.slice(at)
+        if held is not None:
+            yield judged(held)
+    return run
+
+
 # The model -----------------------------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Model:
     words: bytes  # the head, most frequent first, one per line
     counts: np.ndarray  # of the head words
-    group: np.ndarray  # their classes; class ``end`` is the end token's, the FORMS classes after it go by form
+    # Their classes. Class ``end`` is the end token's; then come FORMS classes by form, then the rarer halves of the others.
+    group: np.ndarray
     end: int
-    transition: np.ndarray  # log10
     emission: np.ndarray  # log10, of the head words
+    rare_total: np.ndarray  # log10 of the tokens of the rarer half of each class
     form_total: np.ndarray  # log10 of what counts in a class by form are divided by
     train_tokens: int
     train_words: int  # distinct
+    backoff: float
+    transition: np.ndarray | None = None  # log10
+
+    @property
+    def rare(self) -> int:
+        """The first class of rarer words."""
+        return self.end + 1 + FORMS
 
 
 def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
-    """The model of a one-column frame of texts, and the vocabulary table (word, c)."""
+    """The model of a one-column frame of texts, and the words that are not in its head: (word, c, class, form)."""
+    model, rarer = cluster(texts, settings)
+    coded = encode(texts.select(F.lit(None).cast("long").alias("doc_id"), F.col(texts.columns[0]).alias("text")), model, rarer)
+    return with_transitions(model, coded), rarer
+
+
+def cluster(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
+    """The model without transitions, and the words that are not in its head: (word, c, class, form)."""
+    if 2 * settings.classes + 1 + FORMS > 255:
+        raise ValueError("a class must fit a byte")
     vocab = vocabulary(texts)
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = most_frequent(vocab.where((F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 0)), settings.head - 1)
+    short = (F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 0)
+    top, _ = most_frequent(vocab.where(short), settings.assigned - 1)
     ends = vocab.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     # The end token is word 0.
-    words = [END, *map(bytes, top["word"])]
-    counts = np.array([ends, *top["c"]], np.int64)
+    words = [END, *top["word"].to_pylist()]
     packed = b"\n".join(words)
     k, end = settings.classes, settings.classes
-    clustered, assigned = min(settings.clustered, len(words)), min(settings.assigned, len(words))
+    clustered, assigned = min(settings.clustered, len(words)), len(words)
 
     # Pairs of the clustered words; the last number stands for all other words.
     side = clustered + 1
@@ -243,7 +407,7 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, Dat
 
     # Neighbour classes of the next words: k classes, the end, and all others.
     wide = k + 2
-    near = np.full(len(words) + 1, k + 1)
+    near = np.full(assigned + 1, k + 1)
     near[:clustered] = group_of[:clustered]
 
     def neighbours(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -255,40 +419,69 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, Dat
     member = np.zeros((side, wide))
     member[np.arange(side), group_of] = 1.0
     classes_now = member.T @ pairs @ member
-    group = np.array([end + 1 + form(w) for w in words])
-    group[:clustered] = group_of[:clustered]
+    known = near.copy()
     for word in range(clustered, assigned):
         right, left = profile[word].astype(float)
-        group[word] = int(np.argmax(_gain(classes_now, right, left, 0.0)[:k]))
+        known[word] = int(np.argmax(_gain(classes_now, right, left, 0.0)[:k]))
+
+    # All other words, from their neighbours among these.
+    spark = texts.sparkSession
+    path = new_table_path(spark, "neighbours")
+    texts.mapInArrow(_neighbours(packed, known, wide), "word binary, cells array<smallint>, ns array<bigint>").write.parquet(path)
+    rows = spark.read.parquet(path)
+    classes_now = np.zeros(wide * wide)
+    for cell, n in (rows.where(F.col("word") == F.lit(TOTALS)).select(F.explode(F.arrays_zip("cells", "ns")).alias("x"))
+                    .groupBy("x.cells").agg(F.sum("x.ns").alias("n")).collect()):
+        classes_now[cell] = n
+    path = new_table_path(spark, "classes")
+    (rows.where(F.col("word") != F.lit(TOTALS)).repartition("word").sortWithinPartitions("word")
+     .mapInArrow(_assign(classes_now.reshape(wide, wide), k), "word binary, c long, class int, form int").write.parquet(path))
+    others = spark.read.parquet(path)
+    more, least = most_frequent(others.where(short), settings.head - assigned, "class")
+    rarer = others.where(~(short & (F.col("c") >= least))) if least is not None else others
+
+    words += more["word"].to_pylist()
+    counts = np.concatenate([[ends], top["c"].to_numpy(), more["c"].to_numpy()]).astype(np.int64)
+    group = np.concatenate([known[:assigned], more["class"].to_numpy()]).astype(np.int64)
     group[0] = end
+    in_cluster = np.bincount(group, weights=counts, minlength=end + 1)
+    emission = np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(in_cluster[group], 1))
+    rare, by_form = np.ones(k), np.ones(FORMS)
+    for class_, form_, c, n in rarer.groupBy("class", "form").agg(F.sum("c"), F.count(F.lit(1))).collect():
+        rare[class_] += c
+        by_form[form_] += c + n
+    return Model(b"\n".join(words), counts, group, end, emission, np.log10(np.maximum(rare - 1, 1)), np.log10(by_form),
+                 int(total), int(distinct), settings.backoff), rarer
 
-    # Class pairs over all texts.
-    many = end + 1 + FORMS
 
-    def class_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        one = np.where(a >= 0, group[np.maximum(a, 0)], end - a)
-        two = np.where(b >= 0, group[np.maximum(b, 0)], end - b)
-        return one * many + two
+def with_transitions(model: Model, coded: DataFrame) -> Model:
+    """The model with the class pairs of the training texts, as ``encode`` gives them."""
+    many, end = model.rare + model.end, model.end
 
-    moves = count_cells(texts, packed, len(words), many * many, class_pairs, 0).reshape(many, many).astype(float)
-    share = (moves.sum(0) + 1) / (moves.sum() + many)
-    transition = np.log10((moves + settings.backoff * share) / (moves.sum(1, keepdims=True) + settings.backoff))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(many * many, np.int64)
+        for batch in batches:
+            for classes, unseen in zip(batch.column(0), batch.column(1)):
+                now, other = (np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64) for x in (classes, unseen))
+                pairs = [(a[:-1] * many + b[1:])[(a[:-1] < 255) & (b[1:] < 255)]
+                         for a in (np.append(end, now), np.append(255, other))
+                         for b in (np.append(end, now), np.append(255, other))]
+                total += np.bincount(np.concatenate(pairs), minlength=many * many)
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[hit])], names=["cell", "n"])
 
-    seen, types = _forms(vocab)
-    by_form = group > end
-    in_cluster = np.bincount(group[~by_form], weights=counts[~by_form], minlength=many)
-    # What is in a class by form: all words of the form, less those that got a class of their own.
-    own = np.array([form(w) for w in words])
-    seen -= np.bincount(own[~by_form], weights=counts[~by_form], minlength=FORMS)
-    types -= np.bincount(own[~by_form], weights=counts[~by_form] > 0, minlength=FORMS)
-    form_total = np.log10(seen + types + 1)
-    emission = np.where(by_form, np.log10(counts + 1) - form_total[np.maximum(group - end - 1, 0)],
-                        np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(in_cluster[group], 1)))
-    return Model(packed, counts, group, end, transition, emission, form_total, int(total), int(distinct)), vocab
+    moves = np.zeros(many * many)
+    for cell, n in (coded.select("classes", "unseen").mapInArrow(run, "cell int, n long").groupBy("cell")
+                    .agg(F.sum("n").alias("n")).collect()):
+        moves[cell] = n
+    moves = moves.reshape(many, many)
+    share = (moves.sum(0) + 1) / (moves.sum() + many)
+    transition = np.log10((moves + model.backoff * share) / (moves.sum(1, keepdims=True) + model.backoff))
+    return replace(model, transition=transition)
 
 
-def most_frequent(vocab: DataFrame, size: int):
-    """At most ``size`` words with their counts, most frequent first.
+def most_frequent(vocab: DataFrame, size: int, *more: str) -> tuple[pa.Table, int | None]:
+    """At most ``size`` words with their counts, most frequent first, and the least of these counts.
 
     All words down to the least count with which they still fit: that count comes from a histogram of the counts, so
     that no task has to sort or send more than its share of the words.
@@ -297,38 +490,20 @@ def most_frequent(vocab: DataFrame, size: int):
     histogram = vocab.groupBy("c").agg(F.count(F.lit(1)).alias("n")).withColumn("words", F.sum("n").over(falling))
     least = histogram.where(F.col("words") <= size).agg(F.min("c")).first()[0]
     found = vocab.where(F.col("c") >= least) if least is not None else vocab.limit(0)
-    return found.select("word", "c").toPandas().sort_values(["c", "word"], ascending=[False, True])
-
-
-def _forms(vocab: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each form, over the whole vocabulary; the end token counts as its form would."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, types = np.zeros(FORMS, np.int64), np.zeros(FORMS, np.int64)
-        for batch in batches:
-            forms = np.fromiter((form(w.as_py()) for w in batch.column(0)), np.int64, batch.num_rows)
-            seen += np.bincount(forms, weights=batch.column(1).to_numpy(), minlength=FORMS).astype(np.int64)
-            types += np.bincount(forms, minlength=FORMS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(FORMS), pa.int32()), pa.array(seen), pa.array(types)],
-                                         names=["form", "seen", "types"])
+    return found.select("word", "c", *more).toArrow().sort_by([("c", "descending"), ("word", "ascending")]), least
 
-    rows = (vocab.select("word", "c").mapInArrow(run, "form int, seen long, types long").groupBy("form")
-            .agg(F.sum("seen").alias("seen"), F.sum("types").alias("types")).collect())
-    seen, types = np.zeros(FORMS), np.zeros(FORMS)
-    for row in rows:
-        seen[row["form"]], types[row["form"]] = row["seen"], row["types"]
-    return seen, types
 
+PARTS = ("rid long, word binary, places binary, form int, "
+         "part struct<doc_id: bigint, n_tokens: bigint, n_known: bigint, base: double, model: double, classes: binary>")
 
-PARTS = "rid long, word binary, n long, part struct<doc_id: bigint, n_tokens: bigint, n_known: bigint, base: double, model: double>"
 
-
-def _score_parts(model: Model):
+def _code_parts(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = model.words.split(b"\n")
         numbers = Numbers(words, len(words))
         log_counts, known = np.log10(model.counts + 1.0), model.counts > 0
         rid = TaskContext.get().partitionId() << 40
-        out: tuple[list, ...] = ([], [], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [])
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = tokens(text.as_py())
@@ -336,14 +511,16 @@ def _score_parts(model: Model):
                 head = code >= 0
                 inside = code[head]
                 group = np.where(head, model.group[np.maximum(code, 0)], model.end - code)
-                score = (model.transition[np.append(model.end, group[:-1]), group].sum() + model.emission[inside].sum()
-                         - model.form_total[-1 - code[~head]].sum())
                 part = {"doc_id": doc_id, "n_tokens": len(found), "n_known": int(known[inside].sum()),
-                        "base": float(log_counts[inside].sum()), "model": float(score)}
+                        "base": float(log_counts[inside].sum()), "model": float(model.emission[inside].sum()),
+                        "classes": group.astype(np.uint8).tobytes()}
                 # The row of a document has a key that no word equals, and that is its own: no hot key in the join.
-                _append(out, rid, b" %d" % rid, 0, part)
-                for word, n in Counter(found[i] for i in np.flatnonzero(~head)).items():
-                    _append(out, rid, word, n, None)
+                _append(out, rid, b" %d" % rid, None, None, part)
+                places: dict[bytes, list[int]] = {}
+                for at in np.flatnonzero(~head).tolist():
+                    places.setdefault(found[at], []).append(at)
+                for word, at in places.items():
+                    _append(out, rid, word, np.array(at, "<i4").tobytes(), -1 - int(code[at[0]]), None)
                 rid += 1
                 if len(out[0]) >= 100_000:
                     yield _parts(out)
@@ -358,26 +535,79 @@ def _append(out: tuple[list, ...], *values) -> None:
 
 def _parts(out: tuple[list, ...]) -> pa.RecordBatch:
     kind = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                      ("base", pa.float64()), ("model", pa.float64())])
-    types = [pa.int64(), pa.binary(), pa.int64(), kind]
-    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["rid", "word", "n", "part"])
+                      ("base", pa.float64()), ("model", pa.float64()), ("classes", pa.binary())])
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), kind]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
+                                       names=["rid", "word", "places", "form", "part"])
     for column in out:
         column.clear()
     return batch
 
 
-def score(docs: DataFrame, model: Model, vocab: DataFrame) -> DataFrame:
+CODED = ("doc_id long, n_tokens long, n_known long, base double, model double, classes binary, unseen binary")
+
+
+def _placed(model: Model):
+    """(part, rarer words with places) to documents with all classes in place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for part, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+                classes = np.frombuffer(part["classes"], np.uint8).copy()
+                unseen = np.full(len(classes), 255, np.uint8)
+                for places, form_, class_, c in zip(*(found.values.field(i).to_pylist() for i in range(4))):
+                    at = np.frombuffer(places, "<i4")
+                    if class_ is None:
+                        part["model"] -= len(at) * model.form_total[form_]
+                        continue
+                    classes[at] = model.rare + class_
+                    if c == 1:
+                        unseen[at] = model.end + 1 + form_
+                    part["n_known"] += len(at)
+                    part["base"] += len(at) * np.log10(c + 1.0)
+                    part["model"] += len(at) * (np.log10(c) - model.rare_total[class_])
+                rows.append({**part, "classes": classes.tobytes(), "unseen": unseen.tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, schema=CODED_ARROW)
+    return run
+
+
+CODED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
+                         ("model", pa.float64()), ("classes", pa.binary()), ("unseen", pa.binary())])
+
+
+def encode(docs: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
+    """A row for every row of documents (doc_id, text): its counts, the part of its score within classes, the class of
+    each token, and for words that occur once in training the class they would have unseen (255: none). Stored."""
+    rows = docs.select("doc_id", "text").mapInArrow(_code_parts(model), PARTS)
+    word = F.struct("places", F.coalesce("r.form", "d.form").alias("form"), "class", "c")
+    whole = (rows.alias("d").join(rarer.alias("r"), "word", "left").groupBy("rid")
+             .agg(F.max("part").alias("part"), F.collect_list(F.when(F.col("places").isNotNull(), word)).alias("rarer")))
+    path = new_table_path(docs.sparkSession, "coded")
+    whole.select("part", "rarer").mapInArrow(_placed(model), CODED).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def score(docs: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score, perplexity) for every row of documents (doc_id, text)."""
-    rows = docs.select("doc_id", "text").mapInArrow(_score_parts(model), PARTS)
-    weighed = rows.join(vocab, "word", "left").select(
-        "rid", "part", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0))).alias("seen"),
-        F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"))
-    summed = weighed.groupBy("rid").agg(F.max("part").alias("part"), F.sum("seen").alias("seen"),
-                                        F.sum("known").alias("known"))
+    return score_coded(encode(docs, model, rarer), model)
+
+
+def score_coded(coded: DataFrame, model: Model) -> DataFrame:
+    """``score`` of encoded documents."""
+    transition, end = model.transition, model.end
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            moved = []
+            for classes in batch.column("classes"):
+                now = np.frombuffer(classes.as_buffer(), np.uint8)
+                moved.append(float(transition[np.append(end, now[:-1]), now].sum()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_tokens", "n_known", "base")), pa.array(
+                np.array(moved) + batch.column("model").to_numpy())], names=["doc_id", "n_tokens", "n_known", "base", "score"])
+
     base_total = float(np.log10(model.train_tokens + model.train_words + 1))
-    score_ = F.col("part.model") + F.col("seen")
-    return summed.select(
-        "part.doc_id", "part.n_tokens", (F.col("part.n_known") + F.col("known")).alias("n_known"),
-        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("part.base") + F.col("seen") - F.col("part.n_tokens") * F.lit(base_total)).alias("base_score"),
-        score_.alias("score"), F.pow(F.lit(10.0), -score_ / F.col("part.n_tokens")).alias("perplexity"))
+    return (coded.select("doc_id", "n_tokens", "n_known", "base", "model", "classes")
+            .mapInArrow(run, "doc_id long, n_tokens long, n_known long, base double, score double").select(
+        "doc_id", "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * F.lit(base_total)).alias("base_score"), "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")))

@@ -110,3 +110,50 @@ def test_empty_training(spark):
     row = brown.score(frames(spark, [(1, "a b")]), model, vocab).first()
     assert row["train_tokens"] == 0 and row["n_known"] == 0 and row["base_score"] == 0.0
     assert brown.score(frames(spark, []), model, vocab).count() == 0
+
+
+def test_best_classes_is_the_largest_gain():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 30, (6, 6)).astype(float)
+    dense = rng.integers(0, 3, (50, 12)).astype(float)
+    dense[:, 0] += 1
+    word, cell = np.nonzero(dense)
+    found = brown.best_classes(counts, word, cell, dense[word, cell], 4)
+    for i, row in enumerate(dense):
+        gain = brown._gain(counts, row[:6], row[6:], 0.0)[:4]
+        assert abs(gain[found[i]] - gain.max()) < 1e-9
+
+
+def test_every_word_of_the_training_texts_has_a_class(spark):
+    rows = corpus()
+    rows += [(2000 + i, f"l1 {'x' * 80}{i % 3} l2 tailA{i} l3 R4. tailB{i}") for i in range(30)]
+    model, rarer = brown.train(frames(spark, rows).select("text"), SMALL)
+    counts = Counter(w for _, t in rows for w in brown.tokens(t))
+    head = model.words.split(b"\n")
+    found = {bytes(r["word"]): r for r in rarer.collect()}
+    assert not set(head) & set(found) and set(head) | set(found) == set(counts)
+    assert all(r["c"] == counts[w] and 0 <= r["class"] < SMALL.classes for w, r in found.items())
+    assert model.group[0] == model.end and (model.group[1:] < SMALL.classes).all()
+    # The class follows the neighbours: what stands before a left word is where right words stand.
+    follow = Counter(r["class"] for w, r in found.items() if w.startswith(b"taila"))
+    assert follow.most_common(1)[0][1] > 25
+
+
+def test_score_by_hand(spark):
+    rows = corpus()
+    model, rarer = brown.train(frames(spark, rows).select("text"), SMALL)
+    head = {w: i for i, w in enumerate(model.words.split(b"\n"))}
+    rest = {bytes(r["word"]): r for r in rarer.collect()}
+    texts = {**dict(rows[:20]), 5000: "rare1x rare2x Never rare1x l1 rare3x", 5001: ""}
+    for r in brown.score(frames(spark, list(texts.items())), model, rarer).collect():
+        score, last = 0.0, model.end
+        for w in brown.tokens(texts[r["doc_id"]]):
+            if w in head:
+                now, within = model.group[head[w]], model.emission[head[w]]
+            elif w in rest:
+                now = model.rare + rest[w]["class"]
+                within = math.log10(rest[w]["c"]) - model.rare_total[rest[w]["class"]]
+            else:
+                now, within = model.end + 1 + brown.form(w), -model.form_total[brown.form(w)]
+            score, last = score + model.transition[last, now] + within, now
+        assert abs(score - r["score"]) < 1e-9 * abs(score)
