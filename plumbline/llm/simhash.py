@@ -170,20 +170,16 @@ def with_components(prints: DataFrame, radius: int = MAX_BITS) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
     """One document of each component, the one with its smallest id, in the columns of the input.
 
+    Components are told apart by their root, so one id with two unlinked texts is in two of them and stays in both.
     A component without any id keeps the row with the smallest text hash. Of rows equal in id the same rule holds; of
     rows equal in id and text, the one with the smallest hash of all its columns stays.
     """
     mark = F.xxhash64("text").alias("__mark__")
     prints = durable(docs.select("doc_id", mark, fingerprinter(size)(F.col("text")).alias("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__mark__"))).alias("m")
-    chosen = durable(with_components(prints, radius).groupBy(*_component_key()).agg(first)
+    chosen = durable(with_components(prints, radius).groupBy("root").agg(first)
                      .select(null_safe_key(F.col("m.doc_id")).alias("__id__"), F.col("m.__mark__").alias("__mark__")))
     rows = docs.select(null_safe_key(F.col("doc_id")).alias("__id__"), mark, F.struct("*").alias("__row__"),
                        F.xxhash64("*").alias("__all__"))
     return (rows.join(chosen, ["__id__", "__mark__"], "left_semi").groupBy("__id__", "__mark__")
             .agg(F.min_by("__row__", "__all__").alias("__row__")).select("__row__.*"))
-
-
-def _component_key():
-    """The component, told apart by its root fingerprint where it has no id."""
-    return F.coalesce(F.col("component_id"), F.col("root")).alias("c"), F.col("component_id").isNull().alias("nameless")

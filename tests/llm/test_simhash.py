@@ -109,3 +109,10 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0
     assert simhash.keep_one(df).count() == 0
+
+
+def test_one_id_with_two_texts_is_in_two_components(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(400)) for c in "ab")
+    rows = [(1, a), (3, a + " "), (1, b), (2, b + " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect()) == [(1, a), (1, b)]
