@@ -5,8 +5,9 @@ skippable frame, which decoders pass over. So archives are written by Spark's ow
 lost task leaves nothing behind, and each file is a plain ``.warc.zst``: a skippable frame with the dictionary, then a
 warcinfo record, then one frame per record.
 
-The dictionary is trained on a bounded sample of the records to be archived (``sample_records``, at most
-``sample_bytes`` each, by hash of the page id). With too few samples to train on, archives have no dictionary frame.
+The dictionary is trained on a bounded sample of the records to be archived (``sample_records`` pieces of at
+most ``sample_bytes`` each, by hash of the page id; a larger record gives several pieces where records are few, and is
+archived whole). With too few samples to train on, archives have no dictionary frame.
 
 Equal payloads of at least ``min_bytes`` are stored once: the page with the largest id is the response, the others are
 revisit records that name it. The search for equal payloads groups digests only; pages then meet their digest's response
@@ -34,6 +35,7 @@ from plumbline.session import durable
 
 SKIPPABLE = 0x184D2A50  # up to ...5F
 DICTIONARY_FRAME = 0x184D2A5D
+PIECES = 16  # of one record in the sample
 SEPARATOR = struct.pack("<II", SKIPPABLE, 0)  # an empty skippable frame; plain ASCII
 DATE = "2026-01-01T00:00:00Z"  # pages carry no date
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -136,10 +138,16 @@ def plan(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def sample_dictionary(pages: DataFrame, settings: Settings = Settings()) -> bytes:
-    """A dictionary from at most ``sample_records`` records of at most ``sample_bytes`` each."""
-    some = (pages.select("page_id", "url", payload(F.col("html")).alias("payload"))
-            .where(F.octet_length("payload").between(1, settings.sample_bytes))
-            .orderBy(F.xxhash64("page_id", "url"), "page_id").limit(settings.sample_records))
+    """A dictionary from at most ``sample_records`` pieces of records, of at most ``sample_bytes`` each.
+
+    The first piece of every sampled record comes before further ones of large records.
+    """
+    size = settings.sample_bytes
+    some = (pages.select("page_id", "url", payload(F.col("html")).alias("payload")).where(F.octet_length("payload") > 0)
+            .withColumn("piece", F.explode(F.sequence(F.lit(0), F.least(
+                F.floor((F.octet_length("payload") - 1) / size).cast("int"), F.lit(PIECES - 1)))))
+            .select("page_id", "url", "piece", F.substring("payload", F.col("piece") * size + 1, F.lit(size)).alias("payload"))
+            .orderBy("piece", F.xxhash64("page_id", "url"), "page_id").limit(settings.sample_records))
     return train_dictionary([record(r["page_id"], r["url"], bytes(r["payload"]), None, False) for r in some.collect()],
                             settings.dictionary_bytes)
 

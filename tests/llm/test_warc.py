@@ -86,3 +86,14 @@ def test_the_dictionary_pays(spark):
         lead = 8 + int.from_bytes(content[4:8], "little") if content[:4] == (warc.DICTIONARY_FRAME).to_bytes(4, "little") else 0
         sizes.append(len(content) - lead)
     assert sizes[0] < 0.6 * sizes[1]
+
+
+def test_large_pages_have_a_dictionary(spark):
+    html = ["".join(f"<p>Paragraph {i * j % 997} of a page that is long</p>" for j in range(1_500)) for i in range(1, 9)]
+    rows = [(i, f"http://h.example.com/{i}", h) for i, h in enumerate(html)]
+    assert min(map(len, html)) > warc.Settings().sample_bytes
+    path, found, _ = run(spark, rows, parts=1)
+    assert found == brute(rows)
+    for name in glob.glob(os.path.join(path.removeprefix("file://").removeprefix("file:"), "part-*")):
+        magic, length = warc.struct.unpack_from("<II", open(name, "rb").read(8))
+        assert magic == warc.DICTIONARY_FRAME and length
