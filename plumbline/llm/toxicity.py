@@ -11,7 +11,8 @@ allows get a weight; of all other words the driver sees nothing. Scoring reads e
 words with a weight.
 
 Defined cases: NULL or empty text has no sentence and scores 0.0. A label row with NULL label or NULL id is ignored;
-several labels of one id count as their maximum. Without both classes among the training rows every score is 0.0.
+several labels of one id count as their maximum, and of several texts of
+one id the one with the smallest hash is trained on. Without both classes among the training rows every score is 0.0.
 Repeated rows are scored alike. Other columns are untouched; an existing column with the name of the result is replaced.
 """
 
@@ -27,6 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import durable
+
 STRIP = " \t\n\r.,;:!?\"'()[]{}<>*#%&|…«»„“”’‘-"
 CLOSING = "\"')]»”’"
 ENDS = (".", "!", "?", "…")
@@ -166,8 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, set
     known = known.where(allowed) if allowed is not None else known
     sample = (known.groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_rows))
-    # sample_rows short rows at most, so texts stay where they are
-    labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+    # One text of each sampled id, so sample_rows bounds the rows as well; stored, since three jobs read it.
+    labelled = durable(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")).select("text", "label"))
     toxic, total = labelled.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
     counts = (labelled.mapInPandas(_document_counts(settings), "feature long, spread long, inside long")
               .groupBy("feature").agg(F.sum("spread").alias("spread"), F.sum("inside").alias("inside"))

@@ -62,3 +62,12 @@ def test_held_out_accuracy(spark):
     wrong = [r for r in rows if r["predicted"] != r["toxic"]]
     false_alarms = [r for r in wrong if r["predicted"]]
     assert len(wrong) <= 0.05 * len(rows) and len(false_alarms) <= 0.02 * len(rows)
+
+
+def test_repeated_rows_of_a_sampled_id_are_trained_on_once(spark, monkeypatch):
+    df = corpus(spark)
+    fitted = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda labels, *a: fitted.append(len(labels)) or fit(labels, *a))
+    toxicity.train(df.unionByName(df.where("doc_id = 4").crossJoin(spark.range(500)).drop("id")), df.select("doc_id", "label"))
+    assert fitted == [400]
