@@ -135,15 +135,16 @@ MAX_AGE_HOURS = {"dim_customer": 24, "dim_product": 7 * 24, "dim_store": 30 * 24
 
 
 def freshness_age(log: DataFrame, as_of: str, max_age: dict[str, int] = MAX_AGE_HOURS) -> DataFrame:
-    """Age of the newest load per table against its allowance; a table never loaded is stale."""
+    """Age of the newest load per table against its allowance; a table never loaded is stale, one
+    without an allowance is UNSCHEDULED."""
     kind = log.schema["load_timestamp"].dataType
     now = F.lit(as_of).cast(kind)
     expected = log.sparkSession.createDataFrame(list(max_age.items()), "table_name string, max_age_hours bigint")
     age = _hours(now, F.col("last"))
     newest = log.groupBy("table_name").agg(F.max("load_timestamp").alias("last"))
-    return (expected.join(newest, "table_name", "left")
+    return (expected.join(newest, "table_name", "full")
             .select("table_name", age.alias("age_hours"), "max_age_hours",
-                    F.when(age <= F.col("max_age_hours"), "FRESH").otherwise("STALE").alias("status")))
+                    F.when(F.col("max_age_hours").isNull(), "UNSCHEDULED").when(age <= F.col("max_age_hours"), "FRESH").otherwise("STALE").alias("status")))
 
 
 # How often each table is due (daily, on Mondays, on the last day of the year) and until which hour.
@@ -176,8 +177,9 @@ def expected_loads(log: DataFrame, first: str, last: str, schedule: dict[str, tu
 
 
 def timeliness(log: DataFrame, as_of: str, schedule: dict[str, tuple[str, int]] = SCHEDULE) -> DataFrame:
-    """Per expected table: its newest load up to ``as_of``, the last day a load was due by then, the delay against that
-    day's deadline in minutes (negative: early), and ON_TIME, LATE, MISSING (due, not there yet) or NEVER_LOADED.
+    """Per table: its newest load up to ``as_of``, the last day a load was due by then, the delay against that
+    day's deadline in minutes (negative: early), and ON_TIME, LATE, MISSING (due, not there yet) or NEVER_LOADED;
+    UNSCHEDULED for a table that loads without being in the schedule.
 
     A load of the due day or later counts; the delay of a missing load runs until ``as_of``.
     """
@@ -191,14 +193,15 @@ def timeliness(log: DataFrame, as_of: str, schedule: dict[str, tuple[str, int]]
                  .otherwise(F.date_sub(F.trunc(today, "year"), 1)))
            .otherwise(today))
     plan = _schedule(spark, schedule).withColumn("due_date", due)
-    seen = log.where(F.col("load_timestamp") <= now).join(F.broadcast(plan), "table_name").groupBy("table_name").agg(
+    seen = log.where(F.col("load_timestamp") <= now).join(F.broadcast(plan), "table_name", "left").groupBy("table_name").agg(
         F.max("load_date").alias("last_load_date"),
         F.min(F.when(F.col("load_date") >= F.col("due_date"), F.col("load_timestamp"))).alias("landed"))
     deadline = _at_hour(F.col("due_date"), F.col("deadline_hour"), now)
     minutes = F.timestamp_diff("MINUTE", deadline, F.coalesce("landed", now))
-    return plan.join(seen, "table_name", "left").select(
+    return plan.join(seen, "table_name", "full").select(
         "table_name", "due_date", "last_load_date", minutes.cast("bigint").alias("delay_minutes"),
-        F.when(F.col("last_load_date").isNull(), "NEVER_LOADED").when(F.col("landed").isNull(), "MISSING")
+        F.when(F.col("every").isNull(), "UNSCHEDULED").when(F.col("last_load_date").isNull(), "NEVER_LOADED")
+        .when(F.col("landed").isNull(), "MISSING")
         .when(F.col("landed") < deadline, "ON_TIME").otherwise("LATE").alias("status"))
 
 

@@ -139,3 +139,14 @@ def test_expected_loads(spark):
 def test_unknown_metric_does_not_fire(spark):
     metrics = spark.createDataFrame([(dt.datetime(2024, 1, 1), None, None, None, None, None, None, None)], METRICS)
     assert not any(r.fired for r in alerts.evaluate(metrics).collect())
+
+
+def test_a_table_outside_the_lists_has_a_row(spark):
+    log = spark.sql("select 'new' as table_name, date '2024-01-02' as load_date, "
+                    "timestamp_ntz '2024-01-02 03:00:00' as load_timestamp")
+    age = {r.table_name: (r.age_hours, r.max_age_hours, r.status)
+           for r in anomaly.freshness_age(log, "2024-01-02 05:00:00", {"f": 24}).collect()}
+    assert age == {"f": (None, 24, "STALE"), "new": (2.0, None, "UNSCHEDULED")}
+    late = {r.table_name: (r.due_date, r.delay_minutes, r.status)
+            for r in anomaly.timeliness(log, "2024-01-02 05:00:00", {"f": ("daily", 6)}).collect()}
+    assert late["f"][2] == "NEVER_LOADED" and late["new"] == (None, None, "UNSCHEDULED") and len(late) == 2
