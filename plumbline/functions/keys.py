@@ -49,11 +49,12 @@ def key_bytes(key: str) -> Column:
             + F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))).cast("bigint")
 
 
-def small_enough(tables: Mapping[str, tuple[DataFrame, str]], limit: int = BROADCAST_BYTES) -> set[str]:
-    """Names of the (table, key) pairs whose measured key bytes fit a broadcast. One small job for all of them."""
+def small_enough(tables: Mapping[str, tuple[DataFrame, str]], limit: int = BROADCAST_BYTES, more: int = 0) -> set[str]:
+    """Names of the (table, key) pairs whose measured key bytes, and ``more`` bytes a row, fit a broadcast. One small job
+    for all of them."""
     if not tables:
         return set()
-    sizes = [df.agg(key_bytes(key).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+    sizes = [df.agg((key_bytes(key) + F.count(F.lit(1)) * more).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
              for name, (df, key) in tables.items()]
     return {row["name"] for row in reduce(DataFrame.unionAll, sizes).collect() if row["bytes"] <= limit}
 

@@ -13,12 +13,13 @@ from plumbline.functions import keys as K
 from plumbline.functions import predicates as P
 from plumbline.functions.keys import ForeignKey
 from plumbline.operators.checks import Check, Suite
-from plumbline.operators.validate import ROW_PREDICATES, foreign_key, is_row_local, validate, violation
+from plumbline.operators.validate import ROW_PREDICATES, foreign_key, is_row_local, quoted, validate, violation
 from plumbline.session import durable
 
 # Sentinels and replacements used by the repairs.
 OPT_OUT_EMAIL = "optout@example.com"
 EMAIL_SENTINELS = ("n/a", "N/A", "na", "NA", "")
+LATEST_BYTES = 64  # of a row of latest versions, beside its key
 
 
 def fill_null(df: DataFrame, column: str, value) -> DataFrame:
@@ -37,23 +38,40 @@ def recode(df: DataFrame, column: str, old: str, new: str) -> DataFrame:
 def expire_duplicates(customers: DataFrame, as_of: dt.date | str, business_key: str = "customer_id") -> DataFrame:
     """Keep the latest current row per business key and close the others on the day before ``as_of``.
 
-    The latest row is a maximum, combined on the map side, and not a window: a key with very many rows never sits in
-    one task. Only keys with several current rows are joined back. A row is never closed before it began. Rows equal in
-    date and key are told apart by a hash of all their columns; rows equal in everything stay as they are together.
+    Every business key with a current row before has exactly one after. The latest row is a maximum, combined on the map
+    side, and not a window: a key with very many rows never sits in one task. Only keys with several current rows are
+    joined back. A row is never closed before it began. Rows equal in date and key are told apart by a hash of all their
+    columns; of rows equal in everything one stays current and the others are closed. Rows without business key stay as
+    they are.
     """
-    rank = F.struct(F.col("effective_date"), F.col("customer_key"), F.xxhash64("*").alias("tie"))
-    latest = durable(
-        customers.where("is_current").groupBy(F.col(business_key).alias("ref_key"))
-        .agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("latest")).where("n > 1").drop("n"))
-    if K.small_enough({"latest": (latest, "ref_key")}):
-        latest = F.broadcast(latest)
-    superseded = F.coalesce(F.col("is_current") & (rank < F.col("latest")), F.lit(False))
+    columns = [F.col(quoted(c)) for c in customers.columns]
+    rank = F.struct(F.col("effective_date"), F.col("customer_key"), F.xxhash64(*columns).alias("tie"))
+    current = (customers.where(F.col("is_current") & F.col(business_key).isNotNull())
+               .groupBy(F.col(business_key).alias("ref_key"), rank.alias("latest")).agg(F.count(F.lit(1)).alias("equal")))
+    latest = durable(current.groupBy("ref_key").agg(
+        F.sum("equal").alias("n"), F.max("latest").alias("__latest__"), F.max_by("equal", "latest").alias("__equal__"))
+        .where("n > 1").drop("n"))
+    # Beside its key, a broadcast row holds the date, the key and the hash of the latest row, and a count.
+    lookup = F.broadcast(latest) if K.small_enough({"latest": (latest, "ref_key")}, more=LATEST_BYTES) else latest
     closed = F.greatest(F.col("effective_date"), F.date_sub(P.as_date(as_of), 1))
-    return (customers.join(latest, F.col(business_key) == F.col("ref_key"), "left")
-            .withColumn("superseded", superseded)
-            .withColumns({"expiry_date": F.when(F.col("superseded"), closed).otherwise(F.col("expiry_date")),
-                          "is_current": F.col("is_current") & ~F.col("superseded")})
-            .select(*customers.columns))
+
+    def close(rows: DataFrame, superseded: Column) -> DataFrame:
+        return (rows.withColumn("__superseded__", superseded)
+                .withColumns({"expiry_date": F.when(F.col("__superseded__"), closed).otherwise(F.col("expiry_date")),
+                              "is_current": F.col("is_current") & ~F.col("__superseded__")})
+                .select(*columns))
+
+    joined = customers.join(lookup, F.col(business_key) == F.col("ref_key"), "left").withColumn("__rank__", rank)
+    older = F.coalesce(F.col("is_current") & (F.col("__rank__") < F.col("__latest__")), F.lit(False))
+    if not latest.where("__equal__ > 1").take(1):
+        return close(joined, older)
+    # Copies of one row: grouped by their hash, numbered, and all but the first closed.
+    copy = F.coalesce(F.col("is_current") & (F.col("__equal__") > 1) & (F.col("__rank__") == F.col("__latest__")),
+                      F.lit(False))
+    copies = (joined.where(copy).groupBy(F.col("ref_key"), F.col("__rank__.tie").alias("__tie__"))
+              .agg(F.count(F.lit(1)).cast("int").alias("__n__"), F.first(F.struct(*columns)).alias("__row__"))
+              .select("__row__.*", F.explode(F.sequence(F.lit(1), F.col("__n__"))).alias("__copy__")))
+    return close(joined.where(~copy), older).unionByName(close(copies, F.col("__copy__") > 1))
 
 
 def backfill_price(products: DataFrame, reference: DataFrame) -> DataFrame:

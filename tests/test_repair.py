@@ -1,6 +1,7 @@
 """Repairs keep rows whole and make the failed checks pass."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,31 @@ def test_hot_business_key(spark):
     assert [r.customer_key for r in out.where("customer_id = 'hot' and is_current").collect()] == [999]
 
 
+def test_one_current_row_per_key_whatever_the_rows(spark):
+    """Random versions, with rows equal in everything, NULL keys and keys without a current row."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), rng.choice(["a", "b", "c", "d", None]), rng.choice(["2020-01-01", "2021-06-01"]),
+             rng.choice(["x", "y", None]), rng.random() < 0.6) for _ in range(120)]
+    rows += [(9, "copy", "2020-01-01", "x", True)] * 4 + [(9, "old", "2020-01-01", "x", False)] * 2
+    df = spark.createDataFrame(rows, "customer_key bigint, customer_id string, e string, latest string, is_current boolean"
+                               ).selectExpr("customer_key", "customer_id", "cast(e as date) as effective_date", "latest",
+                                            "date '9999-12-31' as expiry_date", "is_current")
+    before, after = df.collect(), repair.expire_duplicates(df, AS_OF).collect()
+    ids = {r.customer_id for r in before if r.is_current and r.customer_id is not None}
+    current = [r for r in after if r.is_current]
+    assert sorted(r.customer_id for r in current if r.customer_id is not None) == sorted(ids)
+    for i in ids:
+        best = max((r.effective_date, r.customer_key) for r in before if r.customer_id == i and r.is_current)
+        assert [(r.effective_date, r.customer_key) for r in current if r.customer_id == i] == [best]
+    key = lambda r: (r.customer_key, r.customer_id or "", str(r.effective_date), r.latest or "")
+    assert sorted(map(key, before)) == sorted(map(key, after))
+    unkeyed = lambda rows: sorted((*key(r), r.is_current, str(r.expiry_date)) for r in rows if r.customer_id is None)
+    assert unkeyed(before) == unkeyed(after)
+    closed = [r for r in after if not r.is_current and r.expiry_date != dt.date(9999, 12, 31)]
+    assert len(closed) == sum(r.is_current for r in before) - len(current)
+    assert {r.expiry_date for r in closed} == {dt.date(2026, 4, 28)}
+
+
 def test_duplicate_reference_rows_do_not_multiply_products(spark):
     products = spark.sql("select 'a' as product_id, cast(0 as decimal(12,2)) as list_price "
                          "union all select 'b', 5 union all select 'c', 0 union all select 'd', null")
