@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import new_table_path
+
 # A word is a run of anything but ASCII white space; ``bytes.split()`` splits at the same characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -34,3 +36,31 @@ def join_lookup(df: DataFrame, lookup: DataFrame, on: list[str], rows: int, how:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder once and read from there."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+ROW_BITS = 33  # of monotonically_increasing_id: the partition's number is above them
+
+
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """The rows with ``at``, their position (from 0) in this order, NULL first; rows equal in it are in any order.
+
+    One sort by range; equal rows are dealt over tasks as well. A task's number of rows before it comes in as one short
+    row per task.
+    """
+    tie, place = "__tie__", "__place__"
+    rows = stored(df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*order, tie)
+                  .sortWithinPartitions(*order, tie).drop(tie).withColumn(place, F.monotonically_increasing_id()), "ranked")
+    task = F.shiftright(place, ROW_BITS)
+    earlier = Window.orderBy("__task__").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    sizes = rows.groupBy(task.alias("__task__")).agg(F.count(F.lit(1)).alias("__n__"))
+    before = sizes.select("__task__", F.coalesce(F.sum("__n__").over(earlier), F.lit(0)).alias("__before__"))
+    return (rows.withColumn("__task__", task).join(F.broadcast(before), "__task__")
+            .withColumn("at", F.col("__before__") + F.col(place).bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+            .drop("__task__", "__before__", place))

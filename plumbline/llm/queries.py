@@ -11,6 +11,7 @@ from plumbline.llm import (
     brown,
     chat,
     hamming_search,
+    merkle,
     mixing,
     packing,
     simhash,
@@ -156,6 +157,74 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(spark.read.parquet(path)).drop("attachment_tokens")
 
 
+def crc_sql(value: str) -> str:
+    """The unsigned crc32 of a text in SQL, byte by byte and bit by bit; the polynomial is a fixed value of the format."""
+    byte = f"list_transform(range(strlen({value})), lambda i: ('0x' || substr(hex(encode({value})), 2 * i::int + 1, 2))::bigint)"
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, {byte}), lambda c, b: list_reduce(list_prepend(xor(c, b), "
+            "range(8)), lambda d, _: case when d & 1 = 1 then xor(d >> 1, 3988292384::bigint) else d >> 1 end)), "
+            "4294967295::bigint)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return ("sha256(" + " || ".join(map(_field, ("doc_id::varchar", "source", "lang", f"({n_chars})::varchar", "text"))) + ")")
+
+
+MERKLE_SQL = f"""
+with recursive given as (
+    select *, coalesce('=' || lang, '') as tree, {_leaf('n_chars')} as leaf,
+           case when {crc_sql('doc_id::varchar')} % 7 = 0 then {_leaf('n_chars + 1')} else {_leaf('n_chars')} end as claimed
+    from documents),
+placed as (
+    select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx,
+           count(*) over (partition by tree) as n from given),
+nodes as (
+    select tree, 0 as level, idx, n, leaf as digest from placed
+    union all
+    select tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by idx))
+    from nodes where n > 1 group by tree, level, idx // 2, n),
+subroots as (
+    select tree, digest, row_number() over (order by encode(tree)) - 1 as idx, count(*) over () as n
+    from nodes where n = 1),
+upper as (
+    select 0 as level, idx, n, digest from subroots
+    union all
+    select level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by idx))
+    from upper where n > 1 group by level, idx // 2, n),
+-- A step per level: the sibling, and whether it stands on the right.
+steps as (
+    select p.tree, p.idx as leaf_idx, a.level, s.digest, s.idx > a.idx as on_right
+    from placed p join nodes a on a.tree = p.tree and a.idx = p.idx >> a.level and a.n > 1
+    left join nodes s on s.tree = a.tree and s.level = a.level and s.idx = xor(a.idx, 1)
+    union all
+    select p.tree, p.idx, 100 + a.level, s.digest, s.idx > a.idx
+    from placed p join subroots t on t.tree = p.tree join upper a on a.idx = t.idx >> a.level and a.n > 1
+    left join upper s on s.level = a.level and s.idx = xor(a.idx, 1)),
+paths as (
+    select tree, leaf_idx as idx, sha256(coalesce(string_agg(digest, '' order by level), '')) as proof,
+           list({{'d': digest, 'r': on_right}} order by level) as path
+    from steps group by all),
+whole as (
+    select p.doc_id, p.leaf, t.digest as subroot, (select digest from upper where n = 1) as root,
+           coalesce(q.proof, sha256('')) as proof_sha256,
+           list_reduce(list_prepend({{'d': p.claimed, 'r': true}}, coalesce(q.path, [])), lambda a, s:
+               {{'d': case when s.d is null then sha256(a.d) when s.r then sha256(a.d || s.d) else sha256(s.d || a.d) end,
+                  'r': true}}).d as folded_root
+    from placed p join subroots t using (tree) left join paths q on q.tree = p.tree and q.idx = p.idx)
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from whole
+"""
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = merkle.manifest(table(spark, sf_dir, "documents"), claim=(tampered, {"n_chars": F.col("n_chars") + 1}))
+    return merkle.proofs(found).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -173,7 +242,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_winnowing": op9_winnowing,
     "op10_chat": op10_chat,
+    "op12_merkle": op12_merkle,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op4_url_rules": URL_SQL, "op7_hamming_top_k": TOP_SQL, "op10_chat": CHAT_SQL}
+SQL: dict[str, str] = {"op4_url_rules": URL_SQL, "op7_hamming_top_k": TOP_SQL, "op10_chat": CHAT_SQL,
+                       "op12_merkle": MERKLE_SQL}

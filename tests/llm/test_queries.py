@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(names) == sorted(queries.QUERIES)
-    assert sorted(n.split("_")[0] for n in names if n != "pipeline") == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in names if n != "pipeline") == sorted(f"op{i}" for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
