@@ -15,6 +15,7 @@ from plumbline.llm import (
     mixing,
     packing,
     simhash,
+    substring_dedup,
     toxicity,
     url_rules,
     warc,
@@ -157,6 +158,31 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(spark.read.parquet(path)).drop("attachment_tokens")
 
 
+REPEATS_SQL = r"""
+with texts as (
+    select row_number() over () as rid, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+windows as (
+    select rid, doc_id, i, array_to_string(words[i:i + 49], ' ') as seq
+    from (select *, unnest(range(1, len(words) - 48)) as i from texts)),
+earliest as (select seq, min(doc_id) as owner from windows group by seq),
+hits as (select rid, i from windows join earliest using (seq) where doc_id > owner or (doc_id is null and owner is not null)),
+gone as (select distinct rid, i + j as place from hits, range(50) r(j)),
+kept as (
+    select rid, string_agg(word, ' ' order by place) as kept, count(*) as n
+    from (select rid, unnest(words) as word, generate_subscripts(words, 1) as place from texts) anti join gone using (rid, place)
+    group by rid)
+select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (rid)
+"""
+
+
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def crc_sql(value: str) -> str:
     """The unsigned crc32 of a text in SQL, byte by byte and bit by bit; the polynomial is a fixed value of the format."""
     byte = f"list_transform(range(strlen({value})), lambda i: ('0x' || substr(hex(encode({value})), 2 * i::int + 1, 2))::bigint)"
@@ -242,9 +268,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_winnowing": op9_winnowing,
     "op10_chat": op10_chat,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_merkle": op12_merkle,
     "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {"op4_url_rules": URL_SQL, "op7_hamming_top_k": TOP_SQL, "op10_chat": CHAT_SQL,
-                       "op12_merkle": MERKLE_SQL}
+                       "op11_substring_dedup": REPEATS_SQL, "op12_merkle": MERKLE_SQL}
