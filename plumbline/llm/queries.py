@@ -15,13 +15,14 @@ from plumbline.llm import (
     mixing,
     packing,
     simhash,
+    spelling,
     substring_dedup,
     toxicity,
     url_rules,
     warc,
     winnowing,
 )
-from plumbline.llm.common import remainder, table
+from plumbline.llm.common import remainder, stored, table
 from plumbline.session import new_table_path
 
 
@@ -251,6 +252,46 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+SPELLING_SQL = rf"""
+with recursive runs as (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as run from documents)),
+counted as (
+    select doc_id, run, count(*) as c, coalesce(doc_id::varchar, '') || ':' || run as k
+    from runs where length(run) >= 7 group by all),
+hashed as (select run, c, {crc_sql('k')} as h from counted),
+made as (
+    select case when h % 31 = 0 then left(run, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2)
+                else run end as word, c from hashed),
+words as (select word, sum(c)::bigint as n from made where length(word) >= 7 group by word having sum(c) >= 2),
+skips as (
+    select word, n, left(word, i) as a, substr(word, i + 2) as b
+    from (select *, unnest(range(length(word))) as i from words)),
+pairs as (
+    select s.word, t.word as other, t.n as other_n from skips s join skips t on s.a = t.a and s.b = t.b and s.word <> t.word
+    union
+    select s.word, u.word, u.n from skips s join words u on u.word = s.a || s.b
+    union
+    select u.word, s.word, s.n from skips s join words u on u.word = s.a || s.b),
+best as (
+    select word, count(*) as n_near, max(other_n) as top_n, arg_min(other, (-other_n, other)) as top from pairs group by word),
+judged as (
+    select word, n, coalesce(n_near, 0) as n_near, case when top_n >= 10 * n then top end as form,
+           case when top_n >= 10 * n then top_n end as form_n from words left join best using (word)),
+chains as (
+    select word, word as at_word, 0 as steps from judged
+    union all
+    select c.word, j.form, steps + 1 from chains c join judged j on j.word = c.at_word where j.form is not null),
+ends as (select word, arg_max(at_word, steps) as root from chains group by word)
+select word, form, root, n, n_near, form_n from judged join ends using (word)
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling.words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling.variants(stored(counted, "words"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -270,8 +311,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "op11_substring_dedup": op11_substring_dedup,
     "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {"op4_url_rules": URL_SQL, "op7_hamming_top_k": TOP_SQL, "op10_chat": CHAT_SQL,
-                       "op11_substring_dedup": REPEATS_SQL, "op12_merkle": MERKLE_SQL}
+                       "op11_substring_dedup": REPEATS_SQL, "op12_merkle": MERKLE_SQL,
+                       "op13_spelling": SPELLING_SQL}
