@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from oracle.data import FULL, SPLIT, by_kind, matching
+from oracle.data import FIELDS, FULL, SPLIT, by_kind, matching
 from oracle.star import AS_OF, pct, with_star
-from oracle.suites import BRIEF, brief, results, text
+from oracle.suites import BRIEF, brief, broken, results, text
+
+KEY_OF = {t: next(f.name for f in fields if f.primary) for t, fields in FIELDS.items()}
 
 
 def of_kind(suites, *kinds) -> str:
@@ -46,7 +48,64 @@ SELECT coalesce(table_name, 'TOTAL') AS table_name, count(*) AS total,
   CASE WHEN count(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM results GROUP BY ROLLUP (table_name)"""
 
+FAULTS = {"unique": "n > 1", "compound_unique": "n > 1", "duplicate_key": "n > 1", "one_current_row": "cur > 1",
+          "has_current_row": "cur = 0"}
+
+
+def pieces(name: str, suite, c) -> str | None:
+    """The 20 smallest pieces of evidence of one check by a hash of their key; nothing where no row shows the check."""
+    table = f"x_{suite.table}"
+    if c.kind in FAULTS:
+        key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in c.columns)
+        current = f"count(*) FILTER (WHERE {c.args['flag']})" if "flag" in c.args else "0"
+        known = " OR ".join(f"{k} IS NOT NULL" for k in c.columns) if c.kind.endswith("unique") else "true"
+        rows = (f"SELECT {key} AS row_key FROM (SELECT {', '.join(c.columns)}, count(*) AS n, {current} AS cur FROM {table} "
+                f"GROUP BY {', '.join(c.columns)}) WHERE ({known}) AND {FAULTS[c.kind]}")
+    elif c.kind == "references":
+        col = c.columns[0]
+        rows = (f"SELECT {KEY_OF[suite.table]} AS row_key FROM {table} WHERE {col} IS NULL OR {col} NOT IN "
+                f"(SELECT {c.args['key']} FROM x_{c.args['table']} WHERE {c.args['key']} IS NOT NULL)")
+    elif c.kind in ("row_count", "column_order", "boolean_share", "distinct_ratio", "dominance", "unexpected_rows"):
+        return None
+    else:
+        rows = f"SELECT {KEY_OF[suite.table]} AS row_key FROM {table} WHERE {broken(c)}"
+    return (f"SELECT '{name}' AS suite, '{suite.table}' AS table_name, {c.no} AS check_no, {text(c.kind)} AS check_type, "
+            f"{text(c.column_name)} AS column_name, CAST(no AS INTEGER) AS evidence_no, copies, row_key FROM "
+            f"(SELECT CAST(row_key AS VARCHAR) AS row_key, count(*) AS copies, "
+            f"row_number() OVER (ORDER BY md5(CAST(row_key AS VARCHAR))) AS no FROM ({rows}) GROUP BY row_key) WHERE no <= 20 "
+            f"AND EXISTS (SELECT 1 FROM {name}_results WHERE table_name = '{suite.table}' AND check_no = {c.no} "
+            f"AND status = 'FAIL')")
+
+
+def by_load(kind: str, keys: str, skip: str, count: str) -> str:
+    """After each load: a plain check over all rows so far."""
+    return f"""
+SELECT '{kind}' AS check_type, l.f AS load_date,
+  (SELECT count(*) FROM ev WHERE load = l.f AND NOT ({skip})) AS load_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM ev WHERE load = l.f AND NOT ({skip}))) AS load_keys,
+  (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM ev WHERE load = l.f AND NOT ({skip})
+     INTERSECT SELECT DISTINCT {keys} FROM ev WHERE load < l.f)) AS keys_seen_before,
+  (SELECT {count.format('true')} FROM (SELECT {keys}, count(*) AS n FROM ev WHERE load <= l.f AND NOT ({skip}) GROUP BY {keys}))
+    AS evaluated_count,
+  (SELECT {count.format('n > 1')} FROM (SELECT {keys}, count(*) AS n FROM ev WHERE load <= l.f AND NOT ({skip}) GROUP BY {keys}))
+    AS unexpected_count
+FROM loads l"""
+
+
+ROWS, GROUPS = "CAST(coalesce(sum(n) FILTER (WHERE {}), 0) AS BIGINT)", "count(*) FILTER (WHERE {})"
+
 ORACLE = {
+    "E5_unique_by_load": with_star("\nUNION ALL ".join([
+        by_load("unique", "event_id", "event_id IS NULL", ROWS),
+        by_load("compound_unique", "event_type, user_id", "event_type IS NULL AND user_id IS NULL", ROWS),
+        by_load("duplicate_key", "event_type, user_id", "false", GROUPS)]),
+        {"loads": "SELECT CAST(unnest(['2024-01-01', '2024-01-11', '2024-01-21']) AS DATE) AS f",
+         "ev": "SELECT d.*, e.user_id, (SELECT coalesce(max(f), DATE '2024-01-01') FROM loads WHERE f <= d.load_date) AS load "
+               "FROM daily_load d JOIN events e USING (event_id)"}),
+    "E16_evidence": with_star("\nUNION ALL ".join(
+        p for name, suites in (("full", FULL), ("modular", SPLIT)) for s in suites.values() for c in s.checks
+        if (p := pieces(name, s, c))),
+        {"full_results": results(FULL.values(), "x_"), "modular_results": results(SPLIT.values(), "x_")}),
     "E1_row_count": of_kind(FULL, "row_count"),
     "E2_column_order": of_kind(FULL, "column_order", "row_count"),
     "E3_not_null": of_kind(FULL, "not_null"),

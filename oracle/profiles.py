@@ -134,6 +134,7 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE {BROKEN}) AS revenue_incon
   count(*) FILTER (WHERE abs(gross_profit - (net_revenue - quantity * unit_cost)) > 0.01) AS gross_profit_inconsistent
 FROM fact_sales"""),
     "P20_orphan_report": ORPHAN_REPORT,
+    "P20_orphan_report_bitmaps": ORPHAN_REPORT,
     "P20_orphan_report_large_dimensions": ORPHAN_REPORT,
     "P21_scorecard": with_star(f"""
 SELECT fact_rows, orphan_date, orphan_customer, orphan_product, orphan_store, revenue_broken,

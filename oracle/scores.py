@@ -17,17 +17,22 @@ SELECT DATE '{AS_OF}' AS load_date, table_name, dimension, evaluated_count AS to
   least(unexpected_count, evaluated_count) AS fail,
   {score('(evaluated_count - least(unexpected_count, evaluated_count))', 'evaluated_count')} AS metric_value
 FROM results"""
+ALL_RUN = "CAST(0 AS BIGINT) AS not_run"
 DAILY = f"""
 SELECT load_date, 'fact_sales' AS table_name, dimension,
   {mean(score('(total - fail)', 'total'))} AS avg_score, CAST(sum(total - fail) AS BIGINT) AS total_pass,
-  CAST(sum(fail) AS BIGINT) AS total_fail, CASE WHEN sum(fail) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status
+  CAST(sum(fail) AS BIGINT) AS total_fail, {ALL_RUN}, CASE WHEN sum(fail) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status
 FROM ({HISTORY}) GROUP BY load_date, dimension"""
 DAILY_MIRROR = f"""
 SELECT load_date, table_name, dimension, {mean('metric_value')} AS avg_score,
-  CAST(sum(total - fail) AS BIGINT) AS total_pass, CAST(sum(fail) AS BIGINT) AS total_fail,
+  CAST(sum(total - fail) AS BIGINT) AS total_pass, CAST(sum(fail) AS BIGINT) AS total_fail, {ALL_RUN},
   CASE WHEN sum(fail) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status
 FROM ({RUNS}) GROUP BY load_date, table_name, dimension"""
 
+# Checks that need groups, other tables or SQL.
+LATER = ("'unique', 'compound_unique', 'duplicate_key', 'one_current_row', 'has_current_row', 'distinct_ratio', 'dominance', "
+         "'references', 'unexpected_rows'")
+
 ISSUES = [
     ("DQ-001", "dim_customer", "email", "Completeness", "HIGH", "email NOT NULL", 0.99),
     ("DQ-002", "dim_customer", "customer_id,is_current", "Uniqueness", "CRITICAL", "one current row per id", 1.0),
@@ -81,7 +86,7 @@ ORACLE = {
     "K2_table_scorecard": with_star(f"""
 SELECT table_name, {', '.join(f"max(CASE WHEN dimension = '{d}' THEN avg_score END) AS {d.lower()}" for d in
                               ('Completeness', 'Accuracy', 'Consistency', 'Uniqueness', 'Validity'))},
-  round(avg(avg_score), 10) AS overall_score FROM ({DAILY_MIRROR}) GROUP BY table_name""", CHECKED),
+  round(avg(avg_score), 10) AS overall_score, {ALL_RUN} FROM ({DAILY_MIRROR}) GROUP BY table_name""", CHECKED),
     "K3_trend": with_star(f"""
 SELECT load_date, round(avg(avg_score), 10) AS overall,
   round(avg(avg_score) FILTER (WHERE dimension = 'Validity'), 10) AS validity,
@@ -90,8 +95,15 @@ FROM ({DAILY}) WHERE load_date >= DATE '2001-08-01' - INTERVAL 30 DAY GROUP BY l
     "K4_active_issues": with_star(f"""
 SELECT severity, count(*) AS issue_count, string_agg(issue_id, ',' ORDER BY issue_id) AS issue_ids FROM {OPEN}
 GROUP BY severity""", CHECKED),
-    "K6_overall_score": with_star(f"SELECT dimension, {mean('metric_value')} AS score FROM ({RUNS}) "
+    "K6_overall_score": with_star(f"SELECT dimension, {mean('metric_value')} AS score, {ALL_RUN} FROM ({RUNS}) "
                                   "GROUP BY ROLLUP (dimension)", CHECKED),
+    "K6_overall_score_on_write": with_star(f"""
+SELECT dimension, score, not_run
+FROM (SELECT dimension, count(*) FILTER (WHERE check_type IN ({LATER})) AS not_run FROM fact_results GROUP BY ROLLUP (dimension)) a
+LEFT JOIN (SELECT dimension AS d, {mean('metric_value')} AS score FROM
+  (SELECT dimension, {score('(evaluated_count - least(unexpected_count, evaluated_count))', 'evaluated_count')} AS metric_value
+   FROM fact_results WHERE check_type NOT IN ({LATER})) GROUP BY ROLLUP (dimension)) b ON a.dimension IS NOT DISTINCT FROM b.d""",
+        {**CHECKED, "fact_results": "SELECT * FROM results WHERE table_name = 'fact_sales'"}),
     "K6_hours_since_last_run": with_star(
         "SELECT round(date_sub('minute', max(load_timestamp), TIMESTAMP '2024-02-01 00:00:00') / 60e0, 4) "
         "AS hours_since_last_run FROM load_log"),
@@ -141,30 +153,42 @@ FROM (SELECT issue_id, count(*) AS checks, count(*) FILTER (WHERE status = 'FAIL
         f"SELECT '{a}' AS alert_id, '{sev}' AS severity, count(*) AS evaluations, "
         f"count(*) FILTER (WHERE {cond}) AS triggered FROM metrics" for a, sev, cond in RULES), {"metrics": METRICS}),
     "K17_alert_cooldown": with_star("""
-SELECT alert_id, CAST(tm AS DATE) AS evaluated_on, count(*) AS evaluations, count(*) FILTER (WHERE hit) AS triggered,
-  count(*) FILTER (WHERE hit AND NOT fresh) AS suppressed, count(*) FILTER (WHERE hit AND fresh) AS fired
-FROM (WITH RECURSIVE loads AS (SELECT load_timestamp AS tm, count(*) AS tables, min(load_date) AS d FROM load_log GROUP BY 1),
-    metrics AS (SELECT *, coalesce(date_sub('second', lag(tm) OVER (ORDER BY tm), tm) / 3600e0 * 10, 0) AS age FROM loads),
-    judged AS (SELECT a, cool, tm, CASE a WHEN 'ALT-001' THEN day(d) % 3 = 0 WHEN 'ALT-002' THEN day(d) % 2 > 0
-          WHEN 'ALT-003' THEN age > 24 WHEN 'ALT-004' THEN tables < 2 WHEN 'ALT-005' THEN true ELSE hour(tm) < 12 END AS hit
+SELECT tab AS table_name, a AS alert_id, CAST(tm AS DATE) AS evaluated_on, count(*) AS evaluations,
+  count(*) FILTER (WHERE hit) AS triggered, count(*) FILTER (WHERE hit AND NOT fresh) AS suppressed,
+  count(*) FILTER (WHERE hit AND fresh) AS fired
+FROM (WITH RECURSIVE loads AS (
+      SELECT l.table_name AS tab, l.load_date AS d, l.load_timestamp AS tm, n, orphans, twice, (good * 20000 + n) // (n * 2) AS s
+      FROM load_log l JOIN (SELECT table_name, d, sum(n) AS n, sum(good) AS good, sum(orphans) AS orphans,
+          count(*) FILTER (WHERE n > 1) AS twice
+        FROM (SELECT CASE event_type WHEN 'click' THEN 'fact_sales' WHEN 'view' THEN 'dim_customer'
+              WHEN 'purchase' THEN 'dim_product' WHEN 'signup' THEN 'dim_store' ELSE 'dim_date' END AS table_name,
+            CAST(ts AS DATE) AS d, user_id, count(*) AS n, count(*) FILTER (WHERE value >= 1) AS good,
+            count(*) FILTER (WHERE user_id NOT IN (SELECT customer_key FROM dim_customer)) AS orphans
+          FROM events GROUP BY ALL) GROUP BY table_name, d) m ON m.table_name = l.table_name AND m.d = l.load_date),
+    metrics AS (SELECT *, date_sub('second', lag(tm) OVER w, tm) AS age, s - lag(s, 3) OVER w AS trend,
+        sum(n) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS n7,
+        count(*) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS c7
+      FROM loads WINDOW w AS (PARTITION BY tab ORDER BY d)),
+    judged AS (SELECT tab, a, cool, tm, coalesce(CASE a WHEN 'ALT-001' THEN s < 9500 WHEN 'ALT-002' THEN orphans > 0
+          WHEN 'ALT-003' THEN age > 86400 WHEN 'ALT-004' THEN n * 2 * c7 < n7 WHEN 'ALT-005' THEN trend < -100
+          ELSE twice > 0 END, false) AS hit
       FROM metrics, (VALUES ('ALT-001', 60), ('ALT-002', 0), ('ALT-003', 120), ('ALT-004', 60), ('ALT-005', 1440),
         ('ALT-006', 0)) r(a, cool)),
-    timeline AS (SELECT a, cool, tm, row_number() OVER (PARTITION BY a ORDER BY tm) AS rn,
-        (SELECT max(CAST(d AS TIMESTAMP) - INTERVAL 1 HOUR) FROM loads
-         WHERE day(d) % 10 = 0 AND CAST(d AS TIMESTAMP) - INTERVAL 1 HOUR <= j.tm) AS sent
+    timeline AS (SELECT tab, a, cool, tm, row_number() OVER (PARTITION BY tab, a ORDER BY tm) AS rn,
+        (SELECT max(CAST(d AS TIMESTAMP) - INTERVAL 1 HOUR) FROM loads l
+         WHERE l.tab = j.tab AND day(d) % 10 = 0 AND CAST(d AS TIMESTAMP) - INTERVAL 1 HOUR <= j.tm) AS sent
       FROM judged j WHERE hit),
     fold AS (
-      SELECT a, rn, tm, sent IS NULL OR date_sub('second', sent, tm) >= cool * 60 AS fresh,
-        CASE WHEN sent IS NULL OR date_sub('second', sent, tm) >= cool * 60 THEN tm ELSE sent END AS latest
+      SELECT tab, a, rn, tm, sent IS NULL OR sent + to_minutes(cool) <= tm AS fresh,
+        CASE WHEN sent IS NULL OR sent + to_minutes(cool) <= tm THEN tm ELSE sent END AS latest
       FROM timeline WHERE rn = 1
       UNION ALL
-      SELECT t.a, t.rn, t.tm, date_sub('second', greatest(f.latest, t.sent), t.tm) >= t.cool * 60,
-        CASE WHEN date_sub('second', greatest(f.latest, t.sent), t.tm) >= t.cool * 60 THEN t.tm
-          ELSE greatest(f.latest, t.sent) END
-      FROM fold f JOIN timeline t ON t.a = f.a AND t.rn = f.rn + 1)
-  SELECT j.a AS alert_id, j.tm AS tm, hit, coalesce(fresh, false) AS fresh FROM judged j LEFT JOIN fold f
-    ON f.a = j.a AND f.tm = j.tm)
-GROUP BY alert_id, evaluated_on"""),
+      SELECT t.tab, t.a, t.rn, t.tm, greatest(f.latest, t.sent) + to_minutes(t.cool) <= t.tm,
+        CASE WHEN greatest(f.latest, t.sent) + to_minutes(t.cool) <= t.tm THEN t.tm ELSE greatest(f.latest, t.sent) END
+      FROM fold f JOIN timeline t ON t.tab = f.tab AND t.a = f.a AND t.rn = f.rn + 1)
+  SELECT j.tab, j.a, j.tm, hit, coalesce(fresh, false) AS fresh FROM judged j LEFT JOIN fold f
+    ON f.tab = j.tab AND f.a = j.a AND f.tm = j.tm)
+GROUP BY ALL"""),
     "K18_failures_by_severity": with_star(f"""
 SELECT coalesce(i.severity, upper(r.severity), 'UNCLASSIFIED') AS severity, count(*) AS failed_checks,
   count(DISTINCT r.issue_id) AS issues

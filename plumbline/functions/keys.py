@@ -1,7 +1,9 @@
 """Foreign-key lookups that never shuffle whole fact rows unless they must.
 
-A dimension is broadcast only after its keys were counted. Beyond the bound the fact is first reduced to its distinct
-keys (map-side combined, so a hot key costs one row per task), and only those meet the dimension.
+A dimension is broadcast only after its keys were counted. Integer keys beyond the bound are broadcast as bitmaps, if
+those fit: a block of 4,096 keys is 64 words of 64 bits, so a dense key takes little more than a bit. Beyond that the fact
+is first reduced to its distinct keys (map-side combined, so a hot key costs one row per task), and only those meet the
+dimension.
 """
 
 from __future__ import annotations
@@ -59,9 +61,91 @@ def small_enough(tables: Mapping[str, tuple[DataFrame, str]], limit: int = BROAD
     return {row["name"] for row in reduce(DataFrame.unionAll, sizes).collect() if row["bytes"] <= limit}
 
 
-def small_foreign_keys(keys: list[ForeignKey], dims: Mapping[str, DataFrame], limit: int = BROADCAST_BYTES) -> set[str]:
-    """Flags of the foreign keys whose dimension may be broadcast."""
-    return small_enough({k.flag: (dims[k.table], k.key) for k in keys}, limit)
+# --- bitmaps of integer keys ---------------------------------------------------------------------------------------
+
+BLOCK_BITS, WORD_BITS = 12, 6  # keys of a block, and of a word
+BLOCK_BYTES = (8 << (BLOCK_BITS - WORD_BITS)) + 64
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def is_integer(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString() in INTEGERS
+
+
+def word_of(key: Column) -> Column:
+    return F.shiftright(key.cast("bigint"), WORD_BITS)
+
+
+def bit_of(key: Column) -> Column:
+    """The word's bit of an integer key."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), key.cast("bigint").bitwiseAND(F.lit(63)).cast("int"))
+
+
+def key_words(df: DataFrame, key: str) -> DataFrame:
+    """(word, bits): which of the 64 keys of each word occur. Combined on the map side; NULL is no key."""
+    return (df.where(F.col(key).isNotNull()).groupBy(word_of(F.col(key)).alias("word"))
+            .agg(F.bit_or(bit_of(F.col(key))).alias("bits")))
+
+
+def merged_words(words: DataFrame) -> DataFrame:
+    """Words of several loads as those of all of them, without reading the keys again."""
+    return words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def key_blocks(words: DataFrame) -> DataFrame:
+    """(block, words): the words of 4,096 neighbouring keys as one array."""
+    per_block = 1 << (BLOCK_BITS - WORD_BITS)
+    found = F.map_from_entries(F.collect_list(F.struct(F.col("word").bitwiseAND(F.lit(per_block - 1)), F.col("bits"))))
+    return (words.groupBy(F.shiftright("word", BLOCK_BITS - WORD_BITS).alias("block")).agg(found.alias("found"))
+            .select("block", F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(per_block - 1).cast("bigint")),
+                                         lambda i: F.coalesce(F.col("found")[i], F.lit(0).cast("bigint"))).alias("words")))
+
+
+def has_bit(bits: Column, key: Column) -> Column:
+    return bits.bitwiseAND(bit_of(key)) != 0
+
+
+# --- lookups -------------------------------------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Lookup:
+    """What is broadcast for a foreign key: its dimension's keys, or their bitmaps."""
+
+    table: DataFrame
+    bitmaps: bool
+
+
+def lookups(keys: list[ForeignKey], dims: Mapping[str, DataFrame], limit: int = BROADCAST_BYTES) -> dict[str, Lookup]:
+    """By flag, for the foreign keys whose dimension may be broadcast: as keys, else as bitmaps. Every (table, key) is
+    measured once, whatever the number of columns that refer to it."""
+    pairs = {f"{k.table}.{k.key}": (dims[k.table], k.key) for k in keys}
+    small = small_enough(pairs, limit)
+    dense: dict[str, DataFrame] = {}
+    for name, (df, key) in pairs.items():
+        if name not in small and is_integer(df, key):
+            words = durable(key_words(df, key))
+            blocks = words.agg(F.count_distinct(F.shiftright("word", BLOCK_BITS - WORD_BITS))).first()[0]
+            if blocks * BLOCK_BYTES <= limit:
+                dense[name] = words
+    found = {}
+    for k in keys:
+        name = f"{k.table}.{k.key}"
+        if name in small:
+            found[k.flag] = Lookup(key_set(dims[k.table], k.key), False)
+        elif name in dense and (k.source not in dims or is_integer(dims[k.source], k.column)):
+            found[k.flag] = Lookup(key_blocks(dense[name]), True)
+    return found
+
+
+def mark(fact: DataFrame, fk: ForeignKey, lookup: Lookup) -> DataFrame:
+    """Add the key's flag: true where the column is NULL or not among the keys of the (broadcast) lookup."""
+    if not lookup.bitmaps:
+        return mark_missing(fact, fk.column, lookup.table, fk.flag)
+    key, block, words = F.col(fk.column).cast("bigint"), f"{fk.flag}_block", f"{fk.flag}_words"
+    known = lookup.table.select(F.col("block").alias(block), F.col("words").alias(words))
+    at = word_of(key).bitwiseAND(F.lit((1 << (BLOCK_BITS - WORD_BITS)) - 1)).cast("int")
+    return (fact.join(F.broadcast(known), F.shiftright(key, BLOCK_BITS) == F.col(block), "left")
+            .withColumn(fk.flag, ~F.coalesce(has_bit(F.get(words, at), key), F.lit(False))).drop(block, words))
 
 
 def mark_missing(fact: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
@@ -89,16 +173,16 @@ def with_orphan_flags(fact: DataFrame, keys: list[ForeignKey], dims: Mapping[str
                       limit: int = BROADCAST_BYTES) -> tuple[DataFrame, dict[str, Column]]:
     """The fact with one boolean per foreign key, and those columns by ``ForeignKey.flag``.
 
-    Small dimension: broadcast its keys. Large dimension: find the missing keys first and broadcast those, if they are
+    Small dimension: broadcast its keys, or their bitmaps. Large dimension: find the missing keys first and broadcast those, if they are
     few. Only a large dimension with a large set of missing keys leads to a shuffled join, whose hot keys adaptive
     execution splits on the fact side.
     """
-    small = small_foreign_keys(keys, dims, limit)
+    near = lookups(keys, dims, limit)
     flags: dict[str, Column] = {}
     for fk in keys:
         flag, dim = fk.flag, dims[fk.table]
-        if flag in small:
-            fact = mark_missing(fact, fk.column, key_set(dim, fk.key), flag)
+        if flag in near:
+            fact = mark(fact, fk, near[flag])
         else:
             lost = durable(missing_keys(fact, fk.column, dim, fk.key).select(F.col("used_key").alias("ref_key"))
                            .where(F.col("ref_key").isNotNull()))

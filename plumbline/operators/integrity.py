@@ -25,11 +25,11 @@ def orphan_report(tables: Mapping[str, DataFrame], keys=RELATIONSHIPS,
                   broadcast_bytes: int = K.BROADCAST_BYTES) -> DataFrame:
     """check_name, rule_id, orphan_count, status for every foreign key.
 
-    Keys of small dimensions are looked up in one scan of each referring table; the others are counted per distinct
+    Keys of dimensions that fit a broadcast, as they are or as bitmaps, are looked up in one scan of each referring table; the others are counted per distinct
     key first.
     """
     keys = list(keys)
-    small = K.small_foreign_keys(keys, tables, broadcast_bytes)
+    small = K.lookups(keys, tables, broadcast_bytes)
     names = [k.name for k in keys]
     label = {k: k.name if names.count(k.name) == 1 else f"{k.source}.{k.column} -> {k.table}" for k in keys}
     parts = []
@@ -37,7 +37,7 @@ def orphan_report(tables: Mapping[str, DataFrame], keys=RELATIONSHIPS,
         near = [k for k in keys if k.source == source and k.flag in small]
         flagged = tables[source]
         for k in near:
-            flagged = K.mark_missing(flagged, k.column, K.key_set(tables[k.table], k.key), k.flag)
+            flagged = K.mark(flagged, k, small[k.flag])
         if near:
             wide = flagged.agg(*[F.count(F.when(F.col(k.flag), 1)).alias(k.flag) for k in near])
             named = F.create_map(*[F.lit(v) for k in near for v in (k.flag, label[k])])

@@ -30,24 +30,27 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def runs_of(results: DataFrame, load_date: dt.date | str, run_id: int = 1, run_ts: str | None = None) -> DataFrame:
-    """Check results as rows of the run history, in its declared columns."""
+    """Check results as rows of the run history, in its declared columns. A check that was not run has no score."""
     total = F.coalesce("evaluated_count", "unexpected_count")
     failed = F.least("unexpected_count", total)
     issues = F.when(F.col("issue_id").isNotNull(), F.array("issue_id")).otherwise(F.array().cast("array<string>"))
     fields = {
         "run_id": F.lit(run_id), "run_timestamp": F.lit(run_ts or str(load_date)), "table_name": F.col("table_name"),
         "dimension": F.col("dimension"), "metric_name": F.concat_ws(":", "check_type", "column_name"),
-        "metric_value": share(total - failed, total), "pass_count": total - failed, "fail_count": failed,
+        "metric_value": F.when(F.col("status") != "NOT_RUN", share(total - failed, total)), "pass_count": total - failed, "fail_count": failed,
         "total_count": total, "status": F.col("status"), "issue_ids": issues, "load_date": F.lit(str(load_date))}
     declared = schema("validation_runs")
     return results.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in declared.fields])
 
 
-def daily_runs(df: DataFrame, suite: Suite, day: str = "load_date", as_of=None) -> DataFrame:
+def daily_runs(df: DataFrame, suite: Suite, day: str = "load_date", as_of=None,
+               more: Mapping[str, Column] | None = None) -> DataFrame:
     """Run history rebuilt per day: every row-local check of the suite for every day, from one scan and one shuffle.
 
-    The shuffle carries one partial row per day and task.
+    The shuffle carries one partial row per day and task. ``more`` are further aggregates of the day, taken in the same
+    scan and repeated on its rows.
     """
+    more = dict(more or {})
     checks = [c for c in suite.checks if is_row_local(c)]
     aggregates: dict[str, Column] = {"n": F.count(F.lit(1))}
     rows = []
@@ -59,13 +62,13 @@ def daily_runs(df: DataFrame, suite: Suite, day: str = "load_date", as_of=None)
         aggregates[f"u{c.no}"] = F.count_if(violation(c, df, as_of))
         rows.append(f"named_struct('dimension', '{c.dimension}', 'metric_name', '{c.kind}:{c.column_name}', "
                     f"'total_count', {total}, 'fail_count', u{c.no})")
-    per_day = df.groupBy(day).agg(*[e.alias(n) for n, e in aggregates.items()])
-    long = per_day.selectExpr(f"{day} as load_date", f"inline(array({', '.join(rows)}))")
+    per_day = df.groupBy(day).agg(*[e.alias(n) for n, e in {**aggregates, **more}.items()])
+    long = per_day.selectExpr(f"{day} as load_date", *more, f"inline(array({', '.join(rows)}))")
     passed = F.col("total_count") - F.col("fail_count")
     return long.select("load_date", F.lit(suite.table).alias("table_name"), "dimension", "metric_name",
                        share(passed, F.col("total_count")).alias("metric_value"), passed.alias("pass_count"),
                        "fail_count", "total_count",
-                       F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("status"))
+                       F.when(F.col("fail_count") == 0, "PASS").otherwise("FAIL").alias("status"), *more)
 
 
 def mean_score(column: str = "metric_value") -> Column:
@@ -74,11 +77,19 @@ def mean_score(column: str = "metric_value") -> Column:
 
 
 def daily_scores(runs: DataFrame) -> DataFrame:
-    """Average score, passes, failures and status per day, table and dimension."""
+    """Average score, passes, failures, checks not run and status per day, table and dimension.
+
+    Checks that were not run are in no average; without a failure they keep the status from being a pass.
+    """
+    counted = lambda column: F.coalesce(F.sum(column), F.lit(0))
     return runs.groupBy("load_date", "table_name", "dimension").agg(
-        mean_score().alias("avg_score"), F.sum("pass_count").alias("total_pass"),
-        F.sum("fail_count").alias("total_fail"),
-        F.when(F.sum("fail_count") == 0, "PASS").otherwise("FAIL").alias("overall_status"))
+        mean_score().alias("avg_score"), counted("pass_count").alias("total_pass"),
+        counted("fail_count").alias("total_fail"), not_run().alias("not_run"),
+        F.when(counted("fail_count") > 0, "FAIL").when(not_run() > 0, "NOT_RUN").otherwise("PASS").alias("overall_status"))
+
+
+def not_run() -> Column:
+    return F.count_if(F.col("status") == "NOT_RUN")
 
 
 # Dimensions shown on the table scorecard.
@@ -90,7 +101,7 @@ def table_scorecard(scores: DataFrame, load_date: str) -> DataFrame:
     today = scores.where(F.col("load_date") == F.lit(load_date).cast("date"))
     return (today.groupBy("table_name")
             .agg(*[F.max(F.when(F.col("dimension") == d, F.col("avg_score"))).alias(d.lower()) for d in SCORECARD],
-                 P.rounded(F.avg("avg_score"), 10).alias("overall_score"))
+                 P.rounded(F.avg("avg_score"), 10).alias("overall_score"), F.sum("not_run").alias("not_run"))
             .orderBy("overall_score", "table_name"))
 
 
@@ -106,7 +117,7 @@ def trend(scores: DataFrame, as_of: str, days: int = 30, target: float = TARGET)
 
 def overall(runs: DataFrame) -> DataFrame:
     """Score per dimension and over all of them (dimension NULL)."""
-    return runs.rollup("dimension").agg(mean_score().alias("score"))
+    return runs.rollup("dimension").agg(mean_score().alias("score"), not_run().alias("not_run"))
 
 
 def hours_since_last_run(history: DataFrame, as_of: str, column: str = "run_ts") -> DataFrame:
@@ -194,11 +205,12 @@ TARGETS = {"Completeness": 1.0, "Accuracy": 0.995, "Consistency": 1.0, "Uniquene
 
 
 def against_target(runs: DataFrame) -> DataFrame:
-    """Score, target, gap and status per dimension."""
+    """Score, target, gap and status per dimension; one without any check that was run has no score."""
     target = F.create_map(*[F.lit(v) for item in TARGETS.items() for v in item])[F.col("dimension")]
     return (runs.groupBy("dimension").agg(mean_score().alias("score"))
             .select("dimension", "score", target.alias("target"), P.rounded(F.col("score") - target, 8).alias("gap"),
-                    F.when(F.col("score") >= target, "ON_TARGET").otherwise("BELOW_TARGET").alias("status")))
+                    F.when(F.col("score").isNull(), "NOT_RUN").when(F.col("score") >= target, "ON_TARGET")
+                    .otherwise("BELOW_TARGET").alias("status")))
 
 
 # --- KPI formulas --------------------------------------------------------------------------------------------------

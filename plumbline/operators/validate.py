@@ -264,21 +264,22 @@ def _queried(df: DataFrame, suite: Suite, check: Check, refs, as_of) -> DataFram
 
 def validate(df: DataFrame, suite: Suite, refs: Mapping[str, DataFrame] | None = None, *,
              as_of: dt.date | str | None = None, nulls: str = "ignore", broadcast_bytes: int = K.BROADCAST_BYTES,
-             stored: StructType | None = None) -> DataFrame:
+             stored: StructType | None = None, near: Mapping[str, K.Lookup] | None = None) -> DataFrame:
     """One row per check: counts, share and PASS/FAIL.
 
     ``refs`` holds the tables foreign keys and custom queries refer to. ``nulls="unexpected"`` counts NULL as a
     violation in column checks; by default only the not-null check looks at NULL. ``stored`` is the schema of the files
-    behind a table that was read with a declared one; the column order is judged on it.
+    behind a table that was read with a declared one; the column order is judged on it. ``near`` holds the lookups of
+    the suite's foreign keys, where they were measured before.
     """
     if not suite.checks:
         raise ValueError(f"suite {suite.name} has no checks")
     fks = [c for c in suite.checks if c.kind == "references"]
-    small = K.small_foreign_keys([foreign_key(c) for c in fks], refs or {}, broadcast_bytes)
+    small = K.lookups([foreign_key(c) for c in fks], refs or {}, broadcast_bytes) if near is None else near
     scan, flags = df, {}
     for fk in map(foreign_key, fks):
         if fk.flag in small and fk.flag not in flags:
-            scan = K.mark_missing(scan, fk.column, K.key_set(refs[fk.table], fk.key), fk.flag)
+            scan = K.mark(scan, fk, small[fk.flag])
             flags[fk.flag] = F.col(fk.flag)
 
     parts: list[DataFrame] = []
@@ -308,9 +309,11 @@ def validate_all(tables: Mapping[str, DataFrame], suites: Mapping[str, Suite], *
                  as_of=None, nulls: str = "ignore") -> DataFrame:
     """Results of every suite (or of one table), in one DataFrame."""
     chosen = [s for name, s in suites.items() if only in (None, name)]
+    near = K.lookups([replace(foreign_key(c), source=s.table) for s in chosen for c in s.checks if c.kind == "references"],
+                     tables)  # every dimension is measured once
     return reduce(DataFrame.unionByName,
                   [validate(tables[s.table], s, tables, as_of=as_of, nulls=nulls,
-                            stored=getattr(tables, "stored", {}).get(s.table)) for s in chosen])
+                            stored=getattr(tables, "stored", {}).get(s.table), near=near) for s in chosen])
 
 
 def validate_on_write(df: DataFrame, suite: Suite, *, as_of=None,

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from plumbline.operators import checks as C
 from plumbline.operators.checks import Suite
 from plumbline.operators.defects import inject
+from plumbline.operators.evidence import evidence
+from plumbline.operators.key_history import history_of
 from plumbline.operators.scores import summary
 from plumbline.operators.validate import sample_unexpected, validate, validate_all
 from plumbline.plans.queries import AS_OF
 from plumbline.plans.suites import consolidated, modular
-from plumbline.session import new_table_path
+from plumbline.plans.contracts import TABLES
+from plumbline.session import durable, new_table_path
+from plumbline.sources.events import daily_load
 from plumbline.sources.registry import Warehouse, from_parquet
 from plumbline.sources.sinks import write_run
-from plumbline.sources.star import star
+from plumbline.sources.star import read, star
 
 BRIEF = ["table_name", "check_no", "check_type", "column_name", "dimension", "issue_id", "evaluated_count",
          "unexpected_count", "unexpected_pct", "status"]
@@ -40,6 +44,7 @@ def _numbers(suites: dict[str, Suite], table: str, *keep: str) -> dict[str, Suit
 
 
 FULL, SPLIT = consolidated(), modular()
+KEY_OF = {c.table: next(f.name for f in c.fields if f.primary) for c in TABLES}
 
 
 def _date_bounds(suites: dict[str, Suite]) -> dict[str, Suite]:
@@ -121,6 +126,36 @@ def samples(spark, sf_dir) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def all_evidence(spark, sf_dir) -> DataFrame:
+    """Twenty rows, or all there are, for every failing check of both suites on the star with defects."""
+    w = mirror(spark, sf_dir)
+    parts = []
+    for name, suites in (("full", FULL), ("modular", SPLIT)):
+        results = durable(validate_all(w, suites, as_of=AS_OF).select("table_name", "check_no", "unexpected_count", "status"))
+        for t, suite in suites.items():
+            found = evidence(w[t], suite, results, w, key=[KEY_OF[t]], as_of=AS_OF)
+            parts.append(found.select(F.lit(name).alias("suite"), F.lit(t).alias("table_name"), "check_no", "check_type",
+                                      "column_name", "evidence_no", "copies", "row_key"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+LOADS = ("2024-01-01", "2024-01-11", "2024-01-21")  # first days; the last load has all later days
+KEPT = (C.unique("event_id"), C.compound_unique("event_type", "user_id"), C.duplicate_key("event_type", "user_id"))
+
+
+def unique_by_load(spark, sf_dir) -> DataFrame:
+    """Uniqueness of each ten-day load of events against all loads before it, from the kept keys."""
+    events = daily_load(spark, sf_dir).join(read(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
+    parts = []
+    for check in KEPT:
+        history = history_of(spark, new_table_path(spark, "keys"), check, events, parts=8)
+        for first, after in zip(LOADS, [*LOADS[1:], "9999-12-31"]):
+            load = events.where(F.col("load_date") < F.lit(after).cast("date"))
+            history.add(load.where(F.col("load_date") >= F.lit(first).cast("date")) if first != LOADS[0] else load, first)
+        parts.append(history.totals().select(F.lit(check.kind).alias("check_type"), "*"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def mirror(spark, sf_dir) -> Warehouse:
     return inject(star(spark, sf_dir), AS_OF)
 
@@ -154,6 +189,7 @@ QUERIES = {
     "E3_not_null": run(by_kind(FULL, "not_null")),
     "E4_unique": run(by_kind(FULL, "unique")),
     "E5_compound_unique": run(by_kind(FULL, "compound_unique")),
+    "E5_unique_by_load": unique_by_load,
     "E6_distinct_ratio": run(by_kind(FULL, "distinct_ratio")),
     "E7_between": run(by_kind(FULL, "between")),
     "E8_between_dates": run(_date_bounds(FULL)),
@@ -167,6 +203,7 @@ QUERIES = {
     "E15_check_metadata": lambda spark, sf_dir: validate_mirror(spark, sf_dir).where("issue_id is not null").select(
         "table_name", "check_no", "check_type", "dimension", "issue_id", "predicted", "mostly", "status"),
     "E16_unexpected_sample": samples,
+    "E16_evidence": all_evidence,
     "C1_one_current_row": lambda spark, sf_dir: validate_all(
         mirror(spark, sf_dir), by_kind(FULL, "one_current_row"), as_of=AS_OF).select(*BRIEF),
     "C2_duplicate_key": run(by_kind({"dim_customer": FULL["dim_customer"]}, "duplicate_key")),

@@ -68,6 +68,8 @@ QUERIES = {
     "P18_measure_validity": on("fact_sales", profile.measure_validity),
     "P19_arithmetic": on("fact_sales", profile.arithmetic),
     "P20_orphan_report": lambda spark, sf_dir: integrity.orphan_report(star(spark, sf_dir)),
+    # a bound below the keys of the larger dimensions, but not below their bitmaps
+    "P20_orphan_report_bitmaps": lambda spark, sf_dir: integrity.orphan_report(star(spark, sf_dir), broadcast_bytes=20_000),
     "P20_orphan_report_large_dimensions": lambda spark, sf_dir: integrity.orphan_report(
         star(spark, sf_dir), broadcast_bytes=0),
     "P21_scorecard": lambda spark, sf_dir: integrity.scorecard(star(spark, sf_dir)),

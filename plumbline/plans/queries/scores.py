@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators import alerts, anomaly, scores
 from plumbline.operators.defects import inject
 from plumbline.operators.integrity import RELATIONSHIPS
 from plumbline.functions import keys as K
-from plumbline.operators.validate import validate_all
+from plumbline.functions.keys import ForeignKey
+from plumbline.operators.validate import validate_all, validate_on_write
 from plumbline.plans.contracts import TABLES
 from plumbline.plans.queries import AS_OF
 from plumbline.plans.suites import consolidated
-from plumbline.sources.events import incidents, load_log
-from plumbline.sources.star import sales, star
+from plumbline.session import durable
+from plumbline.sources.events import FEED, incidents, load_log
+from plumbline.sources.star import read, sales, star
 
 
 def mirror(spark, sf_dir):
@@ -31,6 +33,14 @@ def runs(spark, sf_dir):
     return scores.runs_of(results(spark, sf_dir), AS_OF)
 
 
+def scores_on_write(spark, sf_dir):
+    """Scores of a fact that is checked while it is written, before anything reads it back: key checks and foreign keys
+    were not run."""
+    loaded, found = validate_on_write(mirror(spark, sf_dir)["fact_sales"], consolidated()["fact_sales"], as_of=AS_OF)
+    loaded.write.format("noop").mode("overwrite").save()
+    return scores.overall(scores.runs_of(found(), AS_OF))
+
+
 def history(spark, sf_dir):
     return scores.daily_runs(sales(spark, sf_dir), consolidated()["fact_sales"])
 
@@ -40,32 +50,22 @@ def stamped_runs(spark, sf_dir):
     return load_log(spark, sf_dir).withColumnRenamed("load_timestamp", "run_ts")
 
 
-def integrity_by_day(spark, sf_dir):
-    """Orphan customers per load day; zero days included."""
-    w = star(spark, sf_dir)
-    fact = sales(spark, sf_dir)
+def alert_metrics(spark, sf_dir):
+    """One metric row per load day: quality, volume and orphans of the fact from one scan of it."""
+    fact, w = sales(spark, sf_dir), star(spark, sf_dir)
     customer = next(k for k in RELATIONSHIPS if k.table == "dim_customer")
     flagged, flags = K.with_orphan_flags(fact, [customer], w)
-    return flagged.groupBy("load_date").agg(F.count_if(flags[customer.flag]).alias("orphan_record_count"))
-
-
-def alert_metrics(spark, sf_dir):
-    """One metric row per load day, from the daily quality and volume of the fact."""
-    fact = sales(spark, sf_dir)
-    quality = history(spark, sf_dir).groupBy("load_date").agg(
-        scores.mean_score().alias("overall_quality_score"))
-    trend = anomaly.score_trends(quality, score="overall_quality_score")
-    volume = anomaly.volume_bands(fact).select("load_date", F.col("row_count").alias("daily_row_count"),
-                                               "rolling_7d_avg")
-    back = anomaly.days_before("load_date", (-3, -3))
-    before = anomaly.days_before("load_date", (-1, -1))
-    age = F.coalesce(F.date_diff("load_date", F.max("load_date").over(before)) * 24, F.lit(0))
-    scored = trend.withColumn("score_3day_trend", F.col("overall_quality_score")
-                              - F.max("overall_quality_score").over(back))
-    return (scored.select("load_date", "overall_quality_score", "score_3day_trend")
-            .join(volume, "load_date").join(integrity_by_day(spark, sf_dir), "load_date")
-            .withColumns({"evaluated_at": F.col("load_date").cast("timestamp"), "data_age_hours": age,
-                          "scd2_duplicate_count": duplicates(spark, sf_dir)}))
+    runs = scores.daily_runs(flagged, consolidated()["fact_sales"], more={
+        "daily_row_count": F.count(F.lit(1)), "orphan_record_count": F.count_if(flags[customer.flag])})
+    daily = runs.groupBy("load_date").agg(
+        scores.mean_score().alias("overall_quality_score"), F.max("daily_row_count").alias("daily_row_count"),
+        F.max("orphan_record_count").alias("orphan_record_count"))
+    frame = lambda *rows: anomaly.days_before("load_date", rows)
+    return daily.withColumns({
+        "rolling_7d_avg": F.avg("daily_row_count").over(frame(*anomaly.SHORT_FRAME)),
+        "score_3day_trend": F.col("overall_quality_score") - F.max("overall_quality_score").over(frame(-3, -3)),
+        "data_age_hours": F.coalesce(F.date_diff("load_date", F.max("load_date").over(frame(-1, -1))) * 24, F.lit(0)),
+        "evaluated_at": F.col("load_date").cast("timestamp"), "scd2_duplicate_count": duplicates(spark, sf_dir)})
 
 
 def alerts_by_day(spark, sf_dir):
@@ -74,28 +74,38 @@ def alerts_by_day(spark, sf_dir):
                                                       F.count_if("triggered").alias("triggered"))
 
 
+def load_metrics(spark, sf_dir):
+    """One metric row per load of a table, measured on the events that stand for it, in one scan of them."""
+    good = F.count_if(F.col("value") >= 1)
+    feed = F.create_map(*[F.lit(v) for item in FEED.items() for v in item])[F.col("event_type")]
+    events = read(spark, sf_dir, "events")
+    users = ForeignKey("user_id", "dim_customer", "customer_key", source="events")
+    flagged, flags = K.with_orphan_flags(events, [users], star(spark, sf_dir))
+    by_user = flagged.groupBy(feed.alias("table_name"), F.to_date("ts").alias("load_date"), "user_id").agg(
+        F.count(F.lit(1)).alias("n"), good.alias("good"), F.count_if(flags[users.flag]).alias("orphans"),
+        F.min("ts").alias("first"), F.max("ts").alias("last"))
+    loads = by_user.groupBy("table_name", "load_date").agg(
+        F.sum("n").alias("daily_row_count"), scores.share(F.sum("good"), F.sum("n")).alias("overall_quality_score"),
+        F.sum("orphans").alias("orphan_record_count"), F.count_if(F.col("n") > 1).alias("scd2_duplicate_count"),
+        F.min("first").alias("first"), F.max("last").alias("last"))
+    at = F.when(F.day("load_date") % 2 == 0, F.col("first")).otherwise(F.col("last")).cast("timestamp")
+    frame = lambda *rows: anomaly.days_before("load_date", rows, ["table_name"])
+    age = F.timestamp_diff("SECOND", F.max("evaluated_at").over(frame(-1, -1)), F.col("evaluated_at")) / F.lit(3600.0)
+    return loads.withColumn("evaluated_at", at).withColumns({
+        "data_age_hours": F.coalesce(age, F.lit(0.0)),
+        "rolling_7d_avg": F.avg("daily_row_count").over(frame(*anomaly.SHORT_FRAME)),
+        "score_3day_trend": F.col("overall_quality_score") - F.max("overall_quality_score").over(frame(-3, -3))})
+
+
 def alerts_with_cooldown(spark, sf_dir):
-    """All rules at every load of any table, in one run, against a log of earlier alerts.
-
-    The age is the time since the load before; the log holds one alert of each rule an hour before every tenth day.
-    """
-    loads = load_log(spark, sf_dir).select(F.col("load_timestamp").cast("timestamp").alias("evaluated_at"), "table_name",
-                                           "load_date")
-    per_load = loads.groupBy("evaluated_at").agg(F.count(F.lit(1)).alias("tables"), F.min("load_date").alias("day"))
-    in_time = Window.partitionBy(F.lit(0)).orderBy("evaluated_at")
-    hours = F.timestamp_diff("SECOND", F.lag("evaluated_at").over(in_time), F.col("evaluated_at")) / F.lit(3600.0)
-    metrics = per_load.select(
-        "evaluated_at", F.coalesce(hours * 10, F.lit(0.0)).alias("data_age_hours"),
-        F.when(F.hour("evaluated_at") < 12, 1).otherwise(0).alias("scd2_duplicate_count"),
-        F.when(F.day("day") % 3 == 0, 0.9).otherwise(1.0).alias("overall_quality_score"),
-        (F.day("day") % 2).alias("orphan_record_count"), F.col("tables").alias("daily_row_count"),
-        F.lit(4.0).alias("rolling_7d_avg"), F.lit(-0.02).alias("score_3day_trend"))
-    sent = (per_load.where("day(day) % 10 = 0").select(F.explode(F.array(*[F.lit(r.alert_id) for r in alerts.RULES]))
-                                                       .alias("alert_id"),
-                                                       (F.col("day").cast("timestamp") - F.expr("interval 1 hour"))
-                                                       .alias("fired_at")).distinct())
-    judged = alerts.evaluate(metrics, log=sent)
-    return judged.groupBy("alert_id", F.to_date("evaluated_at").alias("evaluated_on")).agg(
+    """All rules at every load, per table, against a log of earlier alerts: one of each rule and table an hour before
+    every tenth day of the month."""
+    metrics = durable(load_metrics(spark, sf_dir))
+    sent = metrics.where("day(load_date) % 10 = 0").select(
+        "table_name", F.explode(F.array(*[F.lit(r.alert_id) for r in alerts.RULES])).alias("alert_id"),
+        (F.col("load_date").cast("timestamp") - F.expr("interval 1 hour")).alias("fired_at"))
+    judged = alerts.evaluate(metrics, log=sent, series=["table_name"])
+    return judged.groupBy("table_name", "alert_id", F.to_date("evaluated_at").alias("evaluated_on")).agg(
         F.count(F.lit(1)).alias("evaluations"), F.count_if("triggered").alias("triggered"),
         F.count_if("suppressed").alias("suppressed"), F.count_if("fired").alias("fired"))
 
@@ -124,6 +134,7 @@ QUERIES = {
         scores.daily_scores(history(spark, sf_dir)), "2001-08-01"),
     "K4_active_issues": lambda spark, sf_dir: scores.active_issues(scores.open_issues(results(spark, sf_dir))),
     "K6_overall_score": lambda spark, sf_dir: scores.overall(runs(spark, sf_dir)),
+    "K6_overall_score_on_write": scores_on_write,
     "K6_hours_since_last_run": lambda spark, sf_dir: scores.hours_since_last_run(
         stamped_runs(spark, sf_dir), "2024-02-01 00:00:00"),
     "K7_completeness": per_table(lambda df, c: scores.completeness(

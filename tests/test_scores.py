@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from plumbline.operators import defects, integrity, investigate, profile, scores
-from plumbline.operators.validate import validate
+from plumbline.operators.validate import validate, validate_on_write
 from plumbline.plans.suites import consolidated
 from plumbline.sources import sinks
 from plumbline.sources.registry import from_parquet
@@ -28,6 +28,24 @@ def test_scores_are_exact_and_rounded_half_up(spark):
     assert got == [0.125, 1.0, 0.6667]
 
 
+def test_checks_not_run_have_no_score(spark, small_star):
+    fact = defects.inject(small_star, AS_OF)["fact_sales"]
+    loaded, found = validate_on_write(fact, consolidated()["fact_sales"], as_of=AS_OF)
+    loaded.write.format("noop").mode("overwrite").save()
+    runs = scores.runs_of(found(), AS_OF)
+    left_out = runs.where("status = 'NOT_RUN'").collect()
+    assert left_out and all((r.metric_value, r.total_count, r.fail_count) == (None, None, None) for r in left_out)
+    whole = next(r for r in scores.overall(runs).collect() if r.dimension is None)
+    run = [float(r.metric_value) for r in runs.where("status <> 'NOT_RUN'").collect()]
+    assert whole.not_run == len(left_out) and abs(whole.score - sum(run) / len(run)) < 1e-7
+    daily = {r.dimension: r for r in scores.daily_scores(runs).collect()}
+    assert sum(r.not_run for r in daily.values()) == len(left_out)
+    only = runs.where("status = 'NOT_RUN'")
+    assert {(r.overall_status, r.avg_score, r.total_fail) for r in scores.daily_scores(only).collect()} == {("NOT_RUN", None, 0)}
+    assert {(r.score, r.status) for r in scores.against_target(only).collect()} == {(None, "NOT_RUN")}
+    assert scores.table_scorecard(scores.daily_scores(runs), str(AS_OF)).first().not_run == len(left_out)
+
+
 def test_issue_list_is_ordered_by_gravity(mirror_results):
     rows = scores.active_issues(scores.open_issues(mirror_results)).collect()
     assert [(r.severity, r.issue_ids) for r in rows] == [
