@@ -5,9 +5,14 @@ skippable frame, which decoders pass over. So archives are written by Spark's ow
 lost task leaves nothing behind, and each file is a plain ``.warc.zst``: a skippable frame with the dictionary, then a
 warcinfo record, then one frame per record.
 
-The dictionary is trained on a bounded sample of the records to be archived (``sample_records`` pieces of at
-most ``sample_bytes`` each, by hash of the page id; a larger record gives several pieces where records are few, and is
-archived whole). With too few samples to train on, archives have no dictionary frame.
+The dictionary is trained on a bounded sample of the records to be archived: of the ``sample_records`` smallest draws (a
+hash of page id and URL), up to ``sample_bytes`` each, and several such pieces of large records where records are few.
+Records are archived whole. Rows are counted first, so a threshold on the draw lets about that many through; only their
+draws reach the driver, then the pieces of those chosen, whatever the number of tasks. With too few samples to train on,
+archives have no dictionary frame.
+
+An archive holds at most ``archive_rows`` rows of about ``row_bytes``, each some whole frames; then its task begins the next
+one, which the same two frames lead.
 
 Equal payloads of at least ``min_bytes`` are stored once: the page with the largest id is the response, the others are
 revisit records that name it. The search for equal payloads groups digests only; pages then meet their digest's response
@@ -36,6 +41,7 @@ from plumbline.session import durable
 SKIPPABLE = 0x184D2A50  # up to ...5F
 DICTIONARY_FRAME = 0x184D2A5D
 PIECES = 16  # of one record in the sample
+TOP = (1 << 63) - 1
 SEPARATOR = struct.pack("<II", SKIPPABLE, 0)  # an empty skippable frame; plain ASCII
 DATE = "2026-01-01T00:00:00Z"  # pages carry no date
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,6 +54,8 @@ class Settings:
     sample_records: int = 1_000
     sample_bytes: int = 1 << 15
     level: int = 6
+    row_bytes: int = 1 << 20
+    archive_rows: int = 96
 
 
 def payload_digest(payload: bytes) -> str:
@@ -103,21 +111,30 @@ def _compressor(dictionary: bytes, level: int):
 def _write_partition(dictionary: bytes, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = _compressor(dictionary, settings.level).compress
-        begun = False
+        lead = struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary if dictionary else b""
+        lead += compress(_block([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:archive:info>"), ("WARC-Date", DATE),
+                                 ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
+        frames: list[bytes] = []
+        held = rows = 0
+
+        def given() -> pa.RecordBatch:
+            nonlocal held, rows
+            # Spark begins a new file after every ``archive_rows`` rows of a task.
+            row = (lead if rows % settings.archive_rows == 0 else b"") + b"".join(frames)
+            frames.clear()
+            held, rows = 0, rows + 1
+            return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], names=["frame"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                frames = []
-                if not begun:
-                    if dictionary:
-                        frames.append(struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary)
-                    frames.append(compress(_block([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:archive:info>"),
-                                                   ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")],
-                                                  b"format: WARC File Format 1.1\r\n")))
-                    begun = True
                 for row in batch.slice(at, 500).to_pylist():
                     frames.append(compress(record(row["page_id"], row["url"], row["payload"], row["refers_to"],
                                                   row["revisit"])))
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+                    held += len(frames[-1])
+                    if held >= settings.row_bytes:
+                        yield given()
+        if frames:
+            yield given()
     return run
 
 
@@ -138,25 +155,42 @@ def plan(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def sample_dictionary(pages: DataFrame, settings: Settings = Settings()) -> bytes:
-    """A dictionary from at most ``sample_records`` pieces of records, of at most ``sample_bytes`` each.
-
-    The first piece of every sampled record comes before further ones of large records.
-    """
-    size = settings.sample_bytes
-    some = (pages.select("page_id", "url", payload(F.col("html")).alias("payload")).where(F.octet_length("payload") > 0)
-            .withColumn("piece", F.explode(F.sequence(F.lit(0), F.least(
-                F.floor((F.octet_length("payload") - 1) / size).cast("int"), F.lit(PIECES - 1)))))
-            .select("page_id", "url", "piece", F.substring("payload", F.col("piece") * size + 1, F.lit(size)).alias("payload"))
-            .orderBy("piece", F.xxhash64("page_id", "url"), "page_id").limit(settings.sample_records))
-    return train_dictionary([record(r["page_id"], r["url"], bytes(r["payload"]), None, False) for r in some.collect()],
-                            settings.dictionary_bytes)
+    """A dictionary from at most ``sample_records`` pieces of records, of at most ``sample_bytes`` each."""
+    wanted, size = settings.sample_records, settings.sample_bytes
+    drawn = (pages.select("page_id", "url", F.col("html").cast("binary").alias("payload"))
+             .where(F.octet_length("payload") > 0)
+             .withColumn("draw", F.shiftrightunsigned(F.xxhash64("page_id", "url"), 1)))
+    rows = drawn.count() if wanted else 0
+    share, chosen = (wanted + 6 * wanted ** 0.5 + 10) / max(rows, 1), []
+    while rows and wanted:
+        # Narrow rows, one per draw: as many as are wanted and a few more. Only where rows repeat are they too few at first.
+        bound = drawn.where(F.col("draw") < F.lit(int(min(share, 1.0) * TOP))) if share < 1.0 else drawn
+        if share < 1.0:
+            chosen = [r["draw"] for r in bound.select("draw").distinct().collect()]
+        else:
+            chosen = [r["draw"] for r in bound.select("draw").distinct().orderBy("draw").limit(wanted).collect()]
+        if len(chosen) >= wanted or share >= 1.0:
+            break
+        share *= 4
+    chosen = sorted(chosen)[:wanted]
+    if not chosen:
+        return b""
+    each = min(PIECES, -(-wanted // len(chosen)))
+    head = F.struct("page_id", "url", F.substring("payload", 1, each * size).alias("head"))
+    some = (drawn.where(F.col("draw").isin(chosen)).groupBy("draw").agg(F.min_by(head, F.xxhash64("payload")).alias("r"))
+            .orderBy("draw").collect())
+    pieces = [(at, r["draw"], record(r["r"]["page_id"], r["r"]["url"], bytes(r["r"]["head"][at:at + size]), None, False))
+              for r in some for at in range(0, len(r["r"]["head"]), size)]
+    pieces.sort(key=lambda p: p[:2])  # the first piece of every record before further ones
+    return train_dictionary([p for _, _, p in pieces[:wanted]], settings.dictionary_bytes)
 
 
 def write(pages: DataFrame, path: str, settings: Settings = Settings()) -> None:
-    """Archive pages (page_id, url, html) under ``path``; each task's rows become one file."""
+    """Archive pages (page_id, url, html) under ``path``; each task's rows become one file, or more if they are many."""
     frames = plan(pages, settings.min_bytes).mapInArrow(
         _write_partition(sample_dictionary(pages, settings), settings), "frame binary")
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR.decode()).text(path)
+    (frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR.decode())
+     .option("maxRecordsPerFile", settings.archive_rows).text(path))
 
 
 def records(content: bytes) -> Iterator[bytes]:

@@ -97,3 +97,38 @@ def test_large_pages_have_a_dictionary(spark):
     for name in glob.glob(os.path.join(path.removeprefix("file://").removeprefix("file:"), "part-*")):
         magic, length = warc.struct.unpack_from("<II", open(name, "rb").read(8))
         assert magic == warc.DICTIONARY_FRAME and length
+
+
+def test_many_tasks_send_no_more_to_the_driver(spark, monkeypatch):
+    """The sample is as large as wanted, not that large from every task."""
+    sent = []
+    train = warc.train_dictionary
+    monkeypatch.setattr(warc, "train_dictionary", lambda records, size: sent.append(records) or train(records, size))
+    rows = [(i, f"http://h{i % 9}.example.com/{i}", f"<p>page {i} " + "word " * 900) for i in range(3_000)]
+    settings = warc.Settings(sample_records=50)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (2, 40):
+        assert warc.sample_dictionary(pages.repartition(parts), settings)
+    assert sorted(sent[0]) == sorted(sent[1]) and len(sent[0]) == 50
+    # A third of all rows are one page.
+    again = pages.union(spark.createDataFrame([rows[0]] * 1_500, pages.schema)).repartition(7)
+    warc.sample_dictionary(again, settings)
+    assert sorted(sent[2]) == sorted(sent[0])
+    few = pages.where("page_id < 20").union(spark.createDataFrame([rows[0]] * 900, pages.schema))
+    warc.sample_dictionary(few, settings)
+    assert len(sent[3]) == 20
+    warc.sample_dictionary(pages.limit(0), settings)
+    assert len(sent) == 4
+
+
+def test_archives_are_rolled(spark):
+    rows = [(i, f"http://h.example.com/{i}", hashlib.sha512(str(i).encode()).hexdigest() * 20) for i in range(400)]
+    path, found, _ = run(spark, rows, warc.Settings(row_bytes=4_000, archive_rows=4), parts=1)
+    assert found == brute(rows)
+    files = glob.glob(os.path.join(path.removeprefix("file://").removeprefix("file:"), "part-*"))
+    assert len(files) > 2
+    for name in files:  # each is an archive of its own
+        content = open(name, "rb").read()
+        magic, length = warc.struct.unpack_from("<II", content)
+        assert magic == warc.DICTIONARY_FRAME and length and len(content) < 8 + length + 4 * 20_000
+        assert next(warc.records(content)).startswith(b"WARC/1.1\r\nWARC-Type: warcinfo")
