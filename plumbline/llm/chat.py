@@ -14,7 +14,8 @@ Each turn is formatted by itself, without a shuffle, so that a conversation of a
 output keeps the order columns. Reading a conversation back digests its turns in order, in a stream: a task holds one
 batch of rows, not a conversation.
 
-Defined cases: NULL text is empty, NULL role an empty role; turns are ordered by turn (NULL first), then role and text;
+Defined cases: NULL text is empty, NULL role an empty role; turns are ordered by turn (NULL first), then role and text,
+unescaped and byte by byte;
 repeated rows are repeated turns; NULL conv_id is a conversation of its own; a part of unknown type is a placeholder of
 no tokens, with its text as reference; an empty table gives no rows.
 """
@@ -181,10 +182,17 @@ def _digest_frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     return frame
 
 
+def raw_content(formatted: Column) -> Column:
+    """The unescaped content of a formatted turn, by which turns that are equal in turn and role are ordered."""
+    begin = F.instr(formatted, SEP) + len(SEP)  # an escaped role holds no such mark
+    content = F.substring(formatted, begin, F.length(formatted) - begin + 1 - len(STOP))
+    return F.regexp_replace(content, ESCAPED.pattern, "$1")
+
+
 def read_back(turns: DataFrame) -> DataFrame:
     """One row of digests per conversation of formatted turns, from the formatted text and the loss spans alone."""
     keyed = turns.select(F.col("conv_id").isNotNull().alias("known"), F.coalesce("conv_id", F.lit(0)).alias("conv"),
                          "turn", "role", "formatted", "loss_start", "loss_end", "attachments")
     ordered = keyed.repartition("known", "conv").sortWithinPartitions(
-        "known", "conv", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), "formatted")
+        "known", "conv", F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")), raw_content(F.col("formatted")))
     return ordered.mapInPandas(_read_back, DIGESTS)

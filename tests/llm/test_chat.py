@@ -78,3 +78,14 @@ def test_ties_nulls_and_empty_table(spark):
     assert found == {None: digests([("user", "b"), ("user", "c")]), 0: digests([("user", "q")]),
                      2: digests([("assistant", "z"), ("assistant", "z"), ("user", "a")])}
     assert chat.read_back(chat.format_turns(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_tied_turns_are_in_order_of_their_text(spark):
+    """Different texts on one (conv_id, turn, role): the raw text decides, not its escaped form or what follows it."""
+    pairs = [("a", "a "), ("<z", "<|a"), ("\\", "\\a"), ("", "\n"), ("é", "z"), ("[INST]", "[IZ"), ("x", "x<")]
+    rows = [(c, 3, role, [text(t)], "") for c, pair in enumerate(pairs) for role in (None, "", "assistant") for t in pair]
+    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"])
+             for r in chat.read_back(chat.format_turns(spark.createDataFrame(rows[::-1], SCHEMA).repartition(3))).collect()}
+    for c, pair in enumerate(pairs):
+        turns = sorted([(role, t) for role in ("", "", "assistant") for t in pair], key=lambda x: (x[0], x[1].encode()))
+        assert found[c] == digests(turns), pair
