@@ -6,10 +6,13 @@ words, up to ``assigned``, get one exchange step each from their neighbours amon
 texts get the same step from their neighbours among the assigned: what stands next to a word is a distributed table, so
 this grows with the vocabulary. Only words that were never seen share a few classes by their form.
 
+Texts are tokenised once, into blocks of some hundred thousand tokens: numbers into a dictionary of the block's words, which
+is stored beside them. Each later pass looks up the words of a block, not its tokens, and the rest is array arithmetic.
+
 All counts (words, word pairs, neighbours, class pairs) are taken over all training texts. The vocabulary grows with the
 corpus and stays a distributed table; only the most frequent words (``head`` at most, of at most 64 bytes) are
-broadcast. A class has two halves, its words of the head and its rarer ones. Rarer words of a document go, with their
-places, through one join that brings their class and count.
+broadcast. A class has two halves, its words of the head and its rarer ones. Rarer words of a block go through one join that
+brings their class and count.
 
 Smoothing: class transitions back off to class frequencies with weight ``backoff``. A rarer word that occurs once counts
 a second time as a word of its form, since it would be unseen without that text. A class by form spreads over the rarer
@@ -21,7 +24,6 @@ Repeated rows are scored each on their own; NULL ids count as the empty text in
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.session import new_table_path
+from plumbline.llm.common import stored
 
 END = b""  # no word is empty
 FORMS = 8
@@ -40,6 +42,7 @@ LONGEST = 64  # bytes of a broadcast word
 FLUSH = 600_000  # distinct words a task holds before it gives them out
 CHUNK = 500_000  # tokens whose pairs are counted at once
 CELLS = 2_000_000  # neighbour counts a task holds before it gives them out
+BLOCK_TOKENS, BLOCK_WORDS = 1 << 19, 200_000  # a block is closed after the document that reaches one of them
 TOTALS = b" "  # no word is a space
 
 
@@ -90,64 +93,127 @@ class Numbers(dict):
         return value
 
 
-# Counting ------------------------------------------------------------------------------------------------------------
+# Tokens --------------------------------------------------------------------------------------------------------------
+
+class Growing(dict):
+    """Word -> its number; a new word gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+                    ("lengths", pa.list_(pa.int32())), ("ids", pa.binary()), ("words", pa.list_(pa.binary())),
+                    ("counts", pa.list_(pa.int64()))])
+BLOCKS_DDL = ("block long, doc_ids array<long>, train array<boolean>, lengths array<int>, ids binary, words array<binary>, "
+              "counts array<long>")
+
+
+def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = TaskContext.get().partitionId() << 32
+    numbers, doc_ids, train, parts, held = Growing({END: 0}), [], [], [], 0
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def given() -> pa.RecordBatch:
-        words = list(counts)
-        batch = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64())],
-                                           names=["word", "c"])
-        counts.clear()
+        nonlocal numbers, block, held
+        learned = [p for p, t in zip(parts, train) if t]
+        counts = np.bincount(np.concatenate(learned), minlength=len(numbers)) if learned else np.zeros(len(numbers), np.int64)
+        row = [block, doc_ids, train, [len(p) for p in parts], np.concatenate(parts).tobytes(), list(numbers), counts]
+        batch = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
+        numbers, held, block = Growing({END: 0}), 0, block + 1
+        for column in (doc_ids, train, parts):
+            column.clear()
         return batch
 
-    counts: Counter = Counter()
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-            if len(counts) >= FLUSH:
+        for doc_id, text, learn in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            words = tokens(text.as_py())
+            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+            doc_ids.append(doc_id)
+            train.append(learn)
+            held += len(words)
+            if held >= BLOCK_TOKENS or len(numbers) >= BLOCK_WORDS:
                 yield given()
-    yield given()
+    if parts:
+        yield given()
+
 
+def tokenise(docs: DataFrame) -> DataFrame:
+    """Blocks of documents (doc_id, text, train), written to the shared folder since all passes read them. ``counts`` are
+    those of the training documents."""
+    return stored(docs.select(F.col("doc_id").cast("long"), "text", F.coalesce("train", F.lit(False)))
+                  .mapInArrow(_tokenise, BLOCKS_DDL), "blocks")
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """(word, c) of all texts, written to the shared folder since several jobs read it."""
-    path = new_table_path(texts.sparkSession, "vocabulary")
-    texts.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")).write.parquet(path)
-    return texts.sparkSession.read.parquet(path)
 
+@dataclass
+class Block:
+    """A row of a frame of blocks, as far as it has these columns."""
 
-def count_cells(texts: DataFrame, words: bytes, size: int, cells: int,
-                code: Callable[[np.ndarray, np.ndarray], np.ndarray], first: int) -> np.ndarray:
-    """Sums over all texts of ``code(previous, number)``, an array of cells for the numbers of adjacent tokens.
+    row: dict
+
+    @classmethod
+    def each(cls, batches: Iterator[pa.RecordBatch]) -> Iterator["Block"]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield cls({name: batch.column(name)[i] for name in batch.schema.names})
+
+    def array(self, name: str) -> np.ndarray:
+        return self.row[name].values.to_numpy(zero_copy_only=False)
+
+    @property
+    def ids(self) -> np.ndarray:
+        return np.frombuffer(self.row["ids"].as_buffer(), np.int32)
+
+    @property
+    def words(self) -> list[bytes]:
+        return self.row["words"].values.to_pylist()
+
+    def numbered(self, numbers: dict) -> np.ndarray:
+        """The numbers of the block's words; 0 for those of held-out documents alone."""
+        used = np.flatnonzero(self.array("counts"))
+        words = self.row["words"].values.take(pa.array(used)).to_pylist()
+        found = np.zeros(len(self.row["words"].values), np.int64)
+        found[used] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        return found
+
+    def adjacent(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of adjacent tokens of the training documents: (previous, number). Before a text is the end token."""
+        train, lengths = self.array("train"), self.array("lengths")
+        now = number[self.ids[np.repeat(train, lengths)]]
+        before = np.roll(now, 1)
+        before[np.cumsum(lengths[train]) - lengths[train]] = 0
+        return before, now
+
+
+LEARN = ("train", "lengths", "ids", "words", "counts")
+
+
+# Counting ------------------------------------------------------------------------------------------------------------
+
+def vocabulary(blocks: DataFrame) -> DataFrame:
+    """(word, c) of all training texts, written to the shared folder since several jobs read it."""
+    pairs = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).where("x.counts > 0")
+    return stored(pairs.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("c")), "vocabulary")
+
+
+def count_cells(blocks: DataFrame, words: bytes, size: int, cells: int,
+                code: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sums over all training texts of ``code(previous, number)``, an array of cells for the numbers of adjacent tokens.
 
     Each task adds up a dense array and gives out what is not zero; the total is bounded by ``cells``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, total = Numbers(words.split(b"\n"), size), np.zeros(cells, np.int64)
-        before: list[int] = []
-        now: list[int] = []
-
-        def add() -> None:
-            total[:] += np.bincount(code(np.array(before, np.int64), np.array(now, np.int64)), minlength=cells)
-            before.clear()
-            now.clear()
-
-        for batch in batches:
-            for text in batch.column(0):
-                found = list(map(numbers.__getitem__, tokens(text.as_py())))
-                before.append(first)
-                before.extend(found[:-1])
-                now.extend(found)
-                if len(now) >= CHUNK:
-                    add()
-        if now:
-            add()
+        for block in Block.each(batches):
+            before, now = block.adjacent(block.numbered(numbers))
+            for at in range(0, len(now), CHUNK):
+                total += np.bincount(code(before[at:at + CHUNK], now[at:at + CHUNK]), minlength=cells)
         hit = np.flatnonzero(total)
         for at in range(0, len(hit), 1 << 18):
             part = hit[at:at + (1 << 18)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["cell", "n"])
 
-    rows = texts.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = blocks.select(*LEARN).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(cells, np.int64)
     for part in rows.to_batches():
         sums[part.column(0).to_numpy(zero_copy_only=False)] = part.column(1).to_numpy(zero_copy_only=False)
@@ -212,16 +278,8 @@ def exchange(counts: np.ndarray, start: np.ndarray, free: int, classes: int, pas
 
 # Rarer words ---------------------------------------------------------------------------------------------------------
 
-class Growing(dict):
-    """Word -> its number; a new word gets the next one."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
-
-
 def _neighbours(words: bytes, near: np.ndarray, wide: int):
-    """Texts to (word, cells, ns): per word without a class, how often each class comes after it (cell: the class) and
+    """Blocks to (word, cells, ns): per word without a class, how often each class comes after it (cell: the class) and
     before it (cell: ``wide`` + the class). ``near`` has the classes of ``words``, and last that of all others. The row
     of TOTALS has the pairs of classes."""
     names, types = ["word", "cells", "ns"], [pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int64())]
@@ -230,17 +288,12 @@ def _neighbours(words: bytes, near: np.ndarray, wide: int):
         listed = words.split(b"\n")
         size, total = len(listed), np.zeros(wide * wide, np.int64)
         numbers, kept = Growing(zip(listed, range(size))), []
-        before: list[int] = []
-        now: list[int] = []
 
-        def add() -> None:
-            a, b = np.array(before, np.int64), np.array(now, np.int64)
+        def add(a: np.ndarray, b: np.ndarray) -> None:
             one, two = near[np.minimum(a, size)], near[np.minimum(b, size)]
             total[:] += np.bincount(one * wide + two, minlength=wide * wide)
             codes = np.concatenate([((a - size) * 2 * wide + two)[a >= size], ((b - size) * 2 * wide + wide + one)[b >= size]])
             kept.append(np.unique(codes, return_counts=True))
-            before.clear()
-            now.clear()
 
         def given() -> Iterator[pa.RecordBatch]:
             codes, at = np.unique(np.concatenate([c for c, _ in kept]), return_inverse=True)
@@ -258,18 +311,12 @@ def _neighbours(words: bytes, near: np.ndarray, wide: int):
             numbers.clear()
             numbers.update(zip(listed, range(size)))
 
-        for batch in batches:
-            for text in batch.column(0):
-                found = list(map(numbers.__getitem__, tokens(text.as_py())))
-                before.append(0)
-                before.extend(found[:-1])
-                now.extend(found)
-                if len(now) >= CHUNK or len(numbers) >= FLUSH:
-                    add()
-                    if len(numbers) >= FLUSH or sum(len(c) for c, _ in kept) >= CELLS:
-                        yield from given()
-        if now:
-            add()
+        for block in Block.each(batches):
+            before, now = block.adjacent(block.numbered(numbers))
+            for at in range(0, len(now), CHUNK):
+                add(before[at:at + CHUNK], now[at:at + CHUNK])
+            if len(numbers) >= FLUSH or sum(len(c) for c, _ in kept) >= CELLS:
+                yield from given()
         if kept:
             yield from given()
         hit = np.flatnonzero(total)
@@ -376,16 +423,18 @@ class Model:
 
 def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
     """The model of a one-column frame of texts, and the words that are not in its head: (word, c, class, form)."""
-    model, rarer = cluster(texts, settings)
-    coded = encode(texts.select(F.lit(None).cast("long").alias("doc_id"), F.col(texts.columns[0]).alias("text")), model, rarer)
-    return with_transitions(model, coded), rarer
+    blocks = tokenise(texts.select(F.lit(None).cast("long").alias("doc_id"), F.col(texts.columns[0]).alias("text"),
+                                   F.lit(True).alias("train")))
+    model, rarer = cluster(blocks, settings)
+    return with_transitions(model, encode(blocks, model, rarer)), rarer
 
 
-def cluster(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
-    """The model without transitions, and the words that are not in its head: (word, c, class, form)."""
+def cluster(blocks: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
+    """The model of the training documents, without transitions, and the words that are not in its head: (word, c, class,
+    form)."""
     if 2 * settings.classes + 1 + FORMS > 255:
         raise ValueError("a class must fit a byte")
-    vocab = vocabulary(texts)
+    vocab = vocabulary(blocks)
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     short = (F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 0)
     top, _ = most_frequent(vocab.where(short), settings.assigned - 1)
@@ -398,8 +447,8 @@ def cluster(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, D
 
     # Pairs of the clustered words; the last number stands for all other words.
     side = clustered + 1
-    pairs = count_cells(texts, packed, clustered, side * side, lambda a, b: (
-        np.where(a < 0, clustered, a) * side + np.where(b < 0, clustered, b)), 0).reshape(side, side).astype(float)
+    pairs = count_cells(blocks, packed, clustered, side * side, lambda a, b: (
+        np.where(a < 0, clustered, a) * side + np.where(b < 0, clustered, b))).reshape(side, side).astype(float)
     order = [*range(1, clustered), 0, clustered]  # the free words first
     start = np.array([i % k for i in range(clustered - 1)] + [k, k + 1])
     group_of = np.zeros(side, np.int64)
@@ -415,7 +464,7 @@ def cluster(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, D
         first, second = (a * 2) * wide + two, (b * 2 + 1) * wide + one
         return np.concatenate([first[a >= 0], second[b >= 0]])
 
-    profile = count_cells(texts, packed, assigned, assigned * 2 * wide, neighbours, 0).reshape(assigned, 2, wide)
+    profile = count_cells(blocks, packed, assigned, assigned * 2 * wide, neighbours).reshape(assigned, 2, wide)
     member = np.zeros((side, wide))
     member[np.arange(side), group_of] = 1.0
     classes_now = member.T @ pairs @ member
@@ -425,18 +474,14 @@ def cluster(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, D
         known[word] = int(np.argmax(_gain(classes_now, right, left, 0.0)[:k]))
 
     # All other words, from their neighbours among these.
-    spark = texts.sparkSession
-    path = new_table_path(spark, "neighbours")
-    texts.mapInArrow(_neighbours(packed, known, wide), "word binary, cells array<smallint>, ns array<bigint>").write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = stored(blocks.select(*LEARN).mapInArrow(_neighbours(packed, known, wide),
+                                                   "word binary, cells array<smallint>, ns array<bigint>"), "neighbours")
     classes_now = np.zeros(wide * wide)
     for cell, n in (rows.where(F.col("word") == F.lit(TOTALS)).select(F.explode(F.arrays_zip("cells", "ns")).alias("x"))
                     .groupBy("x.cells").agg(F.sum("x.ns").alias("n")).collect()):
         classes_now[cell] = n
-    path = new_table_path(spark, "classes")
-    (rows.where(F.col("word") != F.lit(TOTALS)).repartition("word").sortWithinPartitions("word")
-     .mapInArrow(_assign(classes_now.reshape(wide, wide), k), "word binary, c long, class int, form int").write.parquet(path))
-    others = spark.read.parquet(path)
+    others = stored(rows.where(F.col("word") != F.lit(TOTALS)).repartition("word").sortWithinPartitions("word").mapInArrow(
+        _assign(classes_now.reshape(wide, wide), k), "word binary, c long, class int, form int"), "classes")
     more, least = most_frequent(others.where(short), settings.head - assigned, "class")
     rarer = others.where(~(short & (F.col("c") >= least))) if least is not None else others
 
@@ -493,103 +538,72 @@ def most_frequent(vocab: DataFrame, size: int, *more: str) -> tuple[pa.Table, in
     return found.select("word", "c", *more).toArrow().sort_by([("c", "descending"), ("word", "ascending")]), least
 
 
-PARTS = ("rid long, word binary, places binary, form int, "
-         "part struct<doc_id: bigint, n_tokens: bigint, n_known: bigint, base: double, model: double, classes: binary>")
-
-
-def _code_parts(model: Model):
+def _outside(model: Model):
+    """Blocks to the words outside the head: (block, word, place in the block's dictionary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = model.words.split(b"\n")
-        numbers = Numbers(words, len(words))
-        log_counts, known = np.log10(model.counts + 1.0), model.counts > 0
-        rid = TaskContext.get().partitionId() << 40
-        out: tuple[list, ...] = ([], [], [], [], [])
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = tokens(text.as_py())
-                code = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-                head = code >= 0
-                inside = code[head]
-                group = np.where(head, model.group[np.maximum(code, 0)], model.end - code)
-                part = {"doc_id": doc_id, "n_tokens": len(found), "n_known": int(known[inside].sum()),
-                        "base": float(log_counts[inside].sum()), "model": float(model.emission[inside].sum()),
-                        "classes": group.astype(np.uint8).tobytes()}
-                # The row of a document has a key that no word equals, and that is its own: no hot key in the join.
-                _append(out, rid, b" %d" % rid, None, None, part)
-                places: dict[bytes, list[int]] = {}
-                for at in np.flatnonzero(~head).tolist():
-                    places.setdefault(found[at], []).append(at)
-                for word, at in places.items():
-                    _append(out, rid, word, np.array(at, "<i4").tobytes(), -1 - int(code[at[0]]), None)
-                rid += 1
-                if len(out[0]) >= 100_000:
-                    yield _parts(out)
-        yield _parts(out)
+        head = set(model.words.split(b"\n"))
+        for block in Block.each(batches):
+            words = block.words
+            places = np.array([i for i, w in enumerate(words) if w not in head], np.int32)
+            for at in range(0, len(places), 100_000):
+                part = pa.array(places[at:at + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array([block.row["block"].as_py()] * len(part), pa.int64()),
+                                                  block.row["words"].values.take(part), part], names=["block", "word", "at"])
     return run
 
 
-def _append(out: tuple[list, ...], *values) -> None:
-    for column, value in zip(out, values):
-        column.append(value)
-
-
-def _parts(out: tuple[list, ...]) -> pa.RecordBatch:
-    kind = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                      ("base", pa.float64()), ("model", pa.float64()), ("classes", pa.binary())])
-    types = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), kind]
-    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                       names=["rid", "word", "places", "form", "part"])
-    for column in out:
-        column.clear()
-    return batch
-
-
-CODED = ("doc_id long, n_tokens long, n_known long, base double, model double, classes binary, unseen binary")
+CODED = ("doc_id long, train boolean, n_tokens long, n_known long, base double, model double, classes binary, unseen binary")
 
 
 def _placed(model: Model):
-    """(part, rarer words with places) to documents with all classes in place."""
+    """Blocks with what is known of their rarer words to documents with the classes of their tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for part, found in zip(batch.column(0).to_pylist(), batch.column(1)):
-                classes = np.frombuffer(part["classes"], np.uint8).copy()
-                unseen = np.full(len(classes), 255, np.uint8)
-                for places, form_, class_, c in zip(*(found.values.field(i).to_pylist() for i in range(4))):
-                    at = np.frombuffer(places, "<i4")
-                    if class_ is None:
-                        part["model"] -= len(at) * model.form_total[form_]
-                        continue
-                    classes[at] = model.rare + class_
-                    if c == 1:
-                        unseen[at] = model.end + 1 + form_
-                    part["n_known"] += len(at)
-                    part["base"] += len(at) * np.log10(c + 1.0)
-                    part["model"] += len(at) * (np.log10(c) - model.rare_total[class_])
-                rows.append({**part, "classes": classes.tobytes(), "unseen": unseen.tobytes()})
-            yield pa.RecordBatch.from_pylist(rows, schema=CODED_ARROW)
+        head = {w: i for i, w in enumerate(model.words.split(b"\n"))}
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
+        for block in Block.each(batches):
+            words = block.words
+            number = np.fromiter((head.get(w, -1) for w in words), np.int64, len(words))
+            inside = np.flatnonzero(number >= 0)
+            look = np.array([form(w) if n < 0 else 0 for w, n in zip(words, number.tolist())], np.int64)
+            # Unseen, unless one of the next two says otherwise.
+            group, emission = (model.end + 1 + look).astype(np.uint8), -model.form_total[look]
+            base, known = np.zeros(len(words)), np.zeros(len(words), np.int64)
+            unseen = np.full(len(words), 255, np.uint8)
+            number = number[inside]
+            group[inside], emission[inside] = model.group[number], model.emission[number]
+            base[inside], known[inside] = np.log10(model.counts[number] + 1.0), model.counts[number] > 0
+            if block.row["rarer"].is_valid:
+                at, class_, c = (block.row["rarer"].values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                group[at], emission[at] = model.rare + class_, np.log10(c) - model.rare_total[class_]
+                base[at], known[at] = np.log10(c + 1.0), 1
+                once = at[c == 1]
+                unseen[once] = model.end + 1 + look[once]
+            ids, lengths = block.ids, block.array("lengths")
+            ends = np.cumsum(lengths)
+            starts = ends - lengths
+            sums = [np.add.reduceat(x[ids], starts) for x in (known, base, emission)]
+            classes, other = group[ids].tobytes(), unseen[ids].tobytes()
+            cut = lambda whole: [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+            columns = [block.row["doc_ids"].values, block.row["train"].values, lengths.astype(np.int64), *sums, cut(classes),
+                       cut(other)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) if not isinstance(c, pa.Array) else c for c, t in zip(
+                columns, types)], names=[c.split()[0] for c in CODED.split(", ")])
     return run
 
 
-CODED_ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                         ("model", pa.float64()), ("classes", pa.binary()), ("unseen", pa.binary())])
-
-
-def encode(docs: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
-    """A row for every row of documents (doc_id, text): its counts, the part of its score within classes, the class of
-    each token, and for words that occur once in training the class they would have unseen (255: none). Stored."""
-    rows = docs.select("doc_id", "text").mapInArrow(_code_parts(model), PARTS)
-    word = F.struct("places", F.coalesce("r.form", "d.form").alias("form"), "class", "c")
-    whole = (rows.alias("d").join(rarer.alias("r"), "word", "left").groupBy("rid")
-             .agg(F.max("part").alias("part"), F.collect_list(F.when(F.col("places").isNotNull(), word)).alias("rarer")))
-    path = new_table_path(docs.sparkSession, "coded")
-    whole.select("part", "rarer").mapInArrow(_placed(model), CODED).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+def encode(blocks: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
+    """A row for every document of the blocks: its counts, the part of its score within classes, the class of each token,
+    and for words that occur once in training the class they would have unseen (255: none). Stored."""
+    outside = blocks.select("block", "words").mapInArrow(_outside(model), "block long, word binary, at int")
+    found = (outside.join(rarer.select("word", F.col("class"), "c"), "word").groupBy("block")
+             .agg(F.collect_list(F.struct("at", "class", "c")).alias("rarer")))  # at most the words of a block
+    whole = blocks.select("block", "doc_ids", "train", "lengths", "ids", "words").join(found, "block", "left")
+    return stored(whole.mapInArrow(_placed(model), CODED), "coded")
 
 
 def score(docs: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score, perplexity) for every row of documents (doc_id, text)."""
-    return score_coded(encode(docs, model, rarer), model)
+    return score_coded(encode(tokenise(docs.select("doc_id", "text", F.lit(False).alias("train"))), model, rarer), model)
 
 
 def score_coded(coded: DataFrame, model: Model) -> DataFrame:

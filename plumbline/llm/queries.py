@@ -94,11 +94,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 7) == 2
-    model, rarer = brown.cluster(docs.where(~held_out).select("text"))
-    coded = brown.encode(docs, model, rarer)  # once for both
-    return brown.score_coded(coded, brown.with_transitions(model, coded.where(~held_out))).select(
+    blocks = brown.tokenise(table(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("train")))
+    model, rarer = brown.cluster(blocks)
+    coded = brown.encode(blocks, model, rarer)
+    return brown.score_coded(coded, brown.with_transitions(model, coded.where("train"))).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
