@@ -42,7 +42,7 @@ LONGEST = 64  # bytes of a broadcast word
 FLUSH = 600_000  # distinct words a task holds before it gives them out
 CHUNK = 500_000  # tokens whose pairs are counted at once
 CELLS = 2_000_000  # neighbour counts a task holds before it gives them out
-BLOCK_TOKENS, BLOCK_WORDS = 1 << 19, 200_000  # a block is closed after the document that reaches one of them
+BLOCK_TOKENS, BLOCK_WORDS = 1 << 19, 60_000  # a block is closed after the document that reaches one of them
 TOTALS = b" "  # no word is a space
 
 
@@ -79,20 +79,6 @@ def form(word: bytes) -> int:
     return 5 if len(word) <= 4 else 6 if len(word) <= 8 else 7
 
 
-class Numbers(dict):
-    """Word -> its number by frequency below ``size``, else -1 - form."""
-
-    def __init__(self, words: list[bytes], size: int, keep: int = 200_000):
-        super().__init__(zip(words[:size], range(size)))
-        self.room = len(self) + keep
-
-    def __missing__(self, word: bytes) -> int:
-        value = -1 - form(word)
-        if len(self) < self.room and len(word) <= LONGEST:
-            self[word] = value
-        return value
-
-
 # Tokens --------------------------------------------------------------------------------------------------------------
 
 class Growing(dict):
@@ -118,7 +104,10 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal numbers, block, held
         learned = [p for p, t in zip(parts, train) if t]
         counts = np.bincount(np.concatenate(learned), minlength=len(numbers)) if learned else np.zeros(len(numbers), np.int64)
-        row = [block, doc_ids, train, [len(p) for p in parts], np.concatenate(parts).tobytes(), list(numbers), counts]
+        ids = np.concatenate(parts)
+        if len(numbers) <= 1 << 16:
+            ids = ids.astype(np.uint16)
+        row = [block, doc_ids, train, [len(p) for p in parts], ids.tobytes(), list(numbers), counts]
         batch = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
         numbers, held, block = Growing({END: 0}), 0, block + 1
         for column in (doc_ids, train, parts):
@@ -162,18 +151,20 @@ class Block:
 
     @property
     def ids(self) -> np.ndarray:
-        return np.frombuffer(self.row["ids"].as_buffer(), np.int32)
+        raw = self.row["ids"].as_buffer()
+        wide = raw.size == 4 * int(self.array("lengths").sum(dtype=np.int64))
+        return np.frombuffer(raw, np.int32 if wide else np.uint16)
 
     @property
     def words(self) -> list[bytes]:
         return self.row["words"].values.to_pylist()
 
-    def numbered(self, numbers: dict) -> np.ndarray:
+    def numbered(self, number: Callable[[bytes], int]) -> np.ndarray:
         """The numbers of the block's words; 0 for those of held-out documents alone."""
         used = np.flatnonzero(self.array("counts"))
         words = self.row["words"].values.take(pa.array(used)).to_pylist()
         found = np.zeros(len(self.row["words"].values), np.int64)
-        found[used] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        found[used] = np.fromiter(map(number, words), np.int64, len(words))
         return found
 
     def adjacent(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,9 +194,10 @@ def count_cells(blocks: DataFrame, words: bytes, size: int, cells: int,
     Each task adds up a dense array and gives out what is not zero; the total is bounded by ``cells``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, total = Numbers(words.split(b"\n"), size), np.zeros(cells, np.int64)
+        known, total = dict(zip(words.split(b"\n")[:size], range(size))), np.zeros(cells, np.int64)
+        number = lambda word: known.get(word, -1)
         for block in Block.each(batches):
-            before, now = block.adjacent(block.numbered(numbers))
+            before, now = block.adjacent(block.numbered(number))
             for at in range(0, len(now), CHUNK):
                 total += np.bincount(code(before[at:at + CHUNK], now[at:at + CHUNK]), minlength=cells)
         hit = np.flatnonzero(total)
@@ -278,11 +270,14 @@ def exchange(counts: np.ndarray, start: np.ndarray, free: int, classes: int, pas
 
 # Rarer words ---------------------------------------------------------------------------------------------------------
 
+CELL = np.dtype([("cell", "<i2"), ("n", "<u4")])  # counts of one task
+
+
 def _neighbours(words: bytes, near: np.ndarray, wide: int):
-    """Blocks to (word, cells, ns): per word without a class, how often each class comes after it (cell: the class) and
-    before it (cell: ``wide`` + the class). ``near`` has the classes of ``words``, and last that of all others. The row
-    of TOTALS has the pairs of classes."""
-    names, types = ["word", "cells", "ns"], [pa.binary(), pa.list_(pa.int16()), pa.list_(pa.int64())]
+    """Blocks to (word, cells): per word without a class, how often each class comes after it (cell: the class) and
+    before it (cell: ``wide`` + the class), as CELL records. ``near`` has the classes of ``words``, and last that of all
+    others. The row of TOTALS has the pairs of classes."""
+    names = ["word", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = words.split(b"\n")
@@ -300,19 +295,20 @@ def _neighbours(words: bytes, near: np.ndarray, wide: int):
             ns = np.bincount(at, weights=np.concatenate([n for _, n in kept]), minlength=len(codes)).astype(np.int64)
             word, starts = np.unique(codes // (2 * wide), return_index=True)
             found, ends = pa.array(list(numbers)[size:], pa.binary()), np.append(starts, len(codes))
+            records = np.empty(len(codes), CELL)
+            records["cell"], records["n"] = codes % (2 * wide), ns
             for i in range(0, len(word), 50_000):
                 part = slice(ends[i], ends[min(i + 50_000, len(word))])
-                offsets = pa.array((ends[i:i + 50_001] - ends[i]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([
-                    found.take(pa.array(word[i:i + 50_000])),
-                    pa.ListArray.from_arrays(offsets, pa.array((codes[part] % (2 * wide)).astype(np.int16))),
-                    pa.ListArray.from_arrays(offsets, pa.array(ns[part]))], names=names)
+                offsets = (ends[i:i + 50_001] - ends[i]).astype(np.int32) * CELL.itemsize
+                packed = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(
+                    records[part].tobytes())])
+                yield pa.RecordBatch.from_arrays([found.take(pa.array(word[i:i + 50_000])), packed], names=names)
             kept.clear()
             numbers.clear()
             numbers.update(zip(listed, range(size)))
 
         for block in Block.each(batches):
-            before, now = block.adjacent(block.numbered(numbers))
+            before, now = block.adjacent(block.numbered(numbers.__getitem__))
             for at in range(0, len(now), CHUNK):
                 add(before[at:at + CHUNK], now[at:at + CHUNK])
             if len(numbers) >= FLUSH or sum(len(c) for c, _ in kept) >= CELLS:
@@ -320,11 +316,20 @@ def _neighbours(words: bytes, near: np.ndarray, wide: int):
         if kept:
             yield from given()
         hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([TOTALS], pa.binary()), pa.array([hit.tolist()], types[1]),
-                                          pa.array([total[hit].tolist()], types[2])], names=names)
+        records = np.empty(len(hit), CELL)
+        records["cell"], records["n"] = hit, total[hit]
+        yield pa.RecordBatch.from_arrays([pa.array([TOTALS], pa.binary()), pa.array([records.tobytes()], pa.binary())],
+                                         names=names)
     return run
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        records = np.frombuffer(b"".join(batch.column(0).to_pylist()), CELL)
+        yield pa.RecordBatch.from_arrays([pa.array(records["cell"].astype(np.int32)), pa.array(records["n"].astype(np.int64))],
+                                         names=["cell", "n"])
+
+
 def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray, classes: int) -> np.ndarray:
     """The class with the largest ``_gain`` for each of the words 0, 1, ..., from the neighbour counts that are not zero.
 
@@ -352,16 +357,16 @@ def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.nd
 
 
 def _assign(pairs: np.ndarray, classes: int):
-    """Rows (word, cells, ns) in order of the word to (word, c, class, form)."""
+    """Rows (word, cells) in order of the word to (word, c, class, form)."""
     wide = len(pairs)
 
     def judged(rows: pa.Table) -> pa.RecordBatch:
         words = rows.column(0).combine_chunks()
         new = np.append(True, pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))
-        lengths = rows.column(1).combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-        word = np.repeat(np.cumsum(new) - 1, lengths)
-        cell = rows.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        n = rows.column(2).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        packed = rows.column(1).combine_chunks()
+        records = np.frombuffer(b"".join(packed.to_pylist()), CELL)
+        word = np.repeat(np.cumsum(new) - 1, pc.binary_length(packed).to_numpy(zero_copy_only=False) // CELL.itemsize)
+        cell, n = records["cell"].astype(np.int64), records["n"].astype(np.int64)
         kinds = words.filter(pa.array(new))
         counts = np.bincount(word, weights=n * (cell < wide), minlength=len(kinds)).astype(np.int64)
         # Words that occur once with the same neighbours are one case.
@@ -474,11 +479,10 @@ def cluster(blocks: DataFrame, settings: Settings = Settings()) -> tuple[Model,
         known[word] = int(np.argmax(_gain(classes_now, right, left, 0.0)[:k]))
 
     # All other words, from their neighbours among these.
-    rows = stored(blocks.select(*LEARN).mapInArrow(_neighbours(packed, known, wide),
-                                                   "word binary, cells array<smallint>, ns array<bigint>"), "neighbours")
+    rows = stored(blocks.select(*LEARN).mapInArrow(_neighbours(packed, known, wide), "word binary, cells binary"), "neighbours")
     classes_now = np.zeros(wide * wide)
-    for cell, n in (rows.where(F.col("word") == F.lit(TOTALS)).select(F.explode(F.arrays_zip("cells", "ns")).alias("x"))
-                    .groupBy("x.cells").agg(F.sum("x.ns").alias("n")).collect()):
+    for cell, n in (rows.where(F.col("word") == F.lit(TOTALS)).select("cells").mapInArrow(_unpacked, "cell int, n long")
+                    .groupBy("cell").agg(F.sum("n").alias("n")).collect()):
         classes_now[cell] = n
     others = stored(rows.where(F.col("word") != F.lit(TOTALS)).repartition("word").sortWithinPartitions("word").mapInArrow(
         _assign(classes_now.reshape(wide, wide), k), "word binary, c long, class int, form int"), "classes")
@@ -552,23 +556,38 @@ def _outside(model: Model):
     return run
 
 
+NUMBERED = "block long, doc_ids array<long>, train array<boolean>, lengths array<int>, ids binary, numbers binary"
+
+
+def _numbered(model: Model):
+    """Blocks with numbers in place of their words: those of the head, else -1 - form."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = {w: i for i, w in enumerate(model.words.split(b"\n"))}
+        names = [c.split()[0] for c in NUMBERED.split(", ")]
+        for block in Block.each(batches):
+            words = block.words
+            found = np.fromiter((head.get(w, -1) for w in words), np.int32, len(words))
+            for i in np.flatnonzero(found < 0).tolist():
+                found[i] = -1 - form(words[i])
+            same = [pa.array([block.row[n].as_py()], BLOCKS.field(n).type) for n in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*same, pa.array([found.tobytes()], pa.binary())], names=names)
+    return run
+
+
 CODED = ("doc_id long, train boolean, n_tokens long, n_known long, base double, model double, classes binary, unseen binary")
 
 
 def _placed(model: Model):
     """Blocks with what is known of their rarer words to documents with the classes of their tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = {w: i for i, w in enumerate(model.words.split(b"\n"))}
         types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
         for block in Block.each(batches):
-            words = block.words
-            number = np.fromiter((head.get(w, -1) for w in words), np.int64, len(words))
-            inside = np.flatnonzero(number >= 0)
-            look = np.array([form(w) if n < 0 else 0 for w, n in zip(words, number.tolist())], np.int64)
+            number = np.frombuffer(block.row["numbers"].as_buffer(), np.int32)
+            inside, look = np.flatnonzero(number >= 0), np.maximum(-1 - number, 0)
             # Unseen, unless one of the next two says otherwise.
             group, emission = (model.end + 1 + look).astype(np.uint8), -model.form_total[look]
-            base, known = np.zeros(len(words)), np.zeros(len(words), np.int64)
-            unseen = np.full(len(words), 255, np.uint8)
+            base, known = np.zeros(len(number)), np.zeros(len(number), np.int64)
+            unseen = np.full(len(number), 255, np.uint8)
             number = number[inside]
             group[inside], emission[inside] = model.group[number], model.emission[number]
             base[inside], known[inside] = np.log10(model.counts[number] + 1.0), model.counts[number] > 0
@@ -597,7 +616,8 @@ def encode(blocks: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
     outside = blocks.select("block", "words").mapInArrow(_outside(model), "block long, word binary, at int")
     found = (outside.join(rarer.select("word", F.col("class"), "c"), "word").groupBy("block")
              .agg(F.collect_list(F.struct("at", "class", "c")).alias("rarer")))  # at most the words of a block
-    whole = blocks.select("block", "doc_ids", "train", "lengths", "ids", "words").join(found, "block", "left")
+    whole = (blocks.select("block", "doc_ids", "train", "lengths", "ids", "words").mapInArrow(_numbered(model), NUMBERED)
+             .join(found, "block", "left"))
     return stored(whole.mapInArrow(_placed(model), CODED), "coded")
 
 
