@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators import integrity, profile
+from plumbline.operators import integrity, profile, sketches
 from plumbline.plans.queries import AS_OF
-from plumbline.sources.star import star
+from plumbline.session import new_table_path
+from plumbline.sources.star import sales, star
 
 SALES_ORDER = ("sales_key", "product_key", "store_key", "quantity", "unit_price", "discount_amount", "tax_amount")
 
@@ -31,7 +32,21 @@ def probes(spark, sf_dir):
     return reduce(DataFrame.unionByName, [*parts, orphans])
 
 
+SKETCHED = {"order_id": ["order_id"], "customer_key": ["customer_key"], "order_line": ["order_id", "order_line_num"]}
+SPANS = (("all", 0, 9999), ("1995", 1995, 1995), ("1996 on", 1996, 9999))
+
+
+def sketched_distinct(spark, sf_dir):
+    """Distinct keys of the fact over three spans of years, merged from the stored states of each year."""
+    path = new_table_path(spark, "sketches")
+    sketches.period_states(sales(spark, sf_dir), F.year("load_date"), SKETCHED, hashed=sketches.portable_hash).write.parquet(path)
+    states = spark.read.parquet(path)
+    return reduce(DataFrame.unionAll, [sketches.distinct_between(states, first, last).select(F.lit(name).alias("span"), "*")
+                                       for name, first, last in SPANS])
+
+
 QUERIES = {
+    "P3_distinct_sketches": sketched_distinct,
     "P1_peek_dim_customer": on("dim_customer", lambda t: profile.peek(t, "customer_key")),
     "P1_peek_dim_product": on("dim_product", lambda t: profile.peek(t, "product_key")),
     "P1_peek_dim_store": on("dim_store", lambda t: profile.peek(t, "store_key")),
