@@ -138,6 +138,16 @@ FROM (SELECT min(ts) FILTER (WHERE event_type = 'error') AS injected_at,
     nullif(max(ts), max(ts) FILTER (WHERE event_type = 'error')) AS resolved_at,
     count(*) FILTER (WHERE event_type = 'error') AS errors
   FROM events GROUP BY user_id, CAST(ts AS DATE)) WHERE errors > 0""",
+    "K13_issue_episodes": with_star(f"""
+SELECT metric_name AS issue_id, count(*) AS episodes, CAST(sum(bad_days) AS BIGINT) AS failing_runs, min(opened) AS first_opened,
+  max(resolved) AS last_resolved, count(*) FILTER (WHERE resolved IS NULL) AS open_now,
+  round(avg(date_diff('day', opened, resolved) * 24e0), 4) AS mttr_hours
+FROM (SELECT metric_name, day_no - bad_no AS island, min(load_date) AS opened, count(*) AS bad_days, max(after) AS resolved
+  FROM (SELECT metric_name, load_date, day_no, row_number() OVER (PARTITION BY metric_name ORDER BY load_date) AS bad_no,
+      (SELECT min(d) FROM (SELECT DISTINCT load_date AS d FROM dated_sales) days WHERE d > h.load_date) AS after
+    FROM (SELECT metric_name, load_date, fail, row_number() OVER (PARTITION BY metric_name ORDER BY load_date) AS day_no
+      FROM ({HISTORY})) h WHERE fail > 0) GROUP BY metric_name, island)
+GROUP BY metric_name"""),
     "K14_summary": with_star(SUMMARY, {"results": results(SUITES.values())}),
     "K15_against_target": with_star(f"""
 SELECT dimension, score, {TARGET} AS target, round(score - {TARGET}, 8) + CAST(0 AS DOUBLE) AS gap,

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import keys as K
@@ -168,6 +168,63 @@ def open_issues(results: DataFrame) -> DataFrame:
             .select("issue_id", _issue(4).alias("severity"), F.lit(None).cast("date").alias("resolved_date")))
 
 
+# --- life of an issue ----------------------------------------------------------------------------------------------
+
+def issue_runs(runs: DataFrame, at: str = "run_timestamp") -> DataFrame:
+    """(issue_id, run_at, failing) from the run history: an issue fails in a run if one of its checks does. Checks that were
+    not run say nothing."""
+    return (runs.where("status <> 'NOT_RUN'").select(F.explode("issue_ids").alias("issue_id"), F.col(at).alias("run_at"),
+                                                    (F.col("status") != "PASS").alias("failing"))
+            .groupBy("issue_id", "run_at").agg(F.bool_or("failing").alias("failing")))
+
+
+def lifecycle(states: DataFrame) -> DataFrame:
+    """One row per episode of an issue, from (issue_id, run_at, failing), one row per run.
+
+    An episode opens with the first failing run after a passing one (or ever) and is resolved by the next passing run;
+    ``last_clean_at`` is the run before it, so the defect came in between. Issues that never failed have no episode. The
+    windows hold one row per run of an issue.
+    """
+    in_time = Window.partitionBy("issue_id").orderBy("run_at")
+    opening = F.col("failing") & ~F.coalesce(F.lag("failing").over(in_time), F.lit(False))
+    marked = states.select("issue_id", "run_at", "failing", opening.alias("opening"), F.lag("run_at").over(in_time).alias("before"))
+    numbered = marked.withColumn("episode", F.sum(F.col("opening").cast("int")).over(
+        in_time.rowsBetween(Window.unboundedPreceding, 0)))
+    return (numbered.where("episode > 0").groupBy("issue_id", "episode").agg(
+        F.max(F.when(F.col("opening"), F.col("before"))).alias("last_clean_at"),
+        F.min(F.when(F.col("failing"), F.col("run_at"))).alias("opened_at"),
+        F.min(F.when(~F.col("failing"), F.col("run_at"))).alias("resolved_at"),
+        F.count_if("failing").alias("failing_runs")))
+
+
+def issues_from_history(episodes: DataFrame) -> DataFrame:
+    """issue_id, severity, status, episodes, opened_at, resolved_date of every known issue, as its last episode left it.
+
+    status is OPEN, REOPENED (open, and resolved before), RESOLVED or NEVER_SEEN.
+    """
+    last = episodes.groupBy("issue_id").agg(
+        F.count(F.lit(1)).alias("episodes"), F.max_by("opened_at", "episode").alias("opened_at"),
+        F.max_by(F.struct("resolved_at"), "episode")["resolved_at"].alias("resolved_at"))
+    known = episodes.sparkSession.createDataFrame([(i[0],) for i in ISSUES], "issue_id string")
+    status = (F.when(F.col("episodes").isNull(), "NEVER_SEEN").when(F.col("resolved_at").isNotNull(), "RESOLVED")
+              .when(F.col("episodes") > 1, "REOPENED").otherwise("OPEN"))
+    return known.join(last, "issue_id", "left").select(
+        "issue_id", _issue(4).alias("severity"), status.alias("status"), F.coalesce("episodes", F.lit(0)).alias("episodes"),
+        "opened_at", F.to_date("resolved_at").alias("resolved_date"))
+
+
+def response_from_history(episodes: DataFrame, severity: Column | None = None) -> DataFrame:
+    """The mean hours to detect (at most: from the last clean run to the one that failed) and to resolve, reopened episodes
+    and open critical issues, from episodes."""
+    hours = lambda a, b: F.timestamp_diff("SECOND", F.col(a), F.col(b)) / F.lit(3600.0)
+    grave = F.coalesce((_issue(4) if severity is None else severity) == "CRITICAL", F.lit(False))
+    return episodes.agg(
+        F.count(F.lit(1)).alias("incidents"), P.rounded(F.avg(hours("last_clean_at", "opened_at")), 4).alias("mttd_hours"),
+        P.rounded(F.avg(hours("opened_at", "resolved_at")), 4).alias("mttr_hours"),
+        F.count_if(F.col("episode") > 1).alias("reopened"),
+        F.count_if(grave & F.col("resolved_at").isNull()).alias("open_critical"))
+
+
 def severity_rank(severity: str = "severity") -> Column:
     return F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col(severity))
 

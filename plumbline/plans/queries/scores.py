@@ -41,6 +41,19 @@ def scores_on_write(spark, sf_dir):
     return scores.overall(scores.runs_of(found(), AS_OF))
 
 
+def issue_episodes(spark, sf_dir):
+    """What each row check of the fact went through, load day by load day: a failing day opens an episode, the next clean
+    one resolves it."""
+    states = history(spark, sf_dir).select(F.col("metric_name").alias("issue_id"),
+                                           F.col("load_date").cast("timestamp_ntz").alias("run_at"),
+                                           (F.col("status") != "PASS").alias("failing"))
+    hours = F.timestamp_diff("SECOND", F.col("opened_at"), F.col("resolved_at")) / F.lit(3600.0)
+    return scores.lifecycle(states).groupBy("issue_id").agg(
+        F.count(F.lit(1)).alias("episodes"), F.sum("failing_runs").alias("failing_runs"),
+        F.to_date(F.min("opened_at")).alias("first_opened"), F.to_date(F.max("resolved_at")).alias("last_resolved"),
+        F.count_if(F.col("resolved_at").isNull()).alias("open_now"), F.round(F.avg(hours), 4).alias("mttr_hours"))
+
+
 def history(spark, sf_dir):
     return scores.daily_runs(sales(spark, sf_dir), consolidated()["fact_sales"])
 
@@ -145,6 +158,7 @@ QUERIES = {
     "K11_validity": per_table(lambda df, c: scores.validity(df, consolidated()[c.table].checks, AS_OF)),
     "K12_timeliness": lambda spark, sf_dir: scores.load_punctuality(load_log(spark, sf_dir), "2024-01-01", "2024-02-15"),
     "K13_response_times": lambda spark, sf_dir: scores.response_times(incidents(spark, sf_dir)),
+    "K13_issue_episodes": issue_episodes,
     "K14_summary": lambda spark, sf_dir: scores.summary(
         validate_all(star(spark, sf_dir), consolidated(), as_of=AS_OF)),
     "K15_against_target": lambda spark, sf_dir: scores.against_target(runs(spark, sf_dir)),

@@ -46,6 +46,32 @@ def test_checks_not_run_have_no_score(spark, small_star):
     assert scores.table_scorecard(scores.daily_scores(runs), str(AS_OF)).first().not_run == len(left_out)
 
 
+def test_issue_life_cycle_from_run_history(spark):
+    """Open, reopened, resolved and never seen issues; runs that say nothing about an issue are passed over."""
+    story = {"DQ-001": "PFFPPFP", "DQ-002": "FFFFFFF", "DQ-003": "PPPPPPP", "DQ-004": "FPNNFFN", "DQ-005": "NNNNNNN",
+             "DQ-007": "PPPFNPP"}
+    word = {"P": "PASS", "F": "FAIL", "N": "NOT_RUN"}
+    rows = [(f"2026-01-{day + 1:02d} 06:00:00", word[mark], [issue]) for issue, marks in story.items()
+            for day, mark in enumerate(marks)]
+    rows += [("2026-01-01 06:00:00", "PASS", ["DQ-002"]), ("2026-01-03 06:00:00", "PASS", [])]  # another check of the issue
+    runs = spark.createDataFrame(rows, "run_timestamp string, status string, issue_ids array<string>").withColumn(
+        "run_timestamp", F.col("run_timestamp").cast("timestamp"))
+    episodes = scores.lifecycle(scores.issue_runs(runs))
+    day = lambda t: None if t is None else t.day
+    got = {(r.issue_id, r.episode): (day(r.last_clean_at), day(r.opened_at), day(r.resolved_at), r.failing_runs)
+           for r in episodes.collect()}
+    assert got == {("DQ-001", 1): (1, 2, 4, 2), ("DQ-001", 2): (5, 6, 7, 1), ("DQ-002", 1): (None, 1, None, 7),
+                   ("DQ-004", 1): (None, 1, 2, 1), ("DQ-004", 2): (2, 5, None, 2), ("DQ-007", 1): (3, 4, 6, 1)}
+    known = {r.issue_id: (r.status, r.episodes, day(r.resolved_date)) for r in scores.issues_from_history(episodes).collect()}
+    assert known == {"DQ-001": ("RESOLVED", 2, 7), "DQ-002": ("OPEN", 1, None), "DQ-003": ("NEVER_SEEN", 0, None),
+                     "DQ-004": ("REOPENED", 2, None), "DQ-005": ("NEVER_SEEN", 0, None), "DQ-006": ("NEVER_SEEN", 0, None),
+                     "DQ-007": ("RESOLVED", 1, 6), "DQ-008": ("NEVER_SEEN", 0, None)}
+    row = scores.response_from_history(episodes).first()
+    assert (row.incidents, row.reopened, row.open_critical) == (6, 2, 1)
+    assert (row.mttd_hours, row.mttr_hours) == ((1 + 1 + 3 + 1) * 24 / 4, (2 + 1 + 1 + 2) * 24 / 4)
+    assert scores.lifecycle(scores.issue_runs(runs.limit(0))).collect() == []
+
+
 def test_issue_list_is_ordered_by_gravity(mirror_results):
     rows = scores.active_issues(scores.open_issues(mirror_results)).collect()
     assert [(r.severity, r.issue_ids) for r in rows] == [
