@@ -59,6 +59,40 @@ def test_pipeline(spark):
     assert packing.WINDOW >= max(r["offset"] + r["length"] for r in pieces)
 
 
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """NULL and empty texts, NULL sources and ids, repeated rows and ids, a long text, and no rows at all."""
+    import corpus_pipeline
+
+    calm = [(i, f"Calm words number {i} and {i * 7} here, {i % 13} of them. " * (i % 5 + 1), "en", f"s{i % 3}", 10) for i in range(120)]
+    toxic = [(200 + i, f"Calm words number {i} here. You grolb now! And {i * 3} of them.", "en", "s0", 10) for i in range(60)]
+    odd = [(300, None, None, None, None), (301, "", "en", None, 0), (None, None, "en", "s1", 1), (None, "no id at all", "en", "s1", 1),
+           (302, "long words " * 30_000, "en", "s2", 5), (303, "one id", "en", "s2", 5), (303, "with two other texts", "en", "s2", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = calm + toxic + odd + calm[:5] * 3
+    labels = [(r[0], 0) for r in calm] + [(r[0], 1) for r in toxic]
+    for name, given in (("some", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(given, schema).repartition(3).write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(folder / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+    docs, counts = spark.read.parquet(str(tmp_path / "some" / "documents.parquet")), []
+    for name, stage in corpus_pipeline.STAGES:
+        before, path = docs, str(tmp_path / name)
+        stage(spark, docs, str(tmp_path / "some")).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert name == "packing" or docs.columns == before.columns
+        counts.append([tuple(r) for r in docs.collect()])
+    clean, single, mixed, pieces = counts
+    key = lambda r: tuple(map(str, r))
+    assert sorted(clean, key=key) == sorted((r for r in rows if not (r[1] or "").count("grolb")), key=key)
+    groups = simhash.with_components(simhash.near_duplicates(spark.createDataFrame(clean, schema)).select("doc_id", "fp"))
+    assert len(single) == groups.select("root").distinct().count() and set(single) <= set(clean)
+    assert set(mixed) <= set(single) and max(mixed.count(r) for r in mixed) <= 2
+    whole = [p for p in pieces if p[1] == 0]  # the first piece of every document taken
+    assert len(whole) == len(mixed) and sum(p[2] for p in pieces) == sum(p[4] for p in whole)
+    assert sorted(str(p[0]) for p in whole) == sorted(str(r[0]) for r in mixed)
+
+
 def test_without_the_subpackage(tmp_path):
     """The rest imports and registers its queries when the folders and the pipeline are gone."""
     import shutil

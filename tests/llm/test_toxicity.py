@@ -1,5 +1,8 @@
+import math
 import os
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +74,55 @@ def test_repeated_rows_of_a_sampled_id_are_trained_on_once(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda labels, *a: fitted.append(len(labels)) or fit(labels, *a))
     toxicity.train(df.unionByName(df.where("doc_id = 4").crossJoin(spark.range(500)).drop("id")), df.select("doc_id", "label"))
     assert fitted == [400]
+
+
+def plain_score(text, model):
+    """(score, sentences, spans) by reading a text word by word."""
+    weight = lambda f: float(model.weights[f]) if f else 0.0
+    mask, sentences = (1 << model.settings.bits) - 1, []
+    begin = 0
+    for line in (text or "").split("\n"):
+        now = []
+        for m in toxicity.TOKEN.finditer(line):
+            now.append((m.group(), begin + m.start(), begin + m.end()))
+            if m.group().endswith(toxicity.ENDS) or m.group().rstrip(toxicity.CLOSING).endswith(toxicity.ENDS):
+                sentences.append(now)
+                now = []
+        sentences += [now] if now else []
+        begin += len(line) + 1
+    sentences = [s[i:i + model.settings.sentence_words] for s in sentences
+                 for i in range(0, len(s), model.settings.sentence_words)]
+    rest, starts, stops = 1.0, [], []
+    for s in sentences:
+        z, heavy = model.bias, False
+        for raw in {w for w, _, _ in s}:
+            word = raw.strip(toxicity.STRIP).lower()
+            parts = [word] * bool(word) + [f"{word[:n]}-" for n in toxicity.PREFIXES if len(word) >= n]
+            found = [weight(1 + zlib.crc32(p.encode()) % mask) for p in parts]
+            heavy = heavy or any(found)
+            z += sum(found)
+        p = 1 / (1 + math.exp(-z)) if heavy else 0.0
+        rest *= 1 - p
+        if heavy and z >= 0:
+            starts.append(s[0][1])
+            stops.append(s[-1][2])
+    return 1 - rest, len(sentences), starts, stops
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not present")
+def test_score_and_spans_of_whole_texts_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    model = queries.toxicity_model(spark, docs, SF_DIR)
+    assert np.count_nonzero(model.weights)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    some = max(texts.values(), key=lambda t: plain_score(t, model)[0])
+    odd = [None, "", "\n\n", "…", f" {some}\r\n{some}", some.replace(". ", " "), f"({some[:400]})\x85 " * 30,
+           "é " * 100 + some.upper()]
+    docs = docs.unionByName(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(odd)], docs.schema))
+    texts.update({-1 - i: t for i, t in enumerate(odd)})
+    rows = toxicity.score_documents(docs, model).select("doc_id", "toxicity.*").collect()
+    assert len(rows) == len(texts) and any(r["offending_start"] for r in rows)
+    for r in rows:
+        score, sentences, starts, stops = plain_score(texts[r["doc_id"]], model)
+        assert abs(score - r["score"]) < 1e-9 and sentences == r["sentences"]
+        assert (starts, stops) == (r["offending_start"], r["offending_end"])
