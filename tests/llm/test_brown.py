@@ -157,3 +157,43 @@ def test_score_by_hand(spark):
                 now, within = model.end + 1 + brown.form(w), -model.form_total[brown.form(w)]
             score, last = score + model.transition[last, now] + within, now
         assert abs(score - r["score"]) < 1e-9 * abs(score)
+
+
+def test_exchange_finds_the_best_clustering_of_a_tiny_vocabulary():
+    """All clusterings of seven words into two classes are tried; the exchange is at the best of them."""
+    rng = np.random.default_rng(7)
+    counts = rng.integers(0, 6, (9, 9)).astype(float)
+    counts[:4, 4:7] += 30
+    counts[4:7, :4] += 20
+    start = np.array([i % 2 for i in range(7)] + [2, 3])
+    found = brown.exchange(counts, start, 7, 2, 20)
+    best = max(objective(counts, np.array([code >> i & 1 for i in range(7)] + [2, 3])) for code in range(1, 127))
+    assert abs(objective(counts, found) - best) < 1e-9
+
+
+def test_extra_columns_and_repeated_rows_without_id(spark):
+    rows = corpus(40)
+    model, rarer = brown.train(frames(spark, rows).select("text"), SMALL)
+    odd = [(None, rows[0][1], b"x", 1, True)] * 3 + [(rows[0][0], rows[0][1], b"y", 2, False)]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, ids binary, block int, train boolean")
+    found = brown.score(docs, model, rarer).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["0", "None", "None", "None"]
+    assert len({(r["n_tokens"], r["n_known"], r["score"], r["base_score"]) for r in found}) == 1
+
+
+def test_blocks_are_cut_between_documents(spark, monkeypatch):
+    """Scores do not depend on where blocks end, nor on how wide their numbers are."""
+    rows = corpus(60)
+    scores = []
+    for size, words in ((1 << 19, 60_000), (50, 60_000), (1 << 19, 5)):
+        monkeypatch.setattr(brown, "BLOCK_TOKENS", size)
+        monkeypatch.setattr(brown, "BLOCK_WORDS", words)
+        model, rarer = brown.train(frames(spark, rows).select("text"), SMALL)
+        scores.append({r["doc_id"]: round(r["score"], 8) for r in brown.score(frames(spark, rows), model, rarer).collect()})
+    assert scores[0] == scores[1] == scores[2]
+    monkeypatch.setattr(brown, "BLOCK_WORDS", 10 ** 9)
+    wide = [(1, " ".join(f"w{i}" for i in range(70_000)) + " l1 R1."), (2, "l1 R1.")]
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", 1 << 30)
+    model, rarer = brown.train(frames(spark, wide).select("text").coalesce(1), SMALL)
+    found = {r["doc_id"]: r for r in brown.score(frames(spark, wide).coalesce(1), model, rarer).collect()}
+    assert found[1]["n_tokens"] == found[1]["n_known"] == 70_003 and found[2]["n_known"] == 3
