@@ -176,12 +176,16 @@ def arithmetic(sales: DataFrame) -> DataFrame:
     return sales.agg(total(), *arithmetic_aggregates())
 
 
-def whole_profile(df: DataFrame, table: str, as_of=None) -> DataFrame:
-    """Every single-row profile of a table at once: one scan instead of one per profile."""
+def whole_aggregates(df: DataFrame, table: str, as_of=None) -> list[Column]:
     own = {"dim_customer": lambda: email_aggregates() + date_aggregates(as_of), "dim_product": price_aggregates,
            "dim_store": lambda: opening_aggregates(as_of),
            "fact_sales": lambda: measure_aggregates() + arithmetic_aggregates()}
-    return df.agg(total(), *null_aggregates(df.columns), *own.get(table, list)())
+    return [total(), *null_aggregates(df.columns), *own.get(table, list)()]
+
+
+def whole_profile(df: DataFrame, table: str, as_of=None) -> DataFrame:
+    """Every single-row profile of a table at once: one scan instead of one per profile."""
+    return df.agg(*whole_aggregates(df, table, as_of))
 
 
 def probe(df: DataFrame, name: str, condition: str) -> DataFrame:
