@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.star import AS_OF, pct, with_star
-from oracle.tables import ORPHANS, columns
+from oracle.tables import AFTER, ORPHANS, columns
 
 EMAIL = "'^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$'"
 BROKEN = "abs(net_revenue - (quantity * unit_price - discount_amount)) > 0.01"
@@ -181,7 +181,11 @@ FROM (SELECT unnest(generate_series((SELECT min(full_date) FROM dim_date), (SELE
 
 
 def together(table: str, *names: str) -> str:
-    """Single-row profiles side by side, each still a statement of its own."""
+    return with_star(side_by_side(table, *names))
+
+
+def side_by_side(table: str, *names: str) -> str:
+    """Single-row profiles, each still a statement of its own."""
     bodies = [ORACLE[n][ORACLE[n].index("SELECT", ORACLE[n].rindex("\nSELECT")):] for n in names]
     counts = ", ".join(f"count(*) - count({c}) AS null_{c}" for c in columns(table))
     listed = [f"SELECT count(*) AS total_rows, {counts} FROM {table}"] + bodies
@@ -190,7 +194,7 @@ def together(table: str, *names: str) -> str:
     for i, body in enumerate(listed[1:], 1):
         doubled = [c for c in ("total_rows", "null_email") if f"AS {c}" in body]
         parts.append(f"({known(', '.join(doubled)) if doubled else 'SELECT *'} FROM ({body})) p{i}")
-    return with_star("SELECT * FROM " + ", ".join(parts))
+    return "SELECT * FROM " + ", ".join(parts)
 
 
 ORACLE.update({
@@ -199,3 +203,12 @@ ORACLE.update({
     "P4_whole_profile_dim_store": together("dim_store", "P12_opening_dates"),
     "P4_whole_profile_fact_sales": together("fact_sales", "P18_measure_validity", "P19_arithmetic"),
 })
+
+# The same statements over the fact after a load, read whole.
+ORACLE["P4_profile_from_states"] = with_star(
+    side_by_side("fact_sales", "P18_measure_validity", "P19_arithmetic").replace("fact_sales", "after_load")
+    + ", (SELECT 2 AS years_read, 4 AS years_kept, 1 AS years_removed)", {"after_load": AFTER})
+ORACLE["P13_histograms_from_states"] = with_star(" UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, CAST({expr} AS VARCHAR) AS value, count(*) AS row_count FROM after_load GROUP BY 2"
+    for name, expr in (("order_line_num", "order_line_num"), ("quantity", "quantity"), ("key_length", "length(order_id)"))),
+    {"after_load": AFTER})

@@ -27,7 +27,25 @@ def orphans(column: str, table: str, fact: str = "fact_sales", dim: str | None =
 
 ORPHANS = " UNION ALL ".join(orphans(c, t) for c, t in KEYS.items())
 
+def content(source: str, action: str) -> str:
+    """Rows and hash totals of each year; a value is its length, a colon and its text."""
+    values = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                         for c in [*columns("fact_sales"), "load_date"])
+    return f"""
+SELECT 'p' || y AS period, count(*) AS rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum,
+  CAST(bit_xor(h) AS BIGINT) AS hash_xor, true AS agrees, {action} AS action
+FROM (SELECT year(load_date) AS y, CAST('0x' || substr(md5({values}), 1, 15) AS BIGINT) AS h FROM {source}) GROUP BY y"""
+
+
+# The fact after a load: 2001 appended, 1996 removed, quantities of 1997 lost.
+AFTER = """
+SELECT * REPLACE (CASE WHEN year(load_date) = 1997 AND order_line_num = 1 THEN NULL ELSE quantity END AS quantity)
+FROM dated_sales WHERE year(load_date) <> 1996"""
+
 ORACLE = {
+    "A4_snapshot_by_content": with_star(
+        content("after_load", "CASE WHEN y IN (1997, 2001) THEN 'COPIED' ELSE 'KEPT' END") + "\nUNION ALL"
+        + content("(SELECT * FROM dated_sales WHERE year(load_date) = 1996)", "'REMOVED'"), {"after_load": AFTER}),
     "A1_table_scan": SIZES,
     "A2_registry_views": with_star("SELECT region, store_type, count(*) AS stores FROM dim_store GROUP BY ALL"),
     "A3_head": with_star("SELECT * FROM dim_customer ORDER BY customer_key LIMIT 5"),

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators import integrity, profile, sketches
+from plumbline.operators.profile_states import ProfileStore, snapshot_versions, table_profile
 from plumbline.plans.queries import AS_OF
+from plumbline.plans.queries.tables import YEAR, two_states
 from plumbline.session import new_table_path
+from plumbline.sources.schemas import columns
+from plumbline.sources.snapshots import Snapshots, period_text
 from plumbline.sources.star import sales, star
 
 SALES_ORDER = ("sales_key", "product_key", "store_key", "quantity", "unit_price", "discount_amount", "tax_amount")
@@ -45,7 +49,35 @@ def sketched_distinct(spark, sf_dir):
                                        for name, first, last in SPANS])
 
 
+def stored_states(spark, sf_dir) -> ProfileStore:
+    """States of the fact by year, brought up to date after each of two snapshots from the years that changed."""
+    before, after = two_states(spark, sf_dir)
+    copies = Snapshots(spark, new_table_path(spark, "snapshots"))
+    cells = {"order_line_num": F.col("order_line_num"), "quantity": F.col("quantity"), "key_length": F.length("order_id")}
+    store = ProfileStore(spark, new_table_path(spark, "profile_states"),
+                         table_profile(before.select(*columns("fact_sales")), "fact_sales", cells=cells))
+    for state in (before, after):
+        copies.take(state, YEAR)
+        store.refresh(snapshot_versions(copies), lambda years: copies.read(periods=years), period_text(YEAR))
+    return store
+
+
+def profile_from_states(spark, sf_dir):
+    """The whole profile after the second load, and how many years were read for it."""
+    store = stored_states(spark, sf_dir)
+    actions = dict(store.index().groupBy("action").count().collect())
+    return store.whole().withColumns({f"years_{a.lower()}": F.lit(actions.get(a, 0)) for a in ("READ", "KEPT", "REMOVED")})
+
+
+def histograms_from_states(spark, sf_dir):
+    store = stored_states(spark, sf_dir)
+    return reduce(DataFrame.unionAll, [store.histogram(c).select(F.lit(c).alias("column_name"), "value", "row_count")
+                                       for c in store.profile.cells])
+
+
 QUERIES = {
+    "P4_profile_from_states": profile_from_states,
+    "P13_histograms_from_states": histograms_from_states,
     "P3_distinct_sketches": sketched_distinct,
     "P1_peek_dim_customer": on("dim_customer", lambda t: profile.peek(t, "customer_key")),
     "P1_peek_dim_product": on("dim_product", lambda t: profile.peek(t, "product_key")),

@@ -22,7 +22,8 @@ from plumbline.session import new_table_path
 from plumbline.sources import sinks
 from plumbline.sources.registry import Warehouse, from_parquet
 from plumbline.sources.schemas import WAREHOUSE
-from plumbline.sources.star import star
+from plumbline.sources.snapshots import Snapshots, portable_hash
+from plumbline.sources.star import sales, star
 
 
 def _sizes(w: Warehouse) -> DataFrame:
@@ -48,6 +49,25 @@ def snapshot(spark, sf_dir):
     return _sizes(from_parquet(spark, path, WAREHOUSE))
 
 
+YEAR = F.year("load_date")
+
+
+def two_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The fact before and after a load: a year appended, one removed, and one whose first lines lost their quantity."""
+    fact = sales(spark, sf_dir)
+    lost = (YEAR == 1997) & (F.col("order_line_num") == 1)
+    after = fact.where(YEAR != 1996).withColumn("quantity", F.when(lost, F.lit(None)).otherwise(F.col("quantity")))
+    return fact.where(YEAR < 2001), after
+
+
+def snapshot_by_content(spark, sf_dir):
+    """What the second of two snapshots copied, kept and removed, with the content of each year."""
+    copies = Snapshots(spark, new_table_path(spark, "snapshots"), portable_hash)
+    for state in two_states(spark, sf_dir):
+        copies.take(state, YEAR)
+    return copies.report().withColumn("hash_sum", F.col("hash_sum").cast("string")).drop("stored_in")
+
+
 def run_history(spark, sf_dir):
     """Two days of results appended; reading one day prunes to its partition."""
     results = validate(star(spark, sf_dir)["dim_product"], consolidated()["dim_product"], as_of=AS_OF)
@@ -115,6 +135,7 @@ QUERIES = {
     "A2_registry_views": views,
     "A3_head": lambda spark, sf_dir: star(spark, sf_dir).head("dim_customer", 5, "customer_key"),
     "A4_snapshot": snapshot,
+    "A4_snapshot_by_content": snapshot_by_content,
     "A6_validation_runs_sink": run_history,
     "A7_quarantine_table": quarantine_table,
     "A8_row_generator": generated,
