@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from oracle.data import FULL
 from oracle.star import AS_OF, pct, with_star
 from oracle.suites import results
@@ -42,6 +44,42 @@ def f64(*names: str) -> str:
 REVENUE, PROFIT = "(quantity * unit_price - discount_amount)", "(net_revenue - quantity * unit_cost)"
 REV_BAD, PROFIT_BAD = f"abs(net_revenue - {REVENUE}) > 0.01", f"abs(gross_profit - {PROFIT}) > 0.01"
 
+def g_squared(n: str, f: str, whole: str, failures: str) -> str:
+    """Twice the log likelihood ratio of a two by two table: in the slice or not, failed or not."""
+    cells = [(f, n, failures), (f"({n} - {f})", n, f"({whole} - {failures})"),
+             (f"({failures} - {f})", f"({whole} - {n})", failures),
+             (f"({whole} - {n} - {failures} + {f})", f"({whole} - {n})", f"({whole} - {failures})")]
+    return "2 * (" + " + ".join(
+        f"CASE WHEN {seen} > 0 THEN {seen} * ln({seen} * CAST({whole} AS DOUBLE) / (CAST({row} AS DOUBLE) * {column})) ELSE 0 END"
+        for seen, row, column in cells) + ")"
+
+
+SLICED = {"year": "date_key // 10000", "line": "order_line_num", "region": "region", "brand": "brand",
+          "quantity below 1": "quantity < 1", "loss": "gross_profit < 0"}
+
+
+def failure_slices(broken: str) -> str:
+    """Every combination of up to three dimensions is grouped and compared with those of one condition less."""
+    names = [f"d{i}" for i in range(len(SLICED))]
+    sets = ", ".join(f"({', '.join(s)})" for k in range(4) for s in combinations(names, k))
+    values = ", ".join(f"coalesce(CAST({e} AS VARCHAR), chr(9216)) AS {n}" for n, e in zip(names, SLICED.values()))
+    depth = " + ".join(f"CAST({n} IS NOT NULL AS INTEGER)" for n in names)
+    within = " AND ".join(f"(p.{n} IS NULL OR p.{n} IS NOT DISTINCT FROM c.{n})" for n in names)
+    listed = ", ".join(f"'{label}=' || {n}" for label, n in zip(SLICED, names))
+    return with_star(f"""
+SELECT conditions, depth, n AS rows, f AS failures, round(f * 100e0 / n, 2) AS failure_pct,
+  round(f * 100e0 / all_f, 2) AS share_pct, round({g_squared('n', 'f', 'all_n', 'all_f')}, 4) AS g2, round(gain, 4) AS gain
+FROM (SELECT c.conditions, c.depth, c.n, c.f, t.n AS all_n, t.f AS all_f,
+    min(CASE WHEN c.f * p.n > p.f * c.n THEN {g_squared('c.n', 'c.f', 'p.n', 'p.f')} ELSE 0 END) AS gain
+  FROM cube c, cube t, cube p
+  WHERE t.depth = 0 AND c.depth > 0 AND c.f >= 5 AND c.f >= 0.01e0 * t.f AND p.depth = c.depth - 1 AND {within}
+  GROUP BY ALL) WHERE gain >= 10.83 AND f * all_n > n * all_f""", {
+        "valued": f"SELECT coalesce({broken}, false) AS failed, {values} FROM x_fact_sales s "
+                  "LEFT JOIN x_dim_store USING (store_key) LEFT JOIN x_dim_product USING (product_key)",
+        "cube": f"SELECT *, concat_ws(',', {listed}) AS conditions, {depth} AS depth FROM (SELECT {', '.join(names)}, "
+                f"count(*) AS n, count(*) FILTER (WHERE failed) AS f FROM valued GROUP BY GROUPING SETS ({sets}))"})
+
+
 ORACLE = {
     "D1_null_email": whole("dim_customer",
                            "CASE WHEN customer_key BETWEEN 1 AND 300 THEN NULL ELSE email END AS email"),
@@ -103,6 +141,7 @@ SELECT product_key, product_id, product_name, {f64('list_price', 'cost_price')},
 FROM x_dim_product WHERE cost_price >= list_price AND list_price > 0"""),
     "I7_unpriced": with_star(f"SELECT product_key, product_id, product_name, {f64('list_price')} FROM x_dim_product "
                              "WHERE list_price <= 0"),
+    "I8_failure_slices": failure_slices("abs(net_revenue - (quantity * unit_price - discount_amount)) > 0.01"),
     "I8_root_cause": with_star(f"""
 SELECT * FROM (
 SELECT 'quantity' AS rule, CASE WHEN quantity = -1 THEN 'injected' ELSE 'pre-existing' END AS cause, count(*) AS rows

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions import predicates as P
 from plumbline.operators import defects, investigate
+from plumbline.operators.slices import slices
 from plumbline.operators.validate import validate_all
 from plumbline.plans.queries import AS_OF
 from plumbline.plans.suites import consolidated
@@ -24,6 +26,17 @@ def on_mirror(table: str, build):
     return lambda spark, sf_dir: build(mirror(spark, sf_dir)[table])
 
 
+def failure_slices(spark, sf_dir):
+    """Where rows with a broken revenue identity come from, other broken rules among the dimensions."""
+    w = mirror(spark, sf_dir)
+    facts = (w["fact_sales"].join(w["dim_store"].select("store_key", "region"), "store_key", "left")
+             .join(w["dim_product"].select("product_key", "brand"), "product_key", "left"))
+    dimensions = {"year": F.expr("date_key div 10000"), "line": F.col("order_line_num"), "region": F.col("region"),
+                  "brand": F.col("brand"), "quantity below 1": F.col("quantity") < 1,
+                  "loss": F.col("gross_profit") < 0}
+    return slices(facts, P.revenue_gap() > F.lit(P.CENT), dimensions)
+
+
 def results(spark, sf_dir):
     return validate_all(mirror(spark, sf_dir), consolidated(), as_of=AS_OF)
 
@@ -64,5 +77,6 @@ QUERIES = {
     "I5_lowest_tax": on_mirror("fact_sales", investigate.lowest),
     "I6_margin_deficit": on_mirror("dim_product", investigate.margin_deficit),
     "I7_unpriced": on_mirror("dim_product", investigate.unpriced),
+    "I8_failure_slices": failure_slices,
     "I8_root_cause": on_mirror("fact_sales", investigate.root_cause),
 }
