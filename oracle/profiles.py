@@ -86,6 +86,11 @@ SELECT count(*) AS total_rows, count(DISTINCT sales_key) AS distinct_sales_keys,
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, "
         f"{pct(f'(count(*) - count({c}))', 'count(*)')} AS null_pct FROM dim_customer"
         for c in ("email", "customer_segment"))),
+    "P6_heavy_values": with_star(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS row_count, {pct('count(*)', 'max(total)')} AS pct "
+        f"FROM (SELECT {c}, CAST(count(*) OVER () AS BIGINT) AS total FROM fact_sales) GROUP BY {c} "
+        "HAVING count(*) >= 0.0045e0 * max(total)"
+        for c in ("customer_key", "order_id", "date_key", "quantity", "discount_amount", "unit_price"))),
     "P6_distribution_pct": with_star(f"""
 SELECT customer_segment, n AS row_count, {pct('n', 'total')} AS pct
 FROM (SELECT customer_segment, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators import integrity, profile, sketches
+from plumbline.operators.heavy_values import heavy_values
 from plumbline.operators.profile_states import ProfileStore, snapshot_versions, table_profile
 from plumbline.plans.queries import AS_OF
 from plumbline.plans.queries.tables import YEAR, two_states
@@ -93,6 +94,8 @@ QUERIES = {
     **{f"P4_whole_profile_{t}": on(t, (lambda name: lambda df: profile.whole_profile(df, name, AS_OF))(t))
        for t in ("dim_customer", "dim_product", "dim_store", "fact_sales")},
     "P5_null_rates": on("dim_customer", lambda t: profile.null_rates(t, ["email", "customer_segment"])),
+    "P6_heavy_values": on("fact_sales", lambda t: heavy_values(
+        t, ["customer_key", "order_id", "date_key", "quantity", "discount_amount", "unit_price"], 0.0045)),
     "P6_distribution_pct": on("dim_customer", lambda t: profile.by_size(
         profile.distribution(t, "customer_segment", pct=True))),
     "P7_distribution_category": on("dim_product", lambda t: profile.by_size(profile.distribution(t, "category"))),
