@@ -41,32 +41,34 @@ def counters(share: float) -> int:
     return 1 << max(4, (int(8 / share) - 1).bit_length())
 
 
-def candidates(df: DataFrame, columns: Sequence[str], share: float) -> dict[str, list[str]]:
-    """Items of each column that may hold the share: none that does is missing."""
+def candidates(df: DataFrame, columns: Sequence[str], share: float) -> tuple[int, dict[str, list[str]]]:
+    """Number of rows, and the items of each column that may hold the share: none that does is missing.
+
+    A summary's count of an item is never below the true one, so items below the share by it are left out at once.
+    """
     m = counters(share)
     held = int(m * 0.75)  # a table of m counters holds three quarters of it
     items = df.select(*[item(F.col(quoted(c))).alias(f"i{n}") for n, c in enumerate(columns)],
                       F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger"))
-    summed = items.groupBy("merger").agg(*[F.expr(f"approx_top_k_accumulate(i{n}, {held})").alias(f"s{n}")
-                                           for n in range(len(columns))])
-    whole = summed.agg(*[F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{n}, {held}), {held})").alias(f"c{n}")
-                         for n in range(len(columns))]).first()
-    return {c: [r["item"] for r in whole[f"c{n}"] or []] for n, c in enumerate(columns)}
+    summed = items.groupBy("merger").agg(F.count(F.lit(1)).alias("rows"), *[
+        F.expr(f"approx_top_k_accumulate(i{n}, {held})").alias(f"s{n}") for n in range(len(columns))])
+    whole = summed.agg(F.sum("rows").alias("rows"), *[
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{n}, {held}), {held})").alias(f"c{n}")
+        for n in range(len(columns))]).first()
+    rows = whole["rows"] or 0
+    return rows, {c: [r["item"] for r in whole[f"c{n}"] or [] if r["count"] >= share * rows] for n, c in enumerate(columns)}
 
 
 def heavy_values(df: DataFrame, columns: Sequence[str], share: float = 0.01) -> DataFrame:
     """(column_name, value, row_count, pct) of every value in at least ``share`` of the rows."""
     if df.isEmpty():
         return df.sparkSession.createDataFrame([], "column_name string, value string, row_count bigint, pct decimal(5,2)")
-    named = candidates(df, columns, share)
-    everything = F.struct(F.lit(None).cast("string").alias("column_name"), F.lit("").alias("item"),
-                          F.lit(None).cast("string").alias("value"))
+    rows, named = candidates(df, columns, share)
+    n = F.lit(rows).cast("bigint")
     cells = [F.when(item(F.col(quoted(c))).isin(named[c]) if named[c] else F.lit(False),
                     F.struct(F.lit(c).alias("column_name"), item(F.col(quoted(c))).alias("item"),
                              F.col(quoted(c)).cast("string").alias("value"))) for c in columns]
-    counts = (df.select(F.explode(F.array_compact(F.array(everything, *cells))).alias("c"))
+    counts = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
               .groupBy("c.column_name", "c.item").agg(F.count(F.lit(1)).alias("row_count"), F.max("c.value").alias("value")))
-    counts = df.sparkSession.createDataFrame(counts.collect(), counts.schema)  # at most the candidates
-    n = counts.where("column_name IS NULL").select("row_count").scalar()
-    return (counts.where(F.col("column_name").isNotNull() & (F.col("row_count") >= F.lit(share) * n))
-            .select("column_name", "value", "row_count", P.percent(F.col("row_count"), n).alias("pct")))
+    return counts.where(F.col("row_count") >= F.lit(share) * n).select(
+        "column_name", "value", "row_count", P.percent(F.col("row_count"), n).alias("pct"))

@@ -35,8 +35,9 @@ def test_none_is_missing(table, share):
 
 def test_candidates_are_bounded(table):
     for share in (0.01, 0.004):
-        named = candidates(table, ["wide", "long"], share)
-        assert all(len(v) <= counters(share) for v in named.values())
+        rows, named = candidates(table, ["wide", "long"], share)
+        assert rows == 300_000
+        assert all(len(v) <= 2 / share for v in named.values())
         assert max(map(len, named["long"])) <= 65
 
 
