@@ -11,7 +11,7 @@ from plumbline.operators import integrity, profile, sketches
 from plumbline.operators.heavy_values import heavy_values
 from plumbline.operators.profile_states import ProfileStore, snapshot_versions, table_profile
 from plumbline.plans.queries import AS_OF
-from plumbline.plans.queries.tables import YEAR, two_states
+from plumbline.plans.queries.tables import two_states, year
 from plumbline.session import new_table_path
 from plumbline.sources.schemas import columns
 from plumbline.sources.snapshots import Snapshots, period_text
@@ -58,8 +58,8 @@ def stored_states(spark, sf_dir) -> ProfileStore:
     store = ProfileStore(spark, new_table_path(spark, "profile_states"),
                          table_profile(before.select(*columns("fact_sales")), "fact_sales", cells=cells))
     for state in (before, after):
-        copies.take(state, YEAR)
-        store.refresh(snapshot_versions(copies), lambda years: copies.read(periods=years), period_text(YEAR))
+        copies.take(state, year())
+        store.refresh(snapshot_versions(copies), lambda years: copies.read(periods=years), period_text(year()))
     return store
 
 

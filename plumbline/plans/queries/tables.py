@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.contracts import compile_suite, from_yaml, to_yaml
@@ -49,22 +49,23 @@ def snapshot(spark, sf_dir):
     return _sizes(from_parquet(spark, path, WAREHOUSE))
 
 
-YEAR = F.year("load_date")
+def year() -> Column:
+    return F.year("load_date")
 
 
 def two_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The fact before and after a load: a year appended, one removed, and one whose first lines lost their quantity."""
     fact = sales(spark, sf_dir)
-    lost = (YEAR == 1997) & (F.col("order_line_num") == 1)
-    after = fact.where(YEAR != 1996).withColumn("quantity", F.when(lost, F.lit(None)).otherwise(F.col("quantity")))
-    return fact.where(YEAR < 2001), after
+    lost = (year() == 1997) & (F.col("order_line_num") == 1)
+    after = fact.where(year() != 1996).withColumn("quantity", F.when(lost, F.lit(None)).otherwise(F.col("quantity")))
+    return fact.where(year() < 2001), after
 
 
 def snapshot_by_content(spark, sf_dir):
     """What the second of two snapshots copied, kept and removed, with the content of each year."""
     copies = Snapshots(spark, new_table_path(spark, "snapshots"), portable_hash)
     for state in two_states(spark, sf_dir):
-        copies.take(state, YEAR)
+        copies.take(state, year())
     return copies.report().withColumn("hash_sum", F.col("hash_sum").cast("string")).drop("stored_in")
 
 
