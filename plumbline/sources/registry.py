@@ -11,6 +11,28 @@ from pyspark.sql.types import StructType
 from plumbline.sources.schemas import WAREHOUSE, schema
 
 
+class Schemas(Mapping[str, StructType]):
+    """Named schemas, or functions that read them when first asked for."""
+
+    def __init__(self, schemas: Mapping[str, StructType | Callable[[], StructType]]):
+        self._schemas = dict(schemas.parts() if isinstance(schemas, Schemas) else schemas)
+
+    def __getitem__(self, name: str) -> StructType:
+        found = self._schemas[name]
+        if not isinstance(found, StructType):
+            found = self._schemas[name] = found()
+        return found
+
+    def parts(self) -> dict[str, StructType | Callable[[], StructType]]:
+        return dict(self._schemas)
+
+    def __iter__(self):
+        return iter(self._schemas)
+
+    def __len__(self) -> int:
+        return len(self._schemas)
+
+
 class Warehouse(Mapping[str, DataFrame]):
     """Named tables of one warehouse: DataFrames, or functions that build them when first asked for.
 
@@ -19,9 +41,9 @@ class Warehouse(Mapping[str, DataFrame]):
     """
 
     def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
-                 stored: Mapping[str, StructType] | None = None):
+                 stored: Mapping[str, StructType | Callable[[], StructType]] | None = None):
         self._tables = dict(tables.parts() if isinstance(tables, Warehouse) else tables)
-        self.stored = dict(stored or {})
+        self.stored = Schemas(stored or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         table = self._tables[name]
@@ -40,7 +62,7 @@ class Warehouse(Mapping[str, DataFrame]):
 
     def replaced(self, **tables: DataFrame | Callable[[], DataFrame]) -> "Warehouse":
         """The same warehouse with some tables swapped; the original stays as it is."""
-        return Warehouse({**self._tables, **tables}, {n: s for n, s in self.stored.items() if n not in tables})
+        return Warehouse({**self._tables, **tables}, {n: s for n, s in self.stored.parts().items() if n not in tables})
 
     def head(self, name: str, n: int = 5, order_by: str | None = None) -> DataFrame:
         df = self[name]
@@ -63,10 +85,13 @@ class Warehouse(Mapping[str, DataFrame]):
 
 
 def from_parquet(spark: SparkSession, root: str, names: Iterable[str] = WAREHOUSE) -> Warehouse:
-    """Tables stored as ``root/<name>``, read with their declared schemas; their files' schemas are kept beside them."""
+    """Tables stored as ``root/<name>``, read with their declared schemas.
+
+    Their files' schemas are beside them; a table's footers are read when its stored schema is first asked for.
+    """
     paths = {n: os.path.join(root, n) for n in names}
     return Warehouse({n: spark.read.schema(schema(n)).parquet(p) for n, p in paths.items()},
-                     {n: stored_schema(spark, p) for n, p in paths.items()})
+                     {n: (lambda path: lambda: stored_schema(spark, path))(p) for n, p in paths.items()})
 
 
 def stored_schema(spark: SparkSession, path: str) -> StructType:

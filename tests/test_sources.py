@@ -153,3 +153,12 @@ def test_bad_days_of_the_daily_load(spark, tmp_path):
               events.daily_load(spark, str(tmp_path)).groupBy("load_date").count().collect()}
     assert counts == {"2024-01-02": 2, "2024-01-15": 1, "2024-01-24": 3, "2024-01-25": 1}
     assert events.load_log(spark, str(tmp_path)).where("table_name = 'fact_sales'").count() == 2
+
+
+def test_footers_are_read_when_asked_for(spark, tmp_path):
+    spark.range(3).withColumnRenamed("id", "store_key").write.parquet(str(tmp_path / "dim_store"))
+    w = from_parquet(spark, str(tmp_path), ["dim_store"])
+    later = w.replaced(dim_date=spark.range(1))
+    assert all(not hasattr(s, "fields") for s in [*w.stored.parts().values(), *later.stored.parts().values()])
+    assert later.stored["dim_store"].names == ["store_key"] and list(later.stored) == ["dim_store"]
+    assert w.replaced(dim_store=spark.range(1)).stored.get("dim_store") is None
