@@ -9,11 +9,12 @@ from dataclasses import dataclass, field, replace
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions import keys as K
+from plumbline.functions import predicates as P
 from plumbline.functions.keys import ForeignKey
 from plumbline.operators import anomaly, checks as C, integrity, scores
 from plumbline.operators.checks import Check, Suite
@@ -255,57 +256,115 @@ def _need(percentage: str) -> float:
     return float(Decimal(percentage.rstrip("%")) / 100)
 
 
-def _level(table: str, level: str, measured: DataFrame, required: str) -> DataFrame:
-    return _judged(measured.select(F.lit(table).alias("table_name"), F.lit(level).alias("service_level"),
-                                   F.col("score").alias("measured"), F.lit(_need(required)).alias("required")))
-
-
 def _judged(levels: DataFrame) -> DataFrame:
     return levels.withColumn("status", F.when(F.col("measured") >= F.col("required"), "MET").otherwise("MISSED"))
 
 
-def _row_levels(tables: Mapping[str, DataFrame], table: str, contracts: list[Contract]) -> DataFrame | None:
-    """Completeness, accuracy and integrity levels of one table from ONE scan and one aggregate."""
-    df, wanted, aggregates = tables[table], [], {"n": F.count(F.lit(1))}
+def _row_levels(tables: Mapping[str, DataFrame], table: str, contracts: list[Contract],
+                day: str = "load_date") -> DataFrame | None:
+    """Completeness, accuracy, integrity and volume levels of one table from ONE scan.
+
+    Where a volume is asked for, the aggregate is taken by day first, and the days are then judged and added up; only a
+    count of distinct days, which cannot be added up, then needs a second scan.
+    """
+    df, wanted, aggregates, volumes = tables[table], [], {"n": F.count(F.lit(1))}, {}
     own = [k for k in integrity.RELATIONSHIPS if k.source == table]
     if own and any(level in INTEGRITY_LEVELS or spec.get("no_orphans") for c in contracts
                    for level, spec in c.servicelevels.items()):
         df, flags = K.with_orphan_flags(df, own, tables)
         aggregates["linked"] = F.count_if(~reduce(lambda a, b: a | b, flags.values()))
-    for c in contracts:
+    for i, c in enumerate(contracts):
         for level, spec in c.servicelevels.items():
             if level == "completeness" and c.table:
                 names = c.required_columns()
-                aggregates["filled"] = reduce(lambda a, b: a + b, [F.count(n) for n in names])
+                aggregates[f"filled{i}"] = reduce(lambda a, b: a + b, [F.count(n) for n in names])
                 also = ("null", "null")
                 if spec.get("no_orphans"):
                     also = ("linked", "n")
                 if spec.get("no_gaps_in"):
-                    day = spec["no_gaps_in"]
-                    aggregates["days"] = F.count_distinct(F.col(day))
-                    aggregates["span"] = F.date_diff(F.max(day), F.min(day)) + 1
-                    also = ("days", "span")
-                wanted.append((level, spec, "filled", f"n * {len(names)}", *also))
+                    gap = spec["no_gaps_in"]
+                    aggregates[f"days{i}"] = F.count_distinct(F.col(gap))
+                    aggregates[f"span{i}"] = F.date_diff(F.max(gap), F.min(gap)) + 1
+                    also = (f"days{i}", f"span{i}")
+                wanted.append((level, spec["percentage"], f"filled{i}", f"n * {len(names)}", *also, "null"))
             elif level == "accuracy":
                 rules = [k for k in compile_suite(c).checks
                          if k.kind == "row_rule" or (k.kind == "matches" and k.mostly < 1)]
                 broken = reduce(lambda a, b: a | b, [F.coalesce(violation(r, df), F.lit(False)) for r in rules] + [
                     F.coalesce(~F.expr(rule), F.lit(False)) for rule in spec.get("rules", [])])
-                aggregates["accurate"] = F.count_if(~broken)
-                wanted.append((level, spec, "accurate", "n", "null", "null"))
+                aggregates[f"accurate{i}"] = F.count_if(~broken)
+                wanted.append((level, spec["percentage"], f"accurate{i}", "n", "null", "null", "null"))
             elif level in INTEGRITY_LEVELS and own:
-                wanted.append((level, spec, "linked", "n", "null", "null"))
+                wanted.append((level, spec["percentage"], "linked", "n", "null", "null", "null"))
+            elif level == "volume" and c.table:
+                volumes[f"volume{i}"] = F.avg(F.when(_inside(spec), 1.0).otherwise(0.0))
+                wanted.append((level, "100%", "null", "null", "null", "null", f"volume{i}"))
     if not wanted:
         return None
+    if volumes:
+        added = [name for name in aggregates if not name.startswith(("days", "span"))]
+        before = F.avg("n").over(anomaly.days_before(day, anomaly.SHORT_FRAME))
+        totals = (df.groupBy(day).agg(*[aggregates[name].alias(name) for name in added])
+                  .withColumn("rolling", P.rounded(before, 6))
+                  .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in added],
+                       *[e.alias(name) for name, e in volumes.items()]))
+        apart = [aggregates[name].alias(name) for name in aggregates if name not in added]
+        if apart:
+            totals = totals.withColumn("apart", df.agg(F.struct(*apart).alias("apart")).scalar()).select("*", "apart.*")
+    else:
+        totals = df.agg(*[e.alias(name) for name, e in aggregates.items()])
     rows = ", ".join(
         f"named_struct('service_level', '{level}', 'part', bigint({part}), 'whole', bigint({whole}), 'part2', "
-        f"bigint({part2}), 'whole2', bigint({whole2}), 'required', {_need(spec['percentage'])!r}D)"
-        for level, spec, part, whole, part2, whole2 in wanted)
-    long = df.agg(*[e.alias(name) for name, e in aggregates.items()]).selectExpr(f"inline(array({rows}))")
-    return _judged(long.select(F.lit(table).alias("table_name"), "service_level",
-                               F.least(scores.share(F.col("part"), F.col("whole")).cast("double"),
-                                       scores.share(F.col("part2"), F.col("whole2")).cast("double")).alias("measured"),
-                               "required"))
+        f"bigint({part2}), 'whole2', bigint({whole2}), 'mean', double({mean}), 'required', {_need(percentage)!r}D)"
+        for level, percentage, part, whole, part2, whole2, mean in wanted)
+    shares = F.least(scores.share(F.col("part"), F.col("whole")).cast("double"),
+                     scores.share(F.col("part2"), F.col("whole2")).cast("double"))
+    return _judged(totals.selectExpr(f"inline(array({rows}))").select(
+        F.lit(table).alias("table_name"), "service_level",
+        F.when(F.col("service_level") == "volume", F.col("mean")).otherwise(shares).alias("measured"), "required"))
+
+
+def _inside(spec: Mapping) -> Column:
+    """Whether a day (n rows, ``rolling``: the mean of the days before) has the volume a level asks for."""
+    enough = F.col("n") >= F.col("rolling") * spec.get("minimum_share_of_average", 0)
+    return F.col("n").between(spec["minimum_daily_rows"], spec.get("maximum_daily_rows", 1 << 62)) & F.coalesce(
+        enough, F.lit(True))
+
+
+def _uniqueness(df: DataFrame, key: str, current: Mapping[str, str] | None) -> DataFrame:
+    """``measured``: distinct keys over rows; with ``current`` (key, flag) or the share of its keys that have one current
+    row at most, whichever is worse. Both come from one scan, as grouping sets."""
+    if current is None:
+        return scores.uniqueness(df, key).select(F.col("score").alias("measured"))
+    groups = (df.select(F.col(key).alias("k"), F.col(current["key"]).alias("c"), F.col(current["flag"]).alias("f"))
+              .groupingSets([[F.col("k")], [F.col("c")]], "k", "c")
+              .agg(F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n"), F.count_if("f").alias("open")))
+    by_key, by_other = F.col("set") == 1, F.col("set") == 2
+    return (groups.agg(F.count_if(by_key & F.col("k").isNotNull()).alias("keys"),
+                       F.coalesce(F.sum(F.when(by_key, F.col("n"))), F.lit(0)).alias("rows"),
+                       F.count_if(by_other & (F.col("open") <= 1)).alias("single"), F.count_if(by_other).alias("others"))
+            .select(F.least(scores.share(F.col("keys"), F.col("rows")).cast("double"),
+                            scores.share(F.col("single"), F.col("others")).cast("double")).alias("measured")))
+
+
+def _asked(contracts: Iterable[Contract], level: str, policy_table: str) -> list[dict[str, dict]]:
+    """Table -> what is asked of it, for one level. A table that several contracts name is in several dicts."""
+    found: list[dict[str, dict]] = []
+    for c in contracts:
+        if level in c.servicelevels:
+            table = c.table or policy_table
+            room = next((d for d in found if table not in d), None)
+            if room is None:
+                found.append(room := {})
+            room[table] = c.servicelevels[level]
+    return found
+
+
+def _log_level(measured: DataFrame, level: str, required: Mapping[str, float]) -> DataFrame:
+    """Judged rows of one level from (table_name, measured) of several tables."""
+    need = F.create_map(*[F.lit(v) for item in required.items() for v in item])
+    return _judged(measured.select("table_name", F.lit(level).alias("service_level"), "measured",
+                                   need[F.col("table_name")].alias("required")))
 
 
 INTEGRITY_LEVELS = ("consistency", "referential_integrity")
@@ -324,35 +383,24 @@ def service_levels(tables: Mapping[str, DataFrame], contracts: Iterable[Contract
         by_table.setdefault(c.table or policy_table, []).append(c)
     parts += [p for p in (_row_levels(tables, t, listed) for t, listed in by_table.items()) if p is not None]
     for c in contracts:
-        for level, spec in c.servicelevels.items():
-            share = spec.get("percentage")
-            if level == "uniqueness":
-                key = next(f.name for f in c.fields if f.primary)
-                measured = scores.uniqueness(tables[c.table], key)
-                if "one_current_row" in spec:
-                    names = spec["one_current_row"]
-                    current = (tables[c.table].groupBy(names["key"]).agg(F.count_if(names["flag"]).alias("n"))
-                               .agg(scores.share(F.count_if(F.col("n") <= 1), F.count(F.lit(1))).cast("double").alias("s")))
-                    measured = measured.withColumn("score", F.least("score", current.scalar()))
-                parts.append(_level(c.table, level, measured, share))
-            elif level == "volume":
-                days = anomaly.volume_bands(tables[c.table])
-                count, enough = F.col("row_count"), spec.get("minimum_share_of_average", 0)
-                inside = (count >= spec["minimum_daily_rows"]) & (count <= spec.get("maximum_daily_rows", 1 << 62)) & (
-                    F.coalesce(count >= F.col("rolling_7d_avg") * enough, F.lit(True)))
-                score = days.agg(F.avg(F.when(inside, 1.0).otherwise(0.0)).alias("score"))
-                parts.append(_level(c.table, level, score, "100%"))
-            elif level == "availability" and log is not None:
-                last = dt.date.fromisoformat(as_of[:10]) - dt.timedelta(days=1)
-                on_time = scores.load_punctuality(log, str(last - dt.timedelta(days=29)), str(last),
-                                                  {c.table: anomaly.SCHEDULE.get(c.table, ("daily", 6))})
-                parts.append(_level(c.table, level, on_time.select((F.col("timeliness_pct") / 100).alias("score")),
-                                    share))
-            elif level == "freshness" and log is not None:
-                hours = _hours(spec["threshold"])
-                age = anomaly.freshness_age(log.where(F.col("table_name") == c.table), as_of, {c.table: hours})
-                parts.append(_level(c.table, level, age.select(
-                    F.when(F.col("status") == "FRESH", 1.0).otherwise(0.0).alias("score")), "100%"))
+        spec = c.servicelevels.get("uniqueness")
+        if spec:
+            key = next(f.name for f in c.fields if f.primary)
+            parts.append(_log_level(_uniqueness(tables[c.table], key, spec.get("one_current_row")).select(
+                F.lit(c.table).alias("table_name"), "measured"), "uniqueness", {c.table: _need(spec["percentage"])}))
+    if log is not None:
+        last = dt.date.fromisoformat(as_of[:10]) - dt.timedelta(days=1)
+        for asked in _asked(contracts, "availability", policy_table):
+            on_time = scores.load_punctuality(log, str(last - dt.timedelta(days=29)), str(last),
+                                              {t: anomaly.SCHEDULE.get(t, ("daily", 6)) for t in asked})
+            parts.append(_log_level(on_time.select("table_name", (F.col("timeliness_pct") / 100).alias("measured")),
+                                    "availability", {t: _need(spec["percentage"]) for t, spec in asked.items()}))
+        for asked in _asked(contracts, "freshness", policy_table):
+            age = anomaly.freshness_age(log.where(F.col("table_name").isin(*asked)), as_of,
+                                        {t: _hours(spec["threshold"]) for t, spec in asked.items()})
+            fresh = F.when(F.col("status") == "FRESH", 1.0).otherwise(0.0)
+            parts.append(_log_level(age.select("table_name", fresh.alias("measured")), "freshness",
+                                    dict.fromkeys(asked, 1.0)))
     return reduce(DataFrame.unionByName, parts)
 
 

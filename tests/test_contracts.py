@@ -92,3 +92,27 @@ def test_classification_travels_with_the_schema(star):
     tagged = contracts.with_classification(star["dim_customer"], CUSTOMER)
     assert [f.name for f in tagged.schema.fields if f.metadata.get("classification") == "PII"] == [
         "customer_name", "email"]
+
+
+def test_service_levels_share_scans(spark):
+    """One scan of the fact for its row, integrity and volume levels; several contracts on one table; gaps beside volume."""
+    from plumbline.plans.queries.contracts import service_levels
+
+    plan = service_levels(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("Exchange hashpartitioning") <= 14 and plan.count("SortMergeJoin") <= 2
+
+    days = spark.sql("select date_add(date '2024-01-01', cast(id % 4 as int)) as load_date, id as k, id % 2 as g, "
+                     "id % 5 = 0 as now from range(40)")
+    field = lambda name, **more: contracts.Field(name, "bigint", required=True, **more)
+    first = contracts.Contract("a", "t", fields=(field("k", primary=True), contracts.Field("load_date", "date", required=True)), servicelevels={
+        "completeness": {"percentage": "100%", "no_gaps_in": "load_date"},
+        "uniqueness": {"percentage": "100%", "one_current_row": {"key": "g", "flag": "now"}},
+        "volume": {"minimum_daily_rows": 10}})
+    second = contracts.Contract("b", "t", fields=(field("g"),), servicelevels={
+        "completeness": {"percentage": "50%"}, "volume": {"minimum_daily_rows": 11}})
+    levels = lambda df: {(r.service_level, r.measured) for r in contracts.service_levels({"t": df}, (first, second)).collect()}
+    assert levels(days) == {("completeness", 1.0), ("uniqueness", 0.0), ("volume", 1.0), ("volume", 0.0)}
+    holes = days.where("load_date <> date '2024-01-02'").withColumn("g", F.when(F.col("k") < 8, F.col("g")))
+    assert ("completeness", 0.75) in levels(holes) and ("completeness", 0.2) in levels(holes)
+    assert ("volume", None) in levels(days.where("false"))
