@@ -7,16 +7,17 @@ host meets the URL's own path.
 
 Sweep over the rules: opening an interval pushes it, closing pops. In columns: a running sum gives the depth after each
 boundary, and the rule on top of the stack is the last one that was opened at that depth. Between two boundaries nothing
-changes, so sweeping the URLs needs the last boundary at or before each key: keys are dealt to tasks by range, each task
-carries the last boundary forward over its sorted rows, and what was on top at the end of earlier tasks comes in as one
-short row per task. Equal keys are told apart by host, so one popular key does not have to stay in one task.
+changes, so sweeping the URLs needs the last boundary at or before each key. Both sweeps deal keys to tasks by range, so
+that millions of rules under one top label are many tasks' work. The open stack goes from range to range as short rows:
+the depth reached by earlier tasks, and per depth the last rule that they opened; for the URLs, what was on top at the end
+of earlier tasks. Equal keys are told apart by host, so one popular key does not have to stay in one task.
 
 Distinct (host, path) pairs are swept; pages join their verdict at the end, where adaptive execution splits a popular
 pair. The rule with the longest host and path wins (then the longer host); of rules with the same host and path, block.
 
 Defined cases: a NULL url or one without "://" has empty host and path and gets the default; a rule without host is
-ignored; empty tables give no rows or only defaults; repeated rows are judged alike. Other columns are kept, except that
-columns named host, path, rule or verdict are replaced.
+ignored; empty tables give no rows or only defaults; repeated rows are judged alike. Other columns are kept, whatever their names,
+except that columns named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -54,19 +55,26 @@ def boundaries(rules: DataFrame) -> DataFrame:
              .select(ascii_lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
              .groupBy("host", "path").agg(F.max("verdict").alias("verdict")))  # block over allow
     spans = given.select(
-        F.element_at(labels(F.col("host")), 1).alias("root"), canonical(labels(F.col("host")), F.col("path")).alias("key"),
+        canonical(labels(F.col("host")), F.col("path")).alias("key"),
         F.struct((F.length("host") + F.length("path")).alias("length"), F.length("host").alias("host_length"),
                  F.concat("host", "path").alias("rule"), "verdict").alias("own"))
-    events = spans.select("root", F.explode(F.array(
+    events = spans.select(F.explode(F.array(
         F.struct(F.col("key"), F.lit(1).alias("step"), F.col("own")),
         F.struct(F.concat("key", F.lit(b"\xff")).alias("key"), F.lit(-1).alias("step"), F.lit(None).alias("own"))))
-        .alias("e")).select("root", "e.*")
-    # Rules nest only within one top label.
-    in_order = Window.partitionBy("root").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    at_depth = Window.partitionBy("root", "depth").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    return (events.withColumn("depth", F.sum("step").over(in_order))
-            .withColumn("open", F.last("own", ignorenulls=True).over(at_depth))
-            .select("key", F.when(F.col("depth") > 0, F.col("open")).alias("top")))
+        .alias("e")).select("e.*")
+    # Stored, since the tasks' numbers are used more than once.
+    dealt = durable(events.repartitionByRange("key").withColumn("task", F.spark_partition_id()))
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    reached = dealt.groupBy("task").agg(F.sum("step").alias("steps")).select(
+        "task", F.coalesce(F.sum("steps").over(earlier), F.lit(0)).alias("reached"))
+    in_order = Window.partitionBy("task").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    deep = dealt.join(F.broadcast(reached), "task").withColumn("depth", F.col("reached") + F.sum("step").over(in_order))
+    opened = deep.groupBy("task", "depth").agg(F.max_by("own", F.when(F.col("step") == 1, F.col("key"))).alias("own"))
+    before = Window.partitionBy("depth").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    carried = opened.select("task", "depth", F.last("own", ignorenulls=True).over(before).alias("carried"))
+    at_depth = Window.partitionBy("task", "depth").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    return (deep.withColumn("open", F.last("own", ignorenulls=True).over(at_depth)).join(carried, ["task", "depth"])
+            .select("key", F.when(F.col("depth") > 0, F.coalesce("open", "carried")).alias("top")))
 
 
 def innermost(points: DataFrame, edges: DataFrame) -> DataFrame:
@@ -89,7 +97,7 @@ def innermost(points: DataFrame, edges: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """The pages (url, ...) with host, path, rule (NULL if none fits) and verdict."""
     host, path = host_and_path(F.col("url"))
-    parsed = pages.withColumn("__host__", host).withColumn("__path__", path)
+    parsed = pages.select(F.struct("*").alias("__row__"), host.alias("__host__"), path.alias("__path__"))
     pairs = parsed.select(F.col("__host__").alias("host"), F.col("__path__").alias("path")).distinct()
     deepest = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 0
     own = labels(F.col("host"))
@@ -103,5 +111,5 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
                    .withColumnsRenamed({"rule": "__rule__", "verdict": "__verdict__"}))
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     return parsed.join(best, ["__host__", "__path__"]).select(
-        *kept, F.col("__host__").alias("host"), F.col("__path__").alias("path"), F.col("__rule__").alias("rule"),
+        *[F.col("__row__").getField(c).alias(c) for c in kept], F.col("__host__").alias("host"), F.col("__path__").alias("path"), F.col("__rule__").alias("rule"),
         F.coalesce("__verdict__", F.lit(default)).alias("verdict"))

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import url_rules
@@ -39,7 +40,17 @@ def test_contract_rules(spark):
     assert n == len(urls) and found == {i: brute(u, RULES) for i, u in enumerate(urls)}
 
 
-def test_random_nested_rules(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_random_nested_rules(spark, coalesce):
+    """Also with one range for every partition, so that the open stack goes from range to range."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        nested_rules(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def nested_rules(spark):
     rng = random.Random(7)
     hosts = ["com", "a.com", "b.a.com", "c.b.a.com", "ab.com", "net", "x.net", "co", "a-b.com"]
     paths = ["/", "/a", "/a/", "/a/b", "/ab", "", "/z/é", "/a/b/c"]
@@ -67,6 +78,39 @@ def test_empty_tables_and_clashing_columns(spark):
     assert url_rules.judge(pages, rules.where("false")).first()["verdict"] == "allow"
 
 
+def test_columns_named_like_temporary_ones(spark):
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    names = ["__host__", "__path__", "__row__", "__rule__", "__verdict__", "a.b", "key"]
+    pages = spark.createDataFrame([("http://a.net/x", *names)], ["url", *names])
+    found = url_rules.judge(pages, rules)
+    assert found.columns == ["url", *names, "host", "path", "rule", "verdict"]
+    assert tuple(found.first()) == ("http://a.net/x", *names, "a.net", "/x", "net/", "block")
+
+
+def test_a_hundred_thousand_rules_of_one_top_label(spark):
+    """Three levels under ``com``, over several ranges: no task holds all of them, and the stack is carried on."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rules = spark.sql("""select 'com' as host, '/' as path, 'block' as verdict
+            union all select concat('h', id, '.com'), '/', 'allow' from range(60000)
+            union all select concat('h', id, '.com'), '/a/', 'block' from range(0, 60000, 2)
+            union all select concat('h', id, '.com'), '/a/b', 'allow' from range(0, 60000, 4)""")
+        edges = url_rules.boundaries(rules)
+        assert edges.count() == 2 * (1 + 60000 + 30000 + 15000)
+        sizes = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.7 * sum(sizes)
+        pages = spark.sql("""select id, concat('http://w.h', id, '.com', element_at(array('/', '/a/', '/a/b', '/a'),
+            cast(1 + id div 7 % 4 as int))) as url from range(0, 70000, 7)""")
+        for r in url_rules.judge(pages, rules).collect():
+            path, host = r["path"], f"h{r['id']}.com"
+            want = "com/" if r["id"] >= 60000 else host + (
+                "/a/b" if path == "/a/b" and r["id"] % 4 == 0
+                else "/a/" if path in ("/a/", "/a/b") and r["id"] % 2 == 0 else "/")
+            assert r["rule"] == want and r["verdict"] == ("block" if want in ("com/", host + "/a/") else "allow")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_same_rule_twice_blocks(spark):
     found, _ = run(spark, ["http://n.net/"], [("net", "/", "allow"), ("NET", "/", "block"), (None, "/", "block")])
     assert found[0][3] == "block"
