@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import null_safe_key
+from plumbline.llm.common import join_lookup, null_safe_key
 from plumbline.session import durable
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
@@ -159,11 +159,14 @@ def with_components(prints: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     that names the component."""
     values = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(link_forest(values.select("fp"), radius))
-    placed = values.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    # Stored, so that the join below has two plain sides and adaptive execution can split a hot fingerprint.
-    lookup = durable(placed.select("fp", "root").join(named, "root").select("fp", "root", "component_id"))
+    # Stored, so that the joins below have two plain sides and adaptive execution can split a giant component or a hot
+    # fingerprint. Only components of several fingerprints are looked up; any other has its own smallest id.
+    placed = durable(values.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")))
+    named = durable(placed.groupBy("root").agg(F.min("least").alias("smallest"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").drop("n"))
+    lookup = durable(join_lookup(placed, named, ["root"], named.count()).select(
+        "fp", "root", F.coalesce("smallest", "least").alias("component_id")))
     return prints.join(lookup, "fp")
 
 

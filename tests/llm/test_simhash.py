@@ -116,3 +116,19 @@ def test_one_id_with_two_texts_is_in_two_components(spark):
     rows = [(1, a), (3, a + " "), (1, b), (2, b + " ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect()) == [(1, a), (1, b)]
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_one_giant_component(spark, monkeypatch, broadcast_rows):
+    """4,096 fingerprints in one component, one of them a third of all rows; by broadcast and by a shuffled join."""
+    from plumbline.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    alone = [0xFFFFF << 30, 0xFFF << 50]
+    rows = [(10_000 + v, v) for v in range(4096)] + [(20_000 + i, 77) for i in range(2500)]
+    rows += [(5, alone[0]), (3, alone[0]), (None, alone[1])]
+    prints = spark.createDataFrame(rows, "doc_id long, fp long")
+    found = simhash.with_components(prints)
+    assert found.columns == ["fp", "doc_id", "root", "component_id"]
+    got = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("root").alias("roots")).collect()
+    assert {(r["component_id"], r["n"], r["roots"]) for r in got} == {(10_000, 4096 + 2500, 1), (3, 2, 1), (None, 1, 1)}
