@@ -126,3 +126,22 @@ def test_score_and_spans_of_whole_texts_by_brute_force(spark):
         score, sentences, starts, stops = plain_score(texts[r["doc_id"]], model)
         assert abs(score - r["score"]) < 1e-9 and sentences == r["sentences"]
         assert (starts, stops) == (r["offending_start"], r["offending_end"])
+
+
+def test_label_sample_sorts_little_more_than_it_keeps(spark):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(200_000).select(F.col("id").alias("doc_id"))
+    for wanted in (2_000, 50_000, 200_000, 500_000):
+        below = ids.where(F.xxhash64("doc_id") <= toxicity._threshold(200_000, wanted)).count()
+        assert min(wanted, 200_000) <= below <= 1.15 * wanted + 1_500
+    assert toxicity._threshold(0, 5) == 2 ** 63 - 1
+
+
+def test_clean_documents_keep_columns_of_any_name(spark):
+    weights = np.zeros(1 << 18, np.float32)
+    model = toxicity.Model(weights, 0.0)
+    names = ["__toxicity__", "__row__", "toxicity", "a.b"]
+    docs = spark.createDataFrame([(1, "some text", *names), (2, None, *names)], ["doc_id", "text", *names])
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
