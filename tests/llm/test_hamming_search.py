@@ -31,19 +31,19 @@ def vectors(n, width, seed=12):
     return rows
 
 
-@pytest.mark.parametrize("width, block, query_block", [(64, 1000, 1000), (64, 70, 5), (100, 1000, 7), (10, 50, 1000)])
-def test_against_brute_force(spark, width, block, query_block):
+@pytest.mark.parametrize("width, chunk", [(64, 1000), (64, 5), (100, 1000), (10, 1)])
+def test_against_brute_force(spark, width, chunk):
     rows = vectors(260, width)
     df = spark.createDataFrame(rows, "id long, vector array<float>")
     queries = df.where("id % 10 = 0")
-    found = hamming_search.top_k(df, queries, 7, block, query_block).collect()
+    found = hamming_search.top_k(df, queries, 7, chunk).collect()
     assert {tuple(r) for r in found} == brute(rows, [r for r in rows if r[0] % 10 == 0], 7)
 
 
 def test_hot_code_and_ties(spark):
     rows = [(i, [1.0, -1.0] * 32) for i in range(300)] + [(1000 + i, [1.0] * i + [-1.0] * (64 - i)) for i in range(64)]
     df = spark.createDataFrame(rows, "id long, vector array<float>")
-    found = hamming_search.top_k(df, df.where("id in (0, 1000, 1063)"), 10, 100).collect()
+    found = hamming_search.top_k(df, df.where("id in (0, 1000, 1063)"), 10, 9).collect()
     assert {tuple(r) for r in found} == brute(rows, [r for r in rows if r[0] in (0, 1000, 1063)], 10)
 
 
@@ -57,9 +57,44 @@ def test_edge_rows(spark):
     assert hamming_search.top_k(df, df.where("false"), 3).count() == 0
 
 
-def test_stops_early():
+def coded(spark, values):
+    return spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id long, code array<long>")
+
+
+def test_index_is_written_once_and_not_shuffled_again(spark):
     rng = np.random.default_rng(3)
-    codes = rng.integers(0, 2 ** 63, (4000, 1), dtype=np.int64).view(np.uint64)
-    index = hamming_search.Index(codes, np.arange(4000), 1)
-    index.flips[2:] = [None] * len(index.flips[2:])  # a copy is met at radius 0: larger radii are never asked for
-    assert index.search(codes[17])[1].tolist() == [0]
+    index = hamming_search.build(coded(spark, rng.integers(-2 ** 63, 2 ** 63, 3000).tolist() + [7] * 500), 2, 1)
+    assert index.table.count() == 4 * 3001 and index.rows == 3002
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asking = coded(spark, [7, -1]).selectExpr("id as query_id", "code as q", "cast(null as int) as kth")
+        plan = hamming_search.meet(asking, index, 1)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 1  # of the queries
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_value_is_dealt_in_chunks(spark):
+    """All codes share the value of one segment: no chunk holds more than its share, and every code is met once."""
+    codes = [(v << 16) + 5 for v in range(4000)]
+    index = hamming_search.build(coded(spark, codes), 1, 1, 200)
+    sizes = index.table.where("s = 0").groupBy("chunk").count().toPandas()["count"]
+    assert len(sizes) == 20 and sizes.max() < 300
+    asking = coded(spark, [5]).selectExpr("id as query_id", "code as q", "cast(null as int) as kth")
+    met = hamming_search.meet(asking, index, 0).collect()
+    assert sorted(r["id"] for r in met) == list(range(4000))
+    assert all(r["distance"] == (codes[r["id"]] ^ 5).bit_count() for r in met)
+    assert not hamming_search.meet(asking, index, 1).collect()  # met before, by another segment
+
+
+def test_a_query_leaves_when_it_is_covered(spark, monkeypatch):
+    asked, meet = [], hamming_search.meet
+    monkeypatch.setattr(hamming_search, "meet", lambda a, i, r: asked.append(a.count()) or meet(a, i, r))
+    rows = [(i, [1.0 if v >> b & 1 else -1.0 for b in range(64)]) for i, v in enumerate(
+        [0, 0, 1, 3, (1 << 64) - 1, 0xFFFF00000000FFFF])]
+    df = spark.createDataFrame(rows, "id long, vector array<float>")
+    found = hamming_search.top_k(df, df.where("id in (0, 4)"), 3).collect()
+    assert {tuple(r) for r in found} == brute(rows, [rows[0], rows[4]], 3)
+    # 0 has its three within 3 bits: done at once. 4 needs 62 bits covered, which takes radius 15.
+    assert asked == [2] + [1] * 15
