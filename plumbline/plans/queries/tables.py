@@ -23,7 +23,7 @@ from plumbline.sources import sinks
 from plumbline.sources.registry import Warehouse, from_parquet
 from plumbline.sources.schemas import WAREHOUSE
 from plumbline.sources.snapshots import Snapshots, portable_hash
-from plumbline.sources.star import sales, star
+from plumbline.sources.star import star, stored_sales
 
 
 def _sizes(w: Warehouse) -> DataFrame:
@@ -55,7 +55,7 @@ def year() -> Column:
 
 def two_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The fact before and after a load: a year appended, one removed, and one whose first lines lost their quantity."""
-    fact = sales(spark, sf_dir)
+    fact = stored_sales(spark, sf_dir)
     lost = (year() == 1997) & (F.col("order_line_num") == 1)
     after = fact.where(year() != 1996).withColumn("quantity", F.when(lost, F.lit(None)).otherwise(F.col("quantity")))
     return fact.where(year() < 2001), after

@@ -29,6 +29,7 @@ from plumbline.operators.validate import quoted
 from plumbline.session import durable
 from plumbline.sources.registry import Warehouse
 
+FEW = 16  # so many periods, or fewer, are copied without a shuffle: each task writes at most that many files
 PERIOD, VERSION = "snapshot_period", "snapshot_version"  # the two folder levels
 CONTENT = ("rows", "hash_sum", "hash_xor")
 MANIFEST = ("period string, rows bigint, hash_sum decimal(38,0), hash_xor bigint, stored_in int, agrees boolean, "
@@ -162,7 +163,8 @@ class Snapshots:
         folder = f"{self.path}/data/{VERSION}={version}"
         copied = now.limit(0)
         if wanted:
-            (source.withColumn(PERIOD, period_text(period)).where(F.col(PERIOD).isin(wanted)).hint("rebalance", PERIOD)
+            rows = source.withColumn(PERIOD, period_text(period)).where(F.col(PERIOD).isin(wanted))
+            ((rows.hint("rebalance", PERIOD) if len(wanted) > FEW else rows)
              .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PERIOD).parquet(folder))
             written = self.spark.read.schema(T.StructType([*fields, T.StructField(PERIOD, T.StringType())])).parquet(folder)
             copied = fingerprints(written, F.col(PERIOD), self.hashed, fields)

@@ -121,3 +121,16 @@ def test_warehouse(spark, tmp_path):
     copy = snapshot_by_content(spark, w, str(tmp_path), {"fact": F.col("k")})
     assert same(copy["dim"], w["dim"]) and same(copy["fact"], w["fact"])
     assert {r.period for r in Snapshots(spark, f"{tmp_path}/fact").manifest().collect()} == {"p0", "p1"}
+
+
+def test_few_periods_are_copied_without_a_shuffle(spark, table, tmp_path):
+    """Many are brought together, so that a task does not write a file for each."""
+    files = {}
+    for name, period in (("few", F.col("day")), ("many", F.expr("id % 40"))):
+        copies = Snapshots(spark, str(tmp_path / name))
+        source = table.repartition(6)
+        assert {r.action for r in copies.take(source, period).collect()} == {"COPIED"}
+        assert same(copies.read(), table)
+        files[name] = len(glob.glob(f"{tmp_path}/{name}/data/*/*/*.parquet"))
+    assert files["few"] == 6 * 10  # as the source lies
+    assert files["many"] < 6 * 40

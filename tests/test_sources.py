@@ -5,10 +5,12 @@ import json
 import pytest
 
 from plumbline import session, validate, validate_all
+from plumbline.plans.queries.tables import two_states
 from plumbline.plans.suites import consolidated
 from plumbline.sources import events
 from plumbline.sources.registry import Warehouse, from_catalog, from_parquet, save_bucketed, schema_drift
 from plumbline.sources.schemas import TABLES, columns, schema
+from plumbline.sources.star import sales, stored_sales
 from plumbline.sources.suite_store import load_project, load_suites, save_suites
 
 
@@ -162,3 +164,43 @@ def test_footers_are_read_when_asked_for(spark, tmp_path):
     assert all(not hasattr(s, "fields") for s in [*w.stored.parts().values(), *later.stored.parts().values()])
     assert later.stored["dim_store"].names == ["store_key"] and list(later.stored) == ["dim_store"]
     assert w.replaced(dim_store=spark.range(1)).stored.get("dim_store") is None
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def odd_orders(spark, tmp_path_factory):
+    """Orders and lines with nulls, lines without an order, and copies."""
+    root = tmp_path_factory.mktemp("orders")
+    lines = spark.range(400).selectExpr(
+        "if(id % 50 = 9, null, id div 4) as l_orderkey", "id % 7 as l_partkey", "if(id % 31 = 3, null, id % 5) as l_suppkey",
+        "cast(id % 4 + 1 as int) as l_linenumber", "if(id % 41 = 5, null, double(id % 9 + 1)) as l_quantity",
+        "if(id % 37 = 6, null, double(id) * 10.01) as l_extendedprice", "double(id % 11) / 100 as l_discount",
+        "if(id % 43 = 7, null, double(id % 9) / 100) as l_tax", "'N' as l_returnflag", "'O' as l_linestatus",
+        "timestamp_ntz '1997-01-01 00:00:00' as l_shipdate")
+    orders = spark.range(90).selectExpr(
+        "id as o_orderkey", "if(id % 13 = 4, null, id % 20) as o_custkey", "'O' as o_orderstatus", "1.0D as o_totalprice",
+        "cast(date_add(date '1995-01-01', cast(id * 29 as int)) as timestamp_ntz) as o_orderdate", "'1' as o_orderpriority")
+    lines.unionAll(lines.limit(9)).write.parquet(str(root / "lineitem.parquet"))
+    orders.unionAll(orders.limit(2)).write.parquet(str(root / "orders.parquet"))
+    return str(root)
+
+
+def test_a_stored_fact_is_the_joined_one(spark, odd_orders):
+    built, kept = sales(spark, odd_orders), stored_sales(spark, odd_orders)
+    assert kept.schema == built.schema and kept.count() > 300
+    assert kept.exceptAll(built).count() == 0 and built.exceptAll(kept).count() == 0
+
+
+def test_queries_of_two_states_join_the_lines_once(spark, odd_orders):
+    before, after = two_states(spark, odd_orders)
+    assert "Join" not in plan_of(before) and "Join" not in plan_of(after)
+
+
+def test_lines_are_joined_as_they_are_stored(spark, odd_orders):
+    """What is joined are the columns of the file; amounts are made of them afterwards."""
+    plan = plan_of(sales(spark, odd_orders))
+    joined = plan[plan.index("Join"):]
+    assert "floor" in plan.lower() and "floor" not in joined.lower()
