@@ -36,6 +36,11 @@ def draw(identity: Column) -> Column:
     return F.md5(F.coalesce(identity, F.lit("")))
 
 
+def value(draw: Column) -> Column:
+    """The draw as the number that is compared with the share."""
+    return F.conv(F.substring(draw, 1, DRAW_DIGITS), 16, 10).cast("double")
+
+
 def identity(columns: Iterable[str]) -> Column:
     """Some columns as one text; NULL is empty."""
     return F.concat_ws("|", *[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")) for c in columns])
@@ -50,8 +55,7 @@ def _kept(marked: DataFrame, shares: Mapping[int, float], limit: int) -> DataFra
     """The smallest draws of each check, from rows (checks, row_key, row): ``checks`` lists the checks that a row breaks."""
     bound = F.create_map(*[v for no, s in shares.items() for v in (F.lit(no), F.lit(s * WHOLE))])
     drawn = marked.where(F.size("checks") > 0).withColumn("draw", draw(F.col("row_key")))
-    value = F.conv(F.substring("draw", 1, DRAW_DIGITS), 16, 10).cast("double")
-    hits = (drawn.withColumn("value", value)
+    hits = (drawn.withColumn("value", value(F.col("draw")))
             .select(F.explode(F.filter("checks", lambda no: F.col("value") < bound[no])).alias("check_no"), "draw", "row_key",
                     "row"))
     pieces = hits.groupBy("check_no", "draw").agg(F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("row_key"),
@@ -94,8 +98,13 @@ def rows_marked(df: DataFrame, checks: list[Check], refs: Mapping[str, DataFrame
                           F.to_json(F.struct(*shown)).alias("row"))
 
 
-def groups_marked(df: DataFrame, checks: list[Check], hide: Iterable[str] = ()) -> DataFrame:
-    """The same for key checks, over the groups of all their key sets: one scan of the key columns."""
+def groups_marked(df: DataFrame, checks: list[Check], hide: Iterable[str] = (),
+                  shares: Mapping[int, float] | None = None) -> DataFrame:
+    """The same for key checks, over the groups of all their key sets: one scan of the key columns.
+
+    Given shares, rows whose group's draw lies above those of all checks are left out before they are grouped. A draw is a
+    function of the key, so the groups that are left are whole.
+    """
     names = list(dict.fromkeys(c for check in checks for c in check.columns))
     flags = list(dict.fromkeys(c.args["flag"] for c in checks if "flag" in c.args))
     key, current = {c: f"_k{i}" for i, c in enumerate(names)}, {f: f"_f{i}" for i, f in enumerate(flags)}
@@ -103,10 +112,17 @@ def groups_marked(df: DataFrame, checks: list[Check], hide: Iterable[str] = ())
                        *[F.col(quoted(f)).alias(k) for f, k in current.items()])
     sets = list(dict.fromkeys(c.columns for c in checks))
     number = {s: sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in s) for s in sets}
+    total = df.agg(F.count(F.lit(1)).alias("total"))
+    if shares is not None:
+        drawn = []
+        for s in sets:
+            most = max(shares[c.no] for c in checks if c.columns == s)
+            drawn.append(F.lit(True) if most >= 1 else value(draw(identity([key[c] for c in s]))) < F.lit(most * WHOLE))
+        narrow = narrow.where(reduce(Column.__or__, drawn))
     groups = narrow.groupingSets([[F.col(key[c]) for c in s] for s in sets], *map(F.col, key.values())).agg(
         F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(f"n{k}") for k in current.values()])
     if any(c.kind == "dominance" for c in checks):
-        groups = groups.withColumn("total", df.agg(F.count(F.lit(1)).alias("total")).scalar())
+        groups = groups.withColumn("total", total.scalar())
     broken, texts, rows = [], [], []
     for check in checks:
         here = F.col("set") == number[check.columns]
@@ -119,9 +135,8 @@ def groups_marked(df: DataFrame, checks: list[Check], hide: Iterable[str] = ())
         broken.append((check.no, here & known & F.expr(fault)))
     for s in sets:
         here = F.col("set") == number[s]
-        values = [F.coalesce(F.col(key[c]).cast("string"), F.lit("")) for c in s]
         shown = [F.col(key[c]).alias(c) for c in s if c not in set(hide)]
-        texts.append(F.when(here, F.concat_ws("|", *values)))
+        texts.append(F.when(here, identity([key[c] for c in s])))
         rows.append(F.when(here, F.to_json(F.struct(*shown, F.col("n").alias("rows")))))
     return groups.select(_marked(broken).alias("checks"), F.coalesce(*texts).alias("row_key"), F.coalesce(*rows).alias("row"))
 
@@ -150,7 +165,7 @@ def evidence(df: DataFrame, suite: Suite, results: DataFrame, refs: Mapping[str,
     groups = [c for c in failing if c.kind in GROUP_FAULTS]
     if groups:
         # A check over rows in place of groups counts more than its groups; its share is raised where that is too few.
-        parts += _complete(lambda open_: _kept(groups_marked(df, [c for c in groups if c.no in open_], hide), open_, limit),
+        parts += _complete(lambda open_: _kept(groups_marked(df, [c for c in groups if c.no in open_], hide, open_), open_, limit),
                            counts, limit, {c.no: share(limit, counts[c.no]) for c in groups})
     for check in failing:
         if check.kind == "unexpected_rows":
