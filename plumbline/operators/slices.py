@@ -6,7 +6,7 @@ with one condition less have enough. The least support is a share of all failure
 dimensions can reach it, whatever the number of rows or values. So the driver holds at most that many keys per set of
 dimensions.
 
-Two scans of the table. The first counts the values of failing rows, so a dimension may have any number of values. The
+The values of the table are stored once, and scanned twice. The first scan counts the values of failing rows, so a dimension may have any number of values. The
 second folds the table to one row per combination of the values with support, others taken together; rows meet on the map
 side, so a value that holds a third of all rows is no heavier than another. All levels then work on that folded table.
 
@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import durable
+from plumbline.session import durable, new_table_path
 
 NULL = "\N{SYMBOL FOR NULL}"  # stands for NULL among the values
 MARK = "\N{SYMBOL FOR UNIT SEPARATOR}"  # parts conditions in a key
@@ -94,7 +94,9 @@ def slices(df: DataFrame, failed: Column, dimensions: Mapping[str, Column], dept
     spark, names = df.sparkSession, list(dimensions)
     empty = spark.createDataFrame([], "conditions array<string>, depth int, rows bigint, failures bigint, "
                                       "failure_pct double, share_pct double, g2 double, gain double")
-    values = _values(df, failed, dimensions)
+    path = new_table_path(spark, "slices")
+    _values(df, failed, dimensions).write.parquet(path)  # short texts; both scans read them, whatever it takes to build the table
+    values = spark.read.parquet(path)
     n, f, kept = _frequent(values, names, share, least)
     if not f:
         return empty

@@ -104,3 +104,16 @@ def test_odd_inputs(spark, table):
     odd = make([(None, True)] * 9 + [("x", None)] * 9 + [("null", False)] * 9 + [("", True)])
     assert sorted((r.conditions, r.rows, r.failures) for r in odd.collect()) == [
         (["a="], 1, 1), ([f"a={NULL}"], 9, 9)]
+
+
+def test_the_table_is_built_once(spark, table):
+    """Both scans read the stored values, so a costly table is evaluated once a row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame(table.select("store", "noise").limit(500).rdd.map(count), "store bigint, noise boolean")
+    assert slices(rows, (F.col("store") == 3) | F.col("noise"), by("store"), least_gain=0.0).count() == 1
+    assert seen.value == 500
