@@ -106,14 +106,13 @@ def test_odd_inputs(spark, table):
         (["a="], 1, 1), ([f"a={NULL}"], 9, 9)]
 
 
-def test_the_table_is_built_once(spark, table):
-    """Both scans read the stored values, so a costly table is evaluated once a row."""
-    seen = spark.sparkContext.accumulator(0)
-
-    def count(x):
-        seen.add(1)
-        return x
-
-    rows = spark.createDataFrame(table.select("store", "noise").limit(500).rdd.map(count), "store bigint, noise boolean")
-    assert slices(rows, (F.col("store") == 3) | F.col("noise"), by("store"), least_gain=0.0).count() == 1
-    assert seen.value == 500
+def test_the_query_joins_the_lines_once(spark, small_star, monkeypatch):
+    """Both scans of the search read what the joins gave."""
+    from plumbline.plans.queries import defects
+
+    scanned = []
+    monkeypatch.setattr(defects, "slices", lambda df, *a, **k: scanned.append(df) or slices(df, *a, **k))
+    monkeypatch.setattr(defects, "mirror", lambda *_: defects.defects.inject(small_star, "2026-04-29"))
+    assert defects.failure_slices(spark, "").columns[0] == "conditions"
+    assert "Join" not in scanned[0]._jdf.queryExecution().executedPlan().toString()
+    assert scanned[0].count() == small_star["fact_sales"].count() + 50
