@@ -7,7 +7,8 @@ texts get the same step from their neighbours among the assigned: what stands ne
 this grows with the vocabulary. Only words that were never seen share a few classes by their form.
 
 Texts are tokenised once, into blocks of some hundred thousand tokens: numbers into a dictionary of the block's words, which
-is stored beside them. Each later pass looks up the words of a block, not its tokens, and the rest is array arithmetic.
+is stored beside them as one value. Each later pass looks up the words of a block, not its tokens, in Arrow; the rest is array
+arithmetic. Counts of cells leave a task packed, so that Spark moves a few rows in place of one for every cell.
 
 All counts (words, word pairs, neighbours, class pairs) are taken over all training texts. The vocabulary grows with the
 corpus and stays a distributed table; only the most frequent words (``head`` at most, of at most 64 bytes) are
@@ -39,9 +40,8 @@ from plumbline.llm.common import stored
 END = b""  # no word is empty
 FORMS = 8
 LONGEST = 64  # bytes of a broadcast word
-FLUSH = 600_000  # distinct words a task holds before it gives them out
-CHUNK = 500_000  # tokens whose pairs are counted at once
-CELLS = 2_000_000  # neighbour counts a task holds before it gives them out
+CHUNK = 2_000_000  # tokens whose pairs are counted at once
+HELD = 4_000_000  # tokens of the blocks a task holds before it gives out their neighbour counts
 BLOCK_TOKENS, BLOCK_WORDS = 1 << 19, 60_000  # a block is closed after the document that reaches one of them
 TOTALS = b" "  # no word is a space
 
@@ -79,6 +79,29 @@ def form(word: bytes) -> int:
     return 5 if len(word) <= 4 else 6 if len(word) <= 8 else 7
 
 
+# What a byte says about its word: a digit, above ASCII, no letter.
+LOOKS = np.array([(48 <= b <= 57) | (b > 127) << 1 | (not bytes([b]).isalpha()) << 2 for b in range(256)], np.uint8)
+LAST = np.full(256, FORMS)
+LAST[list(b".!?")], LAST[list(b",;:")] = 0, 1
+
+
+def forms(words: pa.Array) -> np.ndarray:
+    """``form`` of many words."""
+    found = np.full(len(words), 4, np.int32)  # that of the empty word
+    if not len(words):
+        return found
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    filled = np.flatnonzero(np.diff(offsets))
+    if not len(filled):
+        return found
+    data = np.frombuffer(words.buffers()[2], np.uint8)[:offsets[-1]]
+    starts, ends = offsets[filled], offsets[filled + 1]
+    look, last, size = np.bitwise_or.reduceat(LOOKS[data], starts), LAST[data[ends - 1]], ends - starts
+    found[filled] = np.select([last < FORMS, look & 1 > 0, look & 2 > 0, look & 4 > 0, size <= 4, size <= 8],
+                              [last, 2, 3, 4, 5, 6], 7)
+    return found
+
+
 # Tokens --------------------------------------------------------------------------------------------------------------
 
 class Growing(dict):
@@ -89,11 +112,23 @@ class Growing(dict):
         return value
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, in the fewest bytes that hold each; the last byte says how many."""
+    kind = np.min_scalar_type(numbers.max(initial=0))
+    return numbers.astype(kind).tobytes() + bytes([kind.itemsize])
+
+
+def unpacked(value: pa.BinaryScalar) -> np.ndarray:
+    raw = np.frombuffer(value.as_buffer(), np.uint8)
+    return raw[:-1].view(f"u{raw[-1]}")
+
+
+# ``sizes`` and ``counts`` are of the block's words, whose bytes stand in ``words`` without gaps.
 BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
-                    ("lengths", pa.list_(pa.int32())), ("ids", pa.binary()), ("words", pa.list_(pa.binary())),
-                    ("counts", pa.list_(pa.int64()))])
-BLOCKS_DDL = ("block long, doc_ids array<long>, train array<boolean>, lengths array<int>, ids binary, words array<binary>, "
-              "counts array<long>")
+                    ("lengths", pa.list_(pa.int32())), ("ids", pa.binary()), ("words", pa.binary()), ("sizes", pa.binary()),
+                    ("counts", pa.binary())])
+BLOCKS_DDL = ("block long, doc_ids array<long>, train array<boolean>, lengths array<int>, ids binary, words binary, "
+              "sizes binary, counts binary")
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,10 +139,9 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal numbers, block, held
         learned = [p for p, t in zip(parts, train) if t]
         counts = np.bincount(np.concatenate(learned), minlength=len(numbers)) if learned else np.zeros(len(numbers), np.int64)
-        ids = np.concatenate(parts)
-        if len(numbers) <= 1 << 16:
-            ids = ids.astype(np.uint16)
-        row = [block, doc_ids, train, [len(p) for p in parts], ids.tobytes(), list(numbers), counts]
+        sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
+        row = [block, doc_ids, train, [len(p) for p in parts], packed(np.concatenate(parts)), b"".join(numbers), packed(sizes),
+               packed(counts)]
         batch = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
         numbers, held, block = Growing({END: 0}), 0, block + 1
         for column in (doc_ids, train, parts):
@@ -151,65 +185,123 @@ class Block:
 
     @property
     def ids(self) -> np.ndarray:
-        raw = self.row["ids"].as_buffer()
-        wide = raw.size == 4 * int(self.array("lengths").sum(dtype=np.int64))
-        return np.frombuffer(raw, np.int32 if wide else np.uint16)
+        return unpacked(self.row["ids"])
 
     @property
-    def words(self) -> list[bytes]:
-        return self.row["words"].values.to_pylist()
-
-    def numbered(self, number: Callable[[bytes], int]) -> np.ndarray:
-        """The numbers of the block's words; 0 for those of held-out documents alone."""
-        used = np.flatnonzero(self.array("counts"))
-        words = self.row["words"].values.take(pa.array(used)).to_pylist()
-        found = np.zeros(len(self.row["words"].values), np.int64)
-        found[used] = np.fromiter(map(number, words), np.int64, len(words))
-        return found
-
-    def adjacent(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of adjacent tokens of the training documents: (previous, number). Before a text is the end token."""
+    def words(self) -> pa.Array:
+        sizes = unpacked(self.row["sizes"])
+        offsets = np.zeros(len(sizes) + 1, np.int32)
+        np.cumsum(sizes, out=offsets[1:])
+        return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), self.row["words"].as_buffer()])
+
+    def learned(self) -> np.ndarray:
+        """Places of the words of training documents."""
+        return np.flatnonzero(unpacked(self.row["counts"]))
+
+    def adjacent(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words of adjacent tokens of the training documents: (previous, this). Before a text is the end
+        token, which is at 0."""
         train, lengths = self.array("train"), self.array("lengths")
-        now = number[self.ids[np.repeat(train, lengths)]]
+        now = self.ids[np.repeat(train, lengths)].astype(np.intp)
         before = np.roll(now, 1)
         before[np.cumsum(lengths[train]) - lengths[train]] = 0
         return before, now
 
 
-LEARN = ("train", "lengths", "ids", "words", "counts")
+LEARN = ("train", "lengths", "ids", "words", "sizes", "counts")
+
+
+def places(words: list[pa.Array], listed: pa.Array) -> list[np.ndarray]:
+    """For each of several arrays of words their places in ``listed``, -1 if not there."""
+    found = pc.index_in(pa.chunked_array(words, pa.binary()), value_set=listed).fill_null(-1).to_numpy()
+    return np.split(found, np.cumsum([len(w) for w in words])[:-1])
+
+
+def together(blocks: list[Block]) -> tuple[pa.Array, list[np.ndarray], list[np.ndarray]]:
+    """The distinct words that training documents of these blocks have, and for each block the places of its own among them
+    and in its dictionary."""
+    at = [block.learned() for block in blocks]
+    words = pa.chunked_array([block.words.take(pa.array(a)) for block, a in zip(blocks, at)], pa.binary())
+    parts = words.dictionary_encode().unify_dictionaries().chunks
+    numbers = np.concatenate([part.indices.to_numpy() for part in parts])
+    return parts[0].dictionary, np.split(numbers, np.cumsum([len(a) for a in at])[:-1]), at
 
 
 # Counting ------------------------------------------------------------------------------------------------------------
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        blocks = list(Block.each([batch]))
+        if not blocks:
+            continue
+        words, numbers, at = together(blocks)
+        total = np.zeros(len(words), np.int64)
+        for block, number, used in zip(blocks, numbers, at):
+            total[number] += unpacked(block.row["counts"])[used].astype(np.int64)
+        for i in range(0, len(words), 50_000):
+            yield pa.RecordBatch.from_arrays([words[i:i + 50_000], pa.array(total[i:i + 50_000])], names=["word", "c"])
+
+
 def vocabulary(blocks: DataFrame) -> DataFrame:
     """(word, c) of all training texts, written to the shared folder since several jobs read it."""
-    pairs = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).where("x.counts > 0")
-    return stored(pairs.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("c")), "vocabulary")
+    rows = blocks.select("words", "sizes", "counts").mapInArrow(_counted, "word binary, c long")
+    return stored(rows.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
+
+
+PART = 16  # bits of a cell's number within its part
+SUMS = np.dtype([("cell", "<u2"), ("n", "<i8")])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, SUMS records) of whole parts to one row per part, with a sum for each of its cells."""
+    sums = {}
+    for batch in batches:
+        for part, records in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = np.frombuffer(records.as_buffer(), SUMS)
+            sums.setdefault(part, np.zeros(1 << PART, np.int64))[found["cell"]] += found["n"]
+    for part, total in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                         names=["part", "cells"])
 
 
 def count_cells(blocks: DataFrame, words: bytes, size: int, cells: int,
-                code: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sums over all training texts of ``code(previous, number)``, an array of cells for the numbers of adjacent tokens.
+                terms: Callable[[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]) -> np.ndarray:
+    """Counts of cells over all adjacent tokens of the training texts.
 
-    Each task adds up a dense array and gives out what is not zero; the total is bounded by ``cells``.
+    ``terms`` gets the numbers of a block's words among the first ``size`` (else -1) and gives pairs of arrays (x, y): a word
+    after another counts in cell x[previous] + y[this], unless that is ``cells`` or more. Each task adds up a dense array and
+    gives out what is not zero, packed; the total is bounded by ``cells``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = dict(zip(words.split(b"\n")[:size], range(size))), np.zeros(cells, np.int64)
-        number = lambda word: known.get(word, -1)
+        listed, total, kept = pa.array(words.split(b"\n")[:size], pa.binary()), np.zeros(cells, np.int64), []
+
+        def add() -> None:
+            if kept:
+                total[:] += np.bincount(np.concatenate(kept), minlength=cells)[:cells]
+                kept.clear()
+
         for block in Block.each(batches):
-            before, now = block.adjacent(block.numbered(number))
-            for at in range(0, len(now), CHUNK):
-                total += np.bincount(code(before[at:at + CHUNK], now[at:at + CHUNK]), minlength=cells)
+            before, now = block.adjacent()
+            for x, y in terms(places([block.words], listed)[0]):
+                kept.append(x[before] + y[now])
+            if sum(map(len, kept)) >= CHUNK:
+                add()
+        add()
         hit = np.flatnonzero(total)
-        for at in range(0, len(hit), 1 << 18):
-            part = hit[at:at + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["cell", "n"])
-
-    rows = blocks.select(*LEARN).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    sums = np.zeros(cells, np.int64)
-    for part in rows.to_batches():
-        sums[part.column(0).to_numpy(zero_copy_only=False)] = part.column(1).to_numpy(zero_copy_only=False)
-    return sums
+        part = hit >> PART
+        for number, at in zip(*np.unique(part, return_index=True)):
+            some = hit[at:np.searchsorted(part, number, "right")]
+            records = np.empty(len(some), SUMS)
+            records["cell"], records["n"] = some & ((1 << PART) - 1), total[some]
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([records.tobytes()], pa.binary())],
+                                             names=["part", "cells"])
+
+    kind = "part int, cells binary"
+    rows = blocks.select(*LEARN).mapInArrow(run, kind).repartition("part").mapInArrow(_added, kind).toArrow()
+    sums = np.zeros((-(-cells >> PART), 1 << PART), np.int64)
+    for part, found in zip(rows.column(0).to_pylist(), rows.column(1)):
+        sums[part] = np.frombuffer(found.as_buffer(), np.int64)
+    return sums.reshape(-1)[:cells]
 
 
 # Clustering ----------------------------------------------------------------------------------------------------------
@@ -280,41 +372,44 @@ def _neighbours(words: bytes, near: np.ndarray, wide: int):
     names = ["word", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = words.split(b"\n")
-        size, total = len(listed), np.zeros(wide * wide, np.int64)
-        numbers, kept = Growing(zip(listed, range(size))), []
-
-        def add(a: np.ndarray, b: np.ndarray) -> None:
-            one, two = near[np.minimum(a, size)], near[np.minimum(b, size)]
-            total[:] += np.bincount(one * wide + two, minlength=wide * wide)
-            codes = np.concatenate([((a - size) * 2 * wide + two)[a >= size], ((b - size) * 2 * wide + wide + one)[b >= size]])
-            kept.append(np.unique(codes, return_counts=True))
-
-        def given() -> Iterator[pa.RecordBatch]:
-            codes, at = np.unique(np.concatenate([c for c, _ in kept]), return_inverse=True)
-            ns = np.bincount(at, weights=np.concatenate([n for _, n in kept]), minlength=len(codes)).astype(np.int64)
+        listed = pa.array(words.split(b"\n"), pa.binary())
+        total = np.zeros(wide * wide, np.int64)
+
+        def given(blocks: list[Block]) -> Iterator[pa.RecordBatch]:
+            found, numbers, used = together(blocks)
+            place = places([found], listed)[0].astype(np.int64)
+            others, class_of = place < 0, near[place]  # that of all others is the last
+            # A word's cells: after it, the class; before it, ``wide`` + the class.
+            own, kept = np.arange(len(found)) * 2 * wide, []
+            for block, number, at in zip(blocks, numbers, used):
+                word = np.zeros(int(at[-1]) + 1 if len(at) else 0, np.int32)
+                word[at] = number
+                before, now = (word[x] for x in block.adjacent())
+                one, two = class_of[before], class_of[now]
+                total[:] += np.bincount(one * wide + two, minlength=wide * wide)
+                a, b = np.flatnonzero(others[before]), np.flatnonzero(others[now])
+                kept += [own[before[a]] + two[a], own[now[b]] + wide + one[b]]
+            codes, ns = np.unique(np.concatenate(kept), return_counts=True)
             word, starts = np.unique(codes // (2 * wide), return_index=True)
-            found, ends = pa.array(list(numbers)[size:], pa.binary()), np.append(starts, len(codes))
+            ends = np.append(starts, len(codes))
             records = np.empty(len(codes), CELL)
             records["cell"], records["n"] = codes % (2 * wide), ns
             for i in range(0, len(word), 50_000):
                 part = slice(ends[i], ends[min(i + 50_000, len(word))])
                 offsets = (ends[i:i + 50_001] - ends[i]).astype(np.int32) * CELL.itemsize
-                packed = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(
+                cells = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(
                     records[part].tobytes())])
-                yield pa.RecordBatch.from_arrays([found.take(pa.array(word[i:i + 50_000])), packed], names=names)
-            kept.clear()
-            numbers.clear()
-            numbers.update(zip(listed, range(size)))
+                yield pa.RecordBatch.from_arrays([found.take(pa.array(word[i:i + 50_000])), cells], names=names)
 
+        held, many = [], 0
         for block in Block.each(batches):
-            before, now = block.adjacent(block.numbered(numbers.__getitem__))
-            for at in range(0, len(now), CHUNK):
-                add(before[at:at + CHUNK], now[at:at + CHUNK])
-            if len(numbers) >= FLUSH or sum(len(c) for c, _ in kept) >= CELLS:
-                yield from given()
-        if kept:
-            yield from given()
+            held.append(block)
+            many += int(block.array("lengths").sum(dtype=np.int64))
+            if many >= HELD:
+                yield from given(held)
+                held, many = [], 0
+        if held:
+            yield from given(held)
         hit = np.flatnonzero(total)
         records = np.empty(len(hit), CELL)
         records["cell"], records["n"] = hit, total[hit]
@@ -330,10 +425,21 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["cell", "n"])
 
 
-def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray, classes: int) -> np.ndarray:
+SMALL = 16  # neighbour counts whose part of the gain is worked out once
+
+
+def _steps(pairs: np.ndarray, classes: int, n: np.ndarray) -> np.ndarray:
+    """Per count and cell what that count changes in the neighbour's class, for each class that the word may join."""
+    both = np.concatenate([pairs[:classes, :], pairs[:, :classes].T], 1).T  # a row per cell
+    return _xlogx(both + n[:, None, None]) - _xlogx(both)
+
+
+def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray, classes: int,
+                 steps: np.ndarray | None = None) -> np.ndarray:
     """The class with the largest ``_gain`` for each of the words 0, 1, ..., from the neighbour counts that are not zero.
 
-    ``cell[i]`` is a class after the word, or ``len(pairs)`` + a class before it; ``word`` ascends.
+    ``cell[i]`` is a class after the word, or ``len(pairs)`` + a class before it; ``word`` ascends. ``steps`` are those of the
+    whole counts below SMALL, if they are at hand.
     """
     wide, many = len(pairs), int(word[-1]) + 1 if len(word) else 0
     dense = np.zeros((many, 2 * wide))
@@ -343,7 +449,12 @@ def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.nd
     right, left = dense[:, :wide], dense[:, wide:]
     # Change of what is in the class of the neighbour, without the diagonal.
     both = np.concatenate([pairs[:classes, :], pairs[:, :classes].T], 1).T  # a row per cell
-    part = _xlogx(both[cell] + n[:, None]) - _xlogx(both)[cell]
+    if steps is None:
+        part = _xlogx(both[cell] + n[:, None]) - _xlogx(both)[cell]
+    else:
+        part = steps[np.where(n < SMALL, n, 0).astype(np.intp), cell]
+        large = np.flatnonzero(n >= SMALL)
+        part[large] = _xlogx(both[cell[large]] + n[large, None]) - _xlogx(both)[cell[large]]
     own = cell % wide
     inside = np.flatnonzero(own < classes)
     part[inside, own[inside]] = 0.0
@@ -359,13 +470,14 @@ def best_classes(pairs: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.nd
 def _assign(pairs: np.ndarray, classes: int):
     """Rows (word, cells) in order of the word to (word, c, class, form)."""
     wide = len(pairs)
+    steps = _steps(pairs, classes, np.arange(SMALL))
 
     def judged(rows: pa.Table) -> pa.RecordBatch:
         words = rows.column(0).combine_chunks()
         new = np.append(True, pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))
-        packed = rows.column(1).combine_chunks()
-        records = np.frombuffer(b"".join(packed.to_pylist()), CELL)
-        word = np.repeat(np.cumsum(new) - 1, pc.binary_length(packed).to_numpy(zero_copy_only=False) // CELL.itemsize)
+        cells = rows.column(1).combine_chunks()
+        records = np.frombuffer(b"".join(cells.to_pylist()), CELL)
+        word = np.repeat(np.cumsum(new) - 1, pc.binary_length(cells).to_numpy(zero_copy_only=False) // CELL.itemsize)
         cell, n = records["cell"].astype(np.int64), records["n"].astype(np.int64)
         kinds = words.filter(pa.array(new))
         counts = np.bincount(word, weights=n * (cell < wide), minlength=len(kinds)).astype(np.int64)
@@ -381,10 +493,9 @@ def _assign(pairs: np.ndarray, classes: int):
             place[:] = -1
             place[some] = np.arange(len(some))
             take = place[word] >= 0
-            found[some] = best_classes(pairs, place[word[take]], cell[take], n[take], classes)
-        forms = [form(w) for w in kinds.to_pylist()]
+            found[some] = best_classes(pairs, place[word[take]], cell[take], n[take], classes, steps)
         return pa.RecordBatch.from_arrays([kinds, pa.array(counts), pa.array(found[first][case].astype(np.int32)),
-                                           pa.array(forms, pa.int32())], names=["word", "c", "class", "form"])
+                                           pa.array(forms(kinds))], names=["word", "c", "class", "form"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -446,14 +557,18 @@ def cluster(blocks: DataFrame, settings: Settings = Settings()) -> tuple[Model,
     ends = vocab.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     # The end token is word 0.
     words = [END, *top["word"].to_pylist()]
-    packed = b"\n".join(words)
+    listed = b"\n".join(words)
     k, end = settings.classes, settings.classes
     clustered, assigned = min(settings.clustered, len(words)), len(words)
 
     # Pairs of the clustered words; the last number stands for all other words.
     side = clustered + 1
-    pairs = count_cells(blocks, packed, clustered, side * side, lambda a, b: (
-        np.where(a < 0, clustered, a) * side + np.where(b < 0, clustered, b))).reshape(side, side).astype(float)
+
+    def follows(number: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        number = np.where(number < 0, clustered, number)
+        return [(number * side, number)]
+
+    pairs = count_cells(blocks, listed, clustered, side * side, follows).reshape(side, side).astype(float)
     order = [*range(1, clustered), 0, clustered]  # the free words first
     start = np.array([i % k for i in range(clustered - 1)] + [k, k + 1])
     group_of = np.zeros(side, np.int64)
@@ -464,12 +579,13 @@ def cluster(blocks: DataFrame, settings: Settings = Settings()) -> tuple[Model,
     near = np.full(assigned + 1, k + 1)
     near[:clustered] = group_of[:clustered]
 
-    def neighbours(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        one, two = near[np.where(a < 0, -1, a)], near[np.where(b < 0, -1, b)]
-        first, second = (a * 2) * wide + two, (b * 2 + 1) * wide + one
-        return np.concatenate([first[a >= 0], second[b >= 0]])
+    cells = assigned * 2 * wide
+
+    def neighbours(number: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        own, class_of = np.where(number < 0, cells, number * 2 * wide), near[number]
+        return [(own, class_of), (wide + class_of, own)]
 
-    profile = count_cells(blocks, packed, assigned, assigned * 2 * wide, neighbours).reshape(assigned, 2, wide)
+    profile = count_cells(blocks, listed, assigned, cells, neighbours).reshape(assigned, 2, wide)
     member = np.zeros((side, wide))
     member[np.arange(side), group_of] = 1.0
     classes_now = member.T @ pairs @ member
@@ -479,7 +595,7 @@ def cluster(blocks: DataFrame, settings: Settings = Settings()) -> tuple[Model,
         known[word] = int(np.argmax(_gain(classes_now, right, left, 0.0)[:k]))
 
     # All other words, from their neighbours among these.
-    rows = stored(blocks.select(*LEARN).mapInArrow(_neighbours(packed, known, wide), "word binary, cells binary"), "neighbours")
+    rows = stored(blocks.select(*LEARN).mapInArrow(_neighbours(listed, known, wide), "word binary, cells binary"), "neighbours")
     classes_now = np.zeros(wide * wide)
     for cell, n in (rows.where(F.col("word") == F.lit(TOTALS)).select("cells").mapInArrow(_unpacked, "cell int, n long")
                     .groupBy("cell").agg(F.sum("n").alias("n")).collect()):
@@ -545,14 +661,16 @@ def most_frequent(vocab: DataFrame, size: int, *more: str) -> tuple[pa.Table, in
 def _outside(model: Model):
     """Blocks to the words outside the head: (block, word, place in the block's dictionary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = set(model.words.split(b"\n"))
-        for block in Block.each(batches):
-            words = block.words
-            places = np.array([i for i, w in enumerate(words) if w not in head], np.int32)
-            for at in range(0, len(places), 100_000):
-                part = pa.array(places[at:at + 100_000])
-                yield pa.RecordBatch.from_arrays([pa.array([block.row["block"].as_py()] * len(part), pa.int64()),
-                                                  block.row["words"].values.take(part), part], names=["block", "word", "at"])
+        head = pa.array(model.words.split(b"\n"), pa.binary())
+        for batch in batches:
+            blocks = list(Block.each([batch]))
+            words = [block.words for block in blocks]
+            for block, listed, number in zip(blocks, words, places(words, head)):
+                outside = np.flatnonzero(number < 0).astype(np.int32)
+                for at in range(0, len(outside), 100_000):
+                    part = pa.array(outside[at:at + 100_000])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block.row["block"].as_py())),
+                                                      listed.take(part), part], names=["block", "word", "at"])
     return run
 
 
@@ -562,15 +680,15 @@ NUMBERED = "block long, doc_ids array<long>, train array<boolean>, lengths array
 def _numbered(model: Model):
     """Blocks with numbers in place of their words: those of the head, else -1 - form."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = {w: i for i, w in enumerate(model.words.split(b"\n"))}
+        head = pa.array(model.words.split(b"\n"), pa.binary())
         names = [c.split()[0] for c in NUMBERED.split(", ")]
-        for block in Block.each(batches):
-            words = block.words
-            found = np.fromiter((head.get(w, -1) for w in words), np.int32, len(words))
-            for i in np.flatnonzero(found < 0).tolist():
-                found[i] = -1 - form(words[i])
-            same = [pa.array([block.row[n].as_py()], BLOCKS.field(n).type) for n in names[:-1]]
-            yield pa.RecordBatch.from_arrays([*same, pa.array([found.tobytes()], pa.binary())], names=names)
+        for batch in batches:
+            blocks = list(Block.each([batch]))
+            words = [block.words for block in blocks]
+            for block, listed, number in zip(blocks, words, places(words, head)):
+                found = np.where(number < 0, -1 - forms(listed), number)
+                same = [pa.array([block.row[n].as_py()], BLOCKS.field(n).type) for n in names[:-1]]
+                yield pa.RecordBatch.from_arrays([*same, pa.array([found.tobytes()], pa.binary())], names=names)
     return run
 
 
@@ -613,10 +731,10 @@ def _placed(model: Model):
 def encode(blocks: DataFrame, model: Model, rarer: DataFrame) -> DataFrame:
     """A row for every document of the blocks: its counts, the part of its score within classes, the class of each token,
     and for words that occur once in training the class they would have unseen (255: none). Stored."""
-    outside = blocks.select("block", "words").mapInArrow(_outside(model), "block long, word binary, at int")
+    outside = blocks.select("block", "words", "sizes").mapInArrow(_outside(model), "block long, word binary, at int")
     found = (outside.join(rarer.select("word", F.col("class"), "c"), "word").groupBy("block")
              .agg(F.collect_list(F.struct("at", "class", "c")).alias("rarer")))  # at most the words of a block
-    whole = (blocks.select("block", "doc_ids", "train", "lengths", "ids", "words").mapInArrow(_numbered(model), NUMBERED)
+    whole = (blocks.select("block", "doc_ids", "train", "lengths", "ids", "words", "sizes").mapInArrow(_numbered(model), NUMBERED)
              .join(found, "block", "left"))
     return stored(whole.mapInArrow(_placed(model), CODED), "coded")
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from plumbline.llm import brown
 
@@ -197,3 +198,51 @@ def test_blocks_are_cut_between_documents(spark, monkeypatch):
     model, rarer = brown.train(frames(spark, wide).select("text").coalesce(1), SMALL)
     found = {r["doc_id"]: r for r in brown.score(frames(spark, wide).coalesce(1), model, rarer).collect()}
     assert found[1]["n_tokens"] == found[1]["n_known"] == 70_003 and found[2]["n_known"] == 3
+
+
+def test_forms_of_many_words():
+    words = [b"", b".", b"end.", b"a,", b"x:", b"4th", b"4th!", "\u00e9t\u00e9".encode(), "\u00e97".encode(), b"it's", b"", b"four", b"eight",
+             b"longerword", b"\x7f", b"eightlet", b""]
+    whole = pa.array(words, pa.binary())
+    assert brown.forms(whole).tolist() == [brown.form(w) for w in words]
+    assert brown.forms(whole[3:9]).tolist() == [brown.form(w) for w in words[3:9]]
+    assert brown.forms(whole[:1]).tolist() == [brown.form(b"")] and not len(brown.forms(whole[:0]))
+
+
+def test_packed_numbers():
+    for top in (0, 255, 256, 65_535, 65_536, 2 ** 32 - 1, 2 ** 32):
+        numbers = np.array([0, top, 1])
+        assert brown.unpacked(pa.scalar(brown.packed(numbers), pa.binary())).tolist() == numbers.tolist()
+    assert len(brown.packed(np.arange(256))) == 257 and len(brown.packed(np.zeros(0, np.int64))) == 1
+
+
+def test_words_and_cells_leave_a_task_packed(spark):
+    """A block's words are one value, not one per word; cells leave a task by parts, not one row for each."""
+    rows = corpus(60)
+    blocks = brown.tokenise(spark.createDataFrame([(*r, r[0] % 3 > 0) for r in rows] + [(99, None, None)],
+                                                  "doc_id long, text string, train boolean").coalesce(2))
+    assert {f.name: f.dataType.simpleString() for f in blocks.schema}["words"] == "binary"
+    learned = [[b""] + brown.tokens(t) for i, t in rows if i % 3]
+    vocab = Counter(w for words in learned for w in words[1:])
+    assert {bytes(r["word"]): r["c"] for r in brown.vocabulary(blocks).collect()} == vocab
+    listed = sorted(vocab)[:30]
+    place = {w: i for i, w in enumerate(listed)}
+    expected = Counter((place[a], place[b]) for words in learned for a, b in zip(words, words[1:]) if a in place and b in place)
+
+    def terms(number):
+        return [(np.where(number < 0, 900, number * 30), np.where(number < 0, 900, number))]
+
+    found = brown.count_cells(blocks, b"\n".join(sorted(vocab)), 30, 900, terms)
+    assert {divmod(int(c), 30): int(found[c]) for c in np.flatnonzero(found)} == expected
+
+
+def test_best_classes_by_steps():
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 30, (6, 6)).astype(float)
+    dense = rng.integers(0, 3, (50, 12)).astype(float)
+    dense[:, 0] += 1
+    dense[::7, 3] = 40
+    word, cell = np.nonzero(dense)
+    plain = brown.best_classes(counts, word, cell, dense[word, cell], 4)
+    steps = brown._steps(counts, 4, np.arange(brown.SMALL))
+    assert (brown.best_classes(counts, word, cell, dense[word, cell], 4, steps) == plain).all()
