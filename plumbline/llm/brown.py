@@ -104,12 +104,11 @@ def forms(words: pa.Array) -> np.ndarray:
 
 # Tokens --------------------------------------------------------------------------------------------------------------
 
-class Growing(dict):
-    """Word -> its number; a new word gets the next one."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
+def split(texts: pa.Array) -> pa.ListArray:
+    """``tokens`` of many texts."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    # The space splits off an empty word, which is the end token; an empty text is that already.
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(texts, "", " ")))
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -132,33 +131,44 @@ BLOCKS_DDL = ("block long, doc_ids array<long>, train array<boolean>, lengths ar
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = TaskContext.get().partitionId() << 32
-    numbers, doc_ids, train, parts, held = Growing({END: 0}), [], [], [], 0
-
-    def given() -> pa.RecordBatch:
-        nonlocal numbers, block, held
-        learned = [p for p, t in zip(parts, train) if t]
-        counts = np.bincount(np.concatenate(learned), minlength=len(numbers)) if learned else np.zeros(len(numbers), np.int64)
-        sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
-        row = [block, doc_ids, train, [len(p) for p in parts], packed(np.concatenate(parts)), b"".join(numbers), packed(sizes),
-               packed(counts)]
-        batch = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
-        numbers, held, block = Growing({END: 0}), 0, block + 1
-        for column in (doc_ids, train, parts):
-            column.clear()
-        return batch
-
+    block, guess, first = TaskContext.get().partitionId() << 32, 4 * BLOCK_WORDS, pa.array([END.decode()])
+
+    def given(rows: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
+        """The blocks of these documents (doc_id, train, words); returns what the next batch may go on with."""
+        nonlocal block, guess
+        doc_ids, train, lists = (c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks) for c in rows.columns)
+        at, many, bounds, learn = 0, len(lists), lists.offsets.to_numpy().astype(np.int64), train.to_numpy(zero_copy_only=False)
+        while at < many:
+            while True:
+                to = min(max(int(np.searchsorted(bounds, bounds[at] + guess, "right")) - 1, at + 1), many)
+                words = pa.concat_arrays([first, lists.values[bounds[at]:bounds[to]]]).dictionary_encode()
+                ids, ends = words.indices.to_numpy(), bounds[at + 1:to + 1] - bounds[at]
+                # Numbers are in order of appearance.
+                distinct = np.maximum.accumulate(ids)[ends] + 1
+                full = np.flatnonzero((ends >= BLOCK_TOKENS) | (distinct >= BLOCK_WORDS))
+                if len(full) or to == many:
+                    break
+                guess *= 2
+            if not len(full) and not last:
+                break
+            n = int(full[0]) + 1 if len(full) else to - at
+            ids, kinds, lengths = ids[1:ends[n - 1] + 1], words.dictionary[:distinct[n - 1]], np.diff(ends[:n], prepend=0)
+            counts = np.bincount(ids[np.repeat(learn[at:at + n], lengths)], minlength=len(kinds))
+            offsets = np.frombuffer(kinds.buffers()[1], np.int32)[:len(kinds) + 1]
+            bytes_ = b"".join([kinds.buffers()[2][:offsets[-1]]]) if offsets[-1] else b""
+            row = [block, doc_ids[at:at + n].to_pylist(), learn[at:at + n], lengths, packed(ids), bytes_,
+                   packed(np.diff(offsets)), packed(counts)]
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
+            at, block, guess = at + n, block + 1, len(ids) * 5 // 4
+        return rows.slice(at)
+
+    rest = None
     for batch in batches:
-        for doc_id, text, learn in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            words = tokens(text.as_py())
-            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            doc_ids.append(doc_id)
-            train.append(learn)
-            held += len(words)
-            if held >= BLOCK_TOKENS or len(numbers) >= BLOCK_WORDS:
-                yield given()
-    if parts:
-        yield given()
+        rows = pa.table([batch.column(0), batch.column(2), split(batch.column(1))], names=["doc_id", "train", "words"])
+        if rows.num_rows:
+            rest = yield from given(rows if rest is None else pa.concat_tables([rest, rows]), False)
+    if rest is not None and rest.num_rows:
+        yield from given(rest, True)
 
 
 def tokenise(docs: DataFrame) -> DataFrame:

@@ -246,3 +246,38 @@ def test_best_classes_by_steps():
     plain = brown.best_classes(counts, word, cell, dense[word, cell], 4)
     steps = brown._steps(counts, 4, np.arange(brown.SMALL))
     assert (brown.best_classes(counts, word, cell, dense[word, cell], 4, steps) == plain).all()
+
+
+def test_split_gives_the_tokens_of_a_text():
+    texts = ["", None, " ", "A b", " Lead\ttrail\x0b\x0c\r\n", "\u00c9T\u00c9  \u0130x\u00a0y\u2003z\x85", "a\x1cb\x1d c\x1f\x00 d", "one", "\n\n"]
+    whole = pa.array(texts, pa.string())
+    assert [[w.encode() for w in ws] for ws in brown.split(whole).to_pylist()] == [brown.tokens(t) for t in texts]
+    assert brown.split(whole[:0]).to_pylist() == [] and brown.split(whole[4:5]).to_pylist() == [["lead", "trail", ""]]
+
+
+def test_blocks_hold_all_tokens_over_several_batches(spark, monkeypatch):
+    """Every document is in one block, whatever the size of batches; a block ends after the document that fills it."""
+    rows = corpus(150) + [(1000, None), (1001, ""), (1002, "l1 " * 300), (None, "New words")]
+    docs = spark.createDataFrame([(*r, i % 3 > 0) for i, r in enumerate(rows)], "doc_id long, text string, train boolean")
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", 400)
+    monkeypatch.setattr(brown, "BLOCK_WORDS", 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = brown.tokenise(docs.coalesce(1)).orderBy("block").toArrow()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = []
+    for i, block in enumerate(brown.Block.each(found.to_batches())):
+        words, lengths, at = block.words.to_pylist(), block.array("lengths").tolist(), 0
+        assert words[0] == brown.END and len(set(words)) == len(words)
+        ids, counts, learned = block.ids.tolist(), brown.unpacked(block.row["counts"]).tolist(), Counter()
+        for doc_id, train, n in zip(block.row["doc_ids"].as_py(), block.row["train"].as_py(), lengths):
+            seen.append((doc_id, [words[j] for j in ids[at:at + n]]))
+            at += n
+            learned.update(ids[at - n:at] if train else [])
+        assert at == len(ids) and counts == [learned[j] for j in range(len(words))]
+        before = ids[:len(ids) - lengths[-1]]
+        assert len(before) < 400 and len({0, *before}) < 40
+        assert i + 1 == found.num_rows or len(ids) >= 400 or len(words) >= 40
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted(seen, key=key) == sorted([(i, brown.tokens(t)) for i, t in rows], key=key)
