@@ -40,9 +40,10 @@ from plumbline.llm.common import stored
 END = b""  # no word is empty
 FORMS = 8
 LONGEST = 64  # bytes of a broadcast word
-CHUNK = 2_000_000  # tokens whose pairs are counted at once
-HELD = 4_000_000  # tokens of the blocks a task holds before it gives out their neighbour counts
+CHUNK = 1_000_000  # tokens whose pairs are counted at once
+HELD = 2_000_000  # tokens of the blocks a task holds before it gives out their neighbour counts
 BLOCK_TOKENS, BLOCK_WORDS = 1 << 19, 60_000  # a block is closed after the document that reaches one of them
+SPLIT = 1_000  # documents whose texts are split at once
 TOTALS = b" "  # no word is a space
 
 
@@ -164,11 +165,13 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rest = None
     for batch in batches:
-        rows = pa.table([batch.column(0), batch.column(2), split(batch.column(1))], names=["doc_id", "train", "words"])
-        if rows.num_rows:
+        for i in range(0, batch.num_rows, SPLIT):
+            some = batch.slice(i, SPLIT)
+            rows = pa.table([some.column(0), some.column(2), split(some.column(1))], names=["doc_id", "train", "words"])
             rest = yield from given(rows if rest is None else pa.concat_tables([rest, rows]), False)
     if rest is not None and rest.num_rows:
         yield from given(rest, True)
+    pa.default_memory_pool().release_unused()  # the worker goes on with other tasks
 
 
 def tokenise(docs: DataFrame) -> DataFrame:
