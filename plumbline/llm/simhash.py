@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import join_lookup, null_safe_key
+from plumbline.llm.common import join_lookup, null_safe_key, small_batches
 from plumbline.session import durable
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
@@ -150,6 +150,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of documents (doc_id, text)."""
+    small_batches(docs.sparkSession)
     prints = durable(docs.select("doc_id", fingerprinter(size)(F.col("text")).alias("fp")))
     return with_components(prints, radius)
 
@@ -177,6 +178,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = MAX_BITS)
     A component without any id keeps the row with the smallest text hash. Of rows equal in id the same rule holds; of
     rows equal in id and text, the one with the smallest hash of all its columns stays.
     """
+    small_batches(docs.sparkSession)
     mark = F.xxhash64("text").alias("__mark__")
     prints = durable(docs.select("doc_id", mark, fingerprinter(size)(F.col("text")).alias("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__mark__"))).alias("m")

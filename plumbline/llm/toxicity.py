@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import small_batches
 from plumbline.session import durable
 
 STRIP = " \t\n\r.,;:!?\"'()[]{}<>*#%&|…«»„“”’‘-"
@@ -172,6 +173,7 @@ def _threshold(ids: int, wanted: int) -> int:
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, settings: Settings = Settings()) -> Model:
     """Fit on documents (doc_id, text) whose id has a label (doc_id, label) and satisfies ``allowed`` on the label row."""
+    small_batches(docs.sparkSession)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     known = known.where(allowed) if allowed is not None else known
     labelled_ids = durable(known.groupBy("doc_id").agg(F.max("label").alias("label")))
@@ -292,6 +294,7 @@ def _spans(text: str, starts: np.ndarray, n: int, hit: np.ndarray) -> tuple[list
 
 def score_documents(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
     """The documents with one struct column (score, sentences, offending_start, offending_end)."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, scorer(model)(F.col("text")))
 
 

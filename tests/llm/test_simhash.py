@@ -1,5 +1,8 @@
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +135,25 @@ def test_one_giant_component(spark, monkeypatch, broadcast_rows):
     assert found.columns == ["fp", "doc_id", "root", "component_id"]
     got = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("root").alias("roots")).collect()
     assert {(r["component_id"], r["n"], r["roots"]) for r in got} == {(10_000, 4096 + 2500, 1), (3, 2, 1), (None, 1, 1)}
+
+
+@pytest.mark.parametrize("step", ["keep_one", "near_duplicates", "score_documents", "train"])
+def test_python_tasks_get_small_batches(spark, step):
+    """A task's texts reach Python in batches of a few megabytes, not 10,000 rows at once."""
+    from plumbline.llm import toxicity
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    few = spark.createDataFrame([(1, "a b c d e"), (2, "v w x y z")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    settings = toxicity.Settings()
+    {"keep_one": lambda: simhash.keep_one(few), "near_duplicates": lambda: simhash.near_duplicates(few),
+     "score_documents": lambda: toxicity.score_documents(few, toxicity.Model(np.zeros(4), 0.0, settings)),
+     "train": lambda: toxicity.train(few, labels)}[step]()
+
+    @F.pandas_udf("long")
+    def given(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.str.len() * 0 + texts.str.len().sum()
+
+    texts = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("text"), 512).alias("text"))
+    assert texts.select(given("text").alias("n")).agg(F.max("n")).first()[0] <= 5 << 20
