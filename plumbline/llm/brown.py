@@ -35,13 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import stored
+from plumbline.llm.common import LARGE_ROWS, small_batches, stored
 
 END = b""  # no word is empty
 FORMS = 8
 LONGEST = 64  # bytes of a broadcast word
 CHUNK = 1_000_000  # tokens whose pairs are counted at once
 HELD = 2_000_000  # tokens of the blocks a task holds before it gives out their neighbour counts
+HELD_WORDS = 1_500_000  # words in the dictionaries of the blocks that are counted or looked up at once
 BLOCK_TOKENS, BLOCK_WORDS = 1 << 19, 60_000  # a block is closed after the document that reaches one of them
 SPLIT = 1_000  # documents whose texts are split at once
 TOTALS = b" "  # no word is a space
@@ -177,8 +178,9 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def tokenise(docs: DataFrame) -> DataFrame:
     """Blocks of documents (doc_id, text, train), written to the shared folder since all passes read them. ``counts`` are
     those of the training documents."""
+    small_batches(docs.sparkSession)
     return stored(docs.select(F.col("doc_id").cast("long"), "text", F.coalesce("train", F.lit(False)))
-                  .mapInArrow(_tokenise, BLOCKS_DDL), "blocks")
+                  .mapInArrow(_tokenise, BLOCKS_DDL), "blocks", **LARGE_ROWS)
 
 
 @dataclass
@@ -193,6 +195,19 @@ class Block:
             for i in range(batch.num_rows):
                 yield cls({name: batch.column(name)[i] for name in batch.schema.names})
 
+    @classmethod
+    def grouped(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[list["Block"]]:
+        """Blocks whose dictionaries have HELD_WORDS words together, whatever batches they come in."""
+        held, many = [], 0
+        for block in cls.each(batches):
+            held.append(block)
+            many += len(unpacked(block.row["sizes"]))
+            if many >= HELD_WORDS:
+                yield held
+                held, many = [], 0
+        if held:
+            yield held
+
     def array(self, name: str) -> np.ndarray:
         return self.row[name].values.to_numpy(zero_copy_only=False)
 
@@ -243,10 +258,7 @@ def together(blocks: list[Block]) -> tuple[pa.Array, list[np.ndarray], list[np.n
 # Counting ------------------------------------------------------------------------------------------------------------
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        blocks = list(Block.each([batch]))
-        if not blocks:
-            continue
+    for blocks in Block.grouped(batches):
         words, numbers, at = together(blocks)
         total = np.zeros(len(words), np.int64)
         for block, number, used in zip(blocks, numbers, at):
@@ -378,6 +390,11 @@ def exchange(counts: np.ndarray, start: np.ndarray, free: int, classes: int, pas
 CELL = np.dtype([("cell", "<i2"), ("n", "<u4")])  # counts of one task
 
 
+def heads(values: np.ndarray) -> np.ndarray:
+    """The first place of each distinct one of sorted values."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]]))
+
+
 def _neighbours(words: bytes, near: np.ndarray, wide: int):
     """Blocks to (word, cells): per word without a class, how often each class comes after it (cell: the class) and
     before it (cell: ``wide`` + the class), as CELL records. ``near`` has the classes of ``words``, and last that of all
@@ -402,11 +419,16 @@ def _neighbours(words: bytes, near: np.ndarray, wide: int):
                 total[:] += np.bincount(one * wide + two, minlength=wide * wide)
                 a, b = np.flatnonzero(others[before]), np.flatnonzero(others[now])
                 kept += [own[before[a]] + two[a], own[now[b]] + wide + one[b]]
-            codes, ns = np.unique(np.concatenate(kept), return_counts=True)
-            word, starts = np.unique(codes // (2 * wide), return_index=True)
-            ends = np.append(starts, len(codes))
-            records = np.empty(len(codes), CELL)
-            records["cell"], records["n"] = codes % (2 * wide), ns
+            codes = np.concatenate(kept)
+            kept.clear()
+            codes.sort()  # in place: this is the largest array of the task
+            first = heads(codes)
+            records = np.empty(len(first), CELL)
+            records["n"] = np.diff(first, append=len(codes))
+            word, records["cell"] = np.divmod(codes[first], 2 * wide)
+            del codes, first
+            starts = heads(word)
+            word, ends = word[starts], np.append(starts, len(records))
             for i in range(0, len(word), 50_000):
                 part = slice(ends[i], ends[min(i + 50_000, len(word))])
                 offsets = (ends[i:i + 50_001] - ends[i]).astype(np.int32) * CELL.itemsize
@@ -675,8 +697,7 @@ def _outside(model: Model):
     """Blocks to the words outside the head: (block, word, place in the block's dictionary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = pa.array(model.words.split(b"\n"), pa.binary())
-        for batch in batches:
-            blocks = list(Block.each([batch]))
+        for blocks in Block.grouped(batches):
             words = [block.words for block in blocks]
             for block, listed, number in zip(blocks, words, places(words, head)):
                 outside = np.flatnonzero(number < 0).astype(np.int32)
@@ -695,8 +716,7 @@ def _numbered(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = pa.array(model.words.split(b"\n"), pa.binary())
         names = [c.split()[0] for c in NUMBERED.split(", ")]
-        for batch in batches:
-            blocks = list(Block.each([batch]))
+        for blocks in Block.grouped(batches):
             words = [block.words for block in blocks]
             for block, listed, number in zip(blocks, words, places(words, head)):
                 found = np.where(number < 0, -1 - forms(listed), number)

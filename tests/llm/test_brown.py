@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from plumbline.llm import brown
 
@@ -281,3 +282,27 @@ def test_blocks_hold_all_tokens_over_several_batches(spark, monkeypatch):
         assert i + 1 == found.num_rows or len(ids) >= 400 or len(words) >= 40
     key = lambda r: (str(r[0]), r[1])
     assert sorted(seen, key=key) == sorted([(i, brown.tokens(t)) for i, t in rows], key=key)
+
+
+def test_blocks_are_stored_and_read_a_few_at_a_time(spark):
+    """Blocks of about a megabyte: neither a row group nor an Arrow batch holds all blocks of a task."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    docs = spark.range(0, 14, 1, 1).select(F.col("id").alias("doc_id"), F.lit(True).alias("train"), F.array_join(
+        F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda i: F.sha1(F.concat(i.cast("string"), F.lit("-"), F.col("id")).cast(
+            "binary")).substr(1, 12)), " ").alias("text"))
+    blocks = brown.tokenise(docs)
+    assert blocks.count() == 14
+    groups = [pq.ParquetFile(f).metadata for name in blocks.inputFiles() for f in glob.glob(name.removeprefix("file://"))]
+    assert max(m.row_group(i).total_byte_size for m in groups for i in range(m.num_row_groups)) < 12 << 20
+
+    def given(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    assert blocks.coalesce(1).mapInArrow(given, "n long").agg(F.max("n")).first()[0] < 7 << 20
+    # Words are still added up over the batches of a task.
+    found = list(brown._counted(iter(blocks.select("words", "sizes", "counts").limit(2).toArrow().to_batches(1))))
+    assert sum(b.num_rows for b in found) == len({w for b in found for w in b.column(0).to_pylist()})
